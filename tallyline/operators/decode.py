@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,21 +57,29 @@ def flatten_events(parsed: DataFrame, row: T.StructType, keys: Sequence[str]) ->
     )
 
 
+def keyed_events(parsed: DataFrame, row: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Events of parsed records that name a whole key."""
+    return flatten_events(parsed, row, keys).dropna(how="any", subset=list(keys))
+
+
+def unkeyed_records(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parsed records with a text but no whole key, as they came.
+
+    Log tombstones have no text and are no errors.
+    """
+    complete = reduce(and_, [_event_key(key).isNotNull() for key in keys])
+    rest = parsed.filter(F.col("value").isNotNull() & ~complete)
+    return rest.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+
+
 def decode_changes(changes: DataFrame, row: T.StructType, keys: Sequence[str]) -> DataFrame:
     """``(value, partition, offset)`` records to keyed events; unkeyed records drop out."""
-    decoded = flatten_events(parse_envelopes(changes, row, keys), row, keys)
-    return decoded.dropna(how="any", subset=list(keys))
+    return keyed_events(parse_envelopes(changes, row, keys), row, keys)
 
 
 def dead_letters(changes: DataFrame, row: T.StructType, keys: Sequence[str]) -> DataFrame:
-    """Records with a text that yields no key; log tombstones (no text) are not errors."""
-    parsed = parse_envelopes(changes.filter(F.col("value").isNotNull()), row, keys)
-    complete = F.lit(True)
-    for key in keys:
-        complete = complete & _event_key(key).isNotNull()
-    return parsed.filter(~complete).select(
-        F.col("value").cast("string").alias("value"), "partition", "offset"
-    )
+    """Records :func:`decode_changes` drops, tombstones aside."""
+    return unkeyed_records(parse_envelopes(changes, row, keys), keys)
 
 
 def upserts(events: DataFrame) -> DataFrame:

@@ -17,35 +17,33 @@ BALANCE_SHEET = "balance-sheet"
 # Fixed value: the name the first column gets.
 LINE_ITEM_HEADER = "Narration"
 
-# Stand-ins for the table's own tags, once everything else is stripped.
-_ROW, _HEAD, _DATA, _END = "\u0001", "\u0002", "\u0003", "\u0004"
-_MARKS = f"[{_ROW}-{_END}]"
-_NOT_MARK = f"[^{_ROW}-{_END}]*"
+# Stands for a table tag; the tag's letter follows, after a slash in an end tag.
+_TAG = "\u0001"
 
 
-def _section(html: Column, section_id: str) -> Column:
-    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{section_id}[\"']?(?=[\\s>/])[^>]*>"
-    return F.regexp_extract(html, f"(?is){opening}(.*?)(?:</section\\s*>|\\z)", 1)
-
+def _first_table(html: Column, section_id: str) -> Column:
+    """Inside of the first table of the section, up to whichever end comes first.
 
-def _first_table(section: Column) -> Column:
-    return F.regexp_extract(section, "(?is)<table\\b[^>]*>(.*?)(?:</table\\s*>|\\z)", 1)
+    The loops step from one ``<`` to the next and never go back, so a page costs
+    one pass whatever its length.
+    """
+    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{section_id}[\"']?(?=[\\s>/])[^>]*>"
+    before = "(?:[^<]++|<(?!/section\\b|table\\b))*+"
+    inside = "((?:[^<]++|<(?!/section\\b|/table\\b))*+)"
+    return F.regexp_extract(html, f"(?is){opening}{before}<table\\b[^>]*>{inside}", 1)
 
 
 def _marked(table: Column) -> Column:
-    """Table markup to text with one mark per row, cell and end tag."""
-    text = F.translate(table, _ROW + _HEAD + _DATA + _END, "")
-    text = F.regexp_replace(text, "(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, "(?is)<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
-    text = F.regexp_replace(text, "(?i)<tr(?=[\\s>/])[^>]*>", _ROW)
-    text = F.regexp_replace(text, "(?i)<th(?=[\\s>/])[^>]*>", _HEAD)
-    text = F.regexp_replace(text, "(?i)<td(?=[\\s>/])[^>]*>", _DATA)
-    text = F.regexp_replace(text, "(?i)</(?:tr|th|td)\\s*>", _END)
+    """Table markup to text with one mark per row and cell tag."""
+    text = F.translate(table, _TAG, "")
+    text = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
+    text = F.regexp_replace(text, "(?i)<(/?t[rhd])(?=[\\s>/])[^>]*>", f"{_TAG}$1")
     return F.regexp_replace(text, "</?[A-Za-z][^>]*>", "")
 
 
-def _all(text: Column, mark: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"{mark}({_NOT_MARK})"), F.lit(1))
+def _all(text: Column, letter: str) -> Column:
+    pattern = f"(?i){_TAG}t{letter}([^{_TAG}]*)"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
 def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFrame:
@@ -59,18 +57,18 @@ def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFram
     """
     # A page without the words skips the patterns.
     candidates = pages.filter(F.contains(F.col("html"), F.lit(section_id)))
-    found = F.array(_first_table(_section(F.col("html"), section_id)))
+    found = F.array(_first_table(F.col("html"), section_id))
     tables = candidates.select(*carry, F.explode(F.filter(found, lambda t: t != "")).alias("_t"))
     tables = tables.select(*carry, _marked(F.col("_t")).alias("_t"))
     tables = tables.select(*carry, decode_entities(F.col("_t")).alias("_t"))
-    trimmed = F.regexp_replace("_t", f"[\\s\\u00a0]*({_MARKS})[\\s\\u00a0]*", "$1")
+    trimmed = F.regexp_replace("_t", f"(?i)[\\s\\u00a0]*({_TAG}/?t[rhd])[\\s\\u00a0]*", "$1")
     tables = tables.select(*carry, trimmed.alias("_t"))
     headers = F.transform(
-        _all(F.col("_t"), _HEAD),
+        _all(F.col("_t"), "h"),
         lambda h, i: F.when(h == "", F.concat(F.lit("Column_"), i.cast("string"))).otherwise(h),
     )
     # What precedes the first row mark is no row, and the first row holds the headers.
-    pieces = F.split("_t", _ROW, -1)
+    pieces = F.split("_t", f"(?i){_TAG}tr", -1)
     lines = F.slice(pieces, F.lit(3), F.greatest(F.size(pieces) - 2, F.lit(0)))
     return tables.select(*carry, headers.alias("headers"), lines.alias("lines"))
 
@@ -78,7 +76,7 @@ def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFram
 def _body(fits: bool) -> Column:
     """Array of ``(row_no, cells)``: rows as wide as the header, or the other ones."""
     rows = F.transform(
-        "lines", lambda r, i: F.struct(i.alias("row_no"), _all(r, _DATA).alias("cells"))
+        "lines", lambda r, i: F.struct(i.alias("row_no"), _all(r, "d").alias("cells"))
     )
     return F.filter(rows, lambda r: (F.size(r["cells"]) == F.size("headers")) == F.lit(fits))
 

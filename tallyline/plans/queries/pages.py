@@ -13,10 +13,16 @@ from tallyline.operators.extract import (
     rejected_rows,
     statement_matrix,
 )
-from tallyline.operators.reshape import clean_numbers, transpose_statement, unpivot_statement
+from tallyline.operators.reshape import (
+    clean_numbers,
+    concatenate,
+    transpose_statement,
+    unpivot_statement,
+)
 from tallyline.plans import derived
 from tallyline.plans.queries import sql
 from tallyline.schema import COMPANY, MEASURES, PERIOD
+from tallyline.sources import read_pages
 
 
 def _pages(spark: SparkSession, sf: str, section: str = "profit-loss") -> DataFrame:
@@ -63,7 +69,7 @@ def html_statement_in_pages(spark: SparkSession, sf: str) -> DataFrame:
         COMPANY, F.col("html").alias("section")
     )
     key = F.concat(F.lit("Customer#"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
-    stored = derived.table(spark, sf, "pages").select(key.alias(COMPANY), "page_id", "html")
+    stored = read_pages(spark, f"{sf}/pages.parquet").select(key.alias(COMPANY), "page_id", "html")
     body = F.concat(
         F.regexp_replace("html", "(?is)</body>.*", ""), F.coalesce("section", F.lit("")),
         F.lit("</body></html>"),
@@ -81,6 +87,13 @@ def statement_unpivot(spark: SparkSession, sf: str) -> DataFrame:
     return unpivot_statement(derived.statements(spark, sf), [PERIOD, COMPANY])
 
 
+def concatenate_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames with different measures, one below the other."""
+    final = derived.statements(spark, sf, "F", ["sales", "interest"])
+    still_open = derived.statements(spark, sf, "O", ["sales", "net_profit"])
+    return concatenate([final, still_open])
+
+
 def clean_number_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Formatted amounts, percentages and words, cleaned with and without filling."""
     orders = derived.table(spark, sf, "orders")
@@ -164,6 +177,12 @@ QUERIES = {
         statement_unpivot,
         f"with {_STMT}, long as ({_LONG}) select date, company_name, line_item, value from long",
     ),
+    "concatenate_frames": (
+        concatenate_frames,
+        f"""with {sql.stmt('f', 'F')}, {sql.stmt('o', 'O')}
+        select date, sales, interest, company_name, null as net_profit from f union all
+        select date, sales, null, company_name, net_profit from o""",
+    ),
     "clean_numbers": (
         clean_number_texts,
         """select o_orderkey, o_totalprice as amount,

@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.functions.periods import period_order
+from tallyline.operators.compact import compact
 from tallyline.operators.decode import dead_letters, decode_changes
+from tallyline.operators.summary import averages
 from tallyline.plans import derived
 from tallyline.plans.derived import EVENT_KEYS, EVENT_ROW
 from tallyline.plans.queries import sql
 from tallyline.plans.queries.changes import HOUR_MS
-from tallyline.schema import COMPANY, MEASURES, PERIOD, statement_schema
-from tallyline.sinks import Snapshot, assert_unique, scratch_dir, write_csv
+from tallyline.schema import (
+    COMPANY,
+    LOG_OFFSET,
+    LOG_PARTITION,
+    MEASURES,
+    PERIOD,
+    statement_schema,
+)
+from tallyline.sinks import (
+    Snapshot,
+    assert_unique,
+    create_table,
+    load_table,
+    scratch_dir,
+    write_csv,
+    write_single_csv,
+)
 from tallyline.sources import as_changes, read_changes, read_statements_csv
 from tallyline.streaming import Averages, Indicators, Refresh, run_refresh
 
@@ -35,6 +53,35 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_statements_csv(spark, path)
 
 
+def csv_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages per period, a report of a few rows, as one file."""
+    path = scratch_dir(spark, "report-csv")
+    report = averages(derived.statements(spark, sf), MEASURES, 2, [PERIOD], scale=4, prefix="")
+    write_single_csv(report, path, order=period_order(PERIOD))
+    names = [PERIOD, *MEASURES]
+    layout = statement_schema(with_company=False)
+    return read_statements_csv(spark, path, layout).select(*names)
+
+
+def table_load_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Create the table if missing, replace its rows, check its key, read it."""
+    path = scratch_dir(spark, "statements-table")
+    name = "statements_" + path.rsplit("-", 1)[-1]
+    create_table(spark, name, statement_schema(), path=path)
+    load_table(derived.statements(spark, sf), name, path=path)
+    rows = spark.table(name)
+    assert_unique(rows, KEYS)
+    return rows
+
+
+def change_log_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The log as text lines, which carry no positions."""
+    path = scratch_dir(spark, "log-text")
+    derived.change_log(spark, sf).select("value").write.text(path)
+    events = decode_changes(read_changes(spark, "text", path), EVENT_ROW, EVENT_KEYS)
+    return compact(events, EVENT_KEYS).drop(LOG_PARTITION, LOG_OFFSET)
+
+
 def dead_letter_split(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation texts mixed into the log are set aside, envelopes are not."""
     talk = derived.table(spark, sf, "conversations").select(
@@ -102,16 +149,23 @@ QUERIES = {
         lambda s, d: snapshot_upsert_roundtrip(s, d, "coalesce"),
         f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('coalesce')}""",
     ),
+    "csv_report": (
+        csv_report,
+        f"with {_STMT} select date, {_MEANS} from stmt group by date",
+    ),
+    "table_load_roundtrip": (table_load_roundtrip, f"with {_STMT} select * from stmt"),
+    "change_log_text": (
+        change_log_text,
+        f"with {sql.events()}, {sql.latest()} select * exclude (_partition, _offset) from latest",
+    ),
     "csv_roundtrip": (
         csv_roundtrip,
         f"with {_STMT}, {sql.blanked('b', 'stmt')} select * from b",
     ),
     "dead_letter_split": (
         dead_letter_split,
-        """select text as value, 0 as partition, conv_id * 1000 + turn as offset
-        from conversations where text is not null""".replace("as offset", 'as "offset"').replace(
-            "as partition", 'as "partition"'
-        ),
+        """select text as value, 0 as "partition", conv_id * 1000 + turn as "offset"
+        from conversations where text is not null""",
     ),
     "stream_cdc_apply": (
         stream_cdc_apply,

@@ -5,6 +5,7 @@ from tallyline.sinks.files import (
     create_table,
     duplicate_keys,
     load_table,
+    merge_table,
     write_csv,
     write_single_csv,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "create_table",
     "duplicate_keys",
     "load_table",
+    "merge_table",
     "overwrite_jdbc",
     "scratch_dir",
     "upsert_jdbc",

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.schema import CONTROL, DELETED
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Headed CSV folder, one file per task; replaces what is there."""
@@ -39,16 +43,49 @@ def create_table(
     schema: T.StructType,
     format: str = "parquet",
     partition_by: Sequence[str] = (),
+    path: str | None = None,
 ) -> None:
     """``CREATE TABLE IF NOT EXISTS`` with the schema's columns and types."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     layout = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}{layout}")
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}{layout}{place}")
 
 
-def load_table(df: DataFrame, name: str, format: str = "parquet") -> None:
+def load_table(df: DataFrame, name: str, format: str = "parquet", path: str | None = None) -> None:
     """Replaces the table by the frame, which must not read from that table."""
-    df.write.mode("overwrite").format(format).saveAsTable(name)
+    writer = df.write.mode("overwrite").format(format)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
+def merge_table(
+    compacted: DataFrame, table: str, keys: Sequence[str], mode: str = "replace"
+) -> None:
+    """Upserts and deletes in a table whose format supports ``MERGE INTO``.
+
+    ``compacted`` has each key once, with the delete flag; that is what makes
+    the merge unambiguous.
+    """
+    columns = [c for c in compacted.columns if c not in CONTROL]
+    matched = reduce(and_, [F.col(f"{table}.{k}") == F.col(f"change.{k}") for k in keys])
+    fresh = {c: F.col(f"change.{c}") for c in columns}
+    if mode == "coalesce":
+        updated = {c: F.coalesce(F.col(f"change.{c}"), F.col(f"{table}.{c}")) for c in columns}
+    else:
+        updated = fresh
+    (
+        compacted.alias("change")
+        .mergeInto(table, matched)
+        .whenMatched(F.col(f"change.{DELETED}"))
+        .delete()
+        .whenMatched()
+        .update({c: v for c, v in updated.items() if c not in keys})
+        .whenNotMatched(~F.col(f"change.{DELETED}"))
+        .insert(fresh)
+        .merge()
+    )
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

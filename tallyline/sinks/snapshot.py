@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,8 @@ class BucketedTable:
         self.schema = schema
         self.bucket_by = list(bucket_by)
         self.buckets = buckets
+        # Committed manifests never change, so each is read once.
+        self._manifests: dict[int, tuple[dict[int, int], str | None]] = {}
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
@@ -74,10 +77,14 @@ class BucketedTable:
         version = self.version() if version is None else version
         if version == 0:
             return {}, None
+        if version in self._manifests:
+            return self._manifests[version]
         folder = f"{self.path}/manifest/{version:08d}"
         rows = self.spark.read.schema(_MANIFEST).json(folder).collect()
         tag = next((r["tag"] for r in rows if r[BUCKET] is None), None)
-        return {r[BUCKET]: r[VERSION] for r in rows if r[BUCKET] is not None}, tag
+        held = {r[BUCKET]: r[VERSION] for r in rows if r[BUCKET] is not None}
+        self._manifests = {version: (held, tag)}
+        return held, tag
 
     def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Stored rows, optionally of some buckets only."""
@@ -116,9 +123,16 @@ class BucketedTable:
         written = [n for n in self._list(target) if n.startswith(f"{BUCKET}=")]
         kept = {} if touched is None else {b: v for b, v in held.items() if b not in set(touched)}
         kept.update({int(n.split("=", 1)[1]): version for n in written})
-        entries = [(b, v, None) for b, v in sorted(kept.items())] + [(None, version, tag)]
-        manifest = self.spark.createDataFrame(entries, _MANIFEST).coalesce(1)
+        entries = [*sorted(kept.items()), (None, version)]
+        buckets, versions = zip(*entries)
+        columns = {
+            BUCKET: pa.array(buckets, pa.int32()),
+            VERSION: pa.array(versions, pa.int64()),
+            "tag": pa.array([None] * len(kept) + [tag], pa.string()),
+        }
+        manifest = self.spark.createDataFrame(pa.table(columns), _MANIFEST).coalesce(1)
         manifest.write.mode("overwrite").json(f"{self.path}/manifest/{version:08d}")
+        self._manifests = {version: (kept, tag)}
         return version
 
 
@@ -168,34 +182,38 @@ class Snapshot(BucketedTable):
         events: DataFrame,
         mode: str = "replace",
         tag: str | None = None,
-        forget_deletes_before: int | None = None,
+        keep_deletes_ms: int | None = None,
     ) -> int:
         """Applies decoded events and returns the committed version.
 
         A ``tag`` equal to the newest commit's makes the call a no-op, so a
-        repeated micro-batch is applied once.  Delete markers older than
-        ``forget_deletes_before`` (event time, milliseconds) are purged from
-        the buckets being rewritten.
+        repeated micro-batch is applied once.  With ``keep_deletes_ms``, delete
+        markers that much older than the newest event of the batch leave the
+        buckets being rewritten; events later than that could revive their keys.
         """
         current = self.version()
         held, last_tag = self.manifest(current)
         if tag is not None and tag == last_tag:
             return current
         batch = compact(events.select(*self.schema.names), self.keys)
+        if not held:
+            # Nothing stored: the batch is the state and streams straight to files.
+            return self.replace(batch, tag=tag)
         batch = batch.withColumn(BUCKET, self.bucket()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # One row per bucket comes back, however large the batch is.
-            sizes = {r[BUCKET]: r["count"] for r in batch.groupBy(BUCKET).count().collect()}
-            if not sizes:
+            per_bucket = batch.groupBy(BUCKET).agg(F.count("*"), F.max(EVENT_TIME)).collect()
+            if not per_bucket:
                 return current
-            merged = batch.drop(BUCKET)
-            if any(b in held for b in sizes):
-                stored = self.rows(current, only=list(sizes))
-                merged = self._merge(stored, merged, mode, sum(sizes.values()))
-            if forget_deletes_before is not None:
-                expired = F.col(DELETED) & (F.col(EVENT_TIME) < forget_deletes_before)
+            touched = [b for b, _, _ in per_bucket]
+            n_keys = sum(n for _, n, _ in per_bucket)
+            stored = self.rows(current, only=touched)
+            merged = self._merge(stored, batch.drop(BUCKET), mode, n_keys)
+            times = [t for _, _, t in per_bucket if t is not None]
+            if keep_deletes_ms is not None and times:
+                expired = F.col(DELETED) & (F.col(EVENT_TIME) < max(times) - keep_deletes_ms)
                 merged = merged.filter(~expired)
-            return self.replace(merged, touched=list(sizes), tag=tag)
+            return self.replace(merged, touched=touched, tag=tag)
         finally:
             batch.unpersist()
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.decode import dead_letters, decode_changes
+from tallyline.operators.decode import keyed_events, parse_envelopes, unkeyed_records
 from tallyline.sinks.snapshot import Snapshot
 
 
@@ -25,6 +25,7 @@ from tallyline.sinks.snapshot import Snapshot
 class Refresh:
     """What one micro-batch does.
 
+    ``keep_deletes_ms`` bounds how long delete markers wait for late events.
     ``name`` tells the commits of one query from another's; :func:`run_refresh`
     sets it to the checkpoint, which is what numbers the batches.
     ``after`` receives the snapshot and its new version after each commit, for
@@ -36,23 +37,29 @@ class Refresh:
     keys: Sequence[str]
     mode: str = "replace"
     dead_letter_path: str | None = None
+    keep_deletes_ms: int | None = None
     name: str = "refresh"
     after: list[Callable[[Snapshot, int], None]] = field(default_factory=list)
 
     def __call__(self, changes: DataFrame, batch_id: int) -> None:
-        changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_envelopes(changes, self.row, self.keys)
+        if self.dead_letter_path:
+            # Two outputs read the batch: keep it parsed between them.
+            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if self.dead_letter_path:
                 # A folder per batch: a repeated batch replaces its own letters.
-                dead_letters(changes, self.row, self.keys).write.mode("overwrite").parquet(
-                    f"{self.dead_letter_path}/batch={batch_id}"
-                )
-            events = decode_changes(changes, self.row, self.keys)
-            version = self.snapshot.apply(events, self.mode, tag=f"{self.name}#{batch_id}")
+                letters = unkeyed_records(parsed, self.keys)
+                letters.write.mode("overwrite").parquet(f"{self.dead_letter_path}/batch={batch_id}")
+            events = keyed_events(parsed, self.row, self.keys)
+            version = self.snapshot.apply(
+                events, self.mode, f"{self.name}#{batch_id}", self.keep_deletes_ms
+            )
             for step in self.after:
                 step(self.snapshot, version)
         finally:
-            changes.unpersist()
+            if self.dead_letter_path:
+                parsed.unpersist()
 
 
 def run_refresh(

@@ -15,6 +15,7 @@ from tallyline.sinks import (
     create_table,
     duplicate_keys,
     load_table,
+    merge_table,
     scratch_dir,
     upsert_jdbc,
     upsert_statement,
@@ -60,6 +61,15 @@ def test_tables_and_key_check(spark):
     assert_unique(stored, ["k", "a"])
 
 
+def test_merge_needs_a_format_that_supports_it(spark):
+    """No such format here: the statement resolves and is then refused."""
+    create_table(spark, "t_plain", ROW)
+    batch = events(spark, [("a", 1.0, 1.0, 1, 0, 1, False)])
+    for mode in ("replace", "coalesce"):
+        with pytest.raises(Exception, match="MERGE INTO"):
+            merge_table(batch, "t_plain", ["k"], mode)
+
+
 def test_snapshot_upserts_deletes_and_versions(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     assert snap.version() == 0 and snap.read().count() == 0
@@ -126,16 +136,23 @@ def test_an_unfinished_commit_is_not_seen(spark, tmp_path):
     assert rows_of(snap.read()) == [("a", 1.0, 1.0), ("b", 2.0, 2.0)]
 
 
+def same_bucket(snap, spark, *names):
+    keys = spark.createDataFrame([(n,) for n in names], "k string")
+    return keys.select(snap.bucket()).distinct().count() == 1
+
+
 def test_delete_markers_stay_until_forgotten(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.apply(events(spark, [("a", 1.0, 1.0, 1, 0, 1, False), ("a", None, None, 2, 0, 2, True)]))
     assert snap.read().count() == 0 and snap.rows().count() == 1
-    same_bucket = events(spark, [("a", None, None, 1, 0, 0, True)])
-    snap.apply(same_bucket, forget_deletes_before=2)
-    assert snap.rows().count() == 1
-    snap.apply(same_bucket, forget_deletes_before=3)
-    assert snap.rows().count() == 0
-    assert snap.manifest()[0] == {}
+    late = events(spark, [("a", 5.0, 5.0, 1, 0, 0, False)])
+    snap.apply(late, keep_deletes_ms=0)
+    assert snap.read().count() == 0 and snap.rows().count() == 1
+    other = next(f"k{i}" for i in range(99) if same_bucket(snap, spark, "a", f"k{i}"))
+    snap.apply(events(spark, [(other, None, None, 9, 0, 0, True)]), keep_deletes_ms=7)
+    assert rows_of(snap.rows(), "k") == [("a",), (other,)]
+    snap.apply(events(spark, [(other, None, None, 10, 0, 0, True)]), keep_deletes_ms=7)
+    assert rows_of(snap.rows(), "k") == [(other,)]
 
 
 def test_bucket_columns_must_be_key_columns(spark, tmp_path):
