@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import parse_number
 from tallyline.functions.text import decode_entities, normalise_name
+from tallyline.operators.tolerant import tolerant_tables
 from tallyline.schema import MEASURES, PERIOD
 
 # The sections that hold a statement table.
@@ -19,6 +20,8 @@ LINE_ITEM_HEADER = "Narration"
 
 # Stands for a table tag; the tag's letter follows, after a slash in an end tag.
 _TAG = "\u0001"
+# Rest of a tag: an end sign inside quotes does not end it, a lone quote does not matter.
+_REST = "(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>"
 
 
 def _first_table(html: Column, section_id: str) -> Column:
@@ -27,18 +30,20 @@ def _first_table(html: Column, section_id: str) -> Column:
     The loops step from one ``<`` to the next and never go back, so a page costs
     one pass whatever its length.
     """
-    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{section_id}[\"']?(?=[\\s>/])[^>]*>"
+    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{section_id}[\"']?(?=[\\s>/]){_REST}"
     before = "(?:[^<]++|<(?!/section\\b|table\\b))*+"
     inside = "((?:[^<]++|<(?!/section\\b|/table\\b))*+)"
-    return F.regexp_extract(html, f"(?is){opening}{before}<table\\b[^>]*>{inside}", 1)
+    return F.regexp_extract(html, f"(?is){opening}{before}<table\\b{_REST}{inside}", 1)
 
 
 def _marked(table: Column) -> Column:
     """Table markup to text with one mark per row and cell tag."""
     text = F.translate(table, _TAG, "")
     text = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
-    text = F.regexp_replace(text, "(?i)<(/?t[rhd])(?=[\\s>/])[^>]*>", f"{_TAG}$1")
-    return F.regexp_replace(text, "</?[A-Za-z][^>]*>", "")
+    text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?=[\\s>/]){_REST}", f"{_TAG}$1")
+    text = F.regexp_replace(text, f"</?[A-Za-z]{_REST}", "")
+    # Closes a last cell that lacks its end tag.
+    return F.concat(text, F.lit(f"{_TAG}/tr"))
 
 
 def _all(text: Column, letter: str) -> Column:
@@ -46,8 +51,10 @@ def _all(text: Column, letter: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
-def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFrame:
-    """One row per page with a table: ``headers`` and ``lines`` (text of each body row).
+def _tables(
+    pages: DataFrame, section_id: str, carry: Sequence[str], tolerant: bool = False
+) -> DataFrame:
+    """One row per page with a table: ``headers`` and ``lines`` (``row_no, cells``).
 
     Every stage is a projection over one page, so the extraction is a single
     narrow stage whatever the number of pages.  Markup and character references
@@ -55,6 +62,8 @@ def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFram
     inside the generators that unfold them: a filter or generator over a
     projected array would make the optimiser evaluate the patterns twice.
     """
+    if tolerant:
+        return tolerant_tables(pages, section_id, carry)
     # A page without the words skips the patterns.
     candidates = pages.filter(F.contains(F.col("html"), F.lit(section_id)))
     found = F.array(_first_table(F.col("html"), section_id))
@@ -69,34 +78,40 @@ def _tables(pages: DataFrame, section_id: str, carry: Sequence[str]) -> DataFram
     )
     # What precedes the first row mark is no row, and the first row holds the headers.
     pieces = F.split("_t", f"(?i){_TAG}tr", -1)
-    lines = F.slice(pieces, F.lit(3), F.greatest(F.size(pieces) - 2, F.lit(0)))
+    rows = F.slice(pieces, F.lit(3), F.greatest(F.size(pieces) - 2, F.lit(0)))
+    lines = F.transform(
+        rows, lambda r, i: F.struct(i.alias("row_no"), _all(r, "d").alias("cells"))
+    )
     return tables.select(*carry, headers.alias("headers"), lines.alias("lines"))
 
 
 def _body(fits: bool) -> Column:
-    """Array of ``(row_no, cells)``: rows as wide as the header, or the other ones."""
-    rows = F.transform(
-        "lines", lambda r, i: F.struct(i.alias("row_no"), _all(r, "d").alias("cells"))
-    )
-    return F.filter(rows, lambda r: (F.size(r["cells"]) == F.size("headers")) == F.lit(fits))
+    """Body rows as wide as the header, or the other ones."""
+    width = F.nullif(F.size("headers"), F.lit(0))
+    return F.filter("lines", lambda r: F.size(r["cells"]).eqNullSafe(width) == F.lit(fits))
 
 
 def _body_rows(
-    pages: DataFrame, section_id: str, carry: Sequence[str], fits: bool = True
+    pages: DataFrame, section_id: str, carry: Sequence[str], tolerant: bool, fits: bool = True
 ) -> DataFrame:
-    return _tables(pages, section_id, carry).select(*carry, "headers", F.inline(_body(fits)))
+    tables = _tables(pages, section_id, carry, tolerant)
+    return tables.select(*carry, "headers", F.inline(_body(fits)))
 
 
 def extract_statement(
-    pages: DataFrame, section_id: str = PROFIT_LOSS, carry: Sequence[str] = ("page_id",)
+    pages: DataFrame,
+    section_id: str = PROFIT_LOSS,
+    carry: Sequence[str] = ("page_id",),
+    tolerant: bool = False,
 ) -> DataFrame:
     """Long form of each page's statement: one row per cell.
 
     ``row_no`` counts body rows, ``col_no`` columns from 1; the column at 0 is
     the line item.  Rows with another number of cells than headers are left
-    out, :func:`rejected_rows` has them.
+    out, :func:`rejected_rows` has them.  ``tolerant`` parses the pages in
+    Python workers instead, for markup that tags alone do not settle.
     """
-    rows = _body_rows(pages, section_id, carry)
+    rows = _body_rows(pages, section_id, carry, tolerant)
     pairs = F.arrays_zip(F.col("headers").alias("period"), F.col("cells").alias("raw"))
     cells = rows.select(
         *carry,
@@ -116,20 +131,26 @@ def extract_statement(
 
 
 def rejected_rows(
-    pages: DataFrame, section_id: str = PROFIT_LOSS, carry: Sequence[str] = ("page_id",)
+    pages: DataFrame,
+    section_id: str = PROFIT_LOSS,
+    carry: Sequence[str] = ("page_id",),
+    tolerant: bool = False,
 ) -> DataFrame:
     """Body rows whose cell count differs from the header count."""
-    rows = _body_rows(pages, section_id, carry, fits=False)
+    rows = _body_rows(pages, section_id, carry, tolerant, fits=False)
     return rows.select(
         *carry, "row_no", F.size("headers").alias("expected"), "cells"
     )
 
 
 def statement_matrix(
-    pages: DataFrame, section_id: str = PROFIT_LOSS, carry: Sequence[str] = ("page_id",)
+    pages: DataFrame,
+    section_id: str = PROFIT_LOSS,
+    carry: Sequence[str] = ("page_id",),
+    tolerant: bool = False,
 ) -> DataFrame:
     """The table as it stands on the page: ``Narration`` and an array of cell texts."""
-    rows = _body_rows(pages, section_id, carry)
+    rows = _body_rows(pages, section_id, carry, tolerant)
     return rows.select(
         *carry,
         "row_no",
@@ -146,6 +167,7 @@ def load_statements(
     items: Sequence[str] = MEASURES,
     fill: float | None = None,
     period: str = PERIOD,
+    tolerant: bool = False,
 ) -> DataFrame:
     """Pages straight to statement rows: ``period``, one column per item, ``company``.
 
@@ -153,7 +175,7 @@ def load_statements(
     nothing is shuffled.  A repeated line item counts where it stands first; a
     repeated period keeps one row per column.  ``fill`` replaces missing cells.
     """
-    tables = _tables(pages, section_id, [company])
+    tables = _tables(pages, section_id, [company], tolerant)
     whole = tables.select(company, "headers", _body(True).alias("_rows"))
     names = F.transform("_rows", lambda r: normalise_name(F.element_at(r["cells"], 1)))
     whole = whole.select(company, "headers", "_rows", names.alias("_names"))

@@ -48,10 +48,10 @@ def _line_measures() -> dict[str, Column]:
     Integer sums are exact in any order and keep the aggregation in primitive
     buffers, where decimal sums would need objects.
     """
-    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    kept = (100 - F.round(F.col("l_discount") * 100)).cast("bigint")
-    tax = F.round(F.col("l_tax") * 100).cast("bigint")
-    quantity = F.round(F.col("l_quantity") * 100).cast("bigint")
+    price = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    kept = (100 - F.rint(F.col("l_discount") * 100)).cast("bigint")
+    tax = F.rint(F.col("l_tax") * 100).cast("bigint")
+    quantity = F.rint(F.col("l_quantity") * 100).cast("bigint")
 
     def only(condition: Column, value: Column) -> Column:
         return F.when(condition, value).otherwise(F.lit(0).cast("bigint"))

@@ -33,6 +33,11 @@ def html_statement_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return load_statements(_pages(spark, sf), COMPANY)
 
 
+def html_statement_tolerant(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages through the HTML parser in the Python workers."""
+    return load_statements(_pages(spark, sf), COMPANY, tolerant=True)
+
+
 def html_balance_sheet(spark: SparkSession, sf: str) -> DataFrame:
     """The other section, with missing items filled."""
     items = ["sales", "net_profit", "reserves"]
@@ -143,6 +148,10 @@ QUERIES = {
         html_statement_roundtrip,
         f"with {_STMT} select {_COLS} from stmt",
     ),
+    "html_statement_tolerant": (
+        html_statement_tolerant,
+        f"with {_STMT} select {_COLS} from stmt",
+    ),
     "html_balance_sheet": (
         html_balance_sheet,
         f"""with {_STMT} select date, sales, net_profit, cast(0 as double) as reserves,

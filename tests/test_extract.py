@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
 
 from conftest import plan_of, rows_of
 from tallyline.functions import normalise_name
@@ -56,8 +58,9 @@ def pages(spark):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
-def test_cells(pages):
-    cells = extract_statement(pages.filter("page_id = 1"))
+@pytest.mark.parametrize("tolerant", [False, True])
+def test_cells(pages, tolerant):
+    cells = extract_statement(pages.filter("page_id = 1"), tolerant=tolerant)
     assert rows_of(cells, "row_no", "line_item", "col_no", "period", "raw", "value") == sorted(
         [
             (0, "Sales +", 1, "Mar 2013", "27,004", 27004.0),
@@ -74,8 +77,10 @@ def test_cells(pages):
     )
 
 
-def test_only_the_named_section_counts(pages):
-    assert rows_of(extract_statement(pages).select("page_id").distinct()) == [(1,), (5,)]
+@pytest.mark.parametrize("tolerant", [False, True])
+def test_only_the_named_section_counts(pages, tolerant):
+    found = extract_statement(pages, tolerant=tolerant)
+    assert rows_of(found.select("page_id").distinct()) == [(1,), (5,)]
     assert extract_statement(pages, BALANCE_SHEET).count() == 0
 
 
@@ -84,8 +89,9 @@ def test_end_tags_may_be_missing(pages):
     assert rows_of(cells, "line_item", "period", "value") == [("Sales", "Mar 2015", 7.0)]
 
 
-def test_rejected_rows(pages):
-    assert rows_of(rejected_rows(pages), "page_id", "row_no", "expected", "cells") == [
+@pytest.mark.parametrize("tolerant", [False, True])
+def test_rejected_rows(pages, tolerant):
+    assert rows_of(rejected_rows(pages, tolerant=tolerant), "page_id", "row_no", "expected", "cells") == [
         (1, 2, 4, ["Short", "1"])
     ]
 
@@ -175,3 +181,67 @@ def test_page_sources(spark, tmp_path, pages):
     assert rows_of(load_statements(files, "url", items=["sales"]), "date", "sales") == [
         ("Mar 2013", 27004.0), ("Mar 2014", 29234.0), ("TTM", 12.0)
     ]
+
+
+BLANKS = st.sampled_from(["", " ", "\n  ", "&nbsp;"])
+TEXTS = st.sampled_from(["Sales +", "OPM %", "1,234", "7%", "", "a &amp; b", "&lt;x&gt;", "&#8377;5", "-3", "Zß"])
+WRAPS = st.sampled_from(["{}", "<b>{}</b>", "<span class='x > y'>{}</span>", "<!-- n -->{}", "{}<br/>"])
+
+
+@st.composite
+def markup(draw):
+    def cell(tag):
+        upper = draw(st.booleans())
+        inner = draw(BLANKS) + draw(WRAPS).format(draw(TEXTS)) + draw(BLANKS)
+        end = draw(st.sampled_from([f"</{tag}>", f"</{tag} >", ""]))
+        opening = f"<{tag} class=c>" if draw(st.booleans()) else f"<{tag}>"
+        return (opening.upper() if upper else opening) + inner + end
+
+    def line(tag, n):
+        return "<tr>" + "".join(cell(tag) for _ in range(n)) + draw(st.sampled_from(["</tr>", ""]))
+
+    width = draw(st.integers(0, 4))
+    lines = [line("th", width)]
+    lines += [line("td", draw(st.sampled_from([width, width, 1, 3]))) for _ in range(draw(st.integers(0, 4)))]
+    quote = draw(st.sampled_from(["'", '"', ""]))
+    table = "<table>" + "".join(lines) + "</table>" if draw(st.integers(0, 9)) else ""
+    after = draw(st.sampled_from(["", "<table><tr><th>z</th></tr><tr><td>1</td></tr></table>"]))
+    return f"<p>x</p><section a=b id={quote}profit-loss{quote}>{table}{after}</section>"
+
+
+@settings(
+    max_examples=6,
+    deadline=None,
+    phases=[Phase.generate],
+    print_blob=False,
+    suppress_health_check=list(HealthCheck),
+)
+@given(st.lists(markup(), min_size=20, max_size=40))
+def test_both_forms_agree(spark, texts):
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, html string")
+    for read in (extract_statement, rejected_rows, statement_matrix):
+        assert rows_of(read(pages)) == rows_of(read(pages, tolerant=True))
+    items = ["sales", "opm_percent"]
+    assert rows_of(load_statements(pages, "page_id", items=items)) == rows_of(
+        load_statements(pages, "page_id", items=items, tolerant=True)
+    )
+
+
+def test_tables_inside_cells_need_the_tolerant_form(spark):
+    inner = "<table><tr><td>9</td></tr></table>"
+    html = '<section id="profit-loss"><table><tr><th></th><th>A</th></tr>' \
+        f"<tr><td>Sales{inner}</td><td>1<script>'</td></table>'</script></td></tr>" \
+        "<tr><td>Interest</td><td>&ne;2</td></tr></table></section>"
+    page = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = extract_statement(page, tolerant=True)
+    assert rows_of(got, "line_item", "raw") == [("Interest", "\u22602"), ("Sales9", "1")]
+
+
+def test_very_long_pages(spark):
+    """Megabytes of markup before, inside and after the section, in one pass."""
+    filler = "<p>x < y <b>section</b></p>" * 100_000
+    body = "<tr><td>Sales</td><td>" + "<i>1</i>" * 50_000 + "</td></tr>"
+    html = f'{filler}<section id="profit-loss">{filler}<table><tr><th></th><th>A</th></tr>{body}'
+    page = spark.createDataFrame([(1, html + "</table>" + filler)], "page_id long, html string")
+    row = extract_statement(page).collect()[0]
+    assert (row.line_item, row.raw) == ("Sales", "1" * 50_000)

@@ -115,3 +115,31 @@ def test_indicators_need_the_snapshot_bucketed_by_company(spark, places):
     wrong = Snapshot(spark, places["state"], ROW, KEYS, 4)
     with pytest.raises(Exception, match="buckets"):
         start(spark, places, [Indicators(spark, places["ind"], ROW, 4, SPECS)], wrong)
+
+
+def test_a_running_query_picks_up_new_files(spark, places):
+    records = random_log(4, 60)
+    write_files(spark, records[:30], places["log"], 1)
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4)
+    changes = read_changes(spark, "parquet", places["log"], streaming=True)
+    query = run_refresh(changes, Refresh(snap, ROW, KEYS), places["check"], every="1 second")
+    try:
+        query.processAllAvailable()
+        assert rows_of(snap.read()) == rows_of(batch_result(spark, records[:30]))
+        write_files(spark, records[30:], places["log"], 1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows_of(snap.read()) == rows_of(batch_result(spark, records))
+
+
+def test_coalesce_mode_in_order(spark, places):
+    """Batches in event order: a NULL keeps the stored value across batches."""
+    first = [(envelope(None, image("Mar 2013", "A", 1.0, 2.0), 1), 0, 0)]
+    second = [(envelope(None, image("Mar 2013", "A", None, 3.0), 2), 0, 1)]
+    write_files(spark, first, places["log"], 1)
+    write_files(spark, second, places["log"], 1)
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4)
+    changes = read_changes(spark, "parquet", places["log"], streaming=True, maxFilesPerTrigger="1")
+    run_refresh(changes, Refresh(snap, ROW, KEYS, "coalesce"), places["check"]).awaitTermination()
+    assert rows_of(snap.read(), "sales", "interest") == [(1.0, 3.0)]
