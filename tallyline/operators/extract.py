@@ -21,7 +21,8 @@ LINE_ITEM_HEADER = "Narration"
 # Stands for a table tag; the tag's letter follows, after a slash in an end tag.
 _TAG = "\u0001"
 # Rest of a tag: an end sign inside quotes does not end it, a lone quote does not matter.
-_REST = "(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>"
+_QUOTED = "(?:\"[^\"]*+\"|'[^']*+')"
+_REST = f"(?:[^>\"']*+(?:{_QUOTED}[^>\"']*+)*+|[^>]*)>"
 
 
 def _first_table(html: Column, section_id: str) -> Column:

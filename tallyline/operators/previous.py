@@ -20,9 +20,11 @@ def with_previous(
 
     Without ``chunk`` one task sorts a whole group.  That fits statements, where
     a company has one row per period label.  For groups without such a bound
-    give ``chunk``, an expression that never decreases along ``order`` (a month
-    of a timestamp): the group is then spread over its chunks, and only each
-    chunk's last row, found by partial aggregation, travels to the next one.
+    give ``chunk``, an expression that never decreases along ``order`` (the day
+    of a timestamp; a struct of leading order columns works too): the group is
+    then spread over its chunks, and only each chunk's last row, found by partial
+    aggregation, travels to the next one.  One task sorts one chunk, and one
+    task sees one row per chunk of a group, so both numbers should be moderate.
     """
     by = list(by)
     if chunk is None:

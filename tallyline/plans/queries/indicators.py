@@ -43,7 +43,7 @@ def kpi_full(spark: SparkSession, sf: str) -> DataFrame:
 def growth_long_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Growth from order to order inside each priority.
 
-    Five groups hold all orders, so each is spread over its months.
+    Five groups hold all orders, so each is spread over its days.
     """
     orders = derived.table(spark, sf, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"
@@ -53,7 +53,7 @@ def growth_long_groups(spark: SparkSession, sf: str) -> DataFrame:
         ["o_orderpriority"],
         [F.col("o_orderdate"), F.col("o_orderkey")],
         ["o_totalprice"],
-        chunk=F.date_trunc("MONTH", F.col("o_orderdate")),
+        chunk=F.col("o_orderdate"),
     )
     change = round_to(growth("o_totalprice", "_prev_o_totalprice"), 2)
     return rows.select("o_orderkey", "o_orderpriority", change.alias("price_growth"))

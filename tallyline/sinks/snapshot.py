@@ -58,13 +58,25 @@ class BucketedTable:
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def _list(self, path: str) -> list[str]:
+    def _folder(self, path: str):
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+
+    def _list(self, path: str) -> list[str]:
+        fs, folder = self._folder(path)
         if not fs.exists(folder):
             return []
         return [status.getPath().getName() for status in fs.listStatus(folder)]
 
+    def _remove(self, path: str) -> None:
+        fs, folder = self._folder(path)
+        fs.delete(folder, True)
+
+    def versions(self) -> list[int]:
+        """Committed versions, newest first."""
+        names = sorted(self._list(f"{self.path}/manifest"), reverse=True)
+        return [int(n) for n in names if "_SUCCESS" in self._list(f"{self.path}/manifest/{n}")]
+
     def version(self) -> int:
         """Newest committed version, 0 before the first."""
         for name in sorted(self._list(f"{self.path}/manifest"), reverse=True):
@@ -135,6 +147,34 @@ class BucketedTable:
         self._manifests = {version: (kept, tag)}
         return version
 
+    def expire(self, keep: int = 10) -> None:
+        """Forgets all but the newest ``keep`` versions and removes files only they hold.
+
+        Readers of a kept version are not disturbed; manifests go first, so an
+        interrupted call leaves unnamed files, which the next call removes.
+        """
+        kept = self.versions()[: max(keep, 1)]
+        if not kept:
+            return
+        for name in self._list(f"{self.path}/manifest"):
+            if int(name) < kept[-1]:
+                self._remove(f"{self.path}/manifest/{name}")
+        needed: dict[int, set[int]] = {}
+        for version in kept:
+            for bucket, holder in self.manifest(version)[0].items():
+                needed.setdefault(holder, set()).add(bucket)
+        for folder in self._list(f"{self.path}/data"):
+            version = int(folder.split("=", 1)[1])
+            if version > kept[0]:
+                continue
+            path = f"{self.path}/data/{folder}"
+            if version not in needed:
+                self._remove(path)
+                continue
+            for name in self._list(path):
+                if name.startswith(f"{BUCKET}=") and int(name.split("=", 1)[1]) not in needed[version]:
+                    self._remove(f"{path}/{name}")
+
 
 class Snapshot(BucketedTable):
     """Keyed rows with upsert, delete and time-correct late events."""

@@ -25,7 +25,8 @@ from tallyline.sinks.snapshot import Snapshot
 class Refresh:
     """What one micro-batch does.
 
-    ``keep_deletes_ms`` bounds how long delete markers wait for late events.
+    ``keep_deletes_ms`` bounds how long delete markers wait for late events,
+    ``keep_versions`` how many old snapshot versions stay readable.
     ``name`` tells the commits of one query from another's; :func:`run_refresh`
     sets it to the checkpoint, which is what numbers the batches.
     ``after`` receives the snapshot and its new version after each commit, for
@@ -38,6 +39,7 @@ class Refresh:
     mode: str = "replace"
     dead_letter_path: str | None = None
     keep_deletes_ms: int | None = None
+    keep_versions: int | None = None
     name: str = "refresh"
     after: list[Callable[[Snapshot, int], None]] = field(default_factory=list)
 
@@ -57,6 +59,8 @@ class Refresh:
             )
             for step in self.after:
                 step(self.snapshot, version)
+            if self.keep_versions:
+                self.snapshot.expire(self.keep_versions)
         finally:
             if self.dead_letter_path:
                 parsed.unpersist()

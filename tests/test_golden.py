@@ -65,6 +65,19 @@ def test_recorded_rows_through_the_change_log(spark, statements):
         assert got[key] == values
 
 
+def test_decimal_money_gives_the_same_indicators(statements):
+    kind = T.DecimalType(18, 2)
+    exact = statement_schema(measure_type=kind)
+    cast = statements.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in exact])
+    plain = _by_key(with_indicators(statements), INDICATORS)
+    assert _by_key(with_indicators(cast), INDICATORS) == plain
+    log = derived.statement_log(statements)
+    decoded = decode_changes(log, exact, [PERIOD, COMPANY])
+    assert decoded.schema["sales"].dataType == kind
+    empty = statements.sparkSession.createDataFrame([], exact)
+    assert _by_key(indicator_statement(empty, decoded), INDICATORS) == plain
+
+
 def _csv(variable: str) -> str:
     path = os.environ.get(variable)
     if not path:

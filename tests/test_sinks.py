@@ -155,6 +155,23 @@ def test_delete_markers_stay_until_forgotten(spark, tmp_path):
     assert rows_of(snap.rows(), "k") == [(other,)]
 
 
+def test_expired_versions_leave_the_newest_whole(spark, tmp_path):
+    snap = snapshot(spark, tmp_path / "s")
+    snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(40)]))
+    for i in range(1, 5):
+        snap.apply(events(spark, [("k1", float(i), None, i, 0, i, False)]))
+    before, older = rows_of(snap.read()), rows_of(snap.read(4))
+    snap.expire(keep=2)
+    assert snap.versions() == [5, 4]
+    assert rows_of(snap.read()) == before and rows_of(snap.read(4)) == older
+    held = {int(p.rsplit("=", 1)[1]) for p in glob.glob(f"{tmp_path}/s/data/*")}
+    assert held == {1, 4, 5}
+    assert len(glob.glob(f"{tmp_path}/s/data/_version=1/_bucket=*")) == 3
+    fresh = snapshot(spark, tmp_path / "s")
+    fresh.expire(keep=1)
+    assert fresh.versions() == [5] and rows_of(fresh.read()) == before
+
+
 def test_bucket_columns_must_be_key_columns(spark, tmp_path):
     with pytest.raises(ValueError):
         Snapshot(spark, str(tmp_path), ROW, ["k"], bucket_by=["a"])
@@ -184,6 +201,21 @@ def test_scratch_dir_follows_the_session(spark):
     assert first.startswith(shared) and first != second
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session(), "x")
+
+
 def test_upsert_text():
     assert upsert_statement("s.t", "s.t_staging", ["k", "c", "a"], ["k", "c"]) == (
         "INSERT INTO s.t (k, c, a) SELECT k, c, a FROM s.t_staging "

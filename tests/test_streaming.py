@@ -141,5 +141,7 @@ def test_coalesce_mode_in_order(spark, places):
     write_files(spark, second, places["log"], 1)
     snap = Snapshot(spark, places["state"], ROW, KEYS, 4)
     changes = read_changes(spark, "parquet", places["log"], streaming=True, maxFilesPerTrigger="1")
-    run_refresh(changes, Refresh(snap, ROW, KEYS, "coalesce"), places["check"]).awaitTermination()
+    refresh = Refresh(snap, ROW, KEYS, "coalesce", keep_versions=1)
+    run_refresh(changes, refresh, places["check"]).awaitTermination()
+    assert snap.versions() == [2]
     assert rows_of(snap.read(), "sales", "interest") == [(1.0, 3.0)]
