@@ -137,6 +137,13 @@ EVENT_ROW = T.StructType(
 EVENT_KEYS = [PERIOD, COMPANY]
 
 
+def _epoch_millis(ts: Column) -> Column:
+    """Milliseconds of a zone-less timestamp, whatever the session's zone."""
+    seconds = F.unix_date(ts.cast("date")).cast("bigint") * 86_400
+    seconds = seconds + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    return seconds * 1_000 + F.floor(F.date_part(F.lit("SECOND"), ts) * 1_000)
+
+
 def change_log(spark: SparkSession, sf_dir: str, clock_ms: int = 1) -> DataFrame:
     """``(value, partition, offset)`` records built from ``events``.
 
@@ -145,7 +152,7 @@ def change_log(spark: SparkSession, sf_dir: str, clock_ms: int = 1) -> DataFrame
     events delete their key.
     """
     events = table(spark, sf_dir, "events")
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
+    millis = _epoch_millis(F.col("ts"))
     millis = millis - F.pmod(millis, F.lit(clock_ms))
     key = F.concat(F.lit("P"), (F.col("event_id") % 7).cast("string")).alias(PERIOD)
     company = F.col("user_id").cast("string").alias(COMPANY)
