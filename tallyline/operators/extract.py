@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ BALANCE_SHEET = "balance-sheet"
 # Fixed value: the name the first column gets.
 LINE_ITEM_HEADER = "Narration"
 
+_TO_THE_END = 1_000_000_000
+
 # Stands for a table tag; the tag's letter follows, after a slash in an end tag.
 _TAG = "\u0001"
 # Rest of a tag: an end sign inside quotes does not end it, a lone quote does not matter.
@@ -31,7 +34,8 @@ def _first_table(html: Column, section_id: str) -> Column:
     The loops step from one ``<`` to the next and never go back, so a page costs
     one pass whatever its length.
     """
-    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{section_id}[\"']?(?=[\\s>/]){_REST}"
+    name = f"(?-i:{re.escape(section_id)})"
+    opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{name}[\"']?(?=[\\s>/]){_REST}"
     before = "(?:[^<]++|<(?!/section\\b|table\\b))*+"
     inside = "((?:[^<]++|<(?!/section\\b|/table\\b))*+)"
     return F.regexp_extract(html, f"(?is){opening}{before}<table\\b{_REST}{inside}", 1)
@@ -79,7 +83,7 @@ def _tables(
     )
     # What precedes the first row mark is no row, and the first row holds the headers.
     pieces = F.split("_t", f"(?i){_TAG}tr", -1)
-    rows = F.slice(pieces, F.lit(3), F.greatest(F.size(pieces) - 2, F.lit(0)))
+    rows = F.slice(pieces, 3, _TO_THE_END)
     lines = F.transform(
         rows, lambda r, i: F.struct(i.alias("row_no"), _all(r, "d").alias("cells"))
     )
@@ -156,8 +160,8 @@ def statement_matrix(
         *carry,
         "row_no",
         F.element_at("cells", 1).alias(LINE_ITEM_HEADER),
-        F.slice("headers", F.lit(2), F.size("headers") - 1).alias("periods"),
-        F.slice("cells", F.lit(2), F.size("cells") - 1).alias("values"),
+        F.slice("headers", 2, _TO_THE_END).alias("periods"),
+        F.slice("cells", 2, _TO_THE_END).alias("values"),
     )
 
 
@@ -185,7 +189,7 @@ def load_statements(
         found = F.array_position("_names", item).cast("int") - 1
         return F.get(F.get("_rows", found)["cells"], col_no).alias(item)
 
-    periods = F.slice("headers", F.lit(2), F.greatest(F.size("headers") - 1, F.lit(0)))
+    periods = F.slice("headers", 2, _TO_THE_END)
     turned = F.transform(
         periods, lambda h, i: F.struct(h.alias(period), *[cell(item, i + 1) for item in items])
     )

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import growth, percent_of, product, ratio, round_to
 from tallyline.functions.periods import period_order

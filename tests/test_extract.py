@@ -54,6 +54,8 @@ def pages(spark):
          "<tr><td>Sales</td><td>1</td></tr></table></section>"),
         (5, "u5", '<section id=profit-loss><table><tr><th>&nbsp;<th>Mar 2015<tr><td>Sales<td>7</table>'),
         (6, "u6", None),
+        (7, "u7", '<p>profit-loss</p><section id="PROFIT-LOSS"><table><tr><th></th><th>A</th></tr>'
+         "<tr><td>Sales</td><td>7</td></tr></table></section>"),
     ]
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
@@ -171,7 +173,7 @@ def test_reshape(spark):
 
 def test_page_sources(spark, tmp_path, pages):
     pages.write.parquet(str(tmp_path / "p"))
-    assert read_pages(spark, str(tmp_path / "p")).count() == 6
+    assert read_pages(spark, str(tmp_path / "p")).count() == 7
     folder = tmp_path / "html"
     folder.mkdir()
     (folder / "one.html").write_text(PAGE)
