@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.numbers import growth, round_to
+from tallyline.functions.periods import period_end
 from tallyline.operators import indicators as ind
 from tallyline.operators.decode import decode_changes
 from tallyline.operators.filters import exclude_prefix, order_statements
@@ -29,6 +30,13 @@ def yoy_growth(spark: SparkSession, sf: str) -> DataFrame:
     return grown.select(*KEYS, *[s.name for s in ind.GROWTHS])
 
 
+def yoy_growth_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    """The same growth with every company spread over calendar years."""
+    rows = exclude_prefix(derived.statements(spark, sf, measures=["sales", "net_profit"]))
+    grown = ind.with_indicators(rows, ind.GROWTHS, chunk=F.year(period_end(PERIOD)))
+    return grown.select(*KEYS, *[s.name for s in ind.GROWTHS])
+
+
 def kpi_statements(spark: SparkSession, sf: str) -> DataFrame:
     return ind.with_indicators(exclude_prefix(derived.statements(spark, sf)))
 
@@ -93,6 +101,11 @@ QUERIES = {
         f"""with {_LAGGED} select date, company_name,
         {sql.indicator_columns(['yoy_sales_growth', 'yoy_net_profit_growth'])} from lagged""",
     ),
+    "yoy_growth_chunked": (
+        yoy_growth_chunked,
+        f"""with {_LAGGED} select date, company_name,
+        {sql.indicator_columns(['yoy_sales_growth', 'yoy_net_profit_growth'])} from lagged""",
+    ),
     "kpi_statements": (
         kpi_statements,
         f"""with {_LAGGED}

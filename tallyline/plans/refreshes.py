@@ -60,6 +60,7 @@ def indicator_statement(
     specs: Sequence[Spec] = STANDARD,
     mode: str = "coalesce",
     order: Sequence[Column] | None = None,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Merged rows with indicators.
 
@@ -67,4 +68,4 @@ def indicator_statement(
     previous period.
     """
     rows = company_statement(existing, events, keys, mode)
-    return with_indicators(rows, specs, by=[COMPANY], order=order)
+    return with_indicators(rows, specs, by=[COMPANY], order=order, chunk=chunk)
