@@ -1,8 +1,7 @@
 """Session settings shared by tests, bench and examples.
 
 On a cluster the session comes from the submit command; only the SQL settings
-below matter there, and none of the operators depends on them for correctness
-except the time zone (statement timestamps are zone-less, read as UTC).
+below matter there, and no result depends on them.
 """
 
 from __future__ import annotations
