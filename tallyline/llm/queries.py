@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import packing, search, token_files
+from tallyline.llm import packing, search, substrings, token_files
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"), 50)
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "longest_repeat"
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 1024, 2
@@ -61,6 +68,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
