@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import packing, search, substrings, token_files
+from tallyline.llm import jaccard, packing, search, substrings, token_files
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -32,6 +32,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85).drop("_c")
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = search.usable_vectors(table(spark, sf_dir, "embeddings"), 256)
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
@@ -70,6 +74,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op5_ngram_jaccard": (op5_ngram_jaccard, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
 }
