@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard, packing, search, substrings, token_files
+from tallyline.llm import jaccard, language_model, packing, search, substrings, token_files
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -32,6 +32,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = "pmod(crc32(cast(doc_id as string)), 7) = 2"
+    return language_model.held_out_scores(table(spark, sf_dir, "documents"), fold)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85).drop("_c")
 
@@ -74,6 +79,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op3_lm_scoring": (op3_lm_scoring, None),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
