@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard, language_model, packing, search, substrings, token_files
+from tallyline.llm import jaccard, language_id, language_model, packing, search, substrings, token_files
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -41,6 +41,14 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85).drop("_c")
 
 
+#: Documents the language network must not learn from.
+LANGUAGE_FOLD = "pmod(crc32(cast(doc_id as string)), 4) = 2"
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted_languages(table(spark, sf_dir, "documents"), LANGUAGE_FOLD)
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = search.usable_vectors(table(spark, sf_dir, "embeddings"), 256)
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
@@ -81,6 +89,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_lm_scoring": (op3_lm_scoring, None),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
+    "op7_language_id": (op7_language_id, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
 }
