@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard, language_id, language_model, packing, search, substrings, token_files
+from tallyline.llm import html_text, jaccard, language_id, language_model, packing, search, substrings, token_files
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -41,6 +41,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85).drop("_c")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted_pages(table(spark, sf_dir, "pages"))
+
+
 #: Documents the language network must not learn from.
 LANGUAGE_FOLD = "pmod(crc32(cast(doc_id as string)), 4) = 2"
 
@@ -89,6 +93,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_lm_scoring": (op3_lm_scoring, None),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
+    "op6_html_extraction": (op6_html_extraction, None),
     "op7_language_id": (op7_language_id, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
