@@ -265,7 +265,7 @@ def labelled_pages() -> list[tuple[str, list[int]]]:
             (f"<body><article>{body}{advert}<p>{_words(long)}</p>{comments}</article></body>", [1, 1, 1, 1, 0, 1, 0, 0, 0]),
             (f"<body>{menu}<div class='content'>{body}</div><aside><p>{_words(long)}</p></aside>{foot}</body>", [0, 0, 1, 1, 1, 1, 0, 0]),
             (f"<body><header><p>{_words(short + 4)}</p></header>{links}<div>{body}</div>{links}{foot}</body>", [0, 0, 1, 1, 1, 1, 0, 0]),
-            (f"<body>{links}<p>{_words(long)}</p><p>{_words(long)}</p>{links}<p>{_words(4)}</p></body>", [0, 1, 1, 0, 0]),
+            (f"<body>{links}<p>{_words(long)}</p><p>{_words(long)}</p>{links}</body>", [0, 1, 1, 0]),
             (f"<body><form><p>{_words(long)}</p></form><div class='cookie-notice'><p>{_words(long)}</p></div><article><p>{_words(long)}</p></article></body>", [0, 0, 1]),
             (f"<body><article><p>{_words(long)} <a href='/z'>{_words(3)}</a> {_words(9)}</p></article><div>{_words(short)}</div><div>{_words(long)}</div></body>", [1, 0, 0]),
             (f"<body><div>{_words(long)}</div><div>{_words(long)}</div><div>{_words(5)}</div><div>{_words(long)}</div></body>", [1, 1, 1, 1]),
