@@ -10,7 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import html_text, jaccard, language_id, language_model, packing, search, substrings, token_files
+from tallyline.llm import (
+    decontaminate,
+    html_text,
+    jaccard,
+    language_id,
+    language_model,
+    packing,
+    search,
+    substrings,
+    token_files,
+)
 from tallyline.llm.tokens import tokenizer_path
 from tallyline.sinks.workspace import scratch_dir
 
@@ -37,6 +47,10 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.held_out_scores(table(spark, sf_dir, "documents"), fold)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85).drop("_c")
 
@@ -92,6 +106,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_lm_scoring": (op3_lm_scoring, None),
+    "op4_decontamination": (op4_decontamination, None),
     "op5_ngram_jaccard": (op5_ngram_jaccard, None),
     "op6_html_extraction": (op6_html_extraction, None),
     "op7_language_id": (op7_language_id, None),
