@@ -17,6 +17,7 @@ from tallyline.llm import (
     language_id,
     language_model,
     packing,
+    personal_data,
     search,
     substrings,
     token_files,
@@ -102,6 +103,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_starts(spark.read.parquet(f"{base}/digests")).drop("file")
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    counts = [f"n_{k}" for k in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_list", 256).alias("base_sha256"), "spans")
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -112,4 +119,5 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_language_id": (op7_language_id, None),
     "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
     "op9_token_files": (op9_token_files, None),
+    "op10_personal_data": (op10_personal_data, None),
 }
