@@ -62,7 +62,8 @@ class Bands:
             least += 1
         self.edges = [least]
         while self.edges[-1] < 1 << 40:
-            self.edges.append(int(self.edges[-1] * ratio) + 1)
+            # no pair may span more than two bands
+            self.edges.append(int(self.edges[-1] * max(ratio, 100 / percent)) + 1)
 
     def _linkable(self, n: int) -> bool:
         return 100 * n >= self.percent * (n + 1)

@@ -1,0 +1,63 @@
+"""Word hashing against plain splitting, and unit-wise encoding against whole texts."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallyline.llm import tokens
+from tallyline.llm.words import Words, pieces
+
+TEXTS = [
+    "", "  ", "a  b", "\n\n x\n", "a\x1cb !\x1c!", "x  y  ", "é ́e", "it's 's  's", "a b",
+    "<|endoftext|> q<|startoftext|>z", "​ a᠎b", "AİB Σ ΟΣ x", "123 4,5     ", "日本 語", "x" * 3000 + " y",
+    "\r\n\r\n a\tb\x0b\x0cc\x85d", "a\xa0  b", "a.,b é., ×. ×, –.x", "　    x", "’s. “x”", None,
+    "z" * 70_000 + ". " + "z" * 70_001, "Plain words, and a stop. Then more.",
+]
+
+
+def batch(texts):
+    return pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+
+
+@pytest.mark.parametrize("most", [1, 50, 1 << 20])
+def test_words_are_split_on_ascii_space(most):
+    seen = {}
+    for row, stop, data, offsets in pieces(batch(TEXTS), most=most):
+        words = Words(data, offsets)
+        for i in range(row, stop):
+            mine = slice(words.first[i - row], words.first[i - row + 1])
+            found = [data[a:b].tobytes() for a, b in zip(words.starts[mine], words.ends[mine], strict=True)]
+            assert found == (TEXTS[i] or "").encode().split()
+            for word, value in zip(found, words.hashes[mine], strict=True):
+                assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_spans_depend_on_words_alone():
+    data = np.frombuffer(b"a b c d a b c x a b", np.uint8)
+    words = Words(data, np.array([0, len(data)]))
+    at = np.array([0, 4, 1, 5, 8])
+    spans = words.spans(at, at + 2)
+    assert spans[0] == spans[1] == spans[4]
+    assert spans[2] == spans[3] != spans[0]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_units_are_those_of_whole_texts(name):
+    encoder = tokens.Encoder(tokens.tokenizer_path(name))
+    want = encoder.tokenizer.encode_batch([t or "" for t in TEXTS], add_special_tokens=False)
+    for _ in range(2):  # again from the cache
+        got = []
+        for row, stop, ids, places in encoder.encode_batch(batch(TEXTS), 2):
+            got += [list(ids[places[i] : places[i + 1]]) for i in range(stop - row)]
+        assert got == [[*e.ids, 2] for e in want]
+
+
+def test_full_cache_is_emptied(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_UNITS", 5)
+    encoder = tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    for text in ("a b c d", "e f g h", "a b c d i j k l m"):
+        [(_, _, ids, _)] = encoder.encode_batch(batch([text]), None)
+        assert list(ids) == encoder.tokenizer.encode(text, add_special_tokens=False).ids
