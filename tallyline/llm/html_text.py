@@ -45,10 +45,11 @@ AROUND_NAMES = frozenset(
 MAIN_NAMES = frozenset("article articlebody body content entry main maincontent post story text".split())
 
 _RAW_TAGS = "script|style|textarea|title|iframe|noframes|template|svg|math"
+_INSIDE = r"(?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*"
 _MARK = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<(?P<raw>{_RAW_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:--!?>|\Z)|<(?P<raw>{_RAW_TAGS})\b{_INSIDE}>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>{_INSIDE})(?:>|\Z)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

@@ -237,9 +237,10 @@ class Labeler:
             if not len(some):
                 continue
             x, lengths = _matrix(data, starts[some], ends[some])
-            p, _ = self.net.label(x, lengths)
             letter = _LETTER[x] & (np.arange(x.shape[1])[None, :] < lengths[:, None])
-            out[some, :-1] = (p * letter[:, :, None]).sum(1)
+            if self.net.languages:
+                p, _ = self.net.label(x, lengths)
+                out[some, :-1] = (p * letter[:, :, None]).sum(1)
             out[some, -1] = letter.sum(1)
         return out
 
