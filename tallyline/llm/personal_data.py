@@ -322,25 +322,28 @@ def redact(docs: DataFrame) -> DataFrame:
     with_spans(docs.select("text")).select("spans").where(F.size("spans") > 0).write.parquet(folder)
     judge = learn(spark.read.parquet(folder))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    rows = with_spans(docs.withColumn("_whole", F.col("text")))
+    # the whole row in one column: no name of the documents' can clash
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = with_spans(docs.select(whole, "text"))
     rows = rows.withColumn("spans", F.filter("spans", judge.keeps))
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     rows = rows.withColumn("spans", order)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(done: Column, s: Column) -> Column:
-        before = F.substr(F.col("_whole"), done["at"] + 1, s["start"] - done["at"])
+        before = F.substr(F.col("text"), done["at"] + 1, s["start"] - done["at"])
         new = s["start"] >= done["at"]
         parts = F.when(new, F.concat(done["parts"], F.array(before, F.get(names, s["kind"])))).otherwise(done["parts"])
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), parts.alias("parts"))
 
     def end(done: Column) -> Column:
-        rest = F.substr(F.col("_whole"), done["at"] + 1, F.length("_whole"))
+        rest = F.substr(F.col("text"), done["at"] + 1, F.length("text"))
         return F.array_join(F.concat(done["parts"], F.array(rest)), "")
 
-    text = F.when(F.size("spans") == 0, F.col("_whole")).otherwise(F.aggregate("spans", start, step, end))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("_new", F.when(F.size("spans") > 0, F.aggregate("spans", start, step, end)))
+    given = F.col("_row")
+    out = {c: given[c] for c in docs.columns}
+    out["text"] = F.coalesce("_new", given["text"].cast("string"))
+    if "n_chars" in out:
+        out["n_chars"] = F.coalesce(F.length("_new"), given["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[column.alias(c) for c, column in out.items()])

@@ -1,0 +1,113 @@
+"""Stages against what brute force keeps, and the registered queries on the smallest data."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import corpus_pipeline
+import duckdb
+import numpy as np
+import pytest
+from corpora import awkward_rows, frame, many
+from test_decontaminate import plain
+from test_jaccard import expected as components_of
+from tokenizers import Tokenizer
+
+import __spark_entry__
+from check_queries import normalised
+from tallyline.llm import stages
+from tallyline.llm.queries import REGISTRY
+from tallyline.llm.tokens import tokenizer_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def as_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_language_stage_keeps_texts_with_letters(spark):
+    rows = awkward_rows()
+    kept = stages.known_language(spark, frame(spark, rows), SF)
+    want = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    assert kept.columns == frame(spark, rows).columns
+    assert as_rows(kept) == sorted(want, key=repr)
+    unlabelled = frame(spark, [(1, "", None, None, None)])
+    assert as_rows(stages.known_language(spark, unlabelled, SF)) == [(1, "", None, None, None)]
+    clash = unlabelled.withColumnRenamed("source", "score").withColumnRenamed("n_chars", "lang_pred")
+    assert stages.known_language(spark, clash, SF).columns == clash.columns
+
+
+@pytest.mark.parametrize("rows", [many(100, seed=3), [r for r in awkward_rows() if r[0] != 5]], ids=["random", "awkward"])
+def test_one_of_each_group_stays(spark, rows):
+    stay = {d for d, _, c in components_of(rows, 4, 85) if d == c}
+    kept = stages.one_of_alike(spark, frame(spark, rows), SF)
+    assert as_rows(kept) == sorted((r for r in rows if r[0] in stay or r[0] is None), key=repr)
+
+
+def test_leak_stage(spark, tmp_path):
+    rows = many(60, seed=4)
+    items = [(0, " ".join(rows[7][1].split()[:30])), (1, "words that no document holds in this order at all today or ever")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    gone = {w[0] for w in plain(rows, [i for i in items if len(i[1].split()) >= 6], 12)}
+    kept = stages.without_leaks(spark, frame(spark, rows), str(tmp_path))
+    assert as_rows(kept) == sorted((r for r in rows if r[0] not in gone), key=repr)
+
+
+def test_whole_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    rows = [tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars")) for r in docs]
+    rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    stay = {d for d, _, c in components_of(rows, 4, 85) if d == c}
+    rows = [r for r in rows if r[0] in stay]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    gone = {w[0] for w in plain(rows, items, 12)}
+    rows = [r for r in rows if r[0] not in gone]
+    found = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"] for r in found} == {r[0] for r in rows}
+    tokenizer = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    digits = re.compile(r"[0-9]|@")
+    by_doc: dict[int, list] = {}
+    for r in found:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for doc, text, *_ in rows:
+        if not digits.search(text):
+            ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], "<u4")
+            pieces = sorted(by_doc[doc], key=lambda r: r["piece"])
+            assert sum(r["length"] for r in pieces) == len(ids)
+            for r in pieces:
+                assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+
+
+def test_stages_return_document_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect() == []
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "ngram_jaccard", "decontamination", "personal_data", "best_fit_packing",
+    ]
+
+
+def test_every_operator_is_registered():
+    names = __spark_entry__.queries()
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert "pipeline" in names
+
+
+@pytest.mark.parametrize("name", [n for n, (_, sql) in REGISTRY.items() if sql])
+def test_query_matches_its_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings", "pages", "benchmark"):
+        connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    query, sql = REGISTRY[name]
+    df = query(spark, SF)
+    cursor = connection.execute(sql)
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    by_name = sorted(columns)
+    want = normalised(cursor.fetchall(), [columns.index(c) for c in by_name])
+    got = [tuple(r) for r in df.collect()]
+    assert normalised(got, [df.columns.index(c) for c in by_name]) == want
