@@ -44,15 +44,28 @@ def parse_number(c: Column | str) -> Column:
     return F.regexp_replace(text, "[,%]", "").try_cast("double")
 
 
+def exact_parts(value: Column, scale: int | None) -> tuple[Column, Column]:
+    """The value in decimals of ``scale`` places, and 1 if it isn't one (0 if it is).
+
+    Values with more places, or too large, give NULL and 1; without ``scale`` all do.
+    """
+    if scale is None:
+        return F.lit(None).cast("decimal(28,0)"), F.when(value.isNotNull(), 1).otherwise(0)
+    exact = value.try_cast(f"decimal(28,{scale})")
+    same = F.coalesce(exact.cast("double") == value, F.lit(False)) | value.isNull()
+    return F.when(same, exact), F.when(same, 0).otherwise(1)
+
+
 def decimal_mean(c: Column | str, scale: int | None = None) -> Column:
     """Mean of a measure.
 
-    ``scale=None`` is the plain floating mean, whose last bits depend on the
-    order partial sums arrive in.  With ``scale`` the sum is taken in decimals of
-    that many places: same answer on every run and every cluster size.
+    ``scale=None`` is the plain floating mean, whose last bits depend on the order partial
+    sums arrive in.  With ``scale`` the sum is taken in decimals of that many places if
+    every value is one (same answer on every run and every cluster size), else as floats.
     """
-    value = F.col(c) if isinstance(c, str) else c
+    value = (F.col(c) if isinstance(c, str) else c).cast("double")
     if scale is None:
         return F.avg(value)
-    total = F.sum(value.cast(f"decimal(28,{scale})")).cast("double")
+    exact, inexact = exact_parts(value, scale)
+    total = F.when(F.sum(inexact) == 0, F.sum(exact).cast("double")).otherwise(F.sum(value))
     return F.try_divide(total, F.count(value).cast("double"))

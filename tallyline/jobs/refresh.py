@@ -6,8 +6,9 @@
 
 Without ``--every`` the program works off what the log holds and ends.  Under the
 base folder it keeps ``state``, ``indicators`` or ``averages``, ``dead`` and
-``checkpoint``; ``--csv`` adds a CSV copy of the result, rewritten after each
-commit and meant for small tables.
+``checkpoint``; ``--csv`` writes a CSV copy of the result when the query has ended.
+``--load`` starts from stored rows (a parquet folder or a catalog table) if the state is
+new.
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--log-format", default="kafka", choices=["kafka", "parquet", "json", "text"])
     parser.add_argument("--log-path")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    parser.add_argument("--mode", choices=["coalesce", "replace"], default="coalesce")
+    parser.add_argument("--mode", choices=["coalesce", "replace"], default="replace")
     parser.add_argument("--whole-numbers", action="store_true", help="money arrives as bigint")
     parser.add_argument("--buckets", type=int, default=64)
     parser.add_argument("--every", help='trigger interval, e.g. "5 seconds"')
     parser.add_argument("--keep-versions", type=int, default=10)
-    parser.add_argument("--csv", help="folder for a CSV copy of the result")
+    parser.add_argument("--csv", help="folder for a CSV copy of the result, written at the end")
+    parser.add_argument("--load", help="stored rows to start a new state from: folder or table")
     return parser.parse_args(argv)
 
 
@@ -55,19 +57,16 @@ def result(kind: str, snapshot: Snapshot, follow: FollowUp | None) -> DataFrame:
     return complete_rows(summed, [PERIOD, *MEASURES])
 
 
-def _csv_copy(
-    kind: str, path: str, follow: FollowUp | None
-) -> Callable[[Snapshot, int], None]:
-    def write(snapshot: Snapshot, version: int) -> None:
-        table = result(kind, snapshot, follow)
-        if kind == "average":
-            # One company's table is a report: one file, the average row last.
-            is_average = table[PERIOD].eqNullSafe("Average").cast("int")
-            write_single_csv(table, path, order=[is_average, *period_order(PERIOD)])
-        else:
-            write_csv(order_statements(table), path)
-
-    return write
+def write_result(args: argparse.Namespace, refresh: Refresh) -> None:
+    """The CSV copy of what the last commit stands for."""
+    follow = next((step for step in refresh.after if isinstance(step, FollowUp)), None)
+    table = result(args.kind, refresh.snapshot, follow)
+    if args.kind == "average":
+        # One company's table is a report: one file, the average row last.
+        is_average = table[PERIOD].eqNullSafe("Average").cast("int")
+        write_single_csv(table, args.csv, order=[is_average, *period_order(PERIOD)])
+    else:
+        write_csv(order_statements(table), args.csv)
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery, Refresh]:
@@ -83,8 +82,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
     elif args.kind == "average":
         follow = Averages(spark, f"{args.base}/averages", buckets=args.buckets)
     after: list[Callable[[Snapshot, int], None]] = [follow] if follow else []
-    if args.csv:
-        after.append(_csv_copy(args.kind, args.csv, follow))
+    if args.load and not state.version():
+        # Without an event the tables that follow would wait for the first one.
+        stored = spark.read.parquet(args.load) if "/" in args.load else spark.table(args.load)
+        version = state.load(stored)
+        for step in after:
+            step(state, version)
     options = dict(o.split("=", 1) for o in args.option)
     changes = read_changes(spark, args.log_format, args.log_path, streaming=True, **options)
     refresh = Refresh(
@@ -101,8 +104,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
 
 def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    query, _ = start(spark, arguments(argv))
+    args = arguments(argv)
+    query, refresh = start(spark, args)
     query.awaitTermination()
+    if args.csv:
+        write_result(args, refresh)
 
 
 if __name__ == "__main__":

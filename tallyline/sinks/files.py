@@ -18,19 +18,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_single_csv(
-    df: DataFrame,
-    path: str,
-    order: Sequence[Column] = (),
-    max_rows: int = 1_000_000,
-) -> None:
-    """Headed CSV folder with one data file, for reports; refuses larger frames.
+def write_single_csv(df: DataFrame, path: str, order: Sequence[Column] = ()) -> None:
+    """Headed CSV folder with one data file, for reports: one task writes it all.
 
     ``repartition`` puts one exchange before the single writer, so the plan above
     stays parallel, where ``coalesce`` would pull it into that one task.
     """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_csv")
     single = df.repartition(1)
     if order:
         single = single.sortWithinPartitions(*order)

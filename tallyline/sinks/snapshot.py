@@ -1,39 +1,46 @@
 """Versioned bucketed tables in parquet, and the keyed snapshot built on them.
 
-Rows live in hash buckets.  An update rewrites only the buckets it touches,
-under a new version folder, and then commits by writing that version's manifest:
-a small table naming, for each bucket, the version that holds it.  Readers
-follow the newest manifest whose write completed, so they see the old state or
-the new one; a failed update leaves files no manifest names and is simply
-repeated.  One writer at a time.
+Rows live in hash buckets; a bucket is one or more parts, each written by one version.
+An update either replaces buckets or appends a small part to them, under a new version
+folder, and then commits by writing that version's manifest: a small file naming the
+parts of every bucket, the commit's tag and the bucket layout.  Readers follow the newest
+manifest, which appears at once by a rename, so they see the old state or the new one; a
+failed update leaves files no manifest names and is simply repeated.  One writer at a time.
 
     <path>/data/_version=7/_bucket=12/part-….parquet
-    <path>/manifest/00000007/
+    <path>/manifest/00000007.json
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.compact import compact
+from tallyline.operators.compact import compact, latest_per_key
 from tallyline.operators.merge import live_rows, merge_versioned
-from tallyline.schema import CONTROL, DELETED, EVENT_TIME, state_schema
+from tallyline.schema import CONTROL, DELETED, EVENT_ORDER, EVENT_TIME, state_schema
 
 BUCKET = "_bucket"
 VERSION = "_version"
-_MANIFEST = T.StructType(
-    [
-        T.StructField(BUCKET, T.IntegerType()),
-        T.StructField(VERSION, T.LongType()),
-        T.StructField("tag", T.StringType()),
-    ]
-)
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """A commit: per bucket the versions of its parts, oldest first, tag and layout."""
+
+    parts: dict[int, list[int]] = field(default_factory=dict)
+    tag: str | None = None
+    buckets: int | None = None
+    bucket_by: list[str] | None = None
+
+    def since(self, version: int) -> list[int]:
+        """Buckets with a part written after ``version``."""
+        return [b for b, versions in self.parts.items() if versions[-1] > version]
 
 
 class BucketedTable:
@@ -53,7 +60,7 @@ class BucketedTable:
         self.bucket_by = list(bucket_by)
         self.buckets = buckets
         # Committed manifests never change, so each is read once.
-        self._manifests: dict[int, tuple[dict[int, int], str | None]] = {}
+        self._manifests: dict[int, Manifest] = {}
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
@@ -74,54 +81,77 @@ class BucketedTable:
 
     def versions(self) -> list[int]:
         """Committed versions, newest first."""
-        names = sorted(self._list(f"{self.path}/manifest"), reverse=True)
-        return [int(n) for n in names if "_SUCCESS" in self._list(f"{self.path}/manifest/{n}")]
+        names = self._list(f"{self.path}/manifest")
+        return sorted((int(n[:8]) for n in names if n.endswith(".json")), reverse=True)
 
     def version(self) -> int:
         """Newest committed version, 0 before the first."""
-        for name in sorted(self._list(f"{self.path}/manifest"), reverse=True):
-            if "_SUCCESS" in self._list(f"{self.path}/manifest/{name}"):
-                return int(name)
-        return 0
+        return next(iter(self.versions()), 0)
 
-    def manifest(self, version: int | None = None) -> tuple[dict[int, int], str | None]:
-        """Bucket to version map (at most ``buckets`` rows) and the commit's tag."""
+    def manifest(self, version: int | None = None) -> Manifest:
+        """A commit's manifest (one entry per bucket), read without a Spark job."""
         version = self.version() if version is None else version
         if version == 0:
-            return {}, None
-        if version in self._manifests:
-            return self._manifests[version]
-        folder = f"{self.path}/manifest/{version:08d}"
-        rows = self.spark.read.schema(_MANIFEST).json(folder).collect()
-        tag = next((r["tag"] for r in rows if r[BUCKET] is None), None)
-        held = {r[BUCKET]: r[VERSION] for r in rows if r[BUCKET] is not None}
-        self._manifests = {version: (held, tag)}
-        return held, tag
+            return Manifest()
+        if version not in self._manifests:
+            fs, path = self._folder(f"{self.path}/manifest/{version:08d}.json")
+            stream = fs.open(path)
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            held = json.loads(text)
+            held["parts"] = {int(b): versions for b, versions in held["parts"].items()}
+            self._manifests[version] = Manifest(**held)
+        return self._manifests[version]
+
+    def _checked(self, version: int) -> Manifest:
+        """The manifest, if its layout is this table's; another would misplace rows."""
+        found = self.manifest(version)
+        layout = (found.buckets, found.bucket_by)
+        if version and layout != (self.buckets, self.bucket_by):
+            raise ValueError(
+                f"{self.path} has {found.buckets} buckets by {found.bucket_by}, not {self.buckets} "
+                f"by {self.bucket_by}: open it with its layout, or rebucket it"
+            )
+        return found
+
+    def _commit(self, version: int, manifest: Manifest) -> int:
+        fs, target = self._folder(f"{self.path}/manifest/{version:08d}.json")
+        _, part = self._folder(f"{self.path}/manifest/.{version:08d}.part")
+        stream = fs.create(part, True)
+        try:
+            stream.write(bytearray(json.dumps(vars(manifest)).encode()))
+        finally:
+            stream.close()
+        if not fs.rename(part, target):
+            raise RuntimeError(f"version {version} of {self.path} is already committed")
+        self._manifests[version] = manifest
+        return version
 
-    def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
-        """Stored rows, optionally of some buckets only."""
-        held, _ = self.manifest(version)
-        wanted = held if only is None else {b: held[b] for b in only if b in held}
-        if not wanted:
-            return self.spark.createDataFrame([], self.schema)
+    def _read(self, parts: dict[int, list[int]]) -> DataFrame:
+        """Rows of some parts, with the version that wrote them."""
+        names = [*self.schema.names, VERSION]
+        if not parts:
+            return self.spark.createDataFrame([], self.schema).withColumn(VERSION, F.lit(0)).select(*names)
         data = f"{self.path}/data"
-        paths = [f"{data}/{VERSION}={v}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
+        paths = [f"{data}/{VERSION}={v}/{BUCKET}={b}" for b, held in sorted(parts.items()) for v in held]
         reader = self.spark.read.schema(self.schema).option("basePath", data)
-        return reader.parquet(*paths).select(*self.schema.names)
+        return reader.parquet(*paths).select(*names)
 
-    def replace(
-        self, rows: DataFrame, touched: Sequence[int] | None = None, tag: str | None = None
-    ) -> int:
-        """Puts ``rows`` in place of the ``touched`` buckets (default: all) and commits.
+    def _parts(self, version: int | None, only: Sequence[int] | None) -> dict[int, list[int]]:
+        if only is None:
+            return self.manifest(version).parts
+        version = self.version() if version is None else version
+        held = self._checked(version).parts
+        return {b: held[b] for b in only if b in held}
 
-        The rows must hash into touched buckets.  A ``tag`` equal to the newest
-        commit's makes the call a no-op.
-        """
-        current = self.version()
-        held, last_tag = self.manifest(current)
-        if tag is not None and tag == last_tag:
-            return current
-        version = current + 1
+    def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """Stored rows, optionally of some buckets only."""
+        return self._read(self._parts(version, only)).drop(VERSION)
+
+    def _write(self, rows: DataFrame, version: int) -> list[int]:
+        """Writes a version's parts and tells their buckets."""
         target = f"{self.path}/data/{VERSION}={version}"
         # Rebalancing by bucket keeps files few, and splits a bucket that is
         # larger than the advisory size over several tasks.
@@ -132,20 +162,45 @@ class BucketedTable:
             .partitionBy(BUCKET)
             .parquet(target)
         )
-        written = [n for n in self._list(target) if n.startswith(f"{BUCKET}=")]
-        kept = {} if touched is None else {b: v for b, v in held.items() if b not in set(touched)}
-        kept.update({int(n.split("=", 1)[1]): version for n in written})
-        entries = [*sorted(kept.items()), (None, version)]
-        buckets, versions = zip(*entries)
-        columns = {
-            BUCKET: pa.array(buckets, pa.int32()),
-            VERSION: pa.array(versions, pa.int64()),
-            "tag": pa.array([None] * len(kept) + [tag], pa.string()),
-        }
-        manifest = self.spark.createDataFrame(pa.table(columns), _MANIFEST).coalesce(1)
-        manifest.write.mode("overwrite").json(f"{self.path}/manifest/{version:08d}")
-        self._manifests = {version: (kept, tag)}
-        return version
+        return [int(n.split("=", 1)[1]) for n in self._list(target) if n.startswith(f"{BUCKET}=")]
+
+    def replace(
+        self,
+        rows: DataFrame,
+        touched: Sequence[int] | None = None,
+        tag: str | None = None,
+        repeat: bool = False,
+    ) -> int:
+        """Puts ``rows`` in place of the ``touched`` buckets (default: all) and commits.
+
+        The rows must hash into touched buckets.  Unless ``repeat``, a ``tag`` equal to
+        the newest commit's makes the call a no-op.  Replacing all sets the layout anew.
+        """
+        current = self.version()
+        held = self.manifest(current) if touched is None else self._checked(current)
+        if tag is not None and tag == held.tag and not repeat:
+            return current
+        gone = set(held.parts if touched is None else touched)
+        kept = {b: versions for b, versions in held.parts.items() if b not in gone}
+        kept.update({b: [current + 1] for b in self._write(rows, current + 1)})
+        return self._commit(current + 1, Manifest(kept, tag, self.buckets, self.bucket_by))
+
+    def append(self, rows: DataFrame, tag: str | None = None) -> int:
+        """Adds ``rows`` as one more part of their buckets; nothing stored is read."""
+        current = self.version()
+        held = self._checked(current)
+        if tag is not None and tag == held.tag:
+            return current
+        parts = dict(held.parts)
+        for b in self._write(rows, current + 1):
+            parts[b] = [*parts.get(b, []), current + 1]
+        return self._commit(current + 1, Manifest(parts, tag, self.buckets, self.bucket_by))
+
+    def rebucket(self, buckets: int, bucket_by: Sequence[str] | None = None) -> int:
+        """Rewrites everything into another layout, which this object then has."""
+        rows, tag = self.rows(), self.manifest().tag
+        self.buckets, self.bucket_by = buckets, list(bucket_by or self.bucket_by)
+        return self.replace(rows, tag=tag, repeat=True)
 
     def expire(self, keep: int = 10) -> None:
         """Forgets all but the newest ``keep`` versions and removes files only they hold.
@@ -153,16 +208,18 @@ class BucketedTable:
         Readers of a kept version are not disturbed; manifests go first, so an
         interrupted call leaves unnamed files, which the next call removes.
         """
-        kept = self.versions()[: max(keep, 1)]
+        versions = self.versions()
+        kept = versions[: max(keep, 1)]
         if not kept:
             return
-        for name in self._list(f"{self.path}/manifest"):
-            if int(name) < kept[-1]:
-                self._remove(f"{self.path}/manifest/{name}")
+        for version in versions[len(kept) :]:
+            self._remove(f"{self.path}/manifest/{version:08d}.json")
+            self._manifests.pop(version, None)
         needed: dict[int, set[int]] = {}
         for version in kept:
-            for bucket, holder in self.manifest(version)[0].items():
-                needed.setdefault(holder, set()).add(bucket)
+            for bucket, holders in self.manifest(version).parts.items():
+                for holder in holders:
+                    needed.setdefault(holder, set()).add(bucket)
         for folder in self._list(f"{self.path}/data"):
             version = int(folder.split("=", 1)[1])
             if version > kept[0]:
@@ -177,7 +234,12 @@ class BucketedTable:
 
 
 class Snapshot(BucketedTable):
-    """Keyed rows with upsert, delete and time-correct late events."""
+    """Keyed rows with upsert, delete and time-correct late events.
+
+    A replacing batch is appended as it is, compacted: a bucket's rows are the latest per
+    key over its parts.  Buckets of more than ``fold_after`` parts are folded into one.
+    A coalescing batch needs the stored values and rewrites the buckets it touches.
+    """
 
     def __init__(
         self,
@@ -187,29 +249,33 @@ class Snapshot(BucketedTable):
         keys: Sequence[str],
         buckets: int = 64,
         bucket_by: Sequence[str] | None = None,
-        small_batch_rows: int = 100_000,
+        fold_after: int = 8,
     ):
-        """``bucket_by`` (default: all keys) must be a part of the keys.
-
-        Batches of at most ``small_batch_rows`` keys have their keys broadcast,
-        about 10 MB at the default, so that untouched rows of the rewritten
-        buckets need no join shuffle.
-        """
+        """``bucket_by`` (default: all keys) must be a part of the keys."""
         super().__init__(spark, path, state_schema(row), bucket_by or keys, buckets)
         self.row = row
         self.keys = list(keys)
-        self.small_batch_rows = small_batch_rows
+        self.fold_after = fold_after
         if not set(self.bucket_by) <= set(self.keys):
             raise ValueError("bucket_by must be part of the keys")
 
+    def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """The latest event of every key, delete markers included."""
+        parts = self._parts(version, only)
+        single = {b: held for b, held in parts.items() if len(held) == 1}
+        several = {b: held for b, held in parts.items() if len(held) > 1}
+        if not several:
+            return self._read(single).drop(VERSION)
+        latest = latest_per_key(self._read(several), self.keys, [*EVENT_ORDER, VERSION]).drop(VERSION)
+        return self._read(single).drop(VERSION).unionByName(latest) if single else latest
+
     def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Live rows."""
         return live_rows(self.rows(version, only))
 
     def touched(self, version: int) -> list[int]:
         """Buckets that version wrote."""
-        held, _ = self.manifest(version)
-        return [b for b, v in held.items() if v == version]
+        return self.manifest(version).since(version - 1)
 
     def load(self, rows: DataFrame, tag: str | None = None) -> int:
         """Replaces everything by plain rows; any later event is newer than they are."""
@@ -226,42 +292,41 @@ class Snapshot(BucketedTable):
     ) -> int:
         """Applies decoded events and returns the committed version.
 
-        A ``tag`` equal to the newest commit's makes the call a no-op, so a
-        repeated micro-batch is applied once.  With ``keep_deletes_ms``, delete
-        markers that much older than the newest event of the batch leave the
-        buckets being rewritten; events later than that could revive their keys.
+        A ``tag`` equal to the newest commit's makes the call a no-op, so a repeated
+        micro-batch is applied once.  ``keep_deletes_ms`` is passed to :meth:`fold`.
         """
         current = self.version()
-        held, last_tag = self.manifest(current)
-        if tag is not None and tag == last_tag:
+        held = self._checked(current)
+        if tag is not None and tag == held.tag:
             return current
         batch = compact(events.select(*self.schema.names), self.keys)
-        if not held:
-            # Nothing stored: the batch is the state and streams straight to files.
-            return self.replace(batch, tag=tag)
-        batch = batch.withColumn(BUCKET, self.bucket()).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # One row per bucket comes back, however large the batch is.
-            per_bucket = batch.groupBy(BUCKET).agg(F.count("*"), F.max(EVENT_TIME)).collect()
-            if not per_bucket:
-                return current
-            touched = [b for b, _, _ in per_bucket]
-            n_keys = sum(n for _, n, _ in per_bucket)
-            stored = self.rows(current, only=touched)
-            merged = self._merge(stored, batch.drop(BUCKET), mode, n_keys)
-            times = [t for _, _, t in per_bucket if t is not None]
-            if keep_deletes_ms is not None and times:
-                expired = F.col(DELETED) & (F.col(EVENT_TIME) < max(times) - keep_deletes_ms)
-                merged = merged.filter(~expired)
-            return self.replace(merged, touched=touched, tag=tag)
-        finally:
-            batch.unpersist()
-
-    def _merge(self, stored: DataFrame, batch: DataFrame, mode: str, rows: int) -> DataFrame:
-        if rows > self.small_batch_rows:
-            return merge_versioned(stored, batch, self.keys, mode)
-        # Counted by the caller: at most ``small_batch_rows`` keys.
-        names = F.broadcast(batch.select(*self.keys))
-        untouched = stored.join(names, self.keys, "left_anti")
-        touched = stored.join(names, self.keys, "left_semi")
-        return untouched.unionByName(merge_versioned(touched, batch, self.keys, mode))
+        if mode == "coalesce" and held.parts:
+            touched = [r[0] for r in events.select(self.bucket()).distinct().collect()]
+            if touched:
+                stored = self.rows(current, only=touched)
+                merged = merge_versioned(stored, batch, self.keys, mode)
+                current = self.replace(merged, touched, tag)
+        else:
+            current = self.append(batch, tag)
+        return self.fold(keep_deletes_ms)
+
+    def fold(self, keep_deletes_ms: int | None = None, after: int | None = None) -> int:
+        """Makes one part of buckets that have more than ``after`` (``fold_after``) parts.
+
+        With ``keep_deletes_ms``, delete markers that much older than the median event of
+        the folded buckets leave them; events later than that could revive their keys.  The
+        median, so that no single row with a wrong clock makes markers go.
+        """
+        current = self.version()
+        after = self.fold_after if after is None else after
+        held = self._checked(current)
+        long = [b for b, versions in held.parts.items() if len(versions) > after]
+        if not long:
+            return current
+        rows = self.rows(current, only=long)
+        if keep_deletes_ms is not None:
+            middle = rows.agg(F.percentile_approx(EVENT_TIME, 0.5)).first()[0]
+            if middle is not None:
+                old = F.col(DELETED) & (F.col(EVENT_TIME) < middle - keep_deletes_ms)
+                rows = rows.filter(~F.coalesce(old, F.lit(False)))
+        return self.replace(rows, long, held.tag, repeat=True)

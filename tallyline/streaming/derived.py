@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.numbers import round_to
+from tallyline.functions.numbers import exact_parts, round_to
 from tallyline.functions.periods import is_trailing
 from tallyline.operators.filters import exclude_prefix
 from tallyline.operators.indicators import STANDARD, Spec, with_indicators
@@ -19,8 +19,10 @@ from tallyline.sinks.snapshot import BucketedTable, Snapshot
 class FollowUp:
     """Base: keeps ``table`` equal to a per-bucket function of the snapshot.
 
-    A bucket must hold everything the function needs for its rows.  The commit
-    is tagged with the snapshot version, so repeating a step changes nothing.
+    A bucket must hold everything the function needs for its rows.  The commit is tagged
+    with the snapshot version it was built from; a step takes every bucket written since
+    then, so a table added late, or after a load, catches up, and repeating a step
+    changes nothing.
     """
 
     def __init__(self, table: BucketedTable):
@@ -30,9 +32,15 @@ class FollowUp:
         raise NotImplementedError
 
     def __call__(self, snapshot: Snapshot, version: int) -> None:
-        touched = snapshot.touched(version)
+        held, built = snapshot.manifest(version), self.table.manifest()
+        last = int(built.tag.removeprefix("from-")) if built.tag else 0
+        if last == version:
+            return
+        # a snapshot that starts again has smaller versions: everything is new then
+        touched = held.since(last if last < version else 0)
+        vanished = [b for b in built.parts if b not in held.parts]
         rows = self.compute(snapshot.read(version, only=touched), snapshot)
-        self.table.replace(rows, touched=touched, tag=f"from-{version}")
+        self.table.replace(rows, touched=[*touched, *vanished], tag=f"from-{version}")
 
     def read(self) -> DataFrame:
         return self.table.rows()
@@ -68,7 +76,8 @@ class Averages(FollowUp):
 
     Each commit replaces the sums of its buckets; the average itself is an
     aggregate over at most one row per bucket, never over the whole state.
-    Sums are decimals of ``scale`` places, so the result is the same in any order.
+    With ``scale``, sums are also kept in decimals of that many places, and used as long
+    as every value is one: the result is then the same in any order of rows.
     """
 
     def __init__(
@@ -77,29 +86,35 @@ class Averages(FollowUp):
         path: str,
         measures: Sequence[str] = MEASURES,
         buckets: int = 64,
-        scale: int = 4,
+        scale: int | None = None,
     ):
         self.measures = list(measures)
         self.scale = scale
         fields = [T.StructField("bucket_no", T.IntegerType())]
         for m in self.measures:
-            fields.append(T.StructField(f"sum_{m}", T.DecimalType(38, scale)))
+            fields.append(T.StructField(f"sum_{m}", T.DoubleType()))
             fields.append(T.StructField(f"n_{m}", T.LongType()))
+            fields.append(T.StructField(f"exact_{m}", T.DecimalType(38, scale or 0)))
+            fields.append(T.StructField(f"inexact_{m}", T.LongType()))
         super().__init__(_ByNumber(spark, path, T.StructType(fields), ["bucket_no"], buckets))
 
     def compute(self, rows: DataFrame, snapshot: Snapshot) -> DataFrame:
         rows = rows.filter(~is_trailing(PERIOD) & (F.col(PERIOD) != AVERAGE_LABEL))
         sums = []
         for m in self.measures:
-            exact = F.col(m).cast(f"decimal(28,{self.scale})")
-            sums.append(F.sum(exact).cast(f"decimal(38,{self.scale})").alias(f"sum_{m}"))
+            value = F.col(m).cast("double")
+            exact, inexact = exact_parts(value, self.scale)
+            sums.append(F.sum(value).alias(f"sum_{m}"))
             sums.append(F.count(m).alias(f"n_{m}"))
+            sums.append(F.sum(exact).try_cast(f"decimal(38,{self.scale or 0})").alias(f"exact_{m}"))
+            sums.append(F.sum(inexact).alias(f"inexact_{m}"))
         return rows.groupBy(snapshot.bucket().alias("bucket_no")).agg(*sums)
 
     def average(self, digits: int | None = None) -> DataFrame:
         means = []
         for m in self.measures:
-            total = F.sum(f"sum_{m}").cast("double")
+            exact = F.sum(f"exact_{m}").try_cast("double")
+            total = F.when(F.sum(f"inexact_{m}") == 0, exact).otherwise(F.sum(f"sum_{m}"))
             mean = F.try_divide(total, F.sum(f"n_{m}").cast("double"))
             means.append(round_to(mean, digits).alias(m))
         summed = self.read().agg(*means)

@@ -1,8 +1,8 @@
 """Change log to snapshot, continuously.
 
 The query's checkpoint remembers which part of the log is done, so a refresh
-reads only new records.  Each micro-batch is compacted, merged into the touched
-buckets of the snapshot and committed under the batch's number: a batch that is
+reads only new records.  Each micro-batch is compacted, added to the touched buckets
+of the snapshot and committed under the batch's number: a batch that is
 repeated after a failure changes nothing the second time.  Errors stop the query
 and are seen; only records that cannot be decoded are set aside.
 """
@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.decode import keyed_events, parse_envelopes, unkeyed_records
 from tallyline.sinks.snapshot import Snapshot
+from tallyline.streaming.derived import FollowUp
 
 
 @dataclass
@@ -26,7 +27,8 @@ class Refresh:
     """What one micro-batch does.
 
     ``keep_deletes_ms`` bounds how long delete markers wait for late events,
-    ``keep_versions`` how many old snapshot versions stay readable.
+    ``keep_versions`` how many versions of the snapshot and of the tables that follow it
+    stay readable.
     ``name`` tells the commits of one query from another's; :func:`run_refresh`
     sets it to the checkpoint, which is what numbers the batches.
     ``after`` receives the snapshot and its new version after each commit, for
@@ -61,6 +63,9 @@ class Refresh:
                 step(self.snapshot, version)
             if self.keep_versions:
                 self.snapshot.expire(self.keep_versions)
+                for step in self.after:
+                    if isinstance(step, FollowUp):
+                        step.table.expire(self.keep_versions)
         finally:
             if self.dead_letter_path:
                 parsed.unpersist()
@@ -75,7 +80,8 @@ def run_refresh(
     """Starts the query.
 
     ``every`` (``"5 seconds"``) keeps it running; without it the query works off
-    what the log holds now, in bounded batches, and stops.
+    what the log holds now and stops; the reader's ``maxOffsetsPerTrigger`` or
+    ``maxFilesPerTrigger`` bounds its batches.
     """
     refresh.name = checkpoint
     writer = changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

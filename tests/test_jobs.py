@@ -26,8 +26,9 @@ def run(spark, tmp_path, kind, *extra):
          "--log-path", str(tmp_path / "log"), "--option", "maxFilesPerTrigger=1",
          "--buckets", "4", "--csv", str(tmp_path / "csv"), *extra]
     )
-    query, _ = refresh_job.start(spark, args)
+    query, refresh = refresh_job.start(spark, args)
     query.awaitTermination()
+    refresh_job.write_result(args, refresh)
 
 
 def test_indicator_job(spark, tmp_path):
@@ -45,6 +46,19 @@ def test_indicator_job(spark, tmp_path):
     assert rows_of(got, PERIOD, "yoy_sales_growth") == [("Mar 2013", None), ("Mar 2014", -50.0)]
 
 
+def test_job_starts_from_stored_rows(spark, tmp_path):
+    stored = [(f"Mar 201{i}", *[10.0 * (i + 1)] * 12, "A") for i in range(3)]
+    spark.createDataFrame(stored, statement_schema()).write.parquet(str(tmp_path / "stored"))
+    log = str(tmp_path / "log")
+    write_log(spark, log, [envelope(None, row("Mar 2012", 60, "A"), 3)])
+    for _ in range(2):  # a second start loads nothing anew
+        run(spark, tmp_path, "indicators", "--load", str(tmp_path / "stored"))
+        got = read_statements_csv(spark, str(tmp_path / "csv"), indicator_schema())
+        assert rows_of(got, PERIOD, "sales", "yoy_sales_growth") == [
+            ("Mar 2010", 10.0, None), ("Mar 2011", 20.0, 100.0), ("Mar 2012", 60.0, 200.0)
+        ]
+
+
 def test_company_job_applies_deletes(spark, tmp_path):
     log = str(tmp_path / "log")
     write_log(spark, log, [envelope(None, row("Mar 2013", v, c), 1) for v, c in ((1, "A"), (2, "B"))])

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows_of
+from conftest import rows_of
 from test_merge import ROW, events, state
 from tallyline.schema import state_schema, statement_schema
 from tallyline.sinks import (
@@ -44,8 +44,6 @@ def test_csv_folder_and_single_file(spark, tmp_path):
     assert lines[0].startswith("date,sales") and [x[:8] for x in lines[1:]] == [
         "Mar 2013", "Mar 2014", "Mar 2015"
     ]
-    with pytest.raises(ValueError):
-        write_single_csv(df, one, max_rows=2)
 
 
 def test_tables_and_key_check(spark):
@@ -89,10 +87,10 @@ def test_snapshot_upserts_deletes_and_versions(spark, tmp_path):
     assert rows_of(snap.read()) == [("e", 1.0, 1.0), ("n", 7.0, 7.0), ("u", None, 9.0)]
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
+@pytest.mark.parametrize("fold_after", [0, 1, 8])
 @pytest.mark.parametrize("mode", ["coalesce", "replace"])
-def test_both_merge_paths_agree(spark, tmp_path, small, mode):
-    snap = snapshot(spark, tmp_path / "s", small_batch_rows=small)
+def test_folding_changes_no_rows(spark, tmp_path, fold_after, mode):
+    snap = snapshot(spark, tmp_path / "s", fold_after=fold_after)
     snap.apply(events(spark, [(f"k{i}", float(i), 1.0, 1, 0, i, False) for i in range(50)]), mode)
     changes = [(f"k{i}", None, 2.0, 2, 0, i, i % 5 == 0) for i in range(40, 60)]
     snap.apply(events(spark, changes), mode)
@@ -110,10 +108,41 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(40)]))
     snap.apply(events(spark, [("k1", 5.0, 5.0, 1, 0, 1, False)]))
-    held, _ = snap.manifest()
-    assert sorted(held.values()) == [1, 1, 1, 2]
+    assert sorted(snap.manifest().parts.values()) == [[1], [1], [1], [1, 2]]
     assert len(snap.touched(2)) == 1
     assert len(glob.glob(f"{tmp_path}/s/data/_version=2/_bucket=*")) == 1
+    # The batch is added as it is: one row, not its bucket.
+    assert spark.read.parquet(f"{tmp_path}/s/data/_version=2").count() == 1
+    assert rows_of(snap.read(), "k", "a")[1] == ("k1", 5.0) and snap.read().count() == 40
+
+
+def test_another_layout_is_refused_until_rebucketed(spark, tmp_path):
+    snap = snapshot(spark, tmp_path / "s")
+    snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(50)]))
+    update = events(spark, [(f"k{i}", 2.0, 2.0, 1, 0, i, False) for i in range(50)])
+    other = Snapshot(spark, str(tmp_path / "s"), ROW, ["k"], buckets=16)
+    with pytest.raises(ValueError, match="rebucket"):
+        other.apply(update)
+    snap.rebucket(16)
+    other.apply(update)
+    assert rows_of(other.read()) == sorted([(f"k{i}", 2.0, 2.0) for i in range(50)], key=repr)
+    with pytest.raises(ValueError, match="rebucket"):
+        snapshot(spark, tmp_path / "s").apply(update)
+
+
+def test_manifests_are_read_once_and_without_a_job(spark, tmp_path):
+    snap = snapshot(spark, tmp_path / "s")
+    snap.load(state(spark, [("a", 1.0, 1.0)]))
+    for i in range(1, 4):
+        snap.apply(events(spark, [("a", float(i), None, i, 0, i, False)]))
+    fresh = snapshot(spark, tmp_path / "s")
+    spark.sparkContext.setJobGroup("manifests", "none expected")
+    try:
+        assert [fresh.manifest(v).parts for v in fresh.versions()] == [snap.manifest(v).parts for v in (4, 3, 2, 1)]
+        assert fresh.manifest(2) is fresh.manifest(2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("manifests")
 
 
 def test_a_repeated_tag_is_applied_once(spark, tmp_path):
@@ -129,30 +158,28 @@ def test_an_unfinished_commit_is_not_seen(spark, tmp_path):
     snap.load(state(spark, [("a", 1.0, 1.0)]))
     snap.apply(events(spark, [("a", 2.0, 2.0, 1, 0, 1, False)]))
     # As if the writer had died before its manifest was complete.
-    os.rename(f"{tmp_path}/s/manifest/00000002/_SUCCESS", f"{tmp_path}/s/manifest/00000002/_died")
+    os.rename(f"{tmp_path}/s/manifest/00000002.json", f"{tmp_path}/s/manifest/.00000002.part")
     assert snap.version() == 1
     assert rows_of(snap.read()) == [("a", 1.0, 1.0)]
     assert snap.apply(events(spark, [("b", 2.0, 2.0, 1, 0, 1, False)])) == 2
     assert rows_of(snap.read()) == [("a", 1.0, 1.0), ("b", 2.0, 2.0)]
 
 
-def same_bucket(snap, spark, *names):
-    keys = spark.createDataFrame([(n,) for n in names], "k string")
-    return keys.select(snap.bucket()).distinct().count() == 1
-
-
 def test_delete_markers_stay_until_forgotten(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.apply(events(spark, [("a", 1.0, 1.0, 1, 0, 1, False), ("a", None, None, 2, 0, 2, True)]))
     assert snap.read().count() == 0 and snap.rows().count() == 1
-    late = events(spark, [("a", 5.0, 5.0, 1, 0, 0, False)])
-    snap.apply(late, keep_deletes_ms=0)
+    snap.apply(events(spark, [("a", 5.0, 5.0, 1, 0, 0, False)]))
+    snap.fold(keep_deletes_ms=0, after=0)
     assert snap.read().count() == 0 and snap.rows().count() == 1
-    other = next(f"k{i}" for i in range(99) if same_bucket(snap, spark, "a", f"k{i}"))
-    snap.apply(events(spark, [(other, None, None, 9, 0, 0, True)]), keep_deletes_ms=7)
-    assert rows_of(snap.rows(), "k") == [("a",), (other,)]
-    snap.apply(events(spark, [(other, None, None, 10, 0, 0, True)]), keep_deletes_ms=7)
-    assert rows_of(snap.rows(), "k") == [(other,)]
+    # One row with a clock far ahead makes no marker go ...
+    snap.apply(events(spark, [(f"n{i}", 1.0, 1.0, 10, 0, i, False) for i in range(20)]))
+    snap.apply(events(spark, [("future", 1.0, 1.0, 10**15, 0, 9, False)]))
+    snap.fold(keep_deletes_ms=9, after=0)
+    assert snap.rows().filter("k = 'a'").count() == 1
+    # ... the time most rows have does.
+    snap.fold(keep_deletes_ms=7, after=0)
+    assert snap.rows().filter("k = 'a'").count() == 0 and snap.read().count() == 21
 
 
 def test_expired_versions_leave_the_newest_whole(spark, tmp_path):
@@ -164,12 +191,13 @@ def test_expired_versions_leave_the_newest_whole(spark, tmp_path):
     snap.expire(keep=2)
     assert snap.versions() == [5, 4]
     assert rows_of(snap.read()) == before and rows_of(snap.read(4)) == older
-    held = {int(p.rsplit("=", 1)[1]) for p in glob.glob(f"{tmp_path}/s/data/*")}
-    assert held == {1, 4, 5}
-    assert len(glob.glob(f"{tmp_path}/s/data/_version=1/_bucket=*")) == 3
+    snap.fold(after=1)
     fresh = snapshot(spark, tmp_path / "s")
     fresh.expire(keep=1)
-    assert fresh.versions() == [5] and rows_of(fresh.read()) == before
+    assert fresh.versions() == [6] and rows_of(fresh.read()) == before
+    held = {int(p.rsplit("=", 1)[1]) for p in glob.glob(f"{tmp_path}/s/data/*")}
+    assert held == {1, 6}
+    assert len(glob.glob(f"{tmp_path}/s/data/_version=1/_bucket=*")) == 3
 
 
 def test_bucket_columns_must_be_key_columns(spark, tmp_path):
@@ -177,17 +205,6 @@ def test_bucket_columns_must_be_key_columns(spark, tmp_path):
         Snapshot(spark, str(tmp_path), ROW, ["k"], bucket_by=["a"])
 
 
-def test_small_batches_do_not_shuffle_stored_rows(spark, tmp_path):
-    snap = snapshot(spark, tmp_path / "s")
-    snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(40)]))
-    batch = events(spark, [("k1", 5.0, 5.0, 1, 0, 1, False)])
-    plan = plan_of(snap._merge(snap.rows(), batch, "replace", 1))
-    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
-    untouched = plan.split("LeftAnti")[1].split("FullOuter")[0].split("LeftSemi")[0]
-    stored = untouched.split("FileScan")[0]
-    assert "Exchange hashpartitioning" not in stored
-
-
 def test_bucketed_table_replaces_all_by_default(spark, tmp_path):
     table = BucketedTable(spark, str(tmp_path / "t"), state_schema(ROW), ["k"], 4)
     table.replace(events(spark, [("a", 1.0, None, 1, 0, 1, False)]))

@@ -12,12 +12,13 @@ from tallyline.operators.decode import decode_changes, upserts
 from tallyline.operators.filters import exclude_prefix
 from tallyline.operators.indicators import Growth, Ratio, with_indicators
 from tallyline.operators.summary import average_rows
-from tallyline.schema import COMPANY, CONTROL
+from tallyline.schema import COMPANY, CONTROL, PERIOD
 from tallyline.sinks import Snapshot
 from tallyline.sources import read_changes
 from tallyline.sources.readers import CHANGE_SCHEMA
 from tallyline.streaming import Averages, Indicators, Refresh, run_refresh
 
+ROW_ORDER = [PERIOD, "sales", "interest", COMPANY]
 SPECS = [Ratio("r", "sales", "interest"), Growth("g", "sales")]
 
 
@@ -145,3 +146,46 @@ def test_coalesce_mode_in_order(spark, places):
     run_refresh(changes, refresh, places["check"]).awaitTermination()
     assert snap.versions() == [2]
     assert rows_of(snap.read(), "sales", "interest") == [(1.0, 3.0)]
+
+
+def test_tables_that_follow_catch_up(spark, places):
+    """After a load, when added late, and when they expire with the snapshot."""
+    rows = [(f"Mar 20{10 + i % 5}", float(i), 1.0, f"C{i // 5}") for i in range(50)]
+    stored = spark.createDataFrame(rows, ROW_ORDER).select(*ROW.names)
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4, bucket_by=[COMPANY])
+    snap.load(stored)
+    write_files(spark, random_log(5, 60), places["log"], 3)
+    early = Indicators(spark, places["ind"], ROW, 4, SPECS)
+    start(spark, places, [early], snap)
+    late = Averages(spark, places["avg"], ["sales", "interest"], 4, scale=4)
+    late(snap, snap.version())
+    want = snap.read()
+    assert want.count() > 50
+    assert rows_of(early.read()) == rows_of(with_indicators(exclude_prefix(want), SPECS))
+    cols = ["sales", "interest"]
+    assert rows_of(late.average(2)) == rows_of(average_rows(want, cols, digits=2, scale=4))
+    changes = read_changes(spark, "parquet", places["log"], streaming=True, maxFilesPerTrigger="1")
+    write_files(spark, random_log(6, 40), places["log"], 4)
+    refresh = Refresh(snap, ROW, KEYS, keep_versions=2, after=[early, late])
+    run_refresh(changes, refresh, places["check"]).awaitTermination()
+    assert len(snap.versions()) == len(early.table.versions()) == len(late.table.versions()) == 2
+    assert rows_of(early.read()) == rows_of(with_indicators(exclude_prefix(snap.read()), SPECS))
+
+
+def test_buckets_that_empty_leave_the_following_table(spark, places):
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4, bucket_by=[COMPANY])
+    indicators = Indicators(spark, places["ind"], ROW, 4, SPECS)
+    some = [("Mar 2013", 1.0, 1.0, c) for c in "ABCDEFGH"]
+    indicators(snap, snap.load(spark.createDataFrame(some, ROW_ORDER).select(*ROW.names)))
+    indicators(snap, snap.load(spark.createDataFrame(some[:1], ROW_ORDER).select(*ROW.names)))
+    assert rows_of(indicators.read(), COMPANY) == [("A",)]
+
+
+@pytest.mark.parametrize("scale", [None, 4])
+def test_averages_of_large_and_small_values(spark, places, scale):
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4, bucket_by=[COMPANY])
+    rows = [("Mar 2013", 1e25, 0.00004, "A"), ("Mar 2014", 3e25, 0.00004, "B")]
+    averages = Averages(spark, places["avg"], ["sales", "interest"], 4, scale=scale)
+    averages(snap, snap.load(spark.createDataFrame(rows, ROW_ORDER).select(*ROW.names)))
+    [got] = averages.average().collect()
+    assert got["sales"] == pytest.approx(2e25) and got["interest"] == pytest.approx(0.00004)
