@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Python's ``str.strip`` also removes the non-breaking space; ``trim`` does not.
 _EDGE_BLANK = "^[\\s\\u00a0]+|[\\s\\u00a0]+$"
 
-# Named character references met in statement tables.  The
-# ampersand comes last so that ``&amp;lt;`` yields ``&lt;``.
-_NAMED_REFERENCES = [
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&minus;", "\u2212"),
-    ("&ndash;", "\u2013"),
-    ("&mdash;", "\u2014"),
-    ("&amp;", "&"),
-]
+# All named character references of the HTML standard that end with a semicolon.
+_NAMED_REFERENCES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
 
 
 def strip_blank(c: Column) -> Column:
@@ -32,38 +23,31 @@ def _code_point(digits: Column, base: int) -> Column:
     return F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
 
 
-def _numeric_references(c: Column) -> Column:
-    """``&#8377;`` and ``&#xa0;`` to their characters.
+def decode_entities(c: Column) -> Column:
+    """Character references, numeric and named, to characters, each once.
 
-    The text is cut at each ``&#``; a piece that begins with a well-formed number
-    loses it and gains the character, any other piece gets its ``&#`` back.
+    The text is cut at each ``&``; a piece that begins with a reference loses it and
+    gains the character, any other piece gets its ``&`` back.  Give it a plain column: the
+    text is named several times in the expression.
     """
+    names = F.create_map(*[F.lit(x) for pair in _NAMED_REFERENCES.items() for x in pair])
 
     def piece(part: Column) -> Column:
-        dec = F.regexp_extract(part, "^([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1)
-        rest = F.regexp_replace(part, "^[xX]?[0-9a-fA-F]+;", "")
+        dec = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
+        hexa = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1)
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        rest = F.regexp_replace(part, "^[#A-Za-z0-9]+;", "")
+        char = F.when(name != "", F.try_element_at(names, name))
         return (
             F.when(dec != "", F.concat(_code_point(dec, 10), rest))
             .when(hexa != "", F.concat(_code_point(hexa, 16), rest))
-            .otherwise(F.concat(F.lit("&#"), part))
+            .when(char.isNotNull(), F.concat(char, rest))
+            .otherwise(F.concat(F.lit("&"), part))
         )
 
-    parts = F.split(c, "&#", -1)
-    first = F.element_at(parts, 1)
+    parts = F.split(c, "&", -1)
     others = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    decoded = F.concat(first, F.array_join(F.transform(others, piece), ""))
-    return F.when(c.contains("&#"), decoded).otherwise(c)
-
-
-def decode_entities(c: Column) -> Column:
-    """Character references to characters.
-
-    Give it a plain column: the text is named several times in the expression.
-    """
-    decoded = _numeric_references(c)
-    for name, char in _NAMED_REFERENCES:
-        decoded = F.replace(decoded, F.lit(name), F.lit(char))
+    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(others, piece), ""))
     return F.when(c.contains("&"), decoded).otherwise(c)
 
 

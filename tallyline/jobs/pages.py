@@ -2,7 +2,8 @@
 
     spark-submit … pages.py --pages s3a://…/pages --out s3a://…/statements
 
-Each page gives one row per period; rejected table rows go beside the output.
+Each page gives one row per period; rejected table rows and line items outside the list
+go beside the output if asked for.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import SparkSession
 from tallyline.operators.extract import (
     BALANCE_SHEET,
     PROFIT_LOSS,
+    extract_statement,
     load_statements,
     rejected_rows,
 )
+from tallyline.operators.reshape import unlisted_items
 from tallyline.schema import MEASURES
 from tallyline.sinks import load_table, write_csv
 from tallyline.sources import read_pages
@@ -37,6 +40,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     target.add_argument("--csv", help="CSV folder")
     target.add_argument("--table", help="catalog table")
     parser.add_argument("--rejected", help="parquet folder for rows of another width")
+    parser.add_argument("--unlisted", help="parquet folder for cells of line items not in --items")
     return parser.parse_args(argv)
 
 
@@ -54,6 +58,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.rejected:
         rejected = rejected_rows(pages, args.section, [args.company], args.tolerant)
         rejected.write.mode("overwrite").parquet(args.rejected)
+    if args.unlisted:
+        cells = extract_statement(pages, args.section, [args.company], args.tolerant)
+        unlisted_items(cells, args.items).write.mode("overwrite").parquet(args.unlisted)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

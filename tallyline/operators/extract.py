@@ -19,7 +19,9 @@ BALANCE_SHEET = "balance-sheet"
 # Fixed value: the name the first column gets.
 LINE_ITEM_HEADER = "Narration"
 
-_TO_THE_END = 1_000_000_000
+# Tables inside cells are understood to this depth.
+_DEPTH = 4
+_INNER, _INNER_END = "\u0002", "\u0003"
 
 # Stands for a table tag; the tag's letter follows, after a slash in an end tag.
 _TAG = "\u0001"
@@ -37,20 +39,41 @@ def _first_table(html: Column, section_id: str) -> Column:
     name = f"(?-i:{re.escape(section_id)})"
     opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{name}[\"']?(?=[\\s>/]){_REST}"
     before = "(?:[^<]++|<(?!/section\\b|table\\b))*+"
-    inside = "((?:[^<]++|<(?!/section\\b|/table\\b))*+)"
+    plain = "[^<]++|<(?!/section\\b|/?table\\b)"
+    inner = f"(?:{plain})*+"
+    for _ in range(_DEPTH):
+        inner = f"(?:{plain}|<table\\b{_REST}{inner}</table\\s*+>)*+"
+    # What is nested deeper, or never closed, is taken up to the next end.
+    inside = f"({inner}(?:[^<]++|<(?!/section\\b|/table\\b))*+)"
     return F.regexp_extract(html, f"(?is){opening}{before}<table\\b{_REST}{inside}", 1)
 
 
 def _marked(table: Column) -> Column:
     """Table markup to text with one mark per row and cell tag."""
-    text = F.translate(table, _TAG, "")
+    text = F.translate(table, _TAG + _INNER + _INNER_END, "")
     text = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
     text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?=[\\s>/]){_REST}", f"{_TAG}$1")
+    text = F.regexp_replace(text, f"(?i)<table(?=[\\s>/]){_REST}", _INNER)
+    text = F.regexp_replace(text, f"(?i)</table(?=[\\s>/]){_REST}", _INNER_END)
     text = F.regexp_replace(text, f"</?[A-Za-z]{_REST}", "")
     # Closes a last cell that lacks its end tag.
     return F.concat(text, F.lit(f"{_TAG}/tr"))
 
 
+def _unnested(text: Column) -> Column:
+    """Takes the row and cell marks of the innermost tables away, their text stays."""
+
+    def piece(part: Column) -> Column:
+        inner = F.substring_index(part, _INNER_END, 1)
+        after = F.substr(part, F.length(inner) + 2, F.length(part))
+        plain = F.regexp_replace(inner, f"(?i){_TAG}/?t[rhd]", " ")
+        return F.when(part.contains(_INNER_END), F.concat(plain, after)).otherwise(F.concat(F.lit(_INNER), part))
+
+    parts = F.split(text, _INNER, -1)
+    others = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(others, piece), ""))
+
+
 def _all(text: Column, letter: str) -> Column:
     pattern = f"(?i){_TAG}t{letter}([^{_TAG}]*)"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
@@ -74,6 +97,10 @@ def _tables(
     found = F.array(_first_table(F.col("html"), section_id))
     tables = candidates.select(*carry, F.explode(F.filter(found, lambda t: t != "")).alias("_t"))
     tables = tables.select(*carry, _marked(F.col("_t")).alias("_t"))
+    for _ in range(_DEPTH):
+        nested = F.col("_t").contains(_INNER)
+        tables = tables.select(*carry, F.when(nested, _unnested(F.col("_t"))).otherwise(F.col("_t")).alias("_t"))
+    tables = tables.select(*carry, F.translate("_t", _INNER + _INNER_END, "").alias("_t"))
     tables = tables.select(*carry, decode_entities(F.col("_t")).alias("_t"))
     trimmed = F.regexp_replace("_t", f"(?i)[\\s\\u00a0]*({_TAG}/?t[rhd])[\\s\\u00a0]*", "$1")
     tables = tables.select(*carry, trimmed.alias("_t"))
@@ -83,7 +110,7 @@ def _tables(
     )
     # What precedes the first row mark is no row, and the first row holds the headers.
     pieces = F.split("_t", f"(?i){_TAG}tr", -1)
-    rows = F.slice(pieces, 3, _TO_THE_END)
+    rows = F.slice(pieces, F.lit(3), F.size(pieces))
     lines = F.transform(
         rows, lambda r, i: F.struct(i.alias("row_no"), _all(r, "d").alias("cells"))
     )
@@ -160,8 +187,8 @@ def statement_matrix(
         *carry,
         "row_no",
         F.element_at("cells", 1).alias(LINE_ITEM_HEADER),
-        F.slice("headers", 2, _TO_THE_END).alias("periods"),
-        F.slice("cells", 2, _TO_THE_END).alias("values"),
+        F.slice("headers", F.lit(2), F.greatest(F.size("headers"), F.lit(0))).alias("periods"),
+        F.slice("cells", F.lit(2), F.size("cells")).alias("values"),
     )
 
 
@@ -184,12 +211,14 @@ def load_statements(
     whole = tables.select(company, "headers", _body(True).alias("_rows"))
     names = F.transform("_rows", lambda r: normalise_name(F.element_at(r["cells"], 1)))
     whole = whole.select(company, "headers", "_rows", names.alias("_names"))
+    found = [F.array_position("_names", item).cast("int") - 1 for item in items]
+    lines = F.array(*[F.get("_rows", at)["cells"] for at in found])
+    whole = whole.select(company, "headers", "_rows", lines.alias("_lines"))
 
     def cell(item: str, col_no: Column) -> Column:
-        found = F.array_position("_names", item).cast("int") - 1
-        return F.get(F.get("_rows", found)["cells"], col_no).alias(item)
+        return F.get(F.get("_lines", F.lit(list(items).index(item))), col_no).alias(item)
 
-    periods = F.slice("headers", 2, _TO_THE_END)
+    periods = F.slice("headers", F.lit(2), F.greatest(F.size("headers"), F.lit(0)))
     turned = F.transform(
         periods, lambda h, i: F.struct(h.alias(period), *[cell(item, i + 1) for item in items])
     )

@@ -199,11 +199,12 @@ def statement_log(rows: DataFrame) -> DataFrame:
         F.struct(key.alias("before"), draft.alias("after"),
                  F.struct(F.lit(1).cast("bigint").alias("ts_ms")).alias("source")),
     )
-    sent = rows.select(F.posexplode(versions).alias("_nth", "payload"))
+    sent = rows.select(PERIOD, COMPANY, F.posexplode(versions).alias("_nth", "payload"))
+    place = F.pmod(F.xxhash64(PERIOD, COMPANY), F.lit(1 << 40)) * 2 + F.col("_nth")
     return sent.select(
         F.to_json(F.struct("payload")).alias("value"),
-        F.lit(0).alias("partition"),
-        F.col("_nth").cast("bigint").alias("offset"),
+        F.pmod(F.xxhash64(COMPANY), F.lit(16)).cast("int").alias("partition"),
+        place.alias("offset"),
     )
 
 

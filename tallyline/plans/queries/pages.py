@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.functions.numbers import parse_number
 from tallyline.functions.text import normalise_name
 from tallyline.operators.extract import (
     BALANCE_SHEET,
@@ -17,6 +18,7 @@ from tallyline.operators.reshape import (
     clean_numbers,
     concatenate,
     transpose_statement,
+    unlisted_items,
     unpivot_statement,
 )
 from tallyline.plans import derived
@@ -59,10 +61,26 @@ def html_statement_matrix(spark: SparkSession, sf: str) -> DataFrame:
         "row_no",
         normalise_name("Narration").alias("line_item"),
         F.size("values").alias("n_values"),
+        F.array_join(F.transform("values", lambda v: F.format_number(parse_number(v), 2)), "|").alias("texts"),
         F.array_join("periods", "|").alias("periods"),
     )
 
 
+def html_nested_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages with tables in tables in the first cell of every row."""
+    inner = "<table><tr><td><table><tr><th></th></tr></table></td><td> </td></tr></table>"
+    nested = F.regexp_replace("html", '(<td class="text">[^<]*)', f"$1{inner}")
+    pages = _pages(spark, sf).withColumn("html", nested)
+    return load_statements(pages, COMPANY)
+
+
+def html_unlisted_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of the line items that a load of two items leaves out."""
+    cells = extract_statement(_pages(spark, sf), carry=[COMPANY])
+    left = unlisted_items(cells, ["sales", "net_profit"])
+    return left.select(COMPANY, normalise_name("line_item").alias("line_item"), "period", "value")
+
+
 def html_rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = rejected_rows(_pages(spark, sf), carry=[COMPANY])
     return rows.select(COMPANY, "row_no", "expected", F.array_join("cells", "|").alias("text"))
@@ -73,12 +91,15 @@ def html_statement_in_pages(spark: SparkSession, sf: str) -> DataFrame:
     statements = derived.statement_pages(derived.statements(spark, sf)).select(
         COMPANY, F.col("html").alias("section")
     )
-    key = F.concat(F.lit("Customer#"), F.lpad(F.col("page_id").cast("string"), 9, "0"))
+    number = F.col("page_id").cast("string")
+    padded = F.lpad(number, F.greatest(F.length(number), F.lit(9)), F.lit("0"))
+    key = F.concat(F.lit("Customer#"), padded)
     stored = read_pages(spark, f"{sf}/pages.parquet").select(key.alias(COMPANY), "page_id", "html")
-    body = F.concat(
-        F.regexp_replace("html", "(?is)</body>.*", ""), F.coalesce("section", F.lit("")),
-        F.lit("</body></html>"),
-    )
+    # Before the last end of a body, or at the end of a page without one.
+    head = F.regexp_extract("html", "(?is)^(.*)</body>", 1)
+    head = F.when(F.col("html").rlike("(?i)</body>"), head).otherwise(F.col("html"))
+    tail = F.substr(F.col("html"), F.length(head) + 1, F.length("html"))
+    body = F.concat(head, F.coalesce("section", F.lit("")), tail)
     pages = stored.join(statements, COMPANY, "left").select("page_id", body.alias("html"))
     return load_statements(pages, "page_id")
 
@@ -167,10 +188,17 @@ QUERIES = {
         html_statement_matrix,
         f"""with {_STMT}, {_NUMBERED}, long as ({_LONG})
         select l.company_name, l.row_no, l.line_item, count(*) as n_values,
-               string_agg(l.date, '|' order by c.col_no) as periods
+               string_agg(l.date, '|' order by c.col_no) as periods,
+               string_agg(format('{{:,.2f}}', l.value), '|' order by c.col_no) as texts
         from long l join cols c on l.company_name = c.company_name and l.date = c.date
         group by 1, 2, 3""",
     ),
+    "html_nested_tables": (html_nested_tables, f"with {_STMT} select {_COLS} from stmt"),
+    "html_unlisted_items": (
+        html_unlisted_items,
+        f"""with {_STMT}, long as ({_LONG}) select company_name, line_item, date as period, value
+        from long where line_item not in ('sales', 'net_profit')""",
+    ),
     "html_rejected_rows": (
         html_rejected_rows,
         f"""with {_STMT} select company_name, {len(MEASURES)} as row_no, count(*) + 1 as expected,

@@ -33,13 +33,16 @@ from tallyline.sinks import (
 from tallyline.sources import as_changes, read_changes, read_statements_csv
 from tallyline.streaming import Averages, Indicators, Refresh, run_refresh
 
-BUCKETS = 8
 KEYS = [PERIOD, COMPANY]
 
 
+def _buckets(spark: SparkSession) -> int:
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def snapshot_upsert_roundtrip(spark: SparkSession, sf: str, mode: str = "replace") -> DataFrame:
     """Load stored rows, upsert the whole log, read the new version."""
-    snapshot = Snapshot(spark, scratch_dir(spark, "snapshot"), EVENT_ROW, EVENT_KEYS, BUCKETS)
+    snapshot = Snapshot(spark, scratch_dir(spark, "snapshot"), EVENT_ROW, EVENT_KEYS, _buckets(spark))
     snapshot.load(derived.stored_accounts(spark, sf))
     snapshot.apply(decode_changes(derived.change_log(spark, sf), EVENT_ROW, EVENT_KEYS), mode)
     rows = snapshot.read()
@@ -93,47 +96,69 @@ def dead_letter_split(spark: SparkSession, sf: str) -> DataFrame:
     return dead_letters(mixed, EVENT_ROW, EVENT_KEYS)
 
 
-def _stored_log(spark: SparkSession, log: DataFrame, files: int = 8) -> str:
-    """The log as files in arrival order of their offsets, not of event time."""
+def _stored_log(spark: SparkSession, log: DataFrame) -> tuple[str, str]:
+    """The log as files in arrival order of their offsets, and how many make a quarter."""
     path = scratch_dir(spark, "log")
+    files = max(4, spark.sparkContext.defaultParallelism)
     log.repartition(files, F.col("offset")).write.parquet(path)
-    return path
+    return path, str(-(-files // 4))
 
 
 def stream_cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
     """The log in four micro-batches against stored rows; equals the batch result."""
     base = scratch_dir(spark, "refresh")
-    snapshot = Snapshot(spark, f"{base}/state", EVENT_ROW, EVENT_KEYS, BUCKETS)
+    snapshot = Snapshot(spark, f"{base}/state", EVENT_ROW, EVENT_KEYS, _buckets(spark))
     snapshot.load(derived.stored_accounts(spark, sf))
-    path = _stored_log(spark, derived.change_log(spark, sf, HOUR_MS))
-    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger="2")
+    path, quarter = _stored_log(spark, derived.change_log(spark, sf, HOUR_MS))
+    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
     refresh = Refresh(snapshot, EVENT_ROW, EVENT_KEYS, dead_letter_path=f"{base}/dead")
     run_refresh(changes, refresh, f"{base}/checkpoint").awaitTermination()
     return snapshot.read()
 
 
-def _stream_statements(spark: SparkSession, sf: str) -> tuple[Indicators, Averages]:
+def _stream_statements(spark: SparkSession, sf: str, load: bool = False) -> tuple[Indicators, Averages]:
+    """Follow-up tables after the log; with ``load``, stored rows (open
+    lines') came first and the log has the finished lines'."""
     base = scratch_dir(spark, "follow")
-    row = statement_schema()
-    snapshot = Snapshot(spark, f"{base}/state", row, KEYS, BUCKETS, bucket_by=[COMPANY])
-    indicators = Indicators(spark, f"{base}/indicators", row, BUCKETS)
-    averages = Averages(spark, f"{base}/averages", buckets=BUCKETS)
-    path = _stored_log(spark, derived.statement_log(derived.statements(spark, sf)), files=4)
-    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger="2")
-    refresh = Refresh(snapshot, row, KEYS, after=[indicators, averages])
+    row, buckets = statement_schema(), _buckets(spark)
+    snapshot = Snapshot(spark, f"{base}/state", row, KEYS, buckets, bucket_by=[COMPANY])
+    if load:
+        snapshot.load(derived.statements(spark, sf, "O"))
+    indicators = Indicators(spark, f"{base}/indicators", row, buckets)
+    averages = Averages(spark, f"{base}/averages", buckets=buckets, scale=4)
+    sent = derived.statements(spark, sf, "F" if load else None)
+    path, quarter = _stored_log(spark, derived.statement_log(sent))
+    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
+    refresh = Refresh(snapshot, row, KEYS, keep_versions=4, after=[indicators, averages])
     run_refresh(changes, refresh, f"{base}/checkpoint").awaitTermination()
     return indicators, averages
 
 
-def stream_indicators(spark: SparkSession, sf: str) -> DataFrame:
-    return _stream_statements(spark, sf)[0].read()
+def stream_indicators(spark: SparkSession, sf: str, load: bool = False) -> DataFrame:
+    return _stream_statements(spark, sf, load)[0].read()
 
 
-def stream_averages(spark: SparkSession, sf: str) -> DataFrame:
-    return _stream_statements(spark, sf)[1].average(digits=2)
+def stream_averages(spark: SparkSession, sf: str, load: bool = False) -> DataFrame:
+    return _stream_statements(spark, sf, load)[1].average(digits=2)
+
+
+def snapshot_rebucket_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored rows in one bucket layout, moved to another, then the log, then folded."""
+    buckets = _buckets(spark)
+    snapshot = Snapshot(spark, scratch_dir(spark, "snapshot"), EVENT_ROW, EVENT_KEYS, buckets)
+    snapshot.load(derived.stored_accounts(spark, sf))
+    snapshot.rebucket(2 * buckets + 1)
+    snapshot.apply(decode_changes(derived.change_log(spark, sf), EVENT_ROW, EVENT_KEYS))
+    snapshot.fold(after=0)
+    rows = snapshot.read()
+    assert_unique(rows, EVENT_KEYS)
+    return rows
 
 
 _STMT = sql.stmt()
+# Rows of the log win over stored rows of the same key.
+_BOTH = f"""{sql.stmt('f', 'F')}, {sql.stmt('o', 'O')}, stmt as (
+  select * from f union all select o.* from o anti join f on o.date = f.date and o.company_name = f.company_name)"""
 _MEANS = ", ".join(
     sql.rounded(f"cast(sum(cast({m} as decimal(28,4))) as double) / nullif(count({m}), 0)")
     + f" as {m}"
@@ -149,6 +174,10 @@ QUERIES = {
         lambda s, d: snapshot_upsert_roundtrip(s, d, "coalesce"),
         f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('coalesce')}""",
     ),
+    "snapshot_rebucket_roundtrip": (
+        snapshot_rebucket_roundtrip,
+        f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('replace')}""",
+    ),
     "csv_report": (
         csv_report,
         f"with {_STMT} select date, {_MEANS} from stmt group by date",
@@ -177,6 +206,15 @@ QUERIES = {
         f"""with {_STMT}, {sql.with_lags('lagged', 'stmt')}
         select * exclude (prev_sales, prev_net_profit), {sql.indicator_columns()} from lagged""",
     ),
+    "stream_indicators_after_load": (
+        lambda s, d: stream_indicators(s, d, load=True),
+        f"""with {_BOTH}, {sql.with_lags('lagged', 'stmt')}
+        select * exclude (prev_sales, prev_net_profit), {sql.indicator_columns()} from lagged""",
+    ),
+    "stream_averages_after_load": (
+        lambda s, d: stream_averages(s, d, load=True),
+        f"with {_BOTH} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",
+    ),
     "stream_averages": (
         stream_averages,
         f"with {_STMT} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",
