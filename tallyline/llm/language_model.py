@@ -33,8 +33,8 @@ END_HASH = np.uint64(0x656E64)
 START_ID = (1 << 32) - 1
 #: Rows of a vocabulary or bigram shard, about.
 SHARD_ROWS = 1_000_000
-#: Text bytes counted at a time in a task.
-COUNT_BYTES = 1 << 23
+#: Text bytes counted at a time in a task; counts of one piece are combined before the shuffle.
+COUNT_BYTES = 1 << 22
 
 
 def shared_path(folder: str) -> str:
@@ -75,11 +75,11 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashes, places
 
 
-def _left(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The id before each token, the start's before a text's first."""
-    left = np.empty_like(ids)
-    left[1:] = ids[:-1]
-    left[places[:-1]] = START_ID
+def _left(values: np.ndarray, places: np.ndarray, start: int) -> np.ndarray:
+    """The value of each token's left neighbour, ``start`` before a text's first."""
+    left = np.empty_like(values)
+    left[1:] = values[:-1]
+    left[places[:-1]] = start
     return left
 
 
@@ -124,10 +124,11 @@ class Stored:
             self.files[name] = np.zeros(0, np.int64) if empty else np.load(path, mmap_mode="r")
         return self.files[name]
 
-    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Ids of words, -1 for those not in the vocabulary."""
+    def words(self, hashes: np.ndarray, figures: tuple[str, ...] = ()) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Ids of words, -1 for those not in the vocabulary, and per-word figures, 0 for them."""
         keys, which = np.unique(hashes, return_inverse=True)
-        found = np.full(len(keys), -1, np.int64)
+        ids = np.full(len(keys), -1, np.int64)
+        out = {name: np.zeros(len(keys), np.int64) for name in figures}
         shards = self.model.word_shard(keys)
         for shard in np.unique(shards):
             mine = np.flatnonzero(shards == shard)
@@ -135,20 +136,10 @@ class Stored:
             if len(held):
                 at = np.minimum(np.searchsorted(held, keys[mine]), len(held) - 1)
                 same = held[at] == keys[mine]
-                found[mine[same]] = at[same] + self.model.first_ids[shard]
-        return found[which]
-
-    def of_words(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """A per-word figure; 0 for unknown words and the start."""
-        some, which = np.unique(ids, return_inverse=True)
-        out = np.zeros(len(some), np.int64)
-        first = np.array(self.model.first_ids)
-        known = np.flatnonzero((some >= 0) & (some < self.model.words))
-        shards = np.searchsorted(first, some[known], "right") - 1
-        for shard in np.unique(shards):
-            mine = known[shards == shard]
-            out[mine] = self.file(f"{name}/{shard}")[some[mine] - first[shard]]
-        return out[which]
+                ids[mine[same]] = at[same] + self.model.first_ids[shard]
+                for name in figures:
+                    out[name][mine[same]] = self.file(f"{name}/{shard}")[at[same]]
+        return ids[which], {name: values[which] for name, values in out.items()}
 
     def pair_counts(self, left: np.ndarray, right: np.ndarray, left_count: np.ndarray) -> np.ndarray:
         """Counts of bigrams of known ids."""
@@ -229,14 +220,14 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for _, _, data, offsets in pieces(batch, most=COUNT_BYTES):
                 hashes, places = _tokens(data, offsets)
-                ids = stored.word_ids(hashes)
-                left = _left(ids, places)
-                keys, n = np.unique(
-                    left.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64), return_counts=True
+                ids, figures = stored.words(hashes, ("word-counts",))
+                keys, first, n = np.unique(
+                    _left(ids, places, START_ID).astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64),
+                    return_index=True,
+                    return_counts=True,
                 )
                 left, right = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(START_ID)).astype(np.int64)
-                count = stored.of_words("word-counts", left)
-                count[left == START_ID] = model.texts
+                count = _left(figures["word-counts"], places, model.texts)[first]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(model.pair_shard(left, right, count).astype(np.int32)),
@@ -363,22 +354,15 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored = _stored(model)
         for batch in batches:
-            for row, stop, data, offsets in pieces(batch, most=COUNT_BYTES):
+            for row, stop, data, offsets in pieces(batch):
                 hashes, places = _tokens(data, offsets)
-                ids = stored.word_ids(hashes)
-                count = stored.of_words("word-counts", ids)
-                before = stored.of_words("before", ids)
-                left = _left(ids, places)
-                starts = left == START_ID
-                seen = np.empty_like(count)
-                seen[1:] = count[:-1]
-                seen[starts] = model.texts
+                ids, figures = stored.words(hashes, ("word-counts", "before", "one", "two", "more"))
+                count = figures["word-counts"]
+                left, seen = _left(ids, places, START_ID), _left(count, places, model.texts)
                 rest = np.zeros(len(ids))
                 for name, d, s in zip(("one", "two", "more"), model.pair_discounts, model.start, strict=True):
-                    kinds = stored.of_words(name, left)
-                    kinds[starts] = s
-                    rest += d * kinds
-                lower = _off(before, model.word_discounts) / max(model.pairs, 1)
+                    rest += d * _left(figures[name], places, s)
+                lower = _off(figures["before"], model.word_discounts) / max(model.pairs, 1)
                 lower += model.word_left / (model.words + 1)
                 both = np.flatnonzero((ids >= 0) & (left >= 0) & (seen > 0))
                 pair = np.zeros(len(ids), np.int64)
