@@ -1,14 +1,17 @@
 """Times the headline queries and prints one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores.  A query's time
-is the smaller of two full runs into a sink that discards rows.
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores, ``BENCH_REPEATS`` the
+runs of each query after one that warms up.  A query's time is the median of full runs
+into a sink that discards rows; scratch tables go to one shared folder.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,13 +47,16 @@ def run(query, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINES
-    spark = local_session("bench", cpus, shuffle_partitions=cpus)
     seconds = {}
-    for name in names:
-        query = REGISTRY[name][0]
-        seconds[name] = round(min(run(query, spark, sf_dir) for _ in range(2)), 3)
-    spark.stop()
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        spark = local_session("bench", cpus, shuffle_partitions=cpus, spark_checkpoint_dir=shared)
+        for name in names:
+            query = REGISTRY[name][0]
+            run(query, spark, sf_dir)
+            seconds[name] = round(statistics.median(run(query, spark, sf_dir) for _ in range(repeats)), 3)
+        spark.stop()
     print(
         json.dumps(
             {
@@ -58,6 +64,8 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "cores": cpus,
+                "repeats": repeats,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -23,8 +23,9 @@ from tallyline.functions.periods import period_order
 from tallyline.operators.filters import complete_rows, exclude_prefix, order_statements
 from tallyline.schema import COMPANY, MEASURES, PERIOD, statement_schema, whole_number_schema
 from tallyline.sinks import Snapshot, write_csv, write_single_csv
-from tallyline.sources import read_changes
-from tallyline.streaming import Averages, FollowUp, Indicators, Refresh, run_refresh
+from tallyline.sinks.jdbc import jdbc_executor
+from tallyline.sources import read_changes, read_state_jdbc
+from tallyline.streaming import Averages, DatabaseCopy, FollowUp, Indicators, Refresh, run_refresh
 
 KINDS = ("average", "company", "indicators")
 
@@ -43,6 +44,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep-versions", type=int, default=10)
     parser.add_argument("--csv", help="folder for a CSV copy of the result, written at the end")
     parser.add_argument("--load", help="stored rows to start a new state from: folder or table")
+    parser.add_argument("--jdbc-url", help="database that gets the state's rows after each commit")
+    parser.add_argument("--jdbc-table", help="its table; also what a new state starts from")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     return parser.parse_args(argv)
 
 
@@ -82,10 +86,17 @@ def start(spark: SparkSession, args: argparse.Namespace) -> tuple[StreamingQuery
     elif args.kind == "average":
         follow = Averages(spark, f"{args.base}/averages", buckets=args.buckets)
     after: list[Callable[[Snapshot, int], None]] = [follow] if follow else []
-    if args.load and not state.version():
-        # Without an event the tables that follow would wait for the first one.
-        stored = spark.read.parquet(args.load) if "/" in args.load else spark.table(args.load)
+    jdbc = dict(o.split("=", 1) for o in args.jdbc_option)
+    if args.jdbc_url:
+        execute = jdbc_executor(spark, args.jdbc_url, **jdbc)
+        after.append(DatabaseCopy(args.jdbc_url, args.jdbc_table, execute, **jdbc))
+    if (args.load or args.jdbc_url) and not state.version():
+        if not args.load:
+            stored = read_state_jdbc(spark, args.jdbc_url, args.jdbc_table, **jdbc)
+        else:
+            stored = spark.read.parquet(args.load) if "/" in args.load else spark.table(args.load)
         version = state.load(stored)
+        # Without an event the tables that follow would wait for the first one.
         for step in after:
             step(state, version)
     options = dict(o.split("=", 1) for o in args.option)

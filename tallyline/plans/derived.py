@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tallyline.functions.periods import period_order
 from tallyline.operators.extract import PROFIT_LOSS
 from tallyline.schema import COMPANY, MEASURES, PERIOD, TRAILING_PREFIX
+from tallyline.sinks.workspace import scratch_dir
 
 TRAILING_SINCE = "2001-07-01"
 
@@ -103,15 +104,22 @@ def statements(
         lines = lines.filter(F.col("l_linestatus") == line_status)
     exprs = _line_measures()
     lines = lines.select("l_orderkey", *[exprs[m].alias(m) for m in measures])
-    per_order = lines.groupBy("l_orderkey").agg(*[F.sum(m).alias(m) for m in measures])
+    return _per_period(spark, sf_dir, lines, measures)
+
+
+def _per_period(
+    spark: SparkSession, sf_dir: str, lines: DataFrame, measures: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Statement rows of line measures, apart for each ``by``."""
+    per_order = lines.groupBy("l_orderkey", *by).agg(*[F.sum(m).alias(m) for m in measures])
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     year = F.concat(F.lit("Mar "), F.year("o_orderdate").cast("string"))
     recent = F.col("o_orderdate") >= F.lit(TRAILING_SINCE).cast("timestamp_ntz")
     labels = F.when(recent, F.array(year, F.lit(TRAILING_PREFIX))).otherwise(F.array(year))
     joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     by_period = (
-        joined.select("o_custkey", F.explode(labels).alias(PERIOD), *measures)
-        .groupBy("o_custkey", PERIOD)
+        joined.select("o_custkey", F.explode(labels).alias(PERIOD), *by, *measures)
+        .groupBy("o_custkey", PERIOD, *by)
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -122,7 +130,24 @@ def statements(
         unit = _UNITS.get(measure)
         return (value / F.lit(float(unit)) if unit else value).alias(measure)
 
-    return named.select(PERIOD, *[in_units(m) for m in measures], F.col("c_name").alias(COMPANY))
+    return named.select(PERIOD, *[in_units(m) for m in measures], F.col("c_name").alias(COMPANY), *by)
+
+
+def both_statements(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Statement rows of finished and of open lines, from one pass over the lines.
+
+    Both sides come from one stored table: a filter on the line status would be pushed
+    down into two scans of everything.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    exprs = _line_measures()
+    status = F.col("l_linestatus")
+    lines = lines.select("l_orderkey", status, *[exprs[m].alias(m) for m in MEASURES])
+    folder = scratch_dir(spark, "statements")
+    _per_period(spark, sf_dir, lines, MEASURES, ["l_linestatus"]).write.partitionBy("l_linestatus").parquet(folder)
+    rows = spark.read.parquet(folder)
+    final, still_open = (rows.filter(status == s).select(PERIOD, *MEASURES, COMPANY) for s in ("F", "O"))
+    return final, still_open
 
 
 EVENT_ROW = T.StructType(

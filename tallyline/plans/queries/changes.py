@@ -55,8 +55,8 @@ def live_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    existing = derived.statements(spark, sf, "F")
-    incoming = derived.blank_zeros(derived.statements(spark, sf, "O"))
+    existing, incoming = derived.both_statements(spark, sf)
+    incoming = derived.blank_zeros(incoming)
     return existing, incoming
 
 

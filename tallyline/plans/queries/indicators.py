@@ -43,8 +43,8 @@ def kpi_statements(spark: SparkSession, sf: str) -> DataFrame:
 
 def kpi_full(spark: SparkSession, sf: str) -> DataFrame:
     """Stored rows (final lines), a change log (open lines), merge, indicators."""
-    stored = derived.statements(spark, sf, "F")
-    log = derived.statement_log(derived.blank_zeros(derived.statements(spark, sf, "O")))
+    stored, sent = derived.both_statements(spark, sf)
+    log = derived.statement_log(derived.blank_zeros(sent))
     return indicator_statement(stored, decode_changes(log, statement_schema(), KEYS))
 
 

@@ -11,6 +11,7 @@ from tallyline.plans import derived
 from tallyline.plans.queries import sql
 from tallyline.plans.refreshes import average_statement, company_statement
 from tallyline.schema import COMPANY, MEASURES, PERIOD, statement_schema
+from tallyline.sinks import scratch_dir
 
 KEYS = [PERIOD, COMPANY]
 SCALE = 4
@@ -41,15 +42,16 @@ def summary_row_per_company(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _refresh_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    stored = derived.statements(spark, sf, "F")
-    log = derived.statement_log(derived.blank_zeros(derived.statements(spark, sf, "O")))
+    stored, sent = derived.both_statements(spark, sf)
+    log = derived.statement_log(derived.blank_zeros(sent))
     return stored, decode_changes(log, statement_schema(), KEYS)
 
 
 def average_refresh(spark: SparkSession, sf: str) -> DataFrame:
     stored, events = _refresh_inputs(spark, sf)
+    store = scratch_dir(spark, "merged")
     return average_statement(
-        stored, events, KEYS, keep_trailing=False, digits=2, scale=SCALE
+        stored, events, KEYS, keep_trailing=False, digits=2, scale=SCALE, store=store
     )
 
 

@@ -28,15 +28,22 @@ def average_statement(
     keep_trailing: bool = True,
     digits: int | None = None,
     scale: int | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Merged rows followed by their average; incomplete rows are left out.
 
+    The rows are named twice; with ``store``, a new folder, they are written there once
+    and read from there, so that the merge runs once.
+
     ``keep_trailing`` leaves trailing-twelve-months rows in the output; they
     never count towards the average.
     """
     merged = merge_state(existing, compact(events, keys), keys, mode, keep_existing)
     if not keep_trailing:
         merged = exclude_prefix(merged)
+    if store:
+        merged.write.parquet(store)
+        merged = existing.sparkSession.read.parquet(store)
     summed = append_summary(merged, measures, digits=digits, scale=scale)
     return complete_rows(summed, [PERIOD, *measures])
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.schema import CONTROL, DELETED
+from tallyline.operators.merge import _check_mode
+from tallyline.schema import CONTROL, DELETED, EVENT_ORDER
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -58,27 +59,29 @@ def merge_table(
 ) -> None:
     """Upserts and deletes in a table whose format supports ``MERGE INTO``.
 
-    ``compacted`` has each key once, with the delete flag; that is what makes
-    the merge unambiguous.
+    ``compacted`` has each key once, with the delete flag; that is what makes the merge
+    unambiguous.  If the target has the control columns, an older event changes nothing
+    and deletes stay as marked rows, so a late event cannot revive a key; without them the
+    later call wins.
     """
-    columns = [c for c in compacted.columns if c not in CONTROL]
-    matched = reduce(and_, [F.col(f"{table}.{k}") == F.col(f"change.{k}") for k in keys])
+    _check_mode(mode)
+    versioned = set(CONTROL) <= set(compacted.sparkSession.table(table).columns)
+    columns = [c for c in compacted.columns if versioned or c not in CONTROL]
+    same_key = reduce(and_, [F.col(f"{table}.{k}") == F.col(f"change.{k}") for k in keys])
+    deleted = F.col(f"change.{DELETED}")
     fresh = {c: F.col(f"change.{c}") for c in columns}
+    updated = {c: v for c, v in fresh.items() if c not in keys}
     if mode == "coalesce":
-        updated = {c: F.coalesce(F.col(f"change.{c}"), F.col(f"{table}.{c}")) for c in columns}
+        kept = {c: F.coalesce(v, F.col(f"{table}.{c}")) for c, v in updated.items() if c not in CONTROL}
+        updated |= {c: F.when(deleted, fresh[c]).otherwise(v) for c, v in kept.items()}
+    merge = compacted.alias("change").mergeInto(table, same_key)
+    if versioned:
+        order = [F.struct(*[F.col(f"{side}.{c}") for c in EVENT_ORDER]) for side in ("change", table)]
+        merge = merge.whenMatched(order[0] >= order[1]).update(updated).whenNotMatched().insert(fresh)
     else:
-        updated = fresh
-    (
-        compacted.alias("change")
-        .mergeInto(table, matched)
-        .whenMatched(F.col(f"change.{DELETED}"))
-        .delete()
-        .whenMatched()
-        .update({c: v for c, v in updated.items() if c not in keys})
-        .whenNotMatched(~F.col(f"change.{DELETED}"))
-        .insert(fresh)
-        .merge()
-    )
+        merge = merge.whenMatched(deleted).delete().whenMatched().update(updated)
+        merge = merge.whenNotMatched(~deleted).insert(fresh)
+    merge.merge()
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

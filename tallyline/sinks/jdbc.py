@@ -1,14 +1,26 @@
 """Database sinks.
 
-Rows go from the tasks to the database; the driver only sends one statement for
-an upsert.  Connection settings, credentials included, are the caller's options.
+Rows go from the tasks to the database; the driver only sends statements.  Connection
+settings, credentials included, are the caller's options.  Rows are staged in a table of
+a fresh name, so calls do not meet, and staging goes with the statement that uses it.
+The target itself is never created or replaced by a write: its key, defaults and grants
+stay.  Statements are in the dialect of ``ON CONFLICT`` databases.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+#: Column types of the database for Spark's (fixed values).
+_TYPES = {
+    "string": "TEXT", "double": "DOUBLE PRECISION", "float": "REAL", "bigint": "BIGINT", "int": "INTEGER",
+    "smallint": "SMALLINT", "tinyint": "SMALLINT", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMPTZ",
+    "timestamp_ntz": "TIMESTAMP", "binary": "BYTEA",
+}
 
 
 def _write(df: DataFrame, url: str, table: str, mode: str, options: dict[str, str]) -> None:
@@ -17,6 +29,38 @@ def _write(df: DataFrame, url: str, table: str, mode: str, options: dict[str, st
     ).save()
 
 
+def _staging(table: str) -> str:
+    return f"{table}_{uuid.uuid4().hex[:12]}"
+
+
+def jdbc_executor(spark: SparkSession, url: str, **options: str) -> Callable[[str], None]:
+    """Sends one statement at a time over a connection of its own, from the driver."""
+
+    def execute(statement: str) -> None:
+        settings = spark._jvm.java.util.Properties()
+        for key, value in options.items():
+            settings.setProperty(key, value)
+        connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+        try:
+            connection.createStatement().execute(statement)
+        finally:
+            connection.close()
+
+    return execute
+
+
+def table_statement(table: str, schema: T.StructType, keys: Sequence[str]) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` with the schema's types and a primary key."""
+
+    def column(f: T.StructField) -> str:
+        name = f.dataType.simpleString()
+        kind = name.replace("decimal", "NUMERIC") if name.startswith("decimal") else _TYPES[name]
+        return f"{f.name} {kind}{' NOT NULL' if f.name in keys else ''}"
+
+    columns = ", ".join(column(f) for f in schema.fields)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({columns}, PRIMARY KEY ({', '.join(keys)}))"
+
+
 def append_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     _write(df, url, table, "append", options)
 
@@ -24,22 +68,21 @@ def append_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
 def overwrite_jdbc(
     df: DataFrame, url: str, table: str, execute: Callable[[str], None], **options: str
 ) -> None:
-    """Replaces the table through a staging table.
+    """Replaces the table's rows through a staging table, in one transaction.
 
-    ``df`` may read the very table it replaces, so that stays untouched until
-    the new rows are complete.  ``execute`` runs one statement in the database;
-    drop and rename go out as one transaction block.
+    ``df`` may read the very table it replaces, so that stays untouched until the new
+    rows are complete.  ``execute`` runs one text of statements in the database.
     """
-    staging = f"{table}_new"
+    staging = _staging(table)
     _write(df, url, staging, "overwrite", options)
-    execute(swap_statement(table, staging))
+    execute(replace_statement(table, staging, df.columns))
 
 
-def swap_statement(table: str, staging: str) -> str:
-    bare = table.rsplit(".", 1)[-1]
+def replace_statement(table: str, staging: str, columns: Sequence[str]) -> str:
+    names = ", ".join(columns)
     return (
-        f"BEGIN; DROP TABLE IF EXISTS {table}; "
-        f"ALTER TABLE {staging} RENAME TO {bare}; COMMIT;"
+        f"BEGIN; DELETE FROM {table}; INSERT INTO {table} ({names}) SELECT {names} FROM {staging}; "
+        f"DROP TABLE {staging}; COMMIT;"
     )
 
 
@@ -73,14 +116,13 @@ def upsert_jdbc(
 ) -> None:
     """Keyed upsert: parallel write to a staging table, then one statement.
 
-    ``removed`` holds keys to delete; they are staged the same way.  Staging is
-    overwritten on each call and both statements are repeatable, so a failed
-    call can simply run again.
+    ``removed`` holds keys to delete; they are staged the same way and go in the same
+    transaction.  All of it is repeatable, so a failed call can simply run again.
     """
-    staging = f"{table}_staging"
+    staging, gone = _staging(table), _staging(table)
     _write(df, url, staging, "overwrite", options)
-    execute(upsert_statement(table, staging, df.columns, keys))
+    statements = [upsert_statement(table, staging, df.columns, keys), f"DROP TABLE {staging}"]
     if removed is not None:
-        gone = f"{table}_removed"
         _write(removed.select(*keys), url, gone, "overwrite", options)
-        execute(delete_statement(table, gone, keys))
+        statements += [delete_statement(table, gone, keys), f"DROP TABLE {gone}"]
+    execute(f"BEGIN; {'; '.join(statements)}; COMMIT;")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,9 @@ from tallyline.functions.numbers import exact_parts, round_to
 from tallyline.functions.periods import is_trailing
 from tallyline.operators.filters import exclude_prefix
 from tallyline.operators.indicators import STANDARD, Spec, with_indicators
-from tallyline.schema import AVERAGE_LABEL, COMPANY, MEASURES, PERIOD
+from tallyline.operators.merge import live_rows
+from tallyline.schema import AVERAGE_LABEL, COMPANY, DELETED, MEASURES, PERIOD
+from tallyline.sinks.jdbc import table_statement, upsert_jdbc
 from tallyline.sinks.snapshot import BucketedTable, Snapshot
 
 
@@ -121,6 +123,27 @@ class Averages(FollowUp):
         return summed.select(F.lit(AVERAGE_LABEL).alias(PERIOD), *self.measures)
 
 
+class DatabaseCopy:
+    """Keeps a keyed database table equal to the snapshot's live rows.
+
+    A commit's buckets are upserted and their delete markers removed.  The first step of
+    a program sends every bucket, so that rows loaded, or sent while the database was
+    away, arrive; sending a bucket again changes nothing.
+    """
+
+    def __init__(self, url: str, table: str, execute: Callable[[str], None], **options: str):
+        self.url, self.table, self.execute, self.options = url, table, execute, options
+        self.sent = 0
+
+    def __call__(self, snapshot: Snapshot, version: int) -> None:
+        if not self.sent:
+            self.execute(table_statement(self.table, snapshot.row, snapshot.keys))
+        rows = snapshot.rows(version, only=snapshot.manifest(version).since(self.sent))
+        gone = rows.filter(F.col(DELETED)).select(*snapshot.keys)
+        upsert_jdbc(live_rows(rows), self.url, self.table, snapshot.keys, self.execute, gone, **self.options)
+        self.sent = version
+
+
 class _ByNumber(BucketedTable):
     """Rows that name their bucket themselves."""
 

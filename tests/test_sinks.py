@@ -22,9 +22,10 @@ from tallyline.sinks import (
     write_csv,
     write_single_csv,
 )
-from tallyline.sinks.jdbc import delete_statement, overwrite_jdbc, swap_statement
+from tallyline.sinks.jdbc import delete_statement, overwrite_jdbc, replace_statement, table_statement
 from tallyline.sinks.snapshot import BucketedTable
 from tallyline.sources import read_state_jdbc, read_statements_csv
+from tallyline.streaming import DatabaseCopy
 
 
 def snapshot(spark, path, **options):
@@ -63,9 +64,13 @@ def test_merge_needs_a_format_that_supports_it(spark):
     """No such format here: the statement resolves and is then refused."""
     create_table(spark, "t_plain", ROW)
     batch = events(spark, [("a", 1.0, 1.0, 1, 0, 1, False)])
-    for mode in ("replace", "coalesce"):
-        with pytest.raises(Exception, match="MERGE INTO"):
-            merge_table(batch, "t_plain", ["k"], mode)
+    create_table(spark, "t_versioned", state_schema(ROW))
+    for table in ("t_plain", "t_versioned"):
+        for mode in ("replace", "coalesce"):
+            with pytest.raises(Exception, match="MERGE INTO"):
+                merge_table(batch, table, ["k"], mode)
+    with pytest.raises(ValueError, match="mode"):
+        merge_table(batch, "t_plain", ["k"], "other")
 
 
 def test_snapshot_upserts_deletes_and_versions(spark, tmp_path):
@@ -242,24 +247,54 @@ def test_upsert_text():
     assert delete_statement("t", "g", ["k", "c"]) == (
         "DELETE FROM t t USING g s WHERE t.k = s.k AND t.c = s.c"
     )
-    assert "RENAME TO t;" in swap_statement("s.t", "s.t_new")
+    assert replace_statement("s.t", "s.g", ["k", "a"]) == (
+        "BEGIN; DELETE FROM s.t; INSERT INTO s.t (k, a) SELECT k, a FROM s.g; DROP TABLE s.g; COMMIT;"
+    )
+    assert table_statement("s.t", statement_schema(), ["date", "company_name"]).startswith(
+        "CREATE TABLE IF NOT EXISTS s.t (date TEXT NOT NULL, sales DOUBLE PRECISION, "
+    )
+    assert table_statement("t", ROW, ["k"]).endswith(", PRIMARY KEY (k))")
 
 
-def test_upsert_stages_rows_then_sends_one_statement(spark, monkeypatch):
-    """No database here: the write is recorded instead of sent."""
+@pytest.fixture()
+def database(monkeypatch):
+    """No database here: writes and statements are recorded instead of sent."""
     from tallyline.sinks import jdbc
 
     sent, staged = [], []
     monkeypatch.setattr(
-        jdbc, "_write", lambda df, url, table, mode, options: staged.append((table, mode, df.count()))
+        jdbc, "_write", lambda df, url, table, mode, options: staged.append((table, mode, rows_of(df)))
     )
+    return sent, staged
+
+
+def test_upsert_stages_rows_then_sends_one_transaction(spark, database):
+    sent, staged = database
     df = state(spark, [("a", 1.0, 1.0), ("b", 1.0, 1.0)])
     gone = state(spark, [("c", None, None)])
-    upsert_jdbc(df, "jdbc:x", "t", ["k"], sent.append, removed=gone, user="u")
-    assert staged == [("t_staging", "overwrite", 2), ("t_removed", "overwrite", 1)]
-    assert [s.split()[0] for s in sent] == ["INSERT", "DELETE"]
+    for _ in range(2):
+        upsert_jdbc(df, "jdbc:x", "t", ["k"], sent.append, removed=gone, user="u")
+    assert [(mode, len(rows)) for _, mode, rows in staged] == [("overwrite", 2), ("overwrite", 1)] * 2
+    # Calls never share a staging table, and each drops its own.
+    assert len({table for table, *_ in staged}) == 4
+    assert [s.split()[0] for s in sent[0].split("; ")] == ["BEGIN", "INSERT", "DROP", "DELETE", "DROP", "COMMIT;"]
+    assert all(table in sent[i // 2] for i, (table, *_) in enumerate(staged))
     overwrite_jdbc(df, "jdbc:x", "t", sent.append)
-    assert staged[-1] == ("t_new", "overwrite", 2) and "DROP TABLE" in sent[-1]
+    assert staged[-1][1] == "overwrite" and "DROP TABLE t;" not in sent[-1] and "DELETE FROM t;" in sent[-1]
+
+
+def test_database_copy_follows_the_snapshot(spark, tmp_path, database):
+    sent, staged = database
+    snap = snapshot(spark, tmp_path / "s")
+    snap.load(state(spark, [("a", 1.0, 1.0), ("b", 2.0, 2.0)]))
+    version = snap.apply(events(spark, [("b", None, None, 1, 0, 1, True)]))
+    copy = DatabaseCopy("jdbc:x", "t", sent.append)
+    copy(snap, version)
+    assert sent[0].startswith("CREATE TABLE IF NOT EXISTS t (k TEXT NOT NULL")
+    assert [rows for *_, rows in staged] == [[("a", 1.0, 1.0)], [("b",)]]
+    version = snap.apply(events(spark, [("n", 5.0, 5.0, 2, 0, 2, False)]))
+    copy(snap, version)
+    assert ("n", 5.0, 5.0) in staged[2][2] and len(sent) == 3
 
 
 def test_partitioned_jdbc_reads_need_bounds(spark):
