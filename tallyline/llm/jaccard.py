@@ -8,13 +8,15 @@ difference.  For two sets of ``s`` shingles together, a similarity of ``percent`
 sketch has ``D + 1 + spare`` words, so linked sets agree in at least ``1 + spare`` of them
 (pigeonhole), and only sets that agree in a word are candidates.
 
-The spare words let a set leave out words that say little without losing a link: its
-empty words and its words that very many sets share (a common passage), as long as they
-are no more than the spare ones.  Sets with more of them keep them all.
+The spare words make this sharper: with ``t`` agreeing words certain, every set may
+leave out its ``t - 1`` most frequent words (in one order for all sets) and still shares
+one of the others.  Words of a common passage are left out that way, and sets that share
+only a few words with others have none left.
 
 Candidates of a word first meet only its smallest member (a star, not all pairs);
 connected members need no more comparing.  Then members still in different components
-meet.  Candidates are verified on the real shingle sets.
+meet.  Pairs whose bit sketches are further apart than their sizes allow are out; the
+rest is verified on the real shingle sets.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +33,11 @@ from tallyline.llm.components import components
 from tallyline.llm.words import Words, mixed, pieces
 from tallyline.sinks.workspace import scratch_dir
 
-#: Members from which a word counts as one that very many sets share.
-COMMON = 32
+#: A word's members meet by a join up to this number, beyond it chunk by chunk.
+FEW_MEMBERS = 32
+CHUNK_MEMBERS = 1024
+#: 64-bit words of the bit sketch that pairs are held against before the sets are.
+SKETCH_WORDS = 16
 
 
 def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +61,7 @@ def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
 class Bands:
     """Size bands, each with its allowed difference, sketch length and spare words."""
 
-    def __init__(self, percent: int, ratio: float = 1.6) -> None:
+    def __init__(self, percent: int, ratio: float = 1.3) -> None:
         self.percent = percent
         least = 1
         while not self._linkable(least):
@@ -76,7 +82,7 @@ class Bands:
         """Sketch words and spare words of a band."""
         most = self.edges[band + 1] - 1
         differ = (100 - self.percent) * (most + self.reach(most)) // (100 + self.percent)
-        spare = 2 + differ // 10
+        spare = 2 + differ // 6
         return differ + 1 + spare, spare
 
     def of(self, n: int) -> list[int]:
@@ -90,7 +96,7 @@ class Bands:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, text checksum, set size and 128-bit set hash of every document."""
+    """``doc_id``, text checksum, set size, 128-bit set hash and bit sketch of every document."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,6 +104,12 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 hashes, places = shingle_sets(Words(data, offsets, lower=True), size)
                 sums = [np.append(np.uint64(0), np.cumsum(mixed(hashes ^ np.uint64(c)))) for c in (1, 2)]
                 s1, s2 = (mixed(t[places[1:]] - t[places[:-1]]) for t in sums)
+                bits = mixed(hashes ^ np.uint64(5))
+                sketch = np.zeros((stop - row) * SKETCH_WORDS, np.uint64)
+                owner = np.repeat(np.arange(stop - row), np.diff(places))
+                at = owner * SKETCH_WORDS + (bits >> np.uint64(32)).astype(np.int64) % SKETCH_WORDS
+                np.bitwise_xor.at(sketch, at, np.uint64(1) << (bits & np.uint64(63)))
+                ends = pa.array(np.arange(stop - row + 1, dtype=np.int32) * SKETCH_WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, stop - row),
@@ -105,11 +117,12 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(np.diff(places), pa.int64()),
                         pa.array(s1.view(np.int64)),
                         pa.array(s2.view(np.int64)),
+                        pa.ListArray.from_arrays(ends, pa.array(sketch.view(np.int64))),
                     ],
-                    ["doc_id", "_c", "n_shingles", "s1", "s2"],
+                    ["doc_id", "_c", "n_shingles", "s1", "s2", "sketch"],
                 )
 
-    return docs.mapInArrow(emit, "doc_id long, _c int, n_shingles long, s1 long, s2 long")
+    return docs.mapInArrow(emit, "doc_id long, _c int, n_shingles long, s1 long, s2 long, sketch array<long>")
 
 
 def _sketch_words(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -167,7 +180,7 @@ def _sketch_words(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _candidate_words(words: DataFrame) -> DataFrame:
-    """Words with two members or more, without those that sets may leave out."""
+    """Words with two members or more, and their number of rows ``n``."""
     by_key = Window.partitionBy("key")
     met = (
         words.withColumn("hub", F.min("s1").over(by_key))
@@ -177,6 +190,54 @@ def _candidate_words(words: DataFrame) -> DataFrame:
     return met.withColumn("n", F.count(F.lit(1)).over(by_key)).select("key", "s1", "band", "spare", "n")
 
 
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` that sizes and bit sketches allow to be linked."""
+    one = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("x"))
+    other = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("y"))
+    apart = F.aggregate(
+        F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    least = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    near = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    return pairs.join(one, "a").join(other, "b").where(least).where(near).select("a", "b")
+
+
+def _screened(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of one word's members in different components that sizes and bit
+    sketches allow to be linked.
+
+    Members of a word are dealt to chunks, and every two chunks of a word meet in a group
+    of bounded size, where sketches are compared as arrays; only possible pairs leave it.
+    """
+    rows = placed.join(classes.select("node", "n_shingles", "sketch"), "node")
+    chunks = F.ceil(F.col("_n") / CHUNK_MEMBERS).cast("int")
+    rows = rows.withColumn("_mine", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    rows = rows.withColumn("_i", F.least("_mine", "_other")).withColumn("_j", F.greatest("_mine", "_other"))
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        nodes, sizes = part["node"].to_numpy(), part["n_shingles"].to_numpy()
+        parts, mine = part["component"].to_numpy(), part["_mine"].to_numpy()
+        sketch = np.stack(part["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+        left = np.flatnonzero(mine == part["_i"].iloc[0])
+        right = np.flatnonzero(mine == part["_j"].iloc[0])
+        found = [np.zeros((0, 2), np.int64)]
+        for i in left:
+            able = right[(parts[right] != parts[i])]
+            small, large = np.minimum(sizes[able], sizes[i]), np.maximum(sizes[able], sizes[i])
+            able = able[100 * small >= percent * large]
+            apart = np.bitwise_count(sketch[able] ^ sketch[i]).sum(1, dtype=np.int64)
+            able = able[apart * (100 + percent) <= (sizes[able] + sizes[i]) * (100 - percent)]
+            a, b = np.minimum(nodes[able], nodes[i]), np.maximum(nodes[able], nodes[i])
+            found.append(np.column_stack([a, b]))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    columns = ["key", "node", "component", "n_shingles", "sketch", "_mine", "_i", "_j"]
+    groups = rows.select(*columns).groupBy("key", "_i", "_j")
+    return groups.applyInPandas(meet, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` of set representatives that are linked.
 
@@ -205,9 +266,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     )
 
 
-def similar_documents(
-    docs: DataFrame, size: int = 4, percent: int = 85, common: int = COMMON
-) -> DataFrame:
+def similar_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document.
 
     A document's set holds the distinct shingles of ``size`` lower-cased words of its whole
@@ -225,107 +284,60 @@ def similar_documents(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("_c", F.expr("cast(crc32(text) - 2147483648 as int)"))
 
-    _sets(keyed, size).write.parquet(f"{base}/sets")
-    sets = spark.read.parquet(f"{base}/sets")
-    classes = (
-        sets.where("n_shingles > 0 and doc_id is not null")
-        .groupBy("s1", "s2", "n_shingles")
-        .agg(F.min(F.struct("doc_id", "_c")).alias("rep"))
-        .select("s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep._c").alias("_c"))
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    sets = stored(_sets(keyed, size), "sets")
+    known = sets.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "_c", "sketch")).alias("rep"))
+    classes = classes.select(
+        "s1", "s2", "n_shingles", F.col("rep.doc_id").alias("node"), F.col("rep._c").alias("_c"), "rep.sketch"
     )
-    classes.write.parquet(f"{base}/classes")
-    classes = spark.read.parquet(f"{base}/classes")
+    classes = stored(classes, "classes")
 
     words = _sketch_words(keyed.where("doc_id is not null"), size, percent)
-    _candidate_words(words).write.parquet(f"{base}/words")
-    met = spark.read.parquet(f"{base}/words").distinct()
-    # a set may leave out common words, if they are no more than its spare ones
-    load = met.groupBy("s1", "band").agg(
-        F.sum(F.expr(f"int(n > {common})")).alias("_common"), F.min("spare").alias("_spare")
-    )
-    few = load.where("_common > 0 and _common <= _spare").select("s1", "band", F.lit(True).alias("_leaves"))
-    left = met.join(few, ["s1", "band"], "left").where(f"_leaves is null or n <= {common}")
-    names = classes.select("s1", "node")
-    left.join(names, "s1").select("key", "band", "spare", "n", "node").write.parquet(f"{base}/left")
-    left = spark.read.parquet(f"{base}/left")
+    met = stored(_candidate_words(words), "words").distinct()
+    often = Window.partitionBy("s1", "band").orderBy(F.desc("n"), "key")
+    left = met.withColumn("_often", F.row_number().over(often)).where("_often > spare")
+    left = stored(left.select("key", "s1").join(classes.select("s1", "node"), "s1").select("key", "node"), "left")
 
     hubs = left.groupBy("key").agg(F.min("node").alias("a"))
     stars = left.join(hubs, "key").where("a < node").select("a", F.col("node").alias("b")).distinct()
-    stars.write.parquet(f"{base}/stars")
-    stars = spark.read.parquet(f"{base}/stars")
-
-    involved = left.select("node").distinct().join(classes.select("node", "_c"), "node")
-    texts = keyed.withColumnRenamed("doc_id", "node").join(involved, ["node", "_c"], "left_semi")
-    texts.dropDuplicates(["node"]).select("node", "text").write.parquet(f"{base}/texts")
-    texts = spark.read.parquet(f"{base}/texts")
-
-    _verified(stars, texts, size, percent).write.parquet(f"{base}/links-1")
-    links = spark.read.parquet(f"{base}/links-1")
+    stars = stored(_possible(stars, classes, percent), "stars")
+    links = stored(_verified(stars, _texts(keyed, classes, stars), size, percent), "links-1")
     labels = components(links)
 
     # members of one word in different components have not all met
     placed = left.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_words = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.max("n").alias("_n"))
-        .where("_x < _y and _n > 2")
-        .select("key")
+    unlike = placed.groupBy("key").agg(
+        F.min("component").alias("_x"), F.max("component").alias("_y"), F.count(F.lit(1)).alias("_n")
+    )
+    placed = stored(placed.join(unlike.where("_x < _y and _n > 2").select("key", "_n"), "key"), "placed")
+    few = placed.where(F.col("_n") <= FEW_MEMBERS)
+    one = few.select("key", F.col("node").alias("a"), F.col("component").alias("_one"))
+    other = few.select("key", F.col("node").alias("b"), F.col("component").alias("_other"))
+    near = one.join(other, "key").where("a < b and _one != _other").select("a", "b").distinct()
+    near = _possible(near, classes, percent).unionByName(
+        _screened(placed.where(F.col("_n") > FEW_MEMBERS), classes, percent)
     )
-    placed.join(mixed_words, "key").write.parquet(f"{base}/mixed")
-    met = spark.read.parquet(f"{base}/mixed")
-    far = _meetings(met, common).join(stars, ["a", "b"], "left_anti")
-    far.write.parquet(f"{base}/pairs-2")
-    _verified(spark.read.parquet(f"{base}/pairs-2"), texts, size, percent).write.parquet(f"{base}/links-2")
-    more = spark.read.parquet(f"{base}/links-2")
-    if not more.isEmpty():
+    far = stored(near.distinct().join(stars, ["a", "b"], "left_anti"), "pairs-2")
+    if not far.isEmpty():
+        more = stored(_verified(far, _texts(keyed, classes, far), size, percent), "links-2")
         labels = components(links.unionByName(more))
 
     ends = classes.join(labels, "node", "left").select(
         "s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
-    known = sets.where("n_shingles > 0 and doc_id is not null").join(ends, ["s1", "s2", "n_shingles"])
-    alone = sets.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "_c", "n_shingles", "component_id"]
-    return known.select(*columns).unionByName(alone.select(*columns))
-
+    linked = known.join(ends, ["s1", "s2", "n_shingles"]).select(*columns)
+    alone = sets.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    return linked.unionByName(alone.select(*columns))
 
-def _meetings(met: DataFrame, common: int) -> DataFrame:
-    """Pairs of one word's members in different components, each pair once.
 
-    In words of few members all such pairs meet.  In common words only components that
-    share more such words than their members could leave out can hold a link.
-    """
-    cols = ["key", "band", "node", "component", "spare"]
-
-    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        one = rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_a") for c in cols])
-        return one, rows.select(*[F.col(c).alias(c if c == "key" else f"{c}_b") for c in cols])
-
-    def pairs(one: DataFrame, other: DataFrame) -> DataFrame:
-        both = one.join(other, "key").where("component_a < component_b")
-        return both.select(
-            F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
-        ).distinct()
-
-    near = pairs(*sides(met.where(F.col("n") <= common)))
-    often = met.where(F.col("n") > common)
-    groups = often.groupBy("key", "band", "component").agg(F.min("spare").alias("spare"))
-    left, right = sides(groups.withColumn("node", F.lit(0)))
-    sharing = (
-        left.join(right, "key")
-        .where("component_a < component_b")
-        .groupBy("band_a", "component_a", "component_b")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(F.least("spare_a", "spare_b")).alias("_spare"))
-        .where("_n > _spare")
-        .select(F.col("band_a").alias("band"), F.col("component_a").alias("component"), "component_b")
-    )
-    # the component to meet becomes part of the key, so only allowed components are joined
-    one, other = sides(often)
-    asked = one.join(
-        sharing.select(F.col("band").alias("band_a"), F.col("component").alias("component_a"), F.col("component_b").alias("_with")),
-        ["band_a", "component_a"],
-    )
-    wide = asked.join(other.withColumnRenamed("component_b", "_with"), ["key", "_with"]).select(
-        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
-    )
-    return near.unionByName(wide.distinct()).distinct()
+def _texts(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the representatives in ``pairs``."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = nodes.join(classes.select("node", "_c"), "node")
+    texts = keyed.withColumnRenamed("doc_id", "node").join(wanted, ["node", "_c"], "left_semi")
+    return texts.dropDuplicates(["node", "_c"]).select("node", "text")

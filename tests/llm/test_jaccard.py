@@ -7,6 +7,7 @@ import random
 import pytest
 from corpora import awkward_rows, frame, many, sentence
 
+from tallyline.llm import jaccard
 from tallyline.llm.components import components
 from tallyline.llm.jaccard import Bands, similar_documents
 
@@ -51,13 +52,31 @@ def test_awkward_rows(spark):
     assert result(similar_documents(frame(spark, rows), 4, 85)) == expected(rows, 4, 85)
 
 
-@pytest.mark.parametrize(("size", "percent"), [(4, 85), (1, 80), (2, 60), (5, 95)])
-def test_random_corpus(spark, size, percent):
+@pytest.mark.parametrize(("size", "percent", "few"), [(4, 85, 32), (1, 80, 2), (2, 60, 2), (2, 70, 3), (5, 95, 2)])
+def test_random_corpus(spark, monkeypatch, size, percent, few):
+    monkeypatch.setattr(jaccard, "FEW_MEMBERS", few)
+    monkeypatch.setattr(jaccard, "CHUNK_MEMBERS", 3)
     rows = many(130, seed=size)
     found = similar_documents(frame(spark, rows), size, percent)
     assert result(found) == expected(rows, size, percent)
 
 
+def test_family_around_one_text(spark, monkeypatch):
+    """Copies with few or many edits: some are linked through others only, some not at all."""
+    monkeypatch.setattr(jaccard, "FEW_MEMBERS", 4)
+    monkeypatch.setattr(jaccard, "CHUNK_MEMBERS", 20)
+    rng = random.Random(5)
+    first = sentence(rng, 120).split()
+    rows = []
+    for i in range(150):
+        words = first[:]
+        for _ in range(rng.randrange(1, 7)):
+            words[rng.randrange(len(words))] = f"edit{rng.randrange(9)}"
+        rows.append((i, " ".join(words), "en", "s", 1))
+    found = similar_documents(frame(spark, rows), 4, 85)
+    assert result(found) == expected(rows, 4, 85)
+
+
 def test_common_passage_with_few_own_words(spark):
     """Many documents around one passage: sketch words of the passage alone are common."""
     rng = random.Random(8)
