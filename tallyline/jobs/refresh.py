@@ -37,7 +37,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--log-format", default="kafka", choices=["kafka", "parquet", "json", "text"])
     parser.add_argument("--log-path")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    parser.add_argument("--mode", choices=["coalesce", "replace"], default="replace")
+    parser.add_argument("--mode", choices=["coalesce", "fill", "replace"], default="replace")
     parser.add_argument("--whole-numbers", action="store_true", help="money arrives as bigint")
     parser.add_argument("--buckets", type=int, default=64)
     parser.add_argument("--every", help='trigger interval, e.g. "5 seconds"')

@@ -104,14 +104,14 @@ def _stored_log(spark: SparkSession, log: DataFrame) -> tuple[str, str]:
     return path, str(-(-files // 4))
 
 
-def stream_cdc_apply(spark: SparkSession, sf: str) -> DataFrame:
+def stream_cdc_apply(spark: SparkSession, sf: str, mode: str = "replace") -> DataFrame:
     """The log in four micro-batches against stored rows; equals the batch result."""
     base = scratch_dir(spark, "refresh")
     snapshot = Snapshot(spark, f"{base}/state", EVENT_ROW, EVENT_KEYS, _buckets(spark))
     snapshot.load(derived.stored_accounts(spark, sf))
     path, quarter = _stored_log(spark, derived.change_log(spark, sf, HOUR_MS))
     changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
-    refresh = Refresh(snapshot, EVENT_ROW, EVENT_KEYS, dead_letter_path=f"{base}/dead")
+    refresh = Refresh(snapshot, EVENT_ROW, EVENT_KEYS, mode, dead_letter_path=f"{base}/dead")
     run_refresh(changes, refresh, f"{base}/checkpoint").awaitTermination()
     return snapshot.read()
 
@@ -201,6 +201,10 @@ QUERIES = {
         f"""with {sql.events(clock_ms=HOUR_MS)}, {sql.latest()}, {sql.ACCOUNTS}
         {sql.accounts_merged('replace')}""",
     ),
+    "stream_cdc_fill": (
+        lambda s, d: stream_cdc_apply(s, d, "fill"),
+        f"""with {sql.events(clock_ms=HOUR_MS)}, {sql.latest()}, {sql.ACCOUNTS}, {sql.filled()}""",
+    ),
     "stream_indicators": (
         stream_indicators,
         f"""with {_STMT}, {sql.with_lags('lagged', 'stmt')}

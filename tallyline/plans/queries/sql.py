@@ -139,6 +139,27 @@ ACCOUNTS = """accounts as (
 ACCOUNT_MEASURES = ["sales", "interest", "net_profit"]
 
 
+def filled() -> str:
+    """Per measure the newest value since the key's last delete, stored accounts oldest."""
+    place = "row(_ts_ms, _partition, _offset)"
+    newest = ", ".join(
+        f"arg_max({m}, {place}) filter (where {m} is not null and not _deleted and "
+        f"(gone is null or {place} > gone)) as {m}"
+        for m in ACCOUNT_MEASURES
+    )
+    cols = ", ".join(
+        f"coalesce(n.{m}, case when n.gone is null then e.{m} end) as {m}" for m in ACCOUNT_MEASURES
+    )
+    return f"""marked as (
+  select *, max(case when _deleted then {place} end) over (partition by date, company_name) as gone from ev),
+newest as (
+  select date, company_name, {newest}, any_value(gone) as gone from marked group by date, company_name)
+select coalesce(n.date, e.date) as date, coalesce(n.company_name, e.company_name) as company_name, {cols}
+from accounts e full join newest n on e.date = n.date and e.company_name = n.company_name
+left join latest l on n.date = l.date and n.company_name = l.company_name
+where not coalesce(l._deleted, false)"""
+
+
 def accounts_merged(mode: str) -> str:
     """Select: stored accounts after the compacted change log."""
     take = "coalesce(i.{m}, e.{m})"

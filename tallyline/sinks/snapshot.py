@@ -22,21 +22,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.operators.compact import compact, latest_per_key
+from tallyline.operators.fill import deciding_rows, filled
 from tallyline.operators.merge import live_rows, merge_versioned
 from tallyline.schema import CONTROL, DELETED, EVENT_ORDER, EVENT_TIME, state_schema
 
 BUCKET = "_bucket"
 VERSION = "_version"
+_PART_ORDER = [*EVENT_ORDER, VERSION]
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """A commit: per bucket the versions of its parts, oldest first, tag and layout."""
+    """A commit: per bucket the versions of its parts, oldest first, tag, layout and what
+    the parts of a bucket mean together."""
 
     parts: dict[int, list[int]] = field(default_factory=dict)
     tag: str | None = None
     buckets: int | None = None
     bucket_by: list[str] | None = None
+    mode: str = "replace"
 
     def since(self, version: int) -> list[int]:
         """Buckets with a part written after ``version``."""
@@ -170,6 +174,7 @@ class BucketedTable:
         touched: Sequence[int] | None = None,
         tag: str | None = None,
         repeat: bool = False,
+        mode: str | None = None,
     ) -> int:
         """Puts ``rows`` in place of the ``touched`` buckets (default: all) and commits.
 
@@ -183,7 +188,8 @@ class BucketedTable:
         gone = set(held.parts if touched is None else touched)
         kept = {b: versions for b, versions in held.parts.items() if b not in gone}
         kept.update({b: [current + 1] for b in self._write(rows, current + 1)})
-        return self._commit(current + 1, Manifest(kept, tag, self.buckets, self.bucket_by))
+        mode = mode or held.mode
+        return self._commit(current + 1, Manifest(kept, tag, self.buckets, self.bucket_by, mode))
 
     def append(self, rows: DataFrame, tag: str | None = None) -> int:
         """Adds ``rows`` as one more part of their buckets; nothing stored is read."""
@@ -194,7 +200,7 @@ class BucketedTable:
         parts = dict(held.parts)
         for b in self._write(rows, current + 1):
             parts[b] = [*parts.get(b, []), current + 1]
-        return self._commit(current + 1, Manifest(parts, tag, self.buckets, self.bucket_by))
+        return self._commit(current + 1, Manifest(parts, tag, self.buckets, self.bucket_by, held.mode))
 
     def rebucket(self, buckets: int, bucket_by: Sequence[str] | None = None) -> int:
         """Rewrites everything into another layout, which this object then has."""
@@ -236,8 +242,9 @@ class BucketedTable:
 class Snapshot(BucketedTable):
     """Keyed rows with upsert, delete and time-correct late events.
 
-    A replacing batch is appended as it is, compacted: a bucket's rows are the latest per
-    key over its parts.  Buckets of more than ``fold_after`` parts are folded into one.
+    A batch is appended, reduced to what decides its keys.  A bucket's rows follow from all
+    its parts: the latest per key (``replace``), or per measure the newest value since the
+    last delete (``fill``).  Buckets of more than ``fold_after`` parts are folded into one.
     A coalescing batch needs the stored values and rewrites the buckets it touches.
     """
 
@@ -260,15 +267,21 @@ class Snapshot(BucketedTable):
             raise ValueError("bucket_by must be part of the keys")
 
     def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
-        """The latest event of every key, delete markers included."""
+        """One row per key, delete markers included."""
+        version = self.version() if version is None else version
         parts = self._parts(version, only)
+        if self.manifest(version).mode == "fill":
+            return filled(self._read(parts), self.keys, self._values(), _PART_ORDER).select(*self.schema.names)
         single = {b: held for b, held in parts.items() if len(held) == 1}
         several = {b: held for b, held in parts.items() if len(held) > 1}
         if not several:
             return self._read(single).drop(VERSION)
-        latest = latest_per_key(self._read(several), self.keys, [*EVENT_ORDER, VERSION]).drop(VERSION)
+        latest = latest_per_key(self._read(several), self.keys, _PART_ORDER).drop(VERSION)
         return self._read(single).drop(VERSION).unionByName(latest) if single else latest
 
+    def _values(self) -> list[str]:
+        return [c for c in self.row.names if c not in self.keys]
+
     def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Live rows."""
         return live_rows(self.rows(version, only))
@@ -294,12 +307,25 @@ class Snapshot(BucketedTable):
 
         A ``tag`` equal to the newest commit's makes the call a no-op, so a repeated
         micro-batch is applied once.  ``keep_deletes_ms`` is passed to :meth:`fold`.
+        ``replace`` and ``fill`` end in the same state however the log is cut into
+        batches; a state that changes between them keeps its rows of that moment.
         """
+        if mode not in ("coalesce", "fill", "replace"):
+            raise ValueError(f"unknown mode: {mode!r}")
         current = self.version()
         held = self._checked(current)
         if tag is not None and tag == held.tag:
             return current
-        batch = compact(events.select(*self.schema.names), self.keys)
+        kind = "fill" if mode == "fill" else "replace"
+        if kind != held.mode:
+            self.replace(self.rows(current), tag=held.tag, repeat=True, mode=kind)
+            current = self.version()
+            held = self.manifest(current)
+        events = events.select(*self.schema.names)
+        if mode == "fill":
+            current = self.append(deciding_rows(events, self.keys, self._values()), tag)
+            return self.fold(keep_deletes_ms)
+        batch = compact(events, self.keys)
         if mode == "coalesce" and held.parts:
             touched = [r[0] for r in events.select(self.bucket()).distinct().collect()]
             if touched:
@@ -323,7 +349,11 @@ class Snapshot(BucketedTable):
         long = [b for b, versions in held.parts.items() if len(versions) > after]
         if not long:
             return current
-        rows = self.rows(current, only=long)
+        if held.mode == "fill":
+            stored = self._read(self._parts(current, long))
+            rows = deciding_rows(stored, self.keys, self._values(), _PART_ORDER).drop(VERSION)
+        else:
+            rows = self.rows(current, only=long)
         if keep_deletes_ms is not None:
             middle = rows.agg(F.percentile_approx(EVENT_TIME, 0.5)).first()[0]
             if middle is not None:

@@ -13,6 +13,7 @@ from conftest import rows_of
 from tallyline.operators.compact import compact, latest_per_key
 from tallyline.operators.merge import drop_keys, live_rows, merge_state, merge_versioned
 from tallyline.schema import CONTROL, DELETED, state_schema
+from tallyline.sinks import Snapshot
 
 ROW = T.StructType(
     [
@@ -169,3 +170,42 @@ def test_every_order_of_three_versions(spark):
         for version in order:
             current = merge_versioned(current, events(spark, [version]), ["k"])
         assert rows_of(live_rows(current)) == []
+
+
+def filled_by_hand(rows):
+    out = {}
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: r[3:6])
+        values = [None, None]
+        for r in own:
+            if r[6]:
+                values = [None, None]
+            else:
+                values = [b if b is not None else a for a, b in zip(values, r[1:3], strict=True)]
+        if not own[-1][6]:
+            out[key] = (key, *values)
+    return sorted(out.values(), key=repr)
+
+
+@FEW
+@given(LOG, st.integers(0, 2**16))
+def test_any_split_of_the_log_fills_the_same_values(spark, tmp_path_factory, rows, seed):
+    """Filling: batches in any order end in the values of the whole log."""
+    rows = list({r[3:6]: r for r in rows}.values())
+    shuffled = rows[:]
+    random.Random(seed).shuffle(shuffled)
+    cut = len(shuffled) // 2
+    snap = Snapshot(spark, str(tmp_path_factory.mktemp("fill")), ROW, ["k"], 2, fold_after=seed % 3)
+    for part in (shuffled[:cut], shuffled[cut:]):
+        snap.apply(events(spark, part), "fill")
+    assert rows_of(snap.read()) == filled_by_hand(rows)
+
+
+def test_filling_keeps_stored_values_until_a_delete(spark, tmp_path):
+    snap = Snapshot(spark, str(tmp_path / "s"), ROW, ["k"], 2)
+    snap.load(state(spark, [("a", 1.0, 2.0), ("b", 1.0, 2.0)]))
+    snap.apply(events(spark, [("a", None, 5.0, 1, 0, 1, False), ("b", None, None, 1, 0, 2, True)]), "fill")
+    snap.apply(events(spark, [("b", None, 7.0, 2, 0, 3, False), ("a", 3.0, 4.0, 0, 0, 0, False)]), "fill")
+    assert rows_of(snap.read()) == [("a", 3.0, 5.0), ("b", None, 7.0)]
+    snap.apply(events(spark, [("a", 9.0, None, 3, 0, 4, False)]), "replace")
+    assert rows_of(snap.read()) == [("a", 9.0, None), ("b", None, 7.0)]
