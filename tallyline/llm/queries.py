@@ -19,6 +19,7 @@ from tallyline.llm import (
     packing,
     personal_data,
     search,
+    sql,
     substrings,
     token_files,
 )
@@ -32,9 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"), 50)
-    return kept.select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "longest_repeat"
-    )
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,26 +72,6 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
-OP8_SQL = """
-with v as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
-  from embeddings
-  where embedding is not null
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-),
-p as (
-  select q.vec_id as query_id, c.vec_id,
-         cast(list_sum(list_transform(list_zip(q.e, c.e), lambda t: t[1] * t[2])) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
-),
-r as (
-  select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score
-  from p
-)
-select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
-"""
-
-
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(spark, "tokens")
     token_files.write_token_files(
@@ -110,14 +89,14 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
-    "op1_substring_dedup": (op1_substring_dedup, None),
+    "op1_substring_dedup": (op1_substring_dedup, sql.SUBSTRING_DEDUP),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_lm_scoring": (op3_lm_scoring, None),
-    "op4_decontamination": (op4_decontamination, None),
-    "op5_ngram_jaccard": (op5_ngram_jaccard, None),
+    "op4_decontamination": (op4_decontamination, sql.DECONTAMINATION),
+    "op5_ngram_jaccard": (op5_ngram_jaccard, sql.NGRAM_JACCARD),
     "op6_html_extraction": (op6_html_extraction, None),
     "op7_language_id": (op7_language_id, None),
-    "op8_exact_top_k": (op8_exact_top_k, OP8_SQL),
+    "op8_exact_top_k": (op8_exact_top_k, sql.EXACT_TOP_K),
     "op9_token_files": (op9_token_files, None),
     "op10_personal_data": (op10_personal_data, None),
 }
