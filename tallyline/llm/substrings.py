@@ -89,19 +89,15 @@ def _first_level(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(emit, f"{_KEYS}, h1 long, h2 long")
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
+def _repeated(rows: DataFrame, folder: str) -> DataFrame:
     """Rows whose hashes occur in two documents, with the smallest one's id as ``first``.
 
-    Counting combines in the map tasks; the join back is one Spark can split where a
-    passage is in very many documents.
+    Counting combines in the map tasks.  Its result is stored, so that the join back is
+    one of two plain exchanges, which Spark splits where a passage is in very many documents.
     """
-    firsts = (
-        rows.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("_last"))
-        .where("first < _last")
-        .drop("_last")
-    )
-    return rows.join(firsts, ["h1", "h2"])
+    firsts = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("_last"))
+    firsts.where("first < _last").drop("_last").write.parquet(folder)
+    return rows.join(rows.sparkSession.read.parquet(folder), ["h1", "h2"])
 
 
 def _full_windows(docs: DataFrame, size: int) -> DataFrame:
@@ -224,7 +220,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     keyed = _keyed(docs)
 
     found = (
-        _repeated(_first_level(keyed.where("doc_id is not null"), size))
+        _repeated(_first_level(keyed.where("doc_id is not null"), size), f"{base}/repeated-anchors")
         .groupBy(*KEY)
         .agg(
             F.max(F.expr("h2 != 0 and first < doc_id")).alias("copy"),
@@ -241,7 +237,7 @@ def remove_repeats(docs: DataFrame, size: int = 50) -> DataFrame:
     while True:
         held = F.struct("pos", "h1", F.expr("first < doc_id").alias("gone"))
         folder = f"{base}/level-{level}"
-        _repeated(rows).groupBy(*KEY).agg(F.collect_list(held).alias("windows")).write.parquet(folder)
+        _repeated(rows, f"{base}/repeated-{level}").groupBy(*KEY).agg(F.collect_list(held).alias("windows")).write.parquet(folder)
         table = spark.read.parquet(folder)
         if table.isEmpty():
             break
