@@ -141,7 +141,7 @@ def configurations(
 
 
 def plan_bins(
-    histogram: dict[int, int], capacity: int = 1024, groups: int = 384, small: int = 340
+    histogram: dict[int, int], capacity: int = 1024, groups: int = 384, small: int = 450
 ) -> list[tuple[int, dict[int, int]]]:
     """Kinds of sequences, (how many, pieces of each length), that hold every piece once.
 
@@ -232,7 +232,7 @@ def _slots(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = 1024, groups: int = 384, small: int = 340, salt_rows: int = 2_000
+    pieces: DataFrame, capacity: int = 1024, groups: int = 384, small: int = 450, salt_rows: int = 2_000
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a stored table of pieces.
 
