@@ -34,7 +34,7 @@ START_ID = (1 << 32) - 1
 #: Rows of a vocabulary or bigram shard, about.
 SHARD_ROWS = 1_000_000
 #: Text bytes counted at a time in a task; counts of one piece are combined before the shuffle.
-COUNT_BYTES = 1 << 22
+COUNT_BYTES = 1 << 21
 
 
 def shared_path(folder: str) -> str:
