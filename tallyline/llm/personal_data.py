@@ -107,15 +107,27 @@ def _of_kind(kind: int) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
 
+def _cut(kind: str, base: bool) -> list[Column]:
+    """A pattern's matches in ``text`` and the texts around them, if it can match at all."""
+    name = f"{kind}_{'base' if base else 'loose'}"
+    pattern = (BASE if base else LOOSE)[kind]
+    none = F.array().cast("array<string>")
+    parts = [F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), F.split("text", pattern, -1)]
+    return [
+        F.when(F.expr(_FIRST[kind, base]), part).otherwise(none).alias(f"_{side}_{name}")
+        for part, side in zip(parts, ("found", "gaps"), strict=True)
+    ]
+
+
 def _matches(kind: str, base: bool) -> Column:
     """Array of (start, end, match, before, after) of a pattern's matches in ``text``.
 
     Places are code points.  The text between matches gives each match its place: matches
-    and gaps follow each other, so starts are running sums of their lengths.
+    and gaps follow each other, so starts are running sums of their lengths.  Both are
+    columns by now: within a lambda they would be worked out for every match.
     """
-    pattern = (BASE if base else LOOSE)[kind]
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    gaps = F.split("text", pattern, -1)
+    name = f"{kind}_{'base' if base else 'loose'}"
+    found, gaps = F.col(f"_found_{name}"), F.col(f"_gaps_{name}")
     pairs = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(gaps, i).alias("gap"), F.get(gaps, i + 1).alias("next")))
     empty = F.array().cast("array<struct<start:int,end:int,m:string,before:string,after:string>>")
 
@@ -131,8 +143,7 @@ def _matches(kind: str, base: bool) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(done["rows"], F.array(row)).alias("rows"))
 
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("rows")), step, lambda s: s["rows"])
-    return F.when(F.expr(_FIRST[kind, base]), placed).otherwise(empty)
+    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("rows")), step, lambda s: s["rows"])
 
 
 def _has_word(text: Column, words: str) -> Column:
@@ -187,7 +198,9 @@ def with_spans(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = rows.select("*", *[_matches(k, b).alias(f"_{k}_{n}") for k in KINDS for b, n in ((True, "base"), (False, "loose"))])
+    both = [(k, b) for k in KINDS for b in (True, False)]
+    rows = rows.select("*", *[c for k, b in both for c in _cut(k, b)])
+    rows = rows.select(*columns, *[_matches(k, b).alias(f"_{k}_{'base' if b else 'loose'}") for k, b in both])
     for kind in KINDS:
         rows = rows.withColumn(f"_{kind}_base", F.filter(f"_{kind}_base", _valid_of(kind)))
     rows = rows.withColumn("_base", F.concat(*[_proposed(k, True) for k in KINDS]))
