@@ -214,7 +214,8 @@ def labelled_sample(docs: DataFrame, docs_per_language: int = SAMPLE_DOCS, chars
     chosen = chosen.where(F.col("_r") <= docs_per_language).select("doc_id").distinct()
     begin = f"1 + pmod(xxhash64(doc_id, 1), greatest(length(text) - {chars}, 1))"
     stretch = F.expr(f"substring(text, cast({begin} as int), {chars})").alias("text")
-    rows = known.join(chosen, "doc_id", "left_semi").select("doc_id", "lang", stretch)
+    # broadcast: at most docs_per_language ids of each language
+    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "lang", stretch)
     return sorted(tuple(r) for r in rows.dropDuplicates(["doc_id", "lang", "text"]).collect())
 
 
