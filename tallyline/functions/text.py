@@ -12,6 +12,7 @@ _EDGE_BLANK = "^[\\s\\u00a0]+|[\\s\\u00a0]+$"
 
 # All named character references of the HTML standard that end with a semicolon.
 _NAMED_REFERENCES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+_USUAL = ["amp", "nbsp", "lt", "gt", "quot", "apos", "minus", "ndash", "mdash"]
 
 
 def strip_blank(c: Column) -> Column:
@@ -30,14 +31,18 @@ def decode_entities(c: Column) -> Column:
     gains the character, any other piece gets its ``&`` back.  Give it a plain column: the
     text is named several times in the expression.
     """
-    names = F.create_map(*[F.lit(x) for pair in _NAMED_REFERENCES.items() for x in pair])
+    # a map is searched from its start, so the usual references have one of their own
+    usual, names = (
+        F.create_map(*[F.lit(x) for name in some for x in (name, _NAMED_REFERENCES[name])])
+        for some in (_USUAL, _NAMED_REFERENCES)
+    )
 
     def piece(part: Column) -> Column:
         dec = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
         hexa = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1)
         name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
         rest = F.regexp_replace(part, "^[#A-Za-z0-9]+;", "")
-        char = F.when(name != "", F.try_element_at(names, name))
+        char = F.when(name != "", F.coalesce(F.try_element_at(usual, name), F.try_element_at(names, name)))
         return (
             F.when(dec != "", F.concat(_code_point(dec, 10), rest))
             .when(hexa != "", F.concat(_code_point(hexa, 16), rest))
