@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.words import _LOWER, _SPACE, pieces, run_hashes
@@ -26,6 +26,15 @@ RUN_BYTES = 32
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 2000
 SAMPLE_RUNS = 24_000
+#: Labelled documents from which on texts no language fits are told apart.
+JUDGE_DOCS = 50
+#: Characters to which sample texts are cut to see how far short texts' scores stray.
+SHORT_CHARS = (20, 60, 200)
+#: Code points of other scripts: Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, Han, Hangul.
+SCRIPTS = (
+    (0x3B1, 0x3CA), (0x430, 0x450), (0x5D0, 0x5EB), (0x621, 0x64B), (0x905, 0x93A), (0xE01, 0xE2F),
+    (0x3041, 0x30FB), (0x4E00, 0x9FA0), (0xAC00, 0xD7A4),
+)
 #: Runs a worker remembers.
 CACHED_RUNS = 2_000_000
 
@@ -272,15 +281,18 @@ class Labeler:
         return sums
 
 
-def identify(docs: DataFrame, net: Network) -> DataFrame:
+def identify(docs: DataFrame, net: Network, together: bool = False) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (0 to 1), replacing columns of these names.
 
+    The score is the best language's, with ``together`` that of all but ``und``.
+
     Null texts and texts without a letter get ``und`` and 0, and so does every text if no
     language was learned.  All other columns pass unchanged, in one narrow step.
     """
     docs = docs.drop("lang_pred", "score")
     names = docs.columns
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    real = [i for i, v in enumerate(net.languages) if v != "und"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeler = Labeler(net)
@@ -295,7 +307,8 @@ def identify(docs: DataFrame, net: Network) -> DataFrame:
                     found[i] = any(c.isalpha() for c in text)
                 best = mean[:, :-1].argmax(1) if net.languages else np.zeros(len(mean), int)
                 langs = [net.languages[b] if f and net.languages else "und" for b, f in zip(best, found, strict=True)]
-                score = np.where(found, np.clip(mean[:, :-1].max(1, initial=0), 0, 1), 0)
+                most = mean[:, real].sum(1) if together else mean[:, :-1].max(1, initial=0)
+                score = np.where(found, np.clip(most, 0, 1), 0)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())],
                     [*names, "lang_pred", "score"],
@@ -310,6 +323,72 @@ def learn(docs: DataFrame, fold: str) -> Network:
     return train_network([r[2] for r in rows], [r[1] for r in rows])
 
 
+def unlike_texts(texts: list[str], seed: int = 11) -> list[str]:
+    """Texts no language wrote: words of random letters, and of scripts that ``texts`` don't use."""
+    random = np.random.default_rng(seed)
+    used = {ord(c) for c in set("".join(texts))}
+    free = [b for b in SCRIPTS if not any(b[0] <= c < b[1] for c in used)]
+    out = []
+    for i, text in enumerate(texts):
+        lengths = [len(w) for w in text.split()][:100]
+        low, high = free[i // 2 % len(free)] if i % 2 and free else (0x61, 0x7B)
+        out.append(" ".join("".join(map(chr, random.integers(low, high, n))) for n in lengths))
+    return out
+
+
+@dataclass
+class Judge:
+    """A network with a class ``und`` for what no language fits, and the least scores of clean text.
+
+    The fewer letters a text has, the further its score strays from ``usual``.
+    """
+
+    net: Network
+    usual: float
+    stray: float
+
+    def identify(self, docs: DataFrame) -> DataFrame:
+        """``identify`` with the languages' probabilities taken together as ``score``."""
+        return identify(docs, self.net, together=True)
+
+    def fits(self, text: Column) -> Column:
+        """Whether a row of ``identify`` with ``text`` is in the languages.
+
+        Repeated words count once.
+        """
+        words = F.array_join(F.array_distinct(F.split(text, r"\s+")), "")
+        letters = F.regexp_replace(words, r"[^\p{L}]", "")
+        least = F.lit(self.usual) - F.lit(self.stray) / F.sqrt(F.greatest(F.length(letters), F.lit(1)))
+        return (F.col("lang_pred") != "und") & ((F.col("score") >= self.usual) | (F.col("score") >= least))
+
+
+def learn_to_judge(docs: DataFrame, fold: str) -> Judge | None:
+    """A judge from labelled documents where ``fold`` is false; none without any.
+
+    ``stray`` is the widest that the sample's texts, whole and cut short, fall below
+    their median score, per root of their letters, and half as much again.  Fewer than
+    ``JUDGE_DOCS`` documents don't show that; then only texts without letters don't fit.
+    """
+    rows = [r for r in labelled_sample(docs.where(f"not ({fold})")) if any(c.isalpha() for c in r[2])]
+    if not rows:
+        return None
+    texts, labels = [r[2] for r in rows], [r[1] for r in rows]
+    if len(rows) < JUDGE_DOCS:
+        return Judge(train_network(texts, labels), 0.0, 0.0)
+    unlike = unlike_texts(texts)
+    net = train_network(texts + unlike, labels + ["und"] * len(unlike))
+    real = [i for i, v in enumerate(net.languages) if v != "und"]
+    cut = [t[:n] for t in texts for n in SHORT_CHARS if len(t) > n]
+    clean = [t for t in texts + cut if any(c.isalpha() for c in t)]
+    raw = [t.encode() for t in clean]
+    offsets = np.append(0, np.cumsum([len(r) for r in raw]))
+    mean = Labeler(net).documents(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    score = mean[:, real].sum(1)
+    letters = np.array([sum(c.isalpha() for c in "".join(set(t.split()))) for t in clean])
+    usual = float(np.median(score[: len(texts)]))
+    return Judge(net, usual, 1.5 * float(((usual - score) * np.sqrt(letters)).max()))
+
+
 def predicted_languages(docs: DataFrame, fold: str) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every document.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -12,6 +13,7 @@ import pytest
 from corpora import awkward_rows, frame, many
 from test_decontaminate import plain
 from test_jaccard import expected as components_of
+from test_language_id import documents
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -39,6 +41,18 @@ def test_language_stage_keeps_texts_with_letters(spark):
     assert stages.known_language(spark, clash, SF).columns == clash.columns
 
 
+def test_language_stage_drops_what_no_language_fits(spark):
+    rng = random.Random(6)
+    rows = documents(300)
+    garbled = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 11))) for _ in range(60))
+    strange = ["Все люди рождаются свободными и равными в своем достоинстве и правах", "人人生而自由在尊严和权利上一律平等", garbled]
+    # ids of fold 2 teach nothing
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rows += [(i, t, None, "s", 1) for i, t in zip(held, strange, strict=False)]
+    kept = {r["doc_id"] for r in stages.known_language(spark, frame(spark, rows), SF).collect()}
+    assert kept == set(range(300))
+
+
 @pytest.mark.parametrize("rows", [many(100, seed=3), [r for r in awkward_rows() if r[0] != 5]], ids=["random", "awkward"])
 def test_one_of_each_group_stays(spark, rows):
     stay = {d for d, _, c in components_of(rows, 4, 85) if d == c}
