@@ -154,12 +154,11 @@ def _sketch_words(docs: DataFrame, size: int, percent: int) -> DataFrame:
                         at = np.flatnonzero(np.diff(word[order], prepend=-1))
                         held = np.bitwise_xor.reduceat(value[a:b][order], at)
                         word = word[order][at]
-                        if length - len(word) <= spare:
-                            spare -= length - len(word)
-                        else:
-                            empty = np.setdiff1d(np.arange(length), word)
-                            word = np.concatenate([word, empty])
-                            held = np.concatenate([held, np.zeros(len(empty), np.uint64)])
+                        # empty words too: two sets may agree in them, and every set must
+                        # spend its spare words on the same list
+                        empty = np.setdiff1d(np.arange(length), word)
+                        word = np.concatenate([word, empty])
+                        held = np.concatenate([held, np.zeros(len(empty), np.uint64)])
                         label = word.astype(np.uint64) * np.uint64(256) + np.uint64(band)
                         keys.append(mixed(mixed(label) ^ held))
                         sets.append(np.full(len(word), name, np.int64))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from corpora import awkward_rows, frame, many, sentence
 
@@ -87,6 +88,23 @@ def test_common_passage_with_few_own_words(spark):
     assert result(found) == expected(rows, 2, 85)
 
 
+def sketch_places(text, length):
+    data = np.frombuffer(text.encode(), np.uint8)
+    hashes, _ = jaccard.shingle_sets(jaccard.Words(data, np.array([0, len(data)]), lower=True), 4)
+    spread = jaccard.mixed(hashes ^ np.uint64(3)) >> np.uint64(32)
+    return set((spread * np.uint64(length) >> np.uint64(32)).tolist())
+
+
+def test_sets_in_one_sketch_word_meet(spark):
+    """Six shingles in one sketch word, and the same with a shingle in another word."""
+    length, _ = Bands(85).shape(Bands(85).of(6)[0])
+    texts = (" ".join(f"v{i}x{j}" for j in range(9)) for i in range(100_000))
+    text = next(t for t in texts if len(sketch_places(t, length)) == 1)
+    longer = next(t for i in range(100) if len(sketch_places(t := f"{text} y{i}", length)) == 2)
+    rows = [(1, text, "en", "s", 1), (2, longer, "en", "s", 1)]
+    assert result(similar_documents(frame(spark, rows), 4, 85)) == [(1, 6, 1), (2, 7, 1)]
+
+
 def test_bands_cover_every_linkable_pair():
     for percent in (60, 85, 95):
         bands = Bands(percent)
