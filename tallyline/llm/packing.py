@@ -4,13 +4,17 @@ The plan is made on the histogram of piece lengths, which has one count per poss
 length and so does not grow with the corpus:
 
 1. linear grouping: the long pieces, in order of length, are cut into groups of equal
-   cardinality and each is rounded up to the longest of its group;
+   cardinality and each is rounded up to the longest of its group (no more lengths than
+   groups stay as they are);
 2. the configurations (which groups share a sequence) of these few lengths are
    optimised as a linear program by column generation and rounded down;
 3. the real lengths take the places of the rounded ones;
 4. what is left, and all short pieces, go best-fit, longest first, into the tightest
    space that holds them.
 
+This is done for several bounds of "short", the last of which leaves everything to best
+fit, and the plan of fewest sequences is taken.
+
 The plan says which ranks of each length go where; pieces get their rank within their
 length by counting per salted group, and find their place by look-up.
 """
@@ -29,6 +33,10 @@ from pyspark.sql import functions as F
 from tallyline.llm.tokens import encoder
 from tallyline.sinks.workspace import scratch_dir
 
+#: Plans that are tried: the share of a sequence up to which pieces are left out of grouping,
+#: and the groups.  Deep configurations get fewer groups; the last leaves all to best fit.
+PLANS = ((0.125, 128), (0.44, 384), (1.0, 384))
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -123,7 +131,8 @@ def configurations(
     amount = inverse @ np.array(demand, float)
     for _ in range(steps):
         value, pattern = _best_pattern(size, inverse.sum(0), capacity)
-        if value <= 1 + 1e-7:
+        # by Farley's bound no solution saves half a sequence
+        if value <= 1 + 1e-7 or amount.sum() * (1 - 1 / value) < 0.5:
             break
         direction = inverse @ pattern
         usable = direction > 1e-9
@@ -141,13 +150,17 @@ def configurations(
 
 
 def plan_bins(
-    histogram: dict[int, int], capacity: int = 1024, groups: int = 384, small: int = 450
+    histogram: dict[int, int], capacity: int = 1024, groups: int = 384, small: int | None = None
 ) -> list[tuple[int, dict[int, int]]]:
     """Kinds of sequences, (how many, pieces of each length), that hold every piece once.
 
-    ``small``: shorter pieces take no part in grouping.  The plan has at most some
-    thousand kinds, whatever the counts are.
+    ``small``: pieces up to it take no part in grouping; without it, each of
+    ``PLANS`` is tried and the plan of fewest sequences taken.  The plan has at
+    most some thousand kinds, whatever the counts are.
     """
+    if small is None:
+        tried = [plan_bins(histogram, capacity, min(n, groups), int(share * capacity)) for share, n in PLANS]
+        return min(tried, key=lambda plan: sum(times for times, _ in plan))
     left = Counter({k: n for k, n in histogram.items() if n and k < capacity})
     done: list[tuple[int, dict[int, int]]] = []
     if histogram.get(capacity):
@@ -161,7 +174,8 @@ def plan_bins(
 
     if large:
         merged: dict[int, list[tuple[int, int]]] = {}
-        for rounded, real in linear_groups(large, groups):
+        few = [(k, [(k, n)]) for k, n in large.items()] if len(large) <= groups else None
+        for rounded, real in few or linear_groups(large, groups):
             merged.setdefault(rounded, []).extend(real)
         sizes = list(merged)
         stock = [list(merged[s]) for s in sizes]
@@ -232,7 +246,7 @@ def _slots(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = 1024, groups: int = 384, small: int = 450, salt_rows: int = 2_000
+    pieces: DataFrame, capacity: int = 1024, groups: int = 384, small: int | None = None, salt_rows: int = 2_000
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to a stored table of pieces.
 

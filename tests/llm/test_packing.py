@@ -43,6 +43,13 @@ def test_plan_is_close_to_the_bound():
     assert checked(histogram, 1024) <= 1.005 * bound
 
 
+def test_short_pieces_share_sequences():
+    assert checked({344: 1000, 340: 2000}, 1024) == 1000
+    assert checked({344: 6000, 340: 6000}, 1024) <= 4501
+    lengths = Counter(np.random.default_rng(2).integers(129, 451, 20_000).tolist())
+    assert checked(lengths, 1024) <= checked(lengths, 1024, small=450)
+
+
 def test_empty_plan():
     assert plan_bins({}) == []
     assert checked({1024: 3, 1: 1}, 1024) == 4
