@@ -80,9 +80,8 @@ def _first_level(docs: DataFrame, size: int) -> DataFrame:
                 new = np.ones(len(full), bool)
                 new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
                 long = np.flatnonzero(words.counts() >= size)
-                a, b = words.first[long], words.first[long + 1]
-                h1 = np.concatenate([anchor[new], words.spans(a, b)])
-                h2 = np.concatenate([np.zeros(int(new.sum()), np.uint64), words.spans(a, b, 1) | np.uint64(1)])
+                h1 = np.concatenate([anchor[new], words.whole(long)])
+                h2 = np.concatenate([np.zeros(int(new.sum()), np.uint64), words.whole(long, 1) | np.uint64(1)])
                 rows = row + np.concatenate([owner[new], long])
                 yield _rows(batch, rows, h1=_signed(h1), h2=_signed(h2))
 

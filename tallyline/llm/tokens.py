@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from tallyline.llm.words import _SPACE, pieces, run_hashes
+from tallyline.llm.words import _SPACE, _ranges, pieces, run_hashes
 
 #: Units remembered per worker (some 40 bytes each); only a cache, emptied when full.
 CACHED_UNITS = 3_000_000
@@ -26,12 +26,6 @@ _STOP = np.zeros(256, bool)
 _STOP[[0x2C, 0x2E]] = True
 
 
-def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """All numbers ``begin[i]`` up to ``begin[i] + count[i]``, in a row."""
-    before = np.cumsum(count) - count
-    return np.repeat(begin - before, count) + np.arange(int(count.sum()))
-
-
 def _after(data: np.ndarray, n: int, fill: int = 0) -> np.ndarray:
     """``data`` shifted so that place i holds what stands n places later."""
     out = np.full(len(data), fill, data.dtype)

@@ -21,7 +21,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
-_BYTE_BASE = 0x9E3779B97F4A7C15
+_STEP = 0x9E3779B97F4A7C15
 _WORD_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _MASK = (1 << 64) - 1
 
@@ -47,28 +47,37 @@ class _Powers:
         return self.table[:n]
 
 
-_BYTES = _Powers(_BYTE_BASE)
 _FORWARD = [_Powers(b) for b in _WORD_BASES]
 _BACKWARD = [_Powers(pow(b, -1, 1 << 64)) for b in _WORD_BASES]
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers ``begin[i]`` up to ``begin[i] + count[i]``, in a row."""
+    before = np.cumsum(count) - count
+    return np.repeat(begin - before, count) + np.arange(int(count.sum()))
+
+
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run; runs are in order, apart and not empty."""
+    """A 64-bit hash of each byte run; runs are not empty.
+
+    Each eight bytes are scrambled together with their place before they are added up, so
+    no arrangement of bytes cancels out as it does in a sum of bytes times powers.
+    """
     lengths = ends - starts
     if not len(lengths):
         return np.zeros(0, np.uint64)
-    at = np.cumsum(lengths) - lengths
-    if int(lengths.sum()) < len(data):
-        inside = np.zeros(len(data) + 1, np.int8)
-        inside[starts] += 1
-        inside[ends] -= 1
-        data = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
-    place = np.arange(len(data)) - np.repeat(at, lengths)
-    longest = int(lengths.max())
-    power = _BYTES.upto(min(longest, 1 << 16))[place & 0xFFFF]
-    if longest > 1 << 16:
-        power = power * (2 * (place >> 16).astype(np.uint64) + np.uint64(1))
-    return mixed(np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power, at))
+    lanes = (lengths + 7) >> 3
+    first = np.cumsum(lanes) - lanes
+    number = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    lane = eights[np.repeat(starts, lanes) + 8 * number]
+    spare = 8 * (8 * lanes - lengths).astype(np.uint64)
+    last = first + lanes - 1
+    lane[last] = lane[last] << spare >> spare
+    lane = mixed(lane + (number + 1).astype(np.uint64) * np.uint64(_STEP))
+    return mixed(np.add.reduceat(lane, first) + lengths.astype(np.uint64) * np.uint64(_WORD_BASES[0]))
 
 
 class Words:
@@ -110,11 +119,24 @@ class Words:
         return self._sums[which]
 
     def spans(self, begin: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
-        """Hashes of the word sequences ``begin`` up to ``stop``."""
+        """Hashes of the word sequences ``begin`` up to ``stop``, of some hundred words at most.
+
+        Sums of powers modulo 2**64 lose bits over a thousand words arranged on purpose;
+        ``whole`` is for sequences of any length.
+        """
         total = self._prefix(which)
         back = _BACKWARD[which].upto(len(self.hashes) + 1)
         return mixed((total[stop] - total[begin]) * back[begin] + (stop - begin).astype(np.uint64))
 
+    def whole(self, text: np.ndarray, which: int = 0) -> np.ndarray:
+        """Hashes of all words of some texts, each with one word at least."""
+        count = self.counts()[text]
+        at = _ranges(self.first[text], count)
+        begin = np.cumsum(count) - count
+        place = np.arange(len(at)) - np.repeat(begin, count)
+        each = mixed(self.hashes[at] + (place + 1).astype(np.uint64) * np.uint64(_WORD_BASES[which]))
+        return mixed(np.add.reduceat(each, begin) + count.astype(np.uint64)) if len(at) else each
+
     def windows(self, size: int) -> np.ndarray:
         """First words of all windows of ``size`` words inside one text."""
         last = np.repeat(self.first[1:], self.counts())

@@ -61,3 +61,26 @@ def test_full_cache_is_emptied(monkeypatch):
     for text in ("a b c d", "e f g h", "a b c d i j k l m"):
         [(_, _, ids, _)] = encoder.encode_batch(batch([text]), None)
         assert list(ids) == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def mirrored(n):
+    """A run of n letters and the same run with both letters exchanged (Thue and Morse)."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1 << 10, 1 << 13, 1 << 16])
+def test_mirrored_runs_differ(n):
+    one, other = mirrored(n)
+    data = np.frombuffer(f"{one} {other}".encode(), np.uint8)
+    assert len(set(Words(data, np.array([0, len(data)])).hashes)) == 2
+    spaced = [" ".join(x).encode() for x in (one, other)]
+    places = np.cumsum([0, *map(len, spaced)])
+    words = Words(np.frombuffer(b"".join(spaced), np.uint8), places)
+    for which in (0, 1):
+        assert len(set(words.whole(np.arange(2), which))) == 2
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.Encoder(tokens.tokenizer_path(name))
+        want = encoder.tokenizer.encode_batch([one, other], add_special_tokens=False)
+        [(_, _, ids, places)] = encoder.encode_batch(batch([one, other]), None)
+        assert [list(ids[: places[1]]), list(ids[places[1] :])] == [e.ids for e in want]
