@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import (
+    alignment,
+    collocations,
     decontaminate,
+    exact_dedup,
     html_text,
     jaccard,
     language_id,
@@ -88,6 +91,22 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("base_list", 256).alias("base_sha256"), "spans")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), 100, 2000)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(
+        table(spark, sf_dir, "documents"),
+        tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("piece_bpe_32k.model"),
+    )
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_substring_dedup": (op1_substring_dedup, sql.SUBSTRING_DEDUP),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -99,4 +118,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_exact_top_k": (op8_exact_top_k, sql.EXACT_TOP_K),
     "op9_token_files": (op9_token_files, None),
     "op10_personal_data": (op10_personal_data, None),
+    "op11_exact_dedup": (op11_exact_dedup, sql.EXACT_DEDUP),
+    "op12_collocations": (op12_collocations, sql.COLLOCATIONS),
+    "op13_tokenizer_alignment": (op13_tokenizer_alignment, None),
 }

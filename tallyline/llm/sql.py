@@ -114,3 +114,48 @@ r as (
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
 """
+
+EXACT_DEDUP = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       row_number() over (partition by t order by doc_id desc) = 1 as kept, sha256(t) as text_sha256
+from (select doc_id, coalesce(text, '') as t from documents)
+window same as (partition by t)
+"""
+
+COLLOCATIONS = f"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from p),
+starts as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from w),
+cut as (select lang, ws[i:i+4] as g from starts),
+sized as (select lang, g, unnest(range(1, len(g) + 1)) as size from cut),
+grams as (select lang, size, g[1:size] as g, count(*) as f from sized group by all),
+totals as (select lang, sum(f) as n from grams where size = 1 group by lang),
+candidates as (select * from grams where size > 1 and f >= 100),
+places as (select lang, f, g, size, unnest(range(2, size)) as s from candidates),
+inner_places as (select lang, f, g, s, unnest(range(1, size - s + 2)) as j from places),
+inner_parts as (select lang, f, g[j:j+s-1] as g from inner_places),
+covered as (
+  select distinct c.lang, c.g from candidates c
+  join inner_parts q on q.lang = c.lang and q.g = c.g and 100 * q.f >= 100 * c.f),
+whole as (
+  select c.lang, c.g, c.f as a, n, unnest(range(1, c.size)) as k
+  from candidates c anti join covered v on v.lang = c.lang and v.g = c.g
+  join totals on totals.lang = c.lang),
+parts as (select lang, g, a, n, k, g[1:k] as first_part, g[k+1:] as rest from whole),
+cuts as (
+  select p.lang, p.g, a, l.f as l, r.f as r, n, k,
+         (1000::hugeint * a * n) // (l.f::hugeint * r.f) as score
+  from parts p
+  join grams l on l.lang = p.lang and l.g = p.first_part
+  join grams r on r.lang = p.lang and r.g = p.rest),
+best as (
+  select *, row_number() over (partition by lang, g order by score, k) as choice,
+         array_to_string(g, ' ') as phrase from cuts),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from best where choice = 1)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked where rank <= 2000
+"""
