@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate, count
 
 import numpy as np
 import pyarrow as pa
@@ -70,41 +71,34 @@ def piece_tokens(model: SentencePieceProcessor) -> list[bytes]:
     return out
 
 
-def aligned(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[range, range, list[tuple[int, int]]]]:
-    """Groups of two tokenizations of the same bytes: token places of both sides, and links."""
-    sides = []
-    for sizes in (a_sizes, b_sizes):
-        ends, end = {}, 0
-        for place, size in enumerate(sizes):
-            end += size
-            ends[end] = place
-        sides.append(ends)
-    first, second = sides
-    groups = []
-    a = b = at = 0
+def aligned(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int, int, int]]:
+    """Groups of two tokenizations of the same bytes, as ranges of token places of A and of B."""
+    first = dict(zip(accumulate(a_sizes), count(1), strict=False))
+    second = dict(zip(accumulate(b_sizes), count(1), strict=False))
+    groups, a, b = [], 0, 0
     for end in sorted(first.keys() & second.keys()):
-        one, other = range(a, first[end] + 1), range(b, second[end] + 1)
-        links = []
-        if len(one) == 1 or len(other) == 1:
-            links = [(x, y) for x in one for y in other]
-        else:
-            x, y, x_end, y_end = a, b, at + a_sizes[a], at + b_sizes[b]
-            while True:
-                links.append((x, y))
-                if x_end == end and y_end == end:
-                    break
-                step_x, step_y = x_end <= y_end, y_end <= x_end
-                if step_x:
-                    x += 1
-                    x_end += a_sizes[x]
-                if step_y:
-                    y += 1
-                    y_end += b_sizes[y]
-        groups.append((one, other, links))
-        a, b, at = one.stop, other.stop, end
+        groups.append((a, a := first[end], b, b := second[end]))
     return groups
 
 
+def links_inside(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int]]:
+    """Places of overlapping tokens inside one group, where only the last ends meet."""
+    if len(a_sizes) == 1 or len(b_sizes) == 1:
+        return [(x, y) for x in range(len(a_sizes)) for y in range(len(b_sizes))]
+    links, x, y = [], 0, 0
+    x_end, y_end = a_sizes[0], b_sizes[0]
+    while True:
+        links.append((x, y))
+        if x_end < y_end:
+            x += 1
+            x_end += a_sizes[x]
+        elif y_end < x_end:
+            y += 1
+            y_end += b_sizes[y]
+        else:
+            return links
+
+
 class Aligner:
     """Aligned chunks of texts for a byte-level file (A) and a piece model (B)."""
 
@@ -116,6 +110,8 @@ class Aligner:
         inner = (x.lstrip(b" ") for x in self.b_bytes)
         if any(b" " in x for x in inner):
             raise ValueError(f"pieces of {piece_model} reach across spaces")
+        self.a_sizes, self.b_sizes = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
+        self.shown = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.space = [self.b.piece_to_id("▁")]
         self._clear()
 
@@ -128,28 +124,42 @@ class Aligner:
         self.links = np.zeros(0, np.int64)
         self.groups: list[str] = []
 
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
+    def _chunk(self, chunk: bytes, a: list[int], b: list[int], links: list[int]) -> tuple[int, int, int, int, int]:
+        """Facts of one chunk; its links and its groups as text are put behind the others."""
+        joined = b"".join(map(self.a_bytes.__getitem__, a)), b"".join(map(self.b_bytes.__getitem__, b))
+        if not joined[0] == joined[1] == chunk:
+            self.groups.append("")
+            return 0, 0, 0, 0, 0
+        before, shown, text = len(links), [], self.shown
+        left, right = [self.a_sizes[i] for i in a], [self.b_sizes[i] for i in b]
+        for a_from, a_to, b_from, b_to in aligned(left, right):
+            if a_to - a_from == 1:
+                x = a[a_from]
+                if b_to - b_from == 1:
+                    y = b[b_from]
+                    shown.append(f"{text[x]}|{text[y]}")
+                    links.append(x << 32 | y)
+                    continue
+                some = b[b_from:b_to]
+                shown.append(f"{text[x]}|{','.join([text[y] for y in some])}")
+                links += [x << 32 | y for y in some]
+                continue
+            one, other = a[a_from:a_to], b[b_from:b_to]
+            shown.append(f"{','.join([text[x] for x in one])}|{','.join([text[y] for y in other])}")
+            links += [one[i] << 32 | other[j] for i, j in links_inside(left[a_from:a_to], right[b_from:b_to])]
+        self.groups.append(";".join(shown))
+        return len(a), len(b), len(shown), len(links) - before, 1
+
+    def _learn(self, keys: np.ndarray, chunks: list[bytes]) -> None:
         facts, links = [], []
-        for start in range(0, len(chunks), 10_000):
-            some = chunks[start : start + 10_000]
-            firsts = self.a.encode_batch_fast(some, add_special_tokens=False)
+        for start in range(0, len(chunks), 4000):
+            some = chunks[start : start + 4000]
+            texts = [c.decode("utf-8") for c in some]
+            firsts = self.a.encode_batch_fast(texts, add_special_tokens=False)
             # the model puts a space in front by itself, but not of nothing
-            others = self.b.encode([c[1:] for c in some], num_threads=1)
-            for chunk, x, y in zip(some, firsts, others, strict=True):
-                a, b = x.ids, y if len(chunk) > 1 else self.space
-                left, right = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-                if not b"".join(left) == b"".join(right) == chunk.encode():
-                    facts.append((0, 0, 0, 0, 0))
-                    self.groups.append("")
-                    continue
-                groups = aligned([len(t) for t in left], [len(t) for t in right])
-                shown = (
-                    f"{','.join(str(a[i]) for i in one)}|{','.join(str(b[i]) for i in other)}" for one, other, _ in groups
-                )
-                self.groups.append(";".join(shown))
-                mine = [a[i] << 32 | b[j] for *_, pairs in groups for i, j in pairs]
-                facts.append((len(a), len(b), len(groups), len(mine), 1))
-                links += mine
+            others = self.b.encode([t[1:] for t in texts], num_threads=1)
+            for chunk, a, b in zip(some, firsts, others, strict=True):
+                facts.append(self._chunk(chunk, a.ids, b if len(chunk) > 1 else self.space, links))
         new = np.array(facts, np.int64).reshape(-1, 5)
         slots = len(self.begin) + np.arange(len(new))
         self.begin = np.append(self.begin, len(self.links) + np.cumsum(new[:, 3]) - new[:, 3])
@@ -184,7 +194,7 @@ class Aligner:
             new[:] = True
         if new.any():
             raw, at = data.tobytes(), where[new]
-            self._learn(keys[new], [raw[x:y].decode("utf-8") for x, y in zip(starts[at], ends[at], strict=True)])
+            self._learn(keys[new], [raw[x:y] for x, y in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
         slots = self.slots[np.searchsorted(self.keys, keys)][which]
         return slots, np.searchsorted(starts, offsets)
 

@@ -12,7 +12,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from tallyline.llm import alignment
-from tallyline.llm.alignment import aligned, aligned_documents, byte_level_tokens, piece_tokens
+from tallyline.llm.alignment import aligned, aligned_documents, byte_level_tokens, links_inside, piece_tokens
 from tallyline.llm.tokens import tokenizer_path
 
 FILES = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
@@ -96,9 +96,9 @@ def test_random_characters_and_a_full_cache(spark, monkeypatch):
 
 
 def test_links_inside_a_group():
-    [(one, other, links)] = aligned([2, 3, 1], [1, 3, 2])
-    assert (len(one), len(other)) == (3, 3)
-    assert links == [(0, 0), (0, 1), (1, 1), (1, 2), (2, 2)]
+    assert aligned([2, 3, 1, 4], [1, 3, 2, 1, 3]) == [(0, 3, 0, 3), (3, 4, 3, 5)]
+    assert links_inside([2, 3, 1], [1, 3, 2]) == [(0, 0), (0, 1), (1, 1), (1, 2), (2, 2)]
+    assert links_inside([4], [1, 3]) == [(0, 0), (0, 1)]
 
 
 def test_empty_table_and_extra_columns(spark):
