@@ -37,6 +37,7 @@ HOT_PART = 512
 #: Vocabulary numbers are dealt in this many groups.
 _GROUPS = 1024
 _ROW_WINDOWS = 1 << 15
+_ZSTD = pa.Codec("zstd", 1)
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -194,6 +195,22 @@ def _merged(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[at] for c in columns], np.add.reduceat(counts[order], at)
 
 
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Sorted columns as steps of the first and byte by byte, which then compress well."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    planes = np.stack([first, *columns[1:]]).astype("<u8")
+    planes = np.ascontiguousarray(planes.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1))
+    return len(first).to_bytes(4, "little") + _ZSTD.compress(planes, asbytes=True)
+
+
+def _unpacked(data: bytes, columns: int) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(_ZSTD.decompress(data[4:], 8 * n * columns, asbytes=True), np.uint8)
+    values = planes.reshape(columns, 8, n).transpose(0, 2, 1).copy().view("<u8").reshape(columns, n)
+    values[0] = np.cumsum(values[0])
+    return values
+
+
 def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], buckets: int) -> DataFrame:
     """Sorted windows of each block, packed by bucket.
 
@@ -209,7 +226,7 @@ def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], bucke
                 known = batch.column("known")[i].values
                 keys = np.asarray(batch.column("hashes")[i].values).view(np.uint64)
                 number = np.zeros(len(keys) + 1, np.uint64)
-                number[np.asarray(known.field("pos")) + 1] = np.asarray(known.field("id")).view(np.uint64)
+                number[np.asarray(known.field("pos")) + 1] = np.asarray(known.field("id")).astype(np.uint64)
                 ids = number[codes]
                 hashes = np.append(np.uint64(0), keys)[codes]
                 at = np.flatnonzero((ids > 0) & (_ahead(ids, 1) > 0))
@@ -239,8 +256,8 @@ def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], bucke
                     for begin in range(a, b, _ROW_WINDOWS):
                         end = min(b, begin + _ROW_WINDOWS)
                         rows["bucket"].append(int(columns[0][a]))
-                        held = [c[begin:end].tobytes() for c in columns[1:]]
-                        rows["data"].append(b"".join([*held, counts[begin:end].astype("<u8").tobytes()]))
+                        held = [c[begin:end] for c in columns[1:]]
+                        rows["data"].append(_packed([*held, counts[begin:end].astype(np.uint64)]))
                     yield pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int64()), ("data", pa.binary())]))
 
     return blocks.select("codes", "hashes", "known").mapInArrow(emit, "bucket long, data binary")
@@ -297,7 +314,7 @@ def _bucket_phrases(runs: DataFrame, packing: _Packing, least: int, most: int) -
                     if held:
                         yield from worked(*together())
                     now, held, n, parts = bucket, [], 0, False
-                values = np.frombuffer(data.as_buffer(), "<u8").reshape(packing.columns + 1, -1)
+                values = _unpacked(data.as_py(), packing.columns + 1)
                 held.append(values)
                 n += values.shape[1]
                 if n >= 2 * most:
@@ -410,8 +427,9 @@ def _frequent(spark: SparkSession, docs: DataFrame, base: str, least: int, block
 
     packing, buckets = _Packing(largest), max(1, -(-places // bucket_windows))
     listed = blocks.select("block", "lang", F.posexplode("words").alias("pos", "word"))
-    known = listed.join(words.select("lang", "word", "id"), ["lang", "word"])
-    known = known.groupBy("block").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
+    known = listed.join(words.select("lang", "word", "id"), ["lang", "word"], "left")
+    answer = F.struct("pos", F.coalesce("id", F.lit(0)).alias("id"))
+    known = known.groupBy("block").agg(F.collect_list(answer).alias("known"))
     runs = _runs(blocks.select("block", "codes", "hashes").join(known, "block"), packing, hot, buckets)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(buckets, 20_000))
     dealt = runs.repartition(parts, "bucket").sortWithinPartitions("bucket")
