@@ -19,8 +19,7 @@ BALANCE_SHEET = "balance-sheet"
 # Fixed value: the name the first column gets.
 LINE_ITEM_HEADER = "Narration"
 
-# Tables inside cells are understood to this depth.
-_DEPTH = 4
+# Stand for the tags of tables inside cells.
 _INNER, _INNER_END = "\u0002", "\u0003"
 
 # Stands for a table tag; the tag's letter follows, after a slash in an end tag.
@@ -30,8 +29,8 @@ _QUOTED = "(?:\"[^\"]*+\"|'[^']*+')"
 _REST = f"(?:[^>\"']*+(?:{_QUOTED}[^>\"']*+)*+|[^>]*)>"
 
 
-def _first_table(html: Column, section_id: str) -> Column:
-    """Inside of the first table of the section, up to whichever end comes first.
+def _behind_first_table(html: Column, section_id: str) -> Column:
+    """What follows the section's first table tag, up to the end of the section.
 
     The loops step from one ``<`` to the next and never go back, so a page costs
     one pass whatever its length.
@@ -39,39 +38,72 @@ def _first_table(html: Column, section_id: str) -> Column:
     name = f"(?-i:{re.escape(section_id)})"
     opening = f"<section\\b[^>]*?\\bid\\s*=\\s*[\"']?{name}[\"']?(?=[\\s>/]){_REST}"
     before = "(?:[^<]++|<(?!/section\\b|table\\b))*+"
-    plain = "[^<]++|<(?!/section\\b|/?table\\b)"
-    inner = f"(?:{plain})*+"
-    for _ in range(_DEPTH):
-        inner = f"(?:{plain}|<table\\b{_REST}{inner}</table\\s*+>)*+"
-    # What is nested deeper, or never closed, is taken up to the next end.
-    inside = f"({inner}(?:[^<]++|<(?!/section\\b|/table\\b))*+)"
+    inside = "((?:[^<]++|<(?!/section\\b))*+)"
     return F.regexp_extract(html, f"(?is){opening}{before}<table\\b{_REST}{inside}", 1)
 
 
 def _marked(table: Column) -> Column:
-    """Table markup to text with one mark per row and cell tag."""
+    """Table markup to text with one mark per table, row and cell tag."""
     text = F.translate(table, _TAG + _INNER + _INNER_END, "")
     text = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
-    text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?=[\\s>/]){_REST}", f"{_TAG}$1")
     text = F.regexp_replace(text, f"(?i)<table(?=[\\s>/]){_REST}", _INNER)
     text = F.regexp_replace(text, f"(?i)</table(?=[\\s>/]){_REST}", _INNER_END)
-    text = F.regexp_replace(text, f"</?[A-Za-z]{_REST}", "")
-    # Closes a last cell that lacks its end tag.
-    return F.concat(text, F.lit(f"{_TAG}/tr"))
+    # Without a table inside, nothing behind the first end is of interest.
+    text = F.when(text.contains(_INNER), text).otherwise(F.substring_index(text, _INNER_END, 1))
+    text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?=[\\s>/]){_REST}", f"{_TAG}$1")
+    return F.regexp_replace(text, f"</?[A-Za-z]{_REST}", "")
+
+
+def _running_sums(steps: Column) -> Column:
+    """Sums of an array's numbers up to each place.
+
+    Sums of blocks come first, so that a place adds up its own block only: the work grows
+    with the length to the power 1.5.
+    """
+
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda a, b: a + b)
+
+    width = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.size(steps), width), lambda first: F.slice(steps, first, width)
+    )
+    sums = F.transform(blocks, total)
+    before = F.transform(sums, lambda _, i: total(F.slice(sums, F.lit(1), i)))
+
+    def within(pair: Column) -> Column:
+        block = pair["block"]
+        return F.transform(block, lambda _, i: pair["before"] + total(F.slice(block, F.lit(1), i + 1)))
+
+    return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), before.alias("before")), within))
 
 
-def _unnested(text: Column) -> Column:
-    """Takes the row and cell marks of the innermost tables away, their text stays."""
+def _unnested(tables: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The first table alone, with the text of tables in its cells but not their rows and cells.
 
-    def piece(part: Column) -> Column:
-        inner = F.substring_index(part, _INNER_END, 1)
-        after = F.substr(part, F.length(inner) + 2, F.length(part))
-        plain = F.regexp_replace(inner, f"(?i){_TAG}/?t[rhd]", " ")
-        return F.when(part.contains(_INNER_END), F.concat(plain, after)).otherwise(F.concat(F.lit(_INNER), part))
+    The depth at each table tag is a running sum, so tables may be nested to any depth; a
+    table that is never closed reaches to the end of the section.
+    """
+    nested = F.col("_t").contains(_INNER)
+    parts = F.when(nested, F.split("_t", f"(?=[{_INNER}{_INNER_END}])", -1))
+    tables = tables.select(*carry, "_t", parts.alias("_parts"))
+    steps = F.transform(
+        F.slice("_parts", F.lit(2), F.size("_parts")),
+        lambda p: F.when(F.startswith(p, F.lit(_INNER)), 1).otherwise(-1),
+    )
+    tables = tables.select(*carry, "_t", "_parts", steps.alias("_steps"))
+    tables = tables.select(*carry, "_t", "_parts", _running_sums(F.col("_steps")).alias("_depths"))
 
-    parts = F.split(text, _INNER, -1)
-    others = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.concat(F.element_at(parts, 1), F.array_join(F.transform(others, piece), ""))
+    def piece(part: Column, i: Column) -> Column:
+        plain = F.regexp_replace(part, f"(?i){_TAG}/?t[rhd]", " ")
+        return F.when((i == 0) | (F.get("_depths", i - 1) == 0), part).otherwise(plain)
+
+    # The first table ends where the sum falls below nought.
+    end = F.array_position("_depths", -1).cast("int")
+    kept = F.slice("_parts", F.lit(1), F.when(end > 0, end).otherwise(F.size("_parts")))
+    text = F.when(F.col("_parts").isNull(), F.col("_t")).otherwise(F.array_join(F.transform(kept, piece), ""))
+    # Closes a last cell that lacks its end tag.
+    return tables.select(*carry, F.concat(F.translate(text, _INNER + _INNER_END, ""), F.lit(f"{_TAG}/tr")).alias("_t"))
 
 
 def _all(text: Column, letter: str) -> Column:
@@ -94,13 +126,9 @@ def _tables(
         return tolerant_tables(pages, section_id, carry)
     # A page without the words skips the patterns.
     candidates = pages.filter(F.contains(F.col("html"), F.lit(section_id)))
-    found = F.array(_first_table(F.col("html"), section_id))
+    found = F.array(_behind_first_table(F.col("html"), section_id))
     tables = candidates.select(*carry, F.explode(F.filter(found, lambda t: t != "")).alias("_t"))
-    tables = tables.select(*carry, _marked(F.col("_t")).alias("_t"))
-    for _ in range(_DEPTH):
-        nested = F.col("_t").contains(_INNER)
-        tables = tables.select(*carry, F.when(nested, _unnested(F.col("_t"))).otherwise(F.col("_t")).alias("_t"))
-    tables = tables.select(*carry, F.translate("_t", _INNER + _INNER_END, "").alias("_t"))
+    tables = _unnested(tables.select(*carry, _marked(F.col("_t")).alias("_t")), carry)
     tables = tables.select(*carry, decode_entities(F.col("_t")).alias("_t"))
     trimmed = F.regexp_replace("_t", f"(?i)[\\s\\u00a0]*({_TAG}/?t[rhd])[\\s\\u00a0]*", "$1")
     tables = tables.select(*carry, trimmed.alias("_t"))
