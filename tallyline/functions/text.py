@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -12,7 +13,8 @@ _EDGE_BLANK = "^[\\s\\u00a0]+|[\\s\\u00a0]+$"
 
 # All named character references of the HTML standard that end with a semicolon.
 _NAMED_REFERENCES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
-_USUAL = ["amp", "nbsp", "lt", "gt", "quot", "apos", "minus", "ndash", "mdash"]
+# Replaced as plain strings; none of their characters can be part of a reference.
+_USUAL = ["nbsp", "lt", "gt", "quot", "apos", "minus", "ndash", "mdash"]
 
 
 def strip_blank(c: Column) -> Column:
@@ -27,22 +29,19 @@ def _code_point(digits: Column, base: int) -> Column:
 def decode_entities(c: Column) -> Column:
     """Character references, numeric and named, to characters, each once.
 
-    The text is cut at each ``&``; a piece that begins with a reference loses it and
-    gains the character, any other piece gets its ``&`` back.  Give it a plain column: the
-    text is named several times in the expression.
+    The usual ones are replaced as they stand.  Only a text with others is cut at each
+    ``&``; a piece that begins with a reference loses it and gains the character, any other
+    piece gets its ``&`` back.
     """
-    # a map is searched from its start, so the usual references have one of their own
-    usual, names = (
-        F.create_map(*[F.lit(x) for name in some for x in (name, _NAMED_REFERENCES[name])])
-        for some in (_USUAL, _NAMED_REFERENCES)
-    )
+    # one literal, folded into a map before the query runs; thousands would slow its planning
+    names = F.from_json(F.lit(json.dumps(_NAMED_REFERENCES)), "map<string,string>")
 
     def piece(part: Column) -> Column:
         dec = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
         hexa = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1)
         name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
         rest = F.regexp_replace(part, "^[#A-Za-z0-9]+;", "")
-        char = F.when(name != "", F.coalesce(F.try_element_at(usual, name), F.try_element_at(names, name)))
+        char = F.when(name == "amp", "&").when(name != "", F.try_element_at(names, name))
         return (
             F.when(dec != "", F.concat(_code_point(dec, 10), rest))
             .when(hexa != "", F.concat(_code_point(hexa, 16), rest))
@@ -50,10 +49,18 @@ def decode_entities(c: Column) -> Column:
             .otherwise(F.concat(F.lit("&"), part))
         )
 
-    parts = F.split(c, "&", -1)
-    others = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(others, piece), ""))
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    def others(text: Column) -> Column:
+        parts = F.split(text, "&", -1)
+        rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(rest, piece), ""))
+        plain = F.replace(text, F.lit("&amp;"), F.lit("&"))
+        return F.when(text.rlike("&(?!amp;)"), decoded).otherwise(plain)
+
+    usual = c
+    for name in _USUAL:
+        usual = F.replace(usual, F.lit(f"&{name};"), F.lit(_NAMED_REFERENCES[name]))
+    # a lambda's argument is worked out once, however often it is named
+    return F.get(F.transform(F.array(usual), others), F.lit(0))
 
 
 def normalise_name(c: Column | str) -> Column:

@@ -74,6 +74,18 @@ def html_nested_tables(spark: SparkSession, sf: str) -> DataFrame:
     return load_statements(pages, COMPANY)
 
 
+def html_deep_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages with tables nested 1 to 12 deep, one page this deep, the next that."""
+    row, nests = "<tr><td>{}</td><td> </td></tr>", [""]
+    for _ in range(12):
+        nests.append(f"<TABLE class='a>b'>{row.format(nests[-1])}<tr><th></th></tr></TABLE >")
+    depth = F.pmod(F.crc32(COMPANY), F.lit(12)).cast("int") + 2
+    nest = F.concat(F.lit("$1"), F.element_at(F.array(*map(F.lit, nests)), depth))
+    nested = F.regexp_replace("html", F.lit('(<td class="text">[^<]*)'), nest)
+    pages = _pages(spark, sf).withColumn("html", nested)
+    return load_statements(pages, COMPANY)
+
+
 def html_unlisted_items(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the line items that a load of two items leaves out."""
     cells = extract_statement(_pages(spark, sf), carry=[COMPANY])
@@ -194,6 +206,7 @@ QUERIES = {
         group by 1, 2, 3""",
     ),
     "html_nested_tables": (html_nested_tables, f"with {_STMT} select {_COLS} from stmt"),
+    "html_deep_tables": (html_deep_tables, f"with {_STMT} select {_COLS} from stmt"),
     "html_unlisted_items": (
         html_unlisted_items,
         f"""with {_STMT}, long as ({_LONG}) select company_name, line_item, date as period, value

@@ -247,3 +247,32 @@ def test_very_long_pages(spark):
     page = spark.createDataFrame([(1, html + "</table>" + filler)], "page_id long, html string")
     row = extract_statement(page).collect()[0]
     assert (row.line_item, row.raw) == ("Sales", "1" * 50_000)
+
+
+def nest(depth, text="x"):
+    return f"<table><tr><td>{text}</td><th>y</th></tr>{nest(depth - 1)}</table>" if depth else ""
+
+
+@pytest.mark.parametrize("inner", [nest(30), nest(1) * 3000, nest(2) + "<!-- </table> -->" + nest(7)])
+def test_rows_behind_tables_of_any_depth_are_kept(spark, inner):
+    html = (
+        f"<section id='profit-loss'><p>x</p><table><tr><th>{inner}</th><th>Mar 2015</th></tr>"
+        f"<tr><td>Sales</td><td>7{inner}</td></tr><tr><td>Interest</td><td>8</td></tr></table>"
+        "<table><tr><td>Interest</td><td>9</td></tr></table></section>"
+    )
+    pages = spark.createDataFrame([("c", html)], f"{COMPANY} string, html string")
+    cells = extract_statement(pages, carry=[COMPANY]).collect()
+    texts = inner.count("<td>x")
+    assert [(r["line_item"], r["raw"].count("x"), r["raw"][0]) for r in cells] == [("Sales", texts, "7"), ("Interest", 0, "8")]
+
+
+def test_a_table_that_is_never_closed_reaches_to_the_end_of_the_section(spark):
+    html = (
+        "<section id='profit-loss'><table><tr><th></th><th>Mar 2015</th></tr><tr><td>Sales</td><td>7<table></td></tr>"
+        "</table><tr><td>Interest</td><td>8</td></tr></section><table><tr><td>Tax</td><td>9</td></tr></table>"
+    )
+    pages = spark.createDataFrame([("c", html)], f"{COMPANY} string, html string")
+    assert [(r["line_item"], r["raw"]) for r in extract_statement(pages, carry=[COMPANY]).collect()] == [
+        ("Sales", "7"),
+        ("Interest", "8"),
+    ]
