@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.periods import period_order
 from tallyline.operators.compact import compact
 from tallyline.operators.decode import dead_letters, decode_changes
+from tallyline.operators.merge import live_rows
 from tallyline.operators.summary import averages
 from tallyline.plans import derived
 from tallyline.plans.derived import EVENT_KEYS, EVENT_ROW
@@ -22,6 +25,7 @@ from tallyline.schema import (
     statement_schema,
 )
 from tallyline.sinks import (
+    BucketedState,
     Snapshot,
     assert_unique,
     create_table,
@@ -116,6 +120,30 @@ def stream_cdc_apply(spark: SparkSession, sf: str, mode: str = "replace") -> Dat
     return snapshot.read()
 
 
+def _bucketed_state(spark: SparkSession, sf: str) -> BucketedState:
+    name = f"accounts_{uuid.uuid4().hex}"
+    state = BucketedState(spark, name, EVENT_ROW, EVENT_KEYS, _buckets(spark))
+    state.load(derived.stored_accounts(spark, sf))
+    return state
+
+
+def cdc_apply_bucketed(spark: SparkSession, sf: str, mode: str = "replace") -> DataFrame:
+    """The log merged into rows stored by key; only the log is shuffled."""
+    state = _bucketed_state(spark, sf)
+    events = decode_changes(derived.change_log(spark, sf), EVENT_ROW, EVENT_KEYS)
+    return live_rows(state.merged(events, mode))
+
+
+def stream_cdc_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The log in four micro-batches, each a new version of the bucketed state."""
+    base, state = scratch_dir(spark, "refresh"), _bucketed_state(spark, sf)
+    path, quarter = _stored_log(spark, derived.change_log(spark, sf, HOUR_MS))
+    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
+    refresh = Refresh(state, EVENT_ROW, EVENT_KEYS, keep_versions=2)
+    run_refresh(changes, refresh, f"{base}/checkpoint").awaitTermination()
+    return state.read()
+
+
 def _stream_statements(spark: SparkSession, sf: str, load: bool = False) -> tuple[Indicators, Averages]:
     """Follow-up tables after the log; with ``load``, stored rows (open
     lines') came first and the log has the finished lines'."""
@@ -174,6 +202,15 @@ QUERIES = {
         lambda s, d: snapshot_upsert_roundtrip(s, d, "coalesce"),
         f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('coalesce')}""",
     ),
+    "cdc_apply_bucketed": (
+        cdc_apply_bucketed,
+        f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('replace')}""",
+    ),
+    "stream_cdc_bucketed": (
+        stream_cdc_bucketed,
+        f"""with {sql.events(clock_ms=HOUR_MS)}, {sql.latest()}, {sql.ACCOUNTS}
+        {sql.accounts_merged('replace')}""",
+    ),
     "snapshot_rebucket_roundtrip": (
         snapshot_rebucket_roundtrip,
         f"""with {sql.events()}, {sql.latest()}, {sql.ACCOUNTS} {sql.accounts_merged('replace')}""",

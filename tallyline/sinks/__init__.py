@@ -1,5 +1,6 @@
 """Writers."""
 
+from tallyline.sinks.bucketed import BucketedState
 from tallyline.sinks.files import (
     assert_unique,
     create_table,
@@ -14,6 +15,7 @@ from tallyline.sinks.snapshot import Snapshot
 from tallyline.sinks.workspace import scratch_dir
 
 __all__ = [
+    "BucketedState",
     "Snapshot",
     "append_jdbc",
     "assert_unique",

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.decode import keyed_events, parse_envelopes, unkeyed_records
+from tallyline.sinks.bucketed import BucketedState
 from tallyline.sinks.snapshot import Snapshot
 from tallyline.streaming.derived import FollowUp
 
@@ -26,6 +27,7 @@ from tallyline.streaming.derived import FollowUp
 class Refresh:
     """What one micro-batch does.
 
+    ``snapshot`` may be a :class:`BucketedState` too, as long as no follow-up asks for buckets.
     ``keep_deletes_ms`` bounds how long delete markers wait for late events,
     ``keep_versions`` how many versions of the snapshot and of the tables that follow it
     stay readable.
@@ -35,7 +37,7 @@ class Refresh:
     outputs that are functions of the whole state (indicators, averages).
     """
 
-    snapshot: Snapshot
+    snapshot: Snapshot | BucketedState
     row: T.StructType
     keys: Sequence[str]
     mode: str = "replace"
