@@ -46,10 +46,12 @@ def _matrix(terms: pd.Series, width: int) -> np.ndarray:
 
 def best_of(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of one dense score array, ties to the smaller id, without ``own``."""
-    take = min(k + 1, len(scores))
-    least = np.partition(scores, len(scores) - take)[len(scores) - take]
-    at = np.flatnonzero(scores >= least)
-    at = at[ids[at] != own]
+    others = np.flatnonzero(ids != own)
+    if not len(others):
+        return ids[others], scores[others]
+    take = min(k, len(others))
+    least = np.partition(scores[others], len(others) - take)[len(others) - take]
+    at = others[scores[others] >= least]
     at = at[np.lexsort((ids[at], -scores[at]))][:k]
     return ids[at], scores[at]
 
@@ -83,9 +85,11 @@ def top_k(
     candidate.  Ties go to the smaller ``vec_id``; queries with fewer candidates get
     all.  Chunks and blocks are hash groups of the ids, so their sizes are even and
     bounded whatever the vectors hold; each block goes to every chunk once, the least a
-    search without an index can move.  Rows with one id each count for themselves.
+    search without an index can move.  Candidates that share an id each count for
+    themselves; of queries that share one the smallest vector by its terms is asked.
     """
     spark = vectors.sparkSession
+    queries = queries.groupBy("vec_id").agg(F.min("terms").alias("terms"))
     n, asked = vectors.count(), queries.count()
     chunks, blocks = max(1, -(-n // chunk_rows)), max(1, -(-asked // block_rows))
     side = "pmod(xxhash64(vec_id), {}) as {}"

@@ -106,10 +106,11 @@ def token_starts(digests: DataFrame) -> DataFrame:
     comes first.  ``digests`` is read twice and should be a stored table.
     """
     inside = Window.partitionBy("file").orderBy("doc_id", "n_tokens", "ids_crc32")
-    files = digests.groupBy("file").agg(F.sum("n_tokens").alias("_total"))
+    files = digests.groupBy("file").agg(F.sum("n_tokens").alias("_total"), F.min("doc_id").alias("_least"))
+    # by what they hold: names of numbered files don't sort by number for ever
+    order = Window.orderBy(F.asc_nulls_first("_least"), "file")
     before = files.select(
-        F.col("file").alias("_file"),
-        (F.sum("_total").over(Window.orderBy("file")) - F.col("_total")).alias("_before"),
+        F.col("file").alias("_file"), (F.sum("_total").over(order) - F.col("_total")).alias("_before")
     )
     sums = digests.withColumn("_sum", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     return sums.join(before, F.col("file") == F.col("_file")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from tallyline.llm.html_text import (
@@ -106,3 +108,12 @@ def test_extra_columns_and_empty_table(spark):
 def test_long_page():
     html = "<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>"
     assert main_text(html, TREE).count("\n") == 19_999
+
+
+@pytest.mark.parametrize("tag", ["svg", "script", "textarea", "div", "a"])
+@pytest.mark.parametrize("inside", ['a="b" ' * 200, "a='b' " * 200, 'a="b ' * 201, "a= " * 400 + '"', "a=\"'" * 301])
+def test_pages_cut_off_in_a_tag_take_no_time(tag, inside):
+    began = time.perf_counter()
+    blocks = text_blocks(f"<p>Some text before the tag</p><{tag} {inside}")
+    assert time.perf_counter() - began < 0.5
+    assert [b.text for b in blocks] == ["Some text before the tag"]

@@ -58,3 +58,12 @@ def test_few_candidates_and_empty_table(spark):
 def test_best_of_takes_smaller_ids_in_ties():
     ids, scores = best_of(np.array([3, 5, 5, 5, 1]), np.array([9, 8, 4, 6, 2]), 6, 2)
     assert (ids.tolist(), scores.tolist()) == ([4, 8], [5, 5])
+
+
+@pytest.mark.parametrize("sizes", [{}, {"chunk_rows": 3, "block_rows": 2}])
+def test_repeated_ids_lose_no_candidate(spark, sizes):
+    rows = [(0, [0.5, 0.25], 1)] * 7 + [(i, [0.1 * i, 1.0], 1) for i in range(1, 6)] + [(3, [2.0, 2.0], 1)]
+    found = result(spark, rows, **sizes)
+    assert [r for r in found if r[0] == 0] == sorted({r for r in expected(rows, 5, 5) if r[0] == 0})
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (1, [0.5, 0.25], 1), (2, [0.25, 0.5], 1)]
+    assert result(spark, rows, **sizes) == [(5, 1, 2, 128 * 256), (5, 2, 1, 64 * 256)]

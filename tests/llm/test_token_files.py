@@ -61,3 +61,10 @@ def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "orc")
     write_token_files(frame(spark, []), folder, PATH)
     assert token_starts(token_digests(read_token_files(spark, folder))).collect() == []
+
+
+def test_files_are_ordered_by_what_they_hold(spark):
+    rows = [(1, "part-99998", 3, 1), (2, "part-99999", 4, 2), (3, "part-100000", 5, 3), (None, "part-00000", 2, 4)]
+    digests = spark.createDataFrame(rows, "doc_id long, file string, n_tokens long, ids_crc32 long")
+    found = {r["doc_id"]: r["start"] for r in token_starts(digests).collect()}
+    assert found == {None: 0, 1: 2, 2: 5, 3: 9}
