@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.schema import CONTROL, DELETED, EVENT_ORDER
+from tallyline.schema import CONTROL, DELETED, EVENT_ORDER, EVENT_TIME
 
 MODES = ("coalesce", "replace")
 
@@ -95,6 +95,18 @@ def live_rows(state: DataFrame) -> DataFrame:
     return state.filter(~F.col(DELETED)).drop(*CONTROL)
 
 
+def without_old_markers(state: DataFrame, batch: DataFrame, keep_ms: int) -> DataFrame:
+    """Stored rows without delete markers older than a batch's median event by ``keep_ms``.
+
+    The median, so that no single event with a wrong clock makes markers go.
+    """
+    middle = batch.agg(F.percentile_approx(EVENT_TIME, 0.5)).first()[0]
+    if middle is None:
+        return state
+    old = F.col(DELETED) & (F.col(EVENT_TIME) < middle - keep_ms)
+    return state.filter(~F.coalesce(old, F.lit(False)))
+
+
 def drop_keys(
     df: DataFrame, removed: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

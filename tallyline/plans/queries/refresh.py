@@ -171,13 +171,12 @@ def stream_averages(spark: SparkSession, sf: str, load: bool = False) -> DataFra
 
 
 def snapshot_rebucket_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored rows in one bucket layout, moved to another, then the log, then folded."""
+    """Stored rows in one bucket layout, moved to another, then the log."""
     buckets = _buckets(spark)
     snapshot = Snapshot(spark, scratch_dir(spark, "snapshot"), EVENT_ROW, EVENT_KEYS, buckets)
     snapshot.load(derived.stored_accounts(spark, sf))
-    snapshot.rebucket(2 * buckets + 1)
+    snapshot.relayout(2 * buckets + 1)
     snapshot.apply(decode_changes(derived.change_log(spark, sf), EVENT_ROW, EVENT_KEYS))
-    snapshot.fold(after=0)
     rows = snapshot.read()
     assert_unique(rows, EVENT_KEYS)
     return rows

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.operators.compact import compact
-from tallyline.operators.merge import live_rows, merge_versioned
-from tallyline.schema import CONTROL, DELETED, EVENT_TIME, state_schema
+from tallyline.operators.merge import live_rows, merge_versioned, without_old_markers
+from tallyline.schema import CONTROL, DELETED, state_schema
 
 
 class BucketedState:
@@ -108,10 +108,7 @@ class BucketedState:
             return self.version()
         rows = self.merged(events, mode)
         if keep_deletes_ms is not None:
-            middle = events.agg(F.percentile_approx(EVENT_TIME, 0.5)).first()[0]
-            if middle is not None:
-                old = F.col(DELETED) & (F.col(EVENT_TIME) < middle - keep_deletes_ms)
-                rows = rows.filter(~F.coalesce(old, F.lit(False)))
+            rows = without_old_markers(rows, events, keep_deletes_ms)
         return self._commit(rows, tag)
 
     def expire(self, keep: int = 10) -> None:

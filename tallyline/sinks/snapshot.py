@@ -1,14 +1,13 @@
-"""Versioned bucketed tables in parquet, and the keyed snapshot built on them.
+"""Versions of plain partitioned Parquet, and the keyed snapshot built on them.
 
-Rows live in hash buckets; a bucket is one or more parts, each written by one version.
-An update either replaces buckets or appends a small part to them, under a new version
-folder, and then commits by writing that version's manifest: a small file naming the
-parts of every bucket, the commit's tag and the bucket layout.  Readers follow the newest
-manifest, which appears at once by a rename, so they see the old state or the new one; a
-failed update leaves files no manifest names and is simply repeated.  One writer at a time.
+A version is a folder of Parquet partitioned by hash bucket, holding the buckets it wrote,
+each whole.  One pointer file per version says in which version's folder each bucket is
+read.  A commit is that file: a version without one, or with half of one, isn't there, so a
+failed update is simply repeated, and nothing is ever renamed.  Readers of an earlier
+version keep its files until :meth:`VersionedTable.expire`.  One writer at a time.
 
     <path>/data/_version=7/_bucket=12/part-….parquet
-    <path>/manifest/00000007.json
+    <path>/pointer/00000007.json
 """
 
 from __future__ import annotations
@@ -17,235 +16,167 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.operators.compact import compact, latest_per_key
+from tallyline.operators.compact import compact
 from tallyline.operators.fill import deciding_rows, filled
-from tallyline.operators.merge import live_rows, merge_versioned
-from tallyline.schema import CONTROL, DELETED, EVENT_ORDER, EVENT_TIME, state_schema
+from tallyline.operators.merge import live_rows, merge_versioned, without_old_markers
+from tallyline.schema import CONTROL, DELETED, EVENT_ORDER, state_schema
 
-BUCKET = "_bucket"
-VERSION = "_version"
-_PART_ORDER = [*EVENT_ORDER, VERSION]
+BUCKET, VERSION = "_bucket", "_version"
+#: The commit that brought an event: the later one wins where positions are equal.
+TURN = "_turn"
 
 
 @dataclass(frozen=True)
-class Manifest:
-    """A commit: per bucket the versions of its parts, oldest first, tag, layout and what
-    the parts of a bucket mean together."""
+class Pointer:
+    """Per bucket the version whose folder holds it; the commit's tag, layout and mode."""
 
-    parts: dict[int, list[int]] = field(default_factory=dict)
+    held: dict[int, int] = field(default_factory=dict)
     tag: str | None = None
     buckets: int | None = None
     bucket_by: list[str] | None = None
     mode: str = "replace"
 
     def since(self, version: int) -> list[int]:
-        """Buckets with a part written after ``version``."""
-        return [b for b, versions in self.parts.items() if versions[-1] > version]
+        """Buckets written after ``version``."""
+        return [b for b, v in self.held.items() if v > version]
 
 
-class BucketedTable:
+class VersionedTable:
     """Rows hashed into buckets by some of their columns, replaced bucket by bucket."""
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        bucket_by: Sequence[str],
-        buckets: int = 64,
+        self, spark: SparkSession, path: str, schema: T.StructType, bucket_by: Sequence[str], buckets: int = 64
     ):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.bucket_by = list(bucket_by)
-        self.buckets = buckets
-        # Committed manifests never change, so each is read once.
-        self._manifests: dict[int, Manifest] = {}
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.bucket_by, self.buckets = list(bucket_by), buckets
+        self._pointers: dict[int, Pointer] = {}  # a complete pointer never changes
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def _folder(self, path: str):
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
+    def _place(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}")
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
     def _list(self, path: str) -> list[str]:
-        fs, folder = self._folder(path)
-        if not fs.exists(folder):
-            return []
-        return [status.getPath().getName() for status in fs.listStatus(folder)]
+        fs, place = self._place(path)
+        return [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
 
     def _remove(self, path: str) -> None:
-        fs, folder = self._folder(path)
-        fs.delete(folder, True)
+        fs, place = self._place(path)
+        fs.delete(place, True)
 
     def versions(self) -> list[int]:
         """Committed versions, newest first."""
-        names = self._list(f"{self.path}/manifest")
-        return sorted((int(n[:8]) for n in names if n.endswith(".json")), reverse=True)
+        named = sorted((int(n[:8]) for n in self._list("pointer") if n.endswith(".json")), reverse=True)
+        return [v for v in named if self.pointer(v) is not None]
 
     def version(self) -> int:
         """Newest committed version, 0 before the first."""
         return next(iter(self.versions()), 0)
 
-    def manifest(self, version: int | None = None) -> Manifest:
-        """A commit's manifest (one entry per bucket), read without a Spark job."""
+    def pointer(self, version: int | None = None) -> Pointer | None:
+        """A version's pointer (a number per bucket), read without a Spark job."""
         version = self.version() if version is None else version
-        if version == 0:
-            return Manifest()
-        if version not in self._manifests:
-            fs, path = self._folder(f"{self.path}/manifest/{version:08d}.json")
-            stream = fs.open(path)
+        if version and version not in self._pointers:
+            fs, place = self._place(f"pointer/{version:08d}.json")
+            stream = fs.open(place)
             try:
-                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                found = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            except json.JSONDecodeError:  # its writer stopped halfway
+                return None
             finally:
                 stream.close()
-            held = json.loads(text)
-            held["parts"] = {int(b): versions for b, versions in held["parts"].items()}
-            self._manifests[version] = Manifest(**held)
-        return self._manifests[version]
-
-    def _checked(self, version: int) -> Manifest:
-        """The manifest, if its layout is this table's; another would misplace rows."""
-        found = self.manifest(version)
-        layout = (found.buckets, found.bucket_by)
-        if version and layout != (self.buckets, self.bucket_by):
+            found["held"] = {int(b): v for b, v in found["held"].items()}
+            self._pointers[version] = Pointer(**found)
+        return self._pointers[version] if version else Pointer()
+
+    def _checked(self, version: int) -> Pointer:
+        """The pointer, if its layout is this table's; another would misplace rows."""
+        found = self.pointer(version)
+        if version and (found.buckets, found.bucket_by) != (self.buckets, self.bucket_by):
             raise ValueError(
-                f"{self.path} has {found.buckets} buckets by {found.bucket_by}, not {self.buckets} "
-                f"by {self.bucket_by}: open it with its layout, or rebucket it"
+                f"{self.path} has {found.buckets} buckets by {found.bucket_by}, not {self.buckets} by "
+                f"{self.bucket_by}: open it with its layout, or replace all its rows"
             )
         return found
 
-    def _commit(self, version: int, manifest: Manifest) -> int:
-        fs, target = self._folder(f"{self.path}/manifest/{version:08d}.json")
-        _, part = self._folder(f"{self.path}/manifest/.{version:08d}.part")
-        stream = fs.create(part, True)
-        try:
-            stream.write(bytearray(json.dumps(vars(manifest)).encode()))
-        finally:
-            stream.close()
-        if not fs.rename(part, target):
-            raise RuntimeError(f"version {version} of {self.path} is already committed")
-        self._manifests[version] = manifest
-        return version
-
-    def _read(self, parts: dict[int, list[int]]) -> DataFrame:
-        """Rows of some parts, with the version that wrote them."""
-        names = [*self.schema.names, VERSION]
-        if not parts:
-            return self.spark.createDataFrame([], self.schema).withColumn(VERSION, F.lit(0)).select(*names)
-        data = f"{self.path}/data"
-        paths = [f"{data}/{VERSION}={v}/{BUCKET}={b}" for b, held in sorted(parts.items()) for v in held]
-        reader = self.spark.read.schema(self.schema).option("basePath", data)
-        return reader.parquet(*paths).select(*names)
-
-    def _parts(self, version: int | None, only: Sequence[int] | None) -> dict[int, list[int]]:
-        if only is None:
-            return self.manifest(version).parts
-        version = self.version() if version is None else version
-        held = self._checked(version).parts
-        return {b: held[b] for b in only if b in held}
-
     def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Stored rows, optionally of some buckets only."""
-        return self._read(self._parts(version, only)).drop(VERSION)
-
-    def _write(self, rows: DataFrame, version: int) -> list[int]:
-        """Writes a version's parts and tells their buckets."""
-        target = f"{self.path}/data/{VERSION}={version}"
-        # Rebalancing by bucket keeps files few, and splits a bucket that is
-        # larger than the advisory size over several tasks.
-        (
-            rows.select(*self.schema.names, self.bucket().alias(BUCKET))
-            .hint("rebalance", F.col(BUCKET))
-            .write.mode("overwrite")
-            .partitionBy(BUCKET)
-            .parquet(target)
-        )
-        return [int(n.split("=", 1)[1]) for n in self._list(target) if n.startswith(f"{BUCKET}=")]
+        version = self.version() if version is None else version
+        held = self.pointer(version).held if only is None else self._checked(version).held
+        wanted = sorted(held if only is None else set(held) & set(only))
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema)
+        base = f"{self.path}/data"
+        reader = self.spark.read.schema(self.schema).option("basePath", base)
+        return reader.parquet(*[f"{base}/{VERSION}={held[b]}/{BUCKET}={b}" for b in wanted]).select(*self.schema.names)
 
     def replace(
         self,
         rows: DataFrame,
         touched: Sequence[int] | None = None,
         tag: str | None = None,
+        mode: str = "replace",
         repeat: bool = False,
-        mode: str | None = None,
     ) -> int:
         """Puts ``rows`` in place of the ``touched`` buckets (default: all) and commits.
 
-        The rows must hash into touched buckets.  Unless ``repeat``, a ``tag`` equal to
-        the newest commit's makes the call a no-op.  Replacing all sets the layout anew.
+        The rows must hash into touched buckets.  Unless ``repeat``, a ``tag`` equal to the
+        newest commit's makes the call a no-op.  Replacing all sets the layout anew.
         """
         current = self.version()
-        held = self.manifest(current) if touched is None else self._checked(current)
-        if tag is not None and tag == held.tag and not repeat:
+        before = self.pointer(current) if touched is None else self._checked(current)
+        if tag is not None and tag == before.tag and not repeat:
             return current
-        gone = set(held.parts if touched is None else touched)
-        kept = {b: versions for b, versions in held.parts.items() if b not in gone}
-        kept.update({b: [current + 1] for b in self._write(rows, current + 1)})
-        mode = mode or held.mode
-        return self._commit(current + 1, Manifest(kept, tag, self.buckets, self.bucket_by, mode))
-
-    def append(self, rows: DataFrame, tag: str | None = None) -> int:
-        """Adds ``rows`` as one more part of their buckets; nothing stored is read."""
-        current = self.version()
-        held = self._checked(current)
-        if tag is not None and tag == held.tag:
-            return current
-        parts = dict(held.parts)
-        for b in self._write(rows, current + 1):
-            parts[b] = [*parts.get(b, []), current + 1]
-        return self._commit(current + 1, Manifest(parts, tag, self.buckets, self.bucket_by, held.mode))
-
-    def rebucket(self, buckets: int, bucket_by: Sequence[str] | None = None) -> int:
-        """Rewrites everything into another layout, which this object then has."""
-        rows, tag = self.rows(), self.manifest().tag
-        self.buckets, self.bucket_by = buckets, list(bucket_by or self.bucket_by)
-        return self.replace(rows, tag=tag, repeat=True)
+        version = current + 1
+        # rebalancing keeps files few, and splits a bucket larger than the advisory size
+        placed = rows.select(*self.schema.names, self.bucket().alias(BUCKET)).hint("rebalance", F.col(BUCKET))
+        folder = f"data/{VERSION}={version}"
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+        gone = set(before.held if touched is None else touched)
+        held = {b: v for b, v in before.held.items() if b not in gone}
+        held |= {int(n.split("=")[1]): version for n in self._list(folder) if n.startswith(f"{BUCKET}=")}
+        self._pointers[version] = Pointer(held, tag, self.buckets, self.bucket_by, mode)
+        fs, place = self._place(f"pointer/{version:08d}.json")
+        stream = fs.create(place, True)
+        stream.write(bytearray(json.dumps(vars(self._pointers[version])).encode()))
+        stream.close()
+        return version
 
     def expire(self, keep: int = 10) -> None:
-        """Forgets all but the newest ``keep`` versions and removes files only they hold.
+        """Forgets all but the newest ``keep`` versions and removes buckets only they hold.
 
-        Readers of a kept version are not disturbed; manifests go first, so an
-        interrupted call leaves unnamed files, which the next call removes.
+        Pointers go first, so an interrupted call leaves files that the next one removes.
         """
         versions = self.versions()
         kept = versions[: max(keep, 1)]
-        if not kept:
-            return
         for version in versions[len(kept) :]:
-            self._remove(f"{self.path}/manifest/{version:08d}.json")
-            self._manifests.pop(version, None)
-        needed: dict[int, set[int]] = {}
-        for version in kept:
-            for bucket, holders in self.manifest(version).parts.items():
-                for holder in holders:
-                    needed.setdefault(holder, set()).add(bucket)
-        for folder in self._list(f"{self.path}/data"):
-            version = int(folder.split("=", 1)[1])
-            if version > kept[0]:
+            self._remove(f"pointer/{version:08d}.json")
+            self._pointers.pop(version, None)
+        needed = {(v, b) for k in kept for b, v in self.pointer(k).held.items()}
+        old = [f for f in self._list("data") if kept and int(f.split("=")[1]) <= kept[0]]
+        for folder in old:
+            version = int(folder.split("=")[1])
+            if not any(v == version for v, _ in needed):
+                self._remove(f"data/{folder}")
                 continue
-            path = f"{self.path}/data/{folder}"
-            if version not in needed:
-                self._remove(path)
-                continue
-            for name in self._list(path):
-                if name.startswith(f"{BUCKET}=") and int(name.split("=", 1)[1]) not in needed[version]:
-                    self._remove(f"{path}/{name}")
+            for name in self._list(f"data/{folder}"):
+                if name.startswith(f"{BUCKET}=") and (version, int(name.split("=")[1])) not in needed:
+                    self._remove(f"data/{folder}/{name}")
 
 
-class Snapshot(BucketedTable):
+class Snapshot(VersionedTable):
     """Keyed rows with upsert, delete and time-correct late events.
 
-    A batch is appended, reduced to what decides its keys.  A bucket's rows follow from all
-    its parts: the latest per key (``replace``), or per measure the newest value since the
-    last delete (``fill``).  Buckets of more than ``fold_after`` parts are folded into one.
-    A coalescing batch needs the stored values and rewrites the buckets it touches.
+    A batch is joined with the buckets it touches, which are written anew: the latest event
+    per key (``replace``), the stored values under its NULLs (``coalesce``), or what decides
+    the newest value per measure since the last delete (``fill``).
     """
 
     def __init__(
@@ -256,46 +187,39 @@ class Snapshot(BucketedTable):
         keys: Sequence[str],
         buckets: int = 64,
         bucket_by: Sequence[str] | None = None,
-        fold_after: int = 8,
     ):
         """``bucket_by`` (default: all keys) must be a part of the keys."""
-        super().__init__(spark, path, state_schema(row), bucket_by or keys, buckets)
-        self.row = row
-        self.keys = list(keys)
-        self.fold_after = fold_after
+        stored = T.StructType([*state_schema(row).fields, T.StructField(TURN, T.IntegerType())])
+        super().__init__(spark, path, stored, bucket_by or keys, buckets)
+        self.row, self.keys = row, list(keys)
+        self.columns, self.values = state_schema(row).names, [c for c in row.names if c not in self.keys]
         if not set(self.bucket_by) <= set(self.keys):
             raise ValueError("bucket_by must be part of the keys")
 
     def rows(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """One row per key, delete markers included."""
         version = self.version() if version is None else version
-        parts = self._parts(version, only)
-        if self.manifest(version).mode == "fill":
-            return filled(self._read(parts), self.keys, self._values(), _PART_ORDER).select(*self.schema.names)
-        single = {b: held for b, held in parts.items() if len(held) == 1}
-        several = {b: held for b, held in parts.items() if len(held) > 1}
-        if not several:
-            return self._read(single).drop(VERSION)
-        latest = latest_per_key(self._read(several), self.keys, _PART_ORDER).drop(VERSION)
-        return self._read(single).drop(VERSION).unionByName(latest) if single else latest
-
-    def _values(self) -> list[str]:
-        return [c for c in self.row.names if c not in self.keys]
+        rows = super().rows(version, only)
+        if self.pointer(version).mode == "fill":
+            rows = filled(rows, self.keys, self.values, [*EVENT_ORDER, TURN])
+        return rows.select(*self.columns)
 
     def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Live rows."""
         return live_rows(self.rows(version, only))
 
-    def touched(self, version: int) -> list[int]:
-        """Buckets that version wrote."""
-        return self.manifest(version).since(version - 1)
-
     def load(self, rows: DataFrame, tag: str | None = None) -> int:
         """Replaces everything by plain rows; any later event is newer than they are."""
         blank = {f.name: F.lit(None).cast(f.dataType) for f in self.schema if f.name in CONTROL}
-        blank[DELETED] = F.lit(False)
+        blank |= {DELETED: F.lit(False), TURN: F.lit(0)}
         return self.replace(rows.select(*self.row.names).withColumns(blank), tag=tag)
 
+    def relayout(self, buckets: int, bucket_by: Sequence[str] | None = None) -> int:
+        """Writes everything into another layout, which this object then has."""
+        rows, now = super().rows(), self.pointer()
+        self.buckets, self.bucket_by = buckets, list(bucket_by or self.bucket_by)
+        return self.replace(rows, tag=now.tag, mode=now.mode, repeat=True)
+
     def apply(
         self,
         events: DataFrame,
@@ -306,57 +230,33 @@ class Snapshot(BucketedTable):
         """Applies decoded events and returns the committed version.
 
         A ``tag`` equal to the newest commit's makes the call a no-op, so a repeated
-        micro-batch is applied once.  ``keep_deletes_ms`` is passed to :meth:`fold`.
-        ``replace`` and ``fill`` end in the same state however the log is cut into
-        batches; a state that changes between them keeps its rows of that moment.
+        micro-batch is applied once.  ``replace`` and ``fill`` end in the same state however
+        the log is cut into batches; a state that changes between them keeps its rows of
+        that moment.  With ``keep_deletes_ms``, markers that much older than the batch's
+        median event leave the touched buckets; an event later than that could revive a key.
         """
         if mode not in ("coalesce", "fill", "replace"):
             raise ValueError(f"unknown mode: {mode!r}")
         current = self.version()
-        held = self._checked(current)
-        if tag is not None and tag == held.tag:
+        now = self._checked(current)
+        if tag is not None and tag == now.tag:
             return current
         kind = "fill" if mode == "fill" else "replace"
-        if kind != held.mode:
-            self.replace(self.rows(current), tag=held.tag, repeat=True, mode=kind)
-            current = self.version()
-            held = self.manifest(current)
-        events = events.select(*self.schema.names)
-        if mode == "fill":
-            current = self.append(deciding_rows(events, self.keys, self._values()), tag)
-            return self.fold(keep_deletes_ms)
-        batch = compact(events, self.keys)
-        if mode == "coalesce" and held.parts:
-            touched = [r[0] for r in events.select(self.bucket()).distinct().collect()]
-            if touched:
-                stored = self.rows(current, only=touched)
-                merged = merge_versioned(stored, batch, self.keys, mode)
-                current = self.replace(merged, touched, tag)
-        else:
-            current = self.append(batch, tag)
-        return self.fold(keep_deletes_ms)
-
-    def fold(self, keep_deletes_ms: int | None = None, after: int | None = None) -> int:
-        """Makes one part of buckets that have more than ``after`` (``fold_after``) parts.
-
-        With ``keep_deletes_ms``, delete markers that much older than the median event of
-        the folded buckets leave them; events later than that could revive their keys.  The
-        median, so that no single row with a wrong clock makes markers go.
-        """
-        current = self.version()
-        after = self.fold_after if after is None else after
-        held = self._checked(current)
-        long = [b for b, versions in held.parts.items() if len(versions) > after]
-        if not long:
-            return current
-        if held.mode == "fill":
-            stored = self._read(self._parts(current, long))
-            rows = deciding_rows(stored, self.keys, self._values(), _PART_ORDER).drop(VERSION)
-        else:
-            rows = self.rows(current, only=long)
-        if keep_deletes_ms is not None:
-            middle = rows.agg(F.percentile_approx(EVENT_TIME, 0.5)).first()[0]
-            if middle is not None:
-                old = F.col(DELETED) & (F.col(EVENT_TIME) < middle - keep_deletes_ms)
-                rows = rows.filter(~F.coalesce(old, F.lit(False)))
-        return self.replace(rows, long, held.tag, repeat=True)
+        events = events.select(*self.columns).withColumn(TURN, F.lit(current + 1))
+        batch = deciding_rows(events, self.keys, self.values) if kind == "fill" else compact(events, self.keys)
+        # told apart from the merge: which buckets to read; recomputed if an executor is lost
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = [r[0] for r in batch.select(self.bucket()).distinct().collect()]
+            stored = super().rows(current, touched)
+            if now.mode == "fill" and kind != "fill":
+                touched, stored = None, self.rows(current).withColumn(TURN, F.lit(current))
+            if kind == "fill":
+                rows = deciding_rows(stored.unionByName(batch), self.keys, self.values, [*EVENT_ORDER, TURN])
+            else:
+                rows = merge_versioned(stored, batch, self.keys, mode)
+            if keep_deletes_ms is not None:
+                rows = without_old_markers(rows, batch, keep_deletes_ms)
+            return self.replace(rows, touched, tag, kind)
+        finally:
+            batch.unpersist()

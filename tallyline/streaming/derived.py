@@ -15,7 +15,7 @@ from tallyline.operators.indicators import STANDARD, Spec, with_indicators
 from tallyline.operators.merge import live_rows
 from tallyline.schema import AVERAGE_LABEL, COMPANY, DELETED, MEASURES, PERIOD
 from tallyline.sinks.jdbc import table_statement, upsert_jdbc
-from tallyline.sinks.snapshot import BucketedTable, Snapshot
+from tallyline.sinks.snapshot import VersionedTable, Snapshot
 
 
 class FollowUp:
@@ -27,20 +27,20 @@ class FollowUp:
     changes nothing.
     """
 
-    def __init__(self, table: BucketedTable):
+    def __init__(self, table: VersionedTable):
         self.table = table
 
     def compute(self, rows: DataFrame, snapshot: Snapshot) -> DataFrame:
         raise NotImplementedError
 
     def __call__(self, snapshot: Snapshot, version: int) -> None:
-        held, built = snapshot.manifest(version), self.table.manifest()
+        held, built = snapshot.pointer(version), self.table.pointer()
         last = int(built.tag.removeprefix("from-")) if built.tag else 0
         if last == version:
             return
         # a snapshot that starts again has smaller versions: everything is new then
         touched = held.since(last if last < version else 0)
-        vanished = [b for b in built.parts if b not in held.parts]
+        vanished = [b for b in built.held if b not in held.held]
         rows = self.compute(snapshot.read(version, only=touched), snapshot)
         self.table.replace(rows, touched=[*touched, *vanished], tag=f"from-{version}")
 
@@ -64,7 +64,7 @@ class Indicators(FollowUp):
         specs: Sequence[Spec] = STANDARD,
     ):
         schema = T.StructType(row.fields + [T.StructField(s.name, T.DoubleType()) for s in specs])
-        super().__init__(BucketedTable(spark, path, schema, [COMPANY], buckets))
+        super().__init__(VersionedTable(spark, path, schema, [COMPANY], buckets))
         self.specs = specs
 
     def compute(self, rows: DataFrame, snapshot: Snapshot) -> DataFrame:
@@ -138,13 +138,13 @@ class DatabaseCopy:
     def __call__(self, snapshot: Snapshot, version: int) -> None:
         if not self.sent:
             self.execute(table_statement(self.table, snapshot.row, snapshot.keys))
-        rows = snapshot.rows(version, only=snapshot.manifest(version).since(self.sent))
+        rows = snapshot.rows(version, only=snapshot.pointer(version).since(self.sent))
         gone = rows.filter(F.col(DELETED)).select(*snapshot.keys)
         upsert_jdbc(live_rows(rows), self.url, self.table, snapshot.keys, self.execute, gone, **self.options)
         self.sent = version
 
 
-class _ByNumber(BucketedTable):
+class _ByNumber(VersionedTable):
     """Rows that name their bucket themselves."""
 
     def bucket(self) -> Column:

@@ -195,7 +195,7 @@ def test_any_split_of_the_log_fills_the_same_values(spark, tmp_path_factory, row
     shuffled = rows[:]
     random.Random(seed).shuffle(shuffled)
     cut = len(shuffled) // 2
-    snap = Snapshot(spark, str(tmp_path_factory.mktemp("fill")), ROW, ["k"], 2, fold_after=seed % 3)
+    snap = Snapshot(spark, str(tmp_path_factory.mktemp("fill")), ROW, ["k"], 2)
     for part in (shuffled[:cut], shuffled[cut:]):
         snap.apply(events(spark, part), "fill")
     assert rows_of(snap.read()) == filled_by_hand(rows)

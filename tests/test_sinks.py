@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import glob
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from tallyline.sinks import (
     write_single_csv,
 )
 from tallyline.sinks.jdbc import delete_statement, overwrite_jdbc, replace_statement, table_statement
-from tallyline.sinks.snapshot import BucketedTable
+from tallyline.sinks.snapshot import VersionedTable
 from tallyline.sources import read_state_jdbc, read_statements_csv
 from tallyline.streaming import DatabaseCopy
 
@@ -92,10 +91,9 @@ def test_snapshot_upserts_deletes_and_versions(spark, tmp_path):
     assert rows_of(snap.read()) == [("e", 1.0, 1.0), ("n", 7.0, 7.0), ("u", None, 9.0)]
 
 
-@pytest.mark.parametrize("fold_after", [0, 1, 8])
 @pytest.mark.parametrize("mode", ["coalesce", "replace"])
-def test_folding_changes_no_rows(spark, tmp_path, fold_after, mode):
-    snap = snapshot(spark, tmp_path / "s", fold_after=fold_after)
+def test_snapshot_modes(spark, tmp_path, mode):
+    snap = snapshot(spark, tmp_path / "s")
     snap.apply(events(spark, [(f"k{i}", float(i), 1.0, 1, 0, i, False) for i in range(50)]), mode)
     changes = [(f"k{i}", None, 2.0, 2, 0, i, i % 5 == 0) for i in range(40, 60)]
     snap.apply(events(spark, changes), mode)
@@ -113,41 +111,43 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(40)]))
     snap.apply(events(spark, [("k1", 5.0, 5.0, 1, 0, 1, False)]))
-    assert sorted(snap.manifest().parts.values()) == [[1], [1], [1], [1, 2]]
-    assert len(snap.touched(2)) == 1
-    assert len(glob.glob(f"{tmp_path}/s/data/_version=2/_bucket=*")) == 1
-    # The batch is added as it is: one row, not its bucket.
-    assert spark.read.parquet(f"{tmp_path}/s/data/_version=2").count() == 1
+    assert sorted(snap.pointer().held.values()) == [1, 1, 1, 2]
+    assert len(snap.pointer().since(1)) == 1
+    # The version is plain Parquet: the touched bucket, whole.
+    [bucket] = glob.glob(f"{tmp_path}/s/data/_version=2/_bucket=*")
+    whole = spark.read.parquet(f"{tmp_path}/s/data/_version=2")
+    was = spark.read.parquet(bucket.replace("_version=2", "_version=1"))
+    assert 1 < whole.count() == was.count() < 40
     assert rows_of(snap.read(), "k", "a")[1] == ("k1", 5.0) and snap.read().count() == 40
 
 
-def test_another_layout_is_refused_until_rebucketed(spark, tmp_path):
+def test_another_layout_is_refused_until_rows_move(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.load(state(spark, [(f"k{i}", 1.0, 1.0) for i in range(50)]))
     update = events(spark, [(f"k{i}", 2.0, 2.0, 1, 0, i, False) for i in range(50)])
     other = Snapshot(spark, str(tmp_path / "s"), ROW, ["k"], buckets=16)
-    with pytest.raises(ValueError, match="rebucket"):
+    with pytest.raises(ValueError, match="layout"):
         other.apply(update)
-    snap.rebucket(16)
+    snap.relayout(16)
     other.apply(update)
     assert rows_of(other.read()) == sorted([(f"k{i}", 2.0, 2.0) for i in range(50)], key=repr)
-    with pytest.raises(ValueError, match="rebucket"):
+    with pytest.raises(ValueError, match="layout"):
         snapshot(spark, tmp_path / "s").apply(update)
 
 
-def test_manifests_are_read_once_and_without_a_job(spark, tmp_path):
+def test_pointers_are_read_once_and_without_a_job(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.load(state(spark, [("a", 1.0, 1.0)]))
     for i in range(1, 4):
         snap.apply(events(spark, [("a", float(i), None, i, 0, i, False)]))
     fresh = snapshot(spark, tmp_path / "s")
-    spark.sparkContext.setJobGroup("manifests", "none expected")
+    spark.sparkContext.setJobGroup("pointers", "none expected")
     try:
-        assert [fresh.manifest(v).parts for v in fresh.versions()] == [snap.manifest(v).parts for v in (4, 3, 2, 1)]
-        assert fresh.manifest(2) is fresh.manifest(2)
+        assert [fresh.pointer(v) for v in fresh.versions()] == [snap.pointer(v) for v in (4, 3, 2, 1)]
+        assert fresh.pointer(2) is fresh.pointer(2)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("manifests")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("pointers")
 
 
 def test_a_repeated_tag_is_applied_once(spark, tmp_path):
@@ -162,10 +162,14 @@ def test_an_unfinished_commit_is_not_seen(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.load(state(spark, [("a", 1.0, 1.0)]))
     snap.apply(events(spark, [("a", 2.0, 2.0, 1, 0, 1, False)]))
-    # As if the writer had died before its manifest was complete.
-    os.rename(f"{tmp_path}/s/manifest/00000002.json", f"{tmp_path}/s/manifest/.00000002.part")
-    assert snap.version() == 1
-    assert rows_of(snap.read()) == [("a", 1.0, 1.0)]
+    # As if the writer had died before its pointer was complete.
+    pointer = tmp_path / "s" / "pointer" / "00000002.json"
+    for half in (pointer.read_text()[:-9], ""):
+        pointer.write_text(half)
+        (pointer.parent / ".00000002.json.crc").unlink(missing_ok=True)
+        snap = snapshot(spark, tmp_path / "s")
+        assert snap.version() == 1
+        assert rows_of(snap.read()) == [("a", 1.0, 1.0)]
     assert snap.apply(events(spark, [("b", 2.0, 2.0, 1, 0, 1, False)])) == 2
     assert rows_of(snap.read()) == [("a", 1.0, 1.0), ("b", 2.0, 2.0)]
 
@@ -174,16 +178,15 @@ def test_delete_markers_stay_until_forgotten(spark, tmp_path):
     snap = snapshot(spark, tmp_path / "s")
     snap.apply(events(spark, [("a", 1.0, 1.0, 1, 0, 1, False), ("a", None, None, 2, 0, 2, True)]))
     assert snap.read().count() == 0 and snap.rows().count() == 1
-    snap.apply(events(spark, [("a", 5.0, 5.0, 1, 0, 0, False)]))
-    snap.fold(keep_deletes_ms=0, after=0)
+    snap.apply(events(spark, [("a", 5.0, 5.0, 1, 0, 0, False)]), keep_deletes_ms=0)
     assert snap.read().count() == 0 and snap.rows().count() == 1
     # One row with a clock far ahead makes no marker go ...
-    snap.apply(events(spark, [(f"n{i}", 1.0, 1.0, 10, 0, i, False) for i in range(20)]))
-    snap.apply(events(spark, [("future", 1.0, 1.0, 10**15, 0, 9, False)]))
-    snap.fold(keep_deletes_ms=9, after=0)
+    batch = [(f"n{i}", 1.0, 1.0, 10, 0, i, False) for i in range(20)]
+    batch.append(("future", 1.0, 1.0, 10**15, 0, 9, False))
+    snap.apply(events(spark, batch), keep_deletes_ms=9)
     assert snap.rows().filter("k = 'a'").count() == 1
     # ... the time most rows have does.
-    snap.fold(keep_deletes_ms=7, after=0)
+    snap.apply(events(spark, batch), keep_deletes_ms=7)
     assert snap.rows().filter("k = 'a'").count() == 0 and snap.read().count() == 21
 
 
@@ -196,13 +199,14 @@ def test_expired_versions_leave_the_newest_whole(spark, tmp_path):
     snap.expire(keep=2)
     assert snap.versions() == [5, 4]
     assert rows_of(snap.read()) == before and rows_of(snap.read(4)) == older
-    snap.fold(after=1)
+    assert len(glob.glob(f"{tmp_path}/s/data/_version=1/_bucket=*")) == 3
+    snap.relayout(3)
+    before = rows_of(snap.read())
     fresh = snapshot(spark, tmp_path / "s")
     fresh.expire(keep=1)
     assert fresh.versions() == [6] and rows_of(fresh.read()) == before
     held = {int(p.rsplit("=", 1)[1]) for p in glob.glob(f"{tmp_path}/s/data/*")}
-    assert held == {1, 6}
-    assert len(glob.glob(f"{tmp_path}/s/data/_version=1/_bucket=*")) == 3
+    assert held == {6}
 
 
 def test_bucket_columns_must_be_key_columns(spark, tmp_path):
@@ -210,8 +214,8 @@ def test_bucket_columns_must_be_key_columns(spark, tmp_path):
         Snapshot(spark, str(tmp_path), ROW, ["k"], bucket_by=["a"])
 
 
-def test_bucketed_table_replaces_all_by_default(spark, tmp_path):
-    table = BucketedTable(spark, str(tmp_path / "t"), state_schema(ROW), ["k"], 4)
+def test_versioned_table_replaces_all_by_default(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), state_schema(ROW), ["k"], 4)
     table.replace(events(spark, [("a", 1.0, None, 1, 0, 1, False)]))
     table.replace(events(spark, [("b", 1.0, None, 1, 0, 1, False)]))
     assert rows_of(table.rows(), "k") == [("b",)]
