@@ -35,7 +35,7 @@ from tallyline.sinks import (
     write_single_csv,
 )
 from tallyline.sources import as_changes, read_changes, read_statements_csv
-from tallyline.streaming import Averages, Indicators, Refresh, run_refresh
+from tallyline.streaming import Averages, ChangedIndicators, Indicators, Refresh, run_refresh
 
 KEYS = [PERIOD, COMPANY]
 
@@ -170,6 +170,19 @@ def stream_averages(spark: SparkSession, sf: str, load: bool = False) -> DataFra
     return _stream_statements(spark, sf, load)[1].average(digits=2)
 
 
+def stream_indicators_by_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored rows, then the finished lines' log; each commit moves only what differs."""
+    base, row, buckets = scratch_dir(spark, "moved"), statement_schema(), _buckets(spark)
+    snapshot = Snapshot(spark, f"{base}/state", row, KEYS, buckets, bucket_by=[COMPANY])
+    indicators = ChangedIndicators(spark, f"{base}/indicators", row, KEYS, buckets)
+    indicators(snapshot, snapshot.load(derived.statements(spark, sf, "O")))
+    path, quarter = _stored_log(spark, derived.statement_log(derived.statements(spark, sf, "F")))
+    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
+    refresh = Refresh(snapshot, row, KEYS, keep_versions=2, after=[indicators])
+    run_refresh(changes, refresh, f"{base}/checkpoint").awaitTermination()
+    return indicators.read()
+
+
 def snapshot_rebucket_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Stored rows in one bucket layout, moved to another, then the log."""
     buckets = _buckets(spark)
@@ -251,6 +264,11 @@ QUERIES = {
         f"""with {_BOTH}, {sql.with_lags('lagged', 'stmt')}
         select * exclude (prev_sales, prev_net_profit), {sql.indicator_columns()} from lagged""",
     ),
+    "stream_indicators_by_change": (
+        stream_indicators_by_change,
+        f"""with {_BOTH}, {sql.with_lags('lagged', 'stmt')}
+        select * exclude (prev_sales, prev_net_profit), {sql.indicator_columns()} from lagged""",
+    ),
     "stream_averages_after_load": (
         lambda s, d: stream_averages(s, d, load=True),
         f"with {_BOTH} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",

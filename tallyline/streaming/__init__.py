@@ -1,6 +1,6 @@
 """Continuous refresh."""
 
-from tallyline.streaming.derived import Averages, DatabaseCopy, FollowUp, Indicators
+from tallyline.streaming.derived import Averages, ChangedIndicators, DatabaseCopy, FollowUp, Indicators
 from tallyline.streaming.refresh import Refresh, run_refresh
 
-__all__ = ["Averages", "DatabaseCopy", "FollowUp", "Indicators", "Refresh", "run_refresh"]
+__all__ = ["Averages", "ChangedIndicators", "DatabaseCopy", "FollowUp", "Indicators", "Refresh", "run_refresh"]

@@ -1,4 +1,5 @@
-"""Tables that follow a snapshot: recomputed for the buckets a commit touched."""
+"""Tables that follow a snapshot: recomputed for the buckets a commit touched, or moved by
+what the commit changed."""
 
 from __future__ import annotations
 
@@ -11,9 +12,9 @@ from pyspark.sql import types as T
 from tallyline.functions.numbers import exact_parts, round_to
 from tallyline.functions.periods import is_trailing
 from tallyline.operators.filters import exclude_prefix
-from tallyline.operators.indicators import STANDARD, Spec, with_indicators
+from tallyline.operators.indicators import STANDARD, Spec, changed_indicators, with_indicators
 from tallyline.operators.merge import live_rows
-from tallyline.schema import AVERAGE_LABEL, COMPANY, DELETED, MEASURES, PERIOD
+from tallyline.schema import AVERAGE_LABEL, COMPANY, CONTROL_FIELDS, DELETED, EVENT_TIME, MEASURES, PERIOD
 from tallyline.sinks.jdbc import table_statement, upsert_jdbc
 from tallyline.sinks.snapshot import VersionedTable, Snapshot
 
@@ -73,6 +74,57 @@ class Indicators(FollowUp):
         return with_indicators(exclude_prefix(rows), self.specs)
 
 
+class ChangedIndicators(FollowUp):
+    """Indicator rows by key, moved by the rows of a commit that are otherwise than before.
+
+    A changed period sends itself and its successor; growth of all other rows is neither
+    computed nor compared.  If the version this table was built from has expired, it is
+    built anew.  The snapshot must be bucketed by company.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        row: T.StructType,
+        keys: Sequence[str] = (PERIOD, COMPANY),
+        buckets: int = 64,
+        specs: Sequence[Spec] = STANDARD,
+    ):
+        schema = T.StructType(row.fields + [T.StructField(s.name, T.DoubleType()) for s in specs])
+        super().__init__(Snapshot(spark, path, schema, keys, buckets, [COMPANY]))
+        self.specs = specs
+
+    def changes(self, snapshot: Snapshot, since: int, version: int) -> DataFrame:
+        """Rows that differ between two versions of the snapshot, and keys that left."""
+        held, was = snapshot.pointer(version), snapshot.pointer(since)
+        if held.bucket_by != [COMPANY] or (held.buckets, held.bucket_by) != (was.buckets, was.bucket_by):
+            raise ValueError("both versions must have the same buckets, by company")
+        touched = [*held.since(since), *[b for b in was.held if b not in held.held]]
+        old, new = [exclude_prefix(snapshot.read(v, touched)) for v in (since, version)]
+        return changed_indicators(old, new, self.specs, self.table.keys)
+
+    def __call__(self, snapshot: Snapshot, version: int) -> None:
+        tag = self.table.pointer().tag
+        last = int(tag.removeprefix("from-")) if tag else 0
+        if last == version:
+            return
+        same = 0 < last < version and last in snapshot.versions()
+        layouts = [(p.buckets, p.bucket_by) for p in map(snapshot.pointer, (last, version))] if same else []
+        if not same or layouts[0] != layouts[1]:
+            rows = with_indicators(exclude_prefix(snapshot.read(version)), self.specs)
+            self.table.load(rows, f"from-{version}")
+            return
+        blank = {f.name: F.lit(None).cast(f.dataType) for f in CONTROL_FIELDS if f.name != DELETED}
+        events = self.changes(snapshot, last, version).withColumns(blank)
+        events = events.withColumn(EVENT_TIME, F.lit(version).cast("long"))
+        # versions come in order, so markers have nothing to wait for
+        self.table.apply(events, tag=f"from-{version}", keep_deletes_ms=0)
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
 class Averages(FollowUp):
     """Average row from per-bucket sums.
 

@@ -16,7 +16,7 @@ from tallyline.schema import COMPANY, CONTROL, PERIOD
 from tallyline.sinks import Snapshot
 from tallyline.sources import read_changes
 from tallyline.sources.readers import CHANGE_SCHEMA
-from tallyline.streaming import Averages, Indicators, Refresh, run_refresh
+from tallyline.streaming import Averages, ChangedIndicators, Indicators, Refresh, run_refresh
 
 ROW_ORDER = [PERIOD, "sales", "interest", COMPANY]
 SPECS = [Ratio("r", "sales", "interest"), Growth("g", "sales")]
@@ -189,3 +189,39 @@ def test_averages_of_large_and_small_values(spark, places, scale):
     averages(snap, snap.load(spark.createDataFrame(rows, ROW_ORDER).select(*ROW.names)))
     [got] = averages.average().collect()
     assert got["sales"] == pytest.approx(2e25) and got["interest"] == pytest.approx(0.00004)
+
+
+def test_only_changed_periods_and_their_successors_move(spark, places):
+    snap = Snapshot(spark, places["state"], ROW, KEYS, 4, bucket_by=[COMPANY])
+    rows = [(f"Mar 20{10 + i % 8}", float(i + 1), 1.0, f"C{i // 8}") for i in range(40)]
+    stored = spark.createDataFrame(rows, ROW_ORDER).select(*ROW.names)
+    moved = ChangedIndicators(spark, places["ind"], ROW, KEYS, 4, SPECS)
+    moved(snap, snap.load(stored))
+
+    def after(*records):
+        log = spark.createDataFrame([(v, 0, i) for i, v in enumerate(records)], CHANGE_SCHEMA)
+        last = snap.version()
+        version = snap.apply(decode_changes(log, ROW, KEYS))
+        sent = rows_of(moved.changes(snap, last, version), PERIOD, COMPANY, "_deleted")
+        moved(snap, version)
+        moved(snap, version)
+        assert rows_of(moved.read()) == rows_of(with_indicators(exclude_prefix(snap.read()), SPECS))
+        return sent
+
+    one = image("Mar 2012", "C1", 99.0, 1.0)
+    assert after(envelope(None, one, 1)) == [("Mar 2012", "C1", False), ("Mar 2013", "C1", False)]
+    assert after(envelope(one, one, 2)) == []
+    # interest alone changes no growth
+    assert after(envelope(one, image("Mar 2012", "C1", 99.0, 7.0), 3)) == [("Mar 2012", "C1", False)]
+    assert after(envelope(one, None, 4)) == [("Mar 2012", "C1", True), ("Mar 2013", "C1", False)]
+    # between two periods, and a first one that has no value
+    assert after(envelope(None, image("Mar 2012", "C1", None, 1.0), 5)) == [
+        ("Mar 2012", "C1", False), ("Mar 2013", "C1", False)
+    ]
+    last = image("Mar 2017", "C2", 1.0, 1.0)
+    assert after(envelope(last, None, 6), envelope(None, image("TTM", "C2", 1.0, 1.0), 6)) == [("Mar 2017", "C2", True)]
+    # the version it was built from has gone: built anew
+    snap.apply(decode_changes(spark.createDataFrame([(envelope(None, last, 7), 0, 0)], CHANGE_SCHEMA), ROW, KEYS))
+    snap.expire(1)
+    moved(snap, snap.version())
+    assert rows_of(moved.read()) == rows_of(with_indicators(exclude_prefix(snap.read()), SPECS))
