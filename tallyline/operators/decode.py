@@ -19,14 +19,18 @@ from tallyline.schema import (
 )
 
 
-def parse_envelopes(changes: DataFrame, row: T.StructType, keys: Sequence[str]) -> DataFrame:
+def parse_envelopes(
+    changes: DataFrame, row: T.StructType, keys: Sequence[str], images: bool = False
+) -> DataFrame:
     """Adds ``event``: the decoded ``payload`` struct, all NULL for unreadable text.
 
+    With ``images`` the old image is read whole, not only its key.
+
     The struct leaves through ``inline`` so that filters on its fields stay
     above the parse.  As a plain projection the optimiser would push a copy of
     the parse into each such filter and every document would be read twice.
     """
-    payload = F.from_json(F.col("value").cast("string"), envelope_schema(row, keys))
+    payload = F.from_json(F.col("value").cast("string"), envelope_schema(row, keys, images))
     event = F.struct(payload["payload"].alias("event"))
     return changes.select("*", F.inline(F.array(event)))
 

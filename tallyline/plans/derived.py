@@ -233,6 +233,28 @@ def statement_log(rows: DataFrame) -> DataFrame:
     )
 
 
+def image_log(rows: DataFrame) -> DataFrame:
+    """Envelopes with whole old images: each row inserted as a draft, then corrected; a
+    second row of another company comes and goes, so that nothing of it may be left."""
+    whole = [PERIOD, *MEASURES, COMPANY]
+    row = F.struct(*whole)
+    draft = F.struct(PERIOD, *[(F.col(m) + 1).alias(m) for m in MEASURES], COMPANY)
+    passing = F.struct(PERIOD, *MEASURES, F.concat(COMPANY, F.lit("-gone")).alias(COMPANY))
+    none = F.when(F.lit(False), row)
+    steps = [(none, draft), (draft, row), (none, passing), (passing, none)]
+    events = [
+        F.struct(old.alias("before"), new.alias("after"), F.struct(F.lit(i).cast("long").alias("ts_ms")).alias("source"))
+        for i, (old, new) in enumerate(steps, 1)
+    ]
+    sent = rows.select(PERIOD, COMPANY, F.posexplode(F.array(*events)).alias("_nth", "payload"))
+    place = F.pmod(F.xxhash64(PERIOD, COMPANY), F.lit(1 << 40)) * len(steps) + F.col("_nth")
+    return sent.select(
+        F.to_json(F.struct("payload")).alias("value"),
+        F.pmod(F.xxhash64(COMPANY), F.lit(16)).cast("int").alias("partition"),
+        place.alias("offset"),
+    )
+
+
 def key_type() -> T.StructType:
     return T.StructType([T.StructField(k, T.StringType()) for k in (PERIOD, COMPANY)])
 

@@ -35,7 +35,16 @@ from tallyline.sinks import (
     write_single_csv,
 )
 from tallyline.sources import as_changes, read_changes, read_statements_csv
-from tallyline.streaming import Averages, ChangedIndicators, Indicators, Refresh, run_refresh
+from tallyline.streaming import (
+    Averages,
+    ChangedIndicators,
+    Indicators,
+    Refresh,
+    moved_average,
+    newest_sums,
+    run_moving_average,
+    run_refresh,
+)
 
 KEYS = [PERIOD, COMPANY]
 
@@ -183,6 +192,15 @@ def stream_indicators_by_change(spark: SparkSession, sf: str) -> DataFrame:
     return indicators.read()
 
 
+def stream_averages_by_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages from old and new images alone, the log in four micro-batches."""
+    base, row = scratch_dir(spark, "moving"), statement_schema()
+    path, quarter = _stored_log(spark, derived.image_log(derived.statements(spark, sf)))
+    changes = read_changes(spark, "parquet", path, streaming=True, maxFilesPerTrigger=quarter)
+    run_moving_average(changes, row, KEYS, f"{base}/sums", f"{base}/checkpoint").awaitTermination()
+    return moved_average(newest_sums(spark.read.parquet(f"{base}/sums")), digits=2)
+
+
 def snapshot_rebucket_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Stored rows in one bucket layout, moved to another, then the log."""
     buckets = _buckets(spark)
@@ -273,6 +291,10 @@ QUERIES = {
         lambda s, d: stream_averages(s, d, load=True),
         f"with {_BOTH} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",
     ),
+    "stream_averages_by_images": (
+        stream_averages_by_images,
+        f"with {_STMT} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",
+    ),
     "stream_averages": (
         stream_averages,
         f"with {_STMT} select 'Average' as date, {_MEANS} from stmt where not starts_with(date, 'TTM')",

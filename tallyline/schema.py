@@ -88,13 +88,13 @@ def indicator_schema() -> T.StructType:
     )
 
 
-def envelope_schema(row: T.StructType, keys: Sequence[str]) -> T.StructType:
+def envelope_schema(row: T.StructType, keys: Sequence[str], images: bool = False) -> T.StructType:
     """Change envelope for ``row``.
 
-    The old image is only read for its key, so only key fields are declared
-    there: the JSON parser skips the rest.
+    Unless ``images``, the old image is only read for its key, so only key fields are
+    declared there: the JSON parser skips the rest.
     """
-    key_fields = [row[k] for k in keys]
+    key_fields = row.fields if images else [row[k] for k in keys]
     return T.StructType(
         [
             T.StructField(

@@ -16,7 +16,15 @@ from tallyline.schema import COMPANY, CONTROL, PERIOD
 from tallyline.sinks import Snapshot
 from tallyline.sources import read_changes
 from tallyline.sources.readers import CHANGE_SCHEMA
-from tallyline.streaming import Averages, ChangedIndicators, Indicators, Refresh, run_refresh
+from tallyline.streaming import (
+    Averages,
+    ChangedIndicators,
+    Indicators,
+    Refresh,
+    moved_average,
+    moved_sums,
+    run_refresh,
+)
 
 ROW_ORDER = [PERIOD, "sales", "interest", COMPANY]
 SPECS = [Ratio("r", "sales", "interest"), Growth("g", "sales")]
@@ -225,3 +233,24 @@ def test_only_changed_periods_and_their_successors_move(spark, places):
     snap.expire(1)
     moved(snap, snap.version())
     assert rows_of(moved.read()) == rows_of(with_indicators(exclude_prefix(snap.read()), SPECS))
+
+
+def test_averages_move_by_images_in_any_order(spark):
+    a, b = image("Mar 2013", "A", 0.1, 3.0), image("Mar 2013", "A", 0.3, None)
+    c, ttm = image("Mar 2014", "B", 0.2, 5.0), image("TTM", "A", 99.0, 99.0)
+    average = image("Average", "A", 99.0, 99.0)
+    records = [
+        envelope(None, a, 1), envelope(a, b, 2), envelope(None, c, 3), envelope(None, ttm, 3),
+        envelope(None, average, 3), None, "junk", json.dumps({"payload": None}),
+    ]
+    cols = ["sales", "interest"]
+
+    def averaged(values, scale=4):
+        log = spark.createDataFrame([(v, 0, i) for i, v in enumerate(values)], CHANGE_SCHEMA)
+        return rows_of(moved_average(moved_sums(log, ROW, KEYS, cols, scale), cols))
+
+    assert averaged(records) == averaged(records[::-1]) == [("Average", 0.25, 5.0)]
+    assert averaged([*records, envelope(c, None, 4)]) == [("Average", 0.3, None)]
+    assert averaged([*records, envelope(c, None, 4), envelope(b, None, 5)]) == [("Average", None, None)]
+    assert averaged([]) == [("Average", None, None)]
+    assert averaged(records, scale=0)[0][1] == pytest.approx(0.25)
