@@ -6,6 +6,11 @@ counts if its slots are consistent: two slots of the document window hold the sa
 exactly where the benchmark's do, so a question with its values exchanged is caught and a
 chance meeting of placeholders is not.
 
+Each window has a second, folded key: names are words like any other, without regard to case,
+and so is a number between two numbers.  It finds copies in another case, and series of
+numbers, which templates say nothing about.  Items shorter than a window are looked for by
+this key alone: with their names exchanged they are other questions.
+
 Everything is DataFrame expressions.  Window hashes are put together by doubling (pairs,
 fours, eights of words), so a word costs a few hash steps whatever the window's length.
 """
@@ -21,7 +26,7 @@ from tallyline.sinks.workspace import scratch_dir
 
 #: Words of a window; a shorter item is matched as a whole.
 WINDOW = 12
-#: Items of fewer words are not looked for: too short to tell a leak from chance.
+#: Items of fewer words are not looked for unless asked: too short to tell a leak from chance.
 LEAST_WORDS = 6
 #: Words of a window, of twelve, that must not be placeholders.
 LITERAL_SHARE = 0.5
@@ -61,31 +66,37 @@ def _typed(word: Column, at: Column, words: Column) -> Column:
     )
 
 
-def _codes(words: Column) -> Column:
-    """A number per word: its placeholder's type, or the hash of the lower-cased word."""
+def _coded(rows: DataFrame) -> DataFrame:
+    """Adds a number per word, ``_codes`` and ``_folded``: its placeholder's type, or the hash
+    of the lower-cased word."""
+    words, kinds = F.col("words"), F.col("_kinds")
+    rows = rows.withColumn("_kinds", F.transform(words, lambda w, i: _typed(w, i, words)))
+    rows = rows.withColumn("_low", F.transform(words, lambda w: F.xxhash64(F.lower(w))))
 
-    def code(word: Column, at: Column) -> Column:
-        return F.coalesce(F.nullif(_typed(word, at, words), F.lit(0)).cast("long"), F.xxhash64(F.lower(word)))
+    def folded(kind: Column, at: Column) -> Column:
+        series = (F.get(kinds, at - 1) == _NUMBER) & (F.get(kinds, at + 1) == _NUMBER)
+        typed = (kind == _UNIT) | ((kind == _NUMBER) & ~F.coalesce(series, F.lit(False)))
+        return F.when(typed, kind.cast("long")).otherwise(F.get("_low", at))
 
-    return F.transform(words, code)
+    codes = F.zip_with("_kinds", "_low", lambda kind, low: F.when(kind > 0, kind.cast("long")).otherwise(low))
+    return rows.withColumns({"_codes": codes, "_folded": F.transform(kinds, folded)})
 
 
-def _with_hashes(rows: DataFrame, size: int) -> DataFrame:
-    """Adds ``hashes`` of all windows of ``size`` words; each step is a column of its own.
+def _hashed(rows: DataFrame, codes: str, size: int, out: str) -> DataFrame:
+    """Adds ``out``: hashes of all windows of ``size`` codes; each step is a column of its own.
 
     Steps refer to the one before twice, so they must not be merged into one expression;
     Spark keeps projections apart for that reason.
     """
     columns = rows.columns
-    rows = rows.withColumn("_codes", _codes(F.col("words")))
 
     def later(name: str, places: int) -> Column:
-        return F.slice(F.col(name), places + 1, F.greatest(F.size("_codes"), F.lit(1)))
+        return F.slice(F.col(name), places + 1, F.greatest(F.size(codes), F.lit(1)))
 
     def joined(one: Column, other: Column) -> Column:
         return F.zip_with(one, other, lambda a, b: F.xxhash64(a, b))
 
-    span, name, whole, done, left = 1, "_codes", "", 0, size
+    span, name, whole, done, left = 1, codes, "", 0, size
     while left:
         if left & 1:
             if done:
@@ -99,8 +110,19 @@ def _with_hashes(rows: DataFrame, size: int) -> DataFrame:
             rows = rows.withColumn(f"_by{2 * span}", joined(F.col(name), later(name, span)))
             span *= 2
             name = f"_by{span}"
-    n = F.greatest(F.size("_codes") - (size - 1), F.lit(0))
-    return rows.select(*columns, F.slice(F.col(whole), 1, n).alias("hashes"))
+    n = F.greatest(F.size(codes) - (size - 1), F.lit(0))
+    return rows.select(*columns, F.slice(F.col(whole), 1, n).alias(out))
+
+
+def _with_keys(rows: DataFrame, size: int) -> DataFrame:
+    """Adds ``keys``: both hashes of every window, first all templates', then the folded ones,
+    null where they are the same; and ``places``, how many windows there are."""
+    columns = rows.columns
+    rows = _hashed(_hashed(_coded(rows), "_codes", size, "_hashes"), "_folded", size, "_others")
+    other = F.zip_with("_others", "_hashes", lambda f, h: F.when(f != h, f))
+    return rows.select(
+        *columns, F.concat("_hashes", other).alias("keys"), F.greatest(F.size("_hashes"), F.lit(1)).alias("places")
+    )
 
 
 def _passage(size: int) -> Column:
@@ -109,15 +131,22 @@ def _passage(size: int) -> Column:
     return F.concat(F.array(F.coalesce(F.get(words, begin - 1), F.lit(""))), F.slice(words, begin + 1, size))
 
 
+def _is_slot(word: Column) -> Column:
+    return (word["kind"] > 0) & ~(F.col("folded") & (word["kind"] == _NAME))
+
+
 def _with_slots(rows: DataFrame, size: int) -> DataFrame:
-    """Replaces ``passage`` by ``slots``: where each slot's value first stands among them."""
+    """Replaces ``passage`` by ``slots``: where each slot's value first stands among them.
+
+    Names are no slots where ``folded``.
+    """
 
     def slot(i: Column) -> Column:
         word = F.get(F.col("passage"), i)
         return F.struct(_typed(word, i, F.col("passage")).alias("kind"), F.lower(word).alias("value"))
 
     typed = F.transform(F.sequence(F.lit(1), F.lit(size)), slot)
-    rows = rows.withColumn("_held", F.filter(typed, lambda k: k["kind"] > 0))
+    rows = rows.withColumn("_held", F.filter(typed, _is_slot))
     slots = F.transform(F.col("_held"), lambda k: F.array_position(F.col("_held"), k))
     return rows.withColumn("slots", slots).drop("passage", "_held")
 
@@ -125,25 +154,53 @@ def _with_slots(rows: DataFrame, size: int) -> DataFrame:
 def benchmark_windows(
     benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WORDS, literal: float = LITERAL_SHARE
 ) -> DataFrame:
-    """``item_id``, ``size``, ``hash`` and ``slots`` of the windows to look for.
+    """``item_id``, ``size``, ``hash``, ``folded`` and ``slots`` of the windows to look for.
 
-    Null and too short items have none; neither do windows of mostly placeholders.
+    Null items and those under ``least`` words have none; neither have templates or folded
+    windows with less than a ``literal`` share of words that are no placeholders.
     """
     words = benchmark.select(F.col("item_id").cast("long"), words_of(F.col("text").cast("string")).alias("words"))
     words = words.where(F.size("words") >= least)
-    parts = []
-    for size in range(least, window + 1):
+    # at most one row per size; only those that occur are planned
+    sizes = words.select(F.least(F.size("words"), F.lit(window)).alias("size")).distinct().collect()
+    parts = [benchmark.sparkSession.createDataFrame([], "item_id long, size int, hash long, folded boolean, slots array<int>")]
+    for size in sorted(r["size"] for r in sizes):
         own = words.where(F.size("words") >= size if size == window else F.size("words") == size)
-        found = _with_hashes(own, size).select("item_id", "words", F.posexplode_outer("hashes").alias("begin", "hash"))
-        found = _with_slots(found.select("item_id", "hash", _passage(size).alias("passage")), size).where(size - F.size("slots") >= math.ceil(size * literal))
-        parts.append(found.select("item_id", F.lit(size).alias("size"), "hash", "slots"))
+        own = _hashed(_hashed(_coded(own), "_codes", size, "_hashes"), "_folded", size, "_others")
+        found = own.select("item_id", "words", "_folded", F.posexplode(F.arrays_zip("_hashes", "_others")).alias("begin", "_h"))
+        held = F.slice("_folded", F.col("begin") + 1, size)
+        shared = found.select(
+            "item_id",
+            _passage(size).alias("passage"),
+            F.size(F.filter(held, lambda c: c.between(_NUMBER, _UNIT))).alias("_placed"),
+            F.inline(
+                F.array(
+                    F.struct(F.lit(False).alias("folded"), F.col("_h._hashes").alias("hash")),
+                    F.struct(F.lit(True).alias("folded"), F.col("_h._others").alias("hash")),
+                )
+            ),
+        )
+        if size < window:
+            shared = shared.where("folded")
+        shared = _with_slots(shared, size)
+        placed = F.when(F.col("folded"), F.col("_placed")).otherwise(F.size("slots"))
+        shared = shared.where(size - placed >= math.ceil(size * literal))
+        slots = F.col("slots").cast("array<int>").alias("slots")
+        parts.append(shared.select("item_id", F.lit(size).alias("size"), "hash", "folded", slots))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.distinct()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_rows: int = BLOCK_ROWS,
+    least: int = LEAST_WORDS,
+    literal: float = LITERAL_SHARE,
+) -> DataFrame:
     """``doc_id, item_id, n_windows, first_word`` of every benchmark item in a document.
 
     ``n_windows`` counts the places of the document where a consistent window of the item
@@ -151,12 +208,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_row
     with a null ``doc_id`` are left out; rows that repeat a ``doc_id`` count as one document.
 
     The benchmark's windows are counted and broadcast in blocks of at most ``block_rows``,
-    so a large benchmark means more passes and never a larger broadcast.  Documents are
+    so a large benchmark means more passes and never a larger broadcast.  ``least`` and
+    ``literal`` are those of :func:`benchmark_windows`.  Documents are
     not shuffled; only matches are grouped.
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark, "benchmark")
-    benchmark_windows(benchmark, window).write.parquet(f"{folder}/windows")
+    benchmark_windows(benchmark, window, least, literal).write.parquet(f"{folder}/windows")
     wanted = spark.read.parquet(f"{folder}/windows")
     count = {r["size"]: r["n"] for r in wanted.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
     matches = spark.createDataFrame([], "doc_id long, item_id long, begin int")
@@ -164,19 +222,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_row
         F.col("doc_id").cast("long"), words_of(F.col("text").cast("string")).alias("words")
     )
     for size, n in sorted(count.items()):
-        coded = _with_hashes(texts, size)
+        coded = _with_keys(texts, size)
         blocks = -(-n // block_rows)
         for block in range(blocks):
             some = wanted.where((F.col("size") == size) & (F.pmod(F.col("hash"), F.lit(blocks)) == block))
             # the outer form: else Spark infers a filter on the hashes and works them out twice
-            exploded = coded.select("doc_id", "words", F.posexplode_outer("hashes").alias("begin", "hash"))
+            exploded = coded.select("doc_id", "words", "places", F.posexplode_outer("keys").alias("_at", "hash"))
             met = exploded.join(
-                F.broadcast(some.select("item_id", "hash", F.col("slots").alias("_slots"))), "hash"
-            )
+                F.broadcast(some.select("item_id", "hash", "folded", F.col("slots").alias("_slots"))), "hash"
+            ).withColumn("begin", F.col("_at") % F.col("places"))
             # stored before the slots are compared: within the join every window would
             # carry its document's words along, here only those that met do
             place = f"{folder}/met-{size}-{block}"
-            met.select("doc_id", "item_id", "begin", "_slots", _passage(size).alias("passage")).write.parquet(place)
+            met.select("doc_id", "item_id", "begin", "folded", "_slots", _passage(size).alias("passage")).write.parquet(place)
             met = _with_slots(spark.read.parquet(place), size).where("slots = _slots")
             matches = matches.unionByName(met.select("doc_id", "item_id", "begin"))
     return matches.groupBy("doc_id", "item_id").agg(

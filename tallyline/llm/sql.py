@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from tallyline.llm.decontaminate import LEAST_WORDS, LITERAL_SHARE, UNITS, WINDOW
+from tallyline.llm.decontaminate import UNITS
 
 _SPLIT = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -68,31 +68,46 @@ def _windows(name: str, source: str, key: str) -> str:
 {name}_words as (select {key}, {_WORDS} as ws from {source}),
 {name}_typed as (
   select {key}, ws, list_transform(range(1, len(ws) + 1), lambda i: {_TYPE}) as kinds from {name}_words),
+{name}_series as (
+  select {key}, ws, kinds, list_transform(range(1, len(ws) + 1), lambda i: case
+    when kinds[i] = 'a' or (kinds[i] = 'n' and i > 1 and kinds[i - 1] = 'n' and kinds[i + 1] = 'n') then null
+    else kinds[i] end) as fewer from {name}_typed),
 {name}_coded as (
   select {key}, len(ws) as n,
          list_transform(range(1, len(ws) + 1), lambda i: coalesce('#' || kinds[i], lower(ws[i]))) as codes,
+         list_transform(range(1, len(ws) + 1), lambda i: coalesce('#' || fewer[i], lower(ws[i]))) as folded,
          list_transform(range(1, len(ws) + 1), lambda i: kinds[i] || ':' || lower(ws[i])) as held
-  from {name}_typed),
+  from {name}_series),
 {name}_starts as (
   select c.*, size, unnest(range(1, n - size + 2)) as i from {name}_coded c, sizes where size <= n),
 {name} as (
   select {key}, n, size, i - 1 as begin_at, array_to_string(codes[i:i+size-1], ' ') as k,
-         list_filter(held[i:i+size-1], lambda x: x is not null) as sl
+         array_to_string(folded[i:i+size-1], ' ') as fk,
+         len(list_filter(folded[i:i+size-1], lambda x: x[1] = '#')) as placed,
+         list_filter(held[i:i+size-1], lambda x: x is not null) as sl,
+         list_filter(held[i:i+size-1], lambda x: x is not null and x[1] <> 'a') as fsl
   from {name}_starts)"""
 
 
-_PLACES = "list_transform({t}.sl, lambda x: list_position({t}.sl, x))"
+_PLACES = "list_transform({t}, lambda x: list_position({t}, x))"
 
 DECONTAMINATION = f"""
-with sizes as (select unnest(range({LEAST_WORDS}, {WINDOW} + 1)) as size),
+with sizes as (select unnest(range(6, 13)) as size),
 {_windows('b', '(select * from benchmark where text is not null)', 'item_id')},
 wanted as (
-  select distinct item_id, size, k, {_PLACES.format(t='b')} as places from b
-  where (size = {WINDOW} or size = n) and size - len(sl) >= ceil(size * {LITERAL_SHARE})),
+  select distinct item_id, size, false as fold, k, {_PLACES.format(t='b.sl')} as places from b
+  where size = 12 and size - len(sl) >= 6
+  union
+  select distinct item_id, size, true, fk, {_PLACES.format(t='b.fsl')} from b
+  where (size = 12 or size = n) and size - placed >= ceil(size * 0.5)),
 used as (select distinct size from wanted),
-{_windows('d', '(select * from documents where text is not null)', 'doc_id').replace('sizes where', 'used where')}
+{_windows('d', '(select * from documents where text is not null)', 'doc_id').replace('sizes where', 'used where')},
+either as (
+  select doc_id, size, begin_at, k, sl, fsl from d
+  union all select doc_id, size, begin_at, fk, sl, fsl from d where fk <> k)
 select doc_id, item_id, count(distinct begin_at) as n_windows, cast(min(begin_at) as integer) as first_word
-from d join wanted w on d.size = w.size and d.k = w.k and {_PLACES.format(t='d')} = w.places
+from either e join wanted w on e.size = w.size and e.k = w.k
+where w.places = case when fold then {_PLACES.format(t='e.fsl')} else {_PLACES.format(t='e.sl')} end
 group by doc_id, item_id
 """
 

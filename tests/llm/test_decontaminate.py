@@ -44,6 +44,32 @@ def test_templates_and_slots(spark, text, leaked):
     assert found(spark, [text], [ITEM], window=size) == ({(0, 0)} if leaked else set())
 
 
+SERIES = "3 5 7 9 11 13 15 17 19 21 23 25 what comes next"
+
+
+@pytest.mark.parametrize(
+    ("text", "item", "leaked"),
+    [
+        (ITEM.lower(), ITEM, True),
+        (f"and then {ITEM.upper()} behind", ITEM, True),
+        (ITEM.lower().replace("12", "14").replace("45", "3"), ITEM, True),
+        (SERIES, SERIES, True),
+        (f"The test: {SERIES}?", SERIES, True),
+        ("1 2 3 4 5 6 7 8 9 10 11 12 what comes next", SERIES, False),
+        ("Lima is the capital of Peru", "Paris is the capital of France", False),
+        ("so paris is the capital of FRANCE", "Paris is the capital of France", True),
+        ("He has 7 apples and 4 pears today", "He has 3 apples and 9 pears today", True),
+    ],
+)
+def test_case_series_and_short_items(spark, text, item, leaked):
+    assert found(spark, [text], [item]) == ({(0, 0)} if leaked else set())
+
+
+def test_parameters_reach_shorter_items(spark):
+    assert found(spark, ["well too short then"], ["Too short"]) == set()
+    assert found(spark, ["well too short then"], ["Too short"], least=2) == {(0, 0)}
+
+
 def plain(rows, items, window):
     def words(text):
         return re.findall(r"[^\W_]+", (text or "").lower())
