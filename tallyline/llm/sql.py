@@ -62,8 +62,9 @@ _TYPE = f"""case
   when i > 1 and regexp_matches(ws[i - 1], '^[0-9]') and lower(ws[i]) in ({_UNITS}) then 'u' end"""
 
 
-def _windows(name: str, source: str, key: str) -> str:
-    """CTEs ending in ``name``: begin, template and slots of every window of every size."""
+def _windows(name: str, source: str, key: str, wanted: str, slotted: str) -> str:
+    """CTEs: ``name``, both keys of every window of the wanted sizes, and ``{name}_slots``, the
+    slots of the windows in ``slotted``."""
     return f"""
 {name}_words as (select {key}, {_WORDS} as ws from {source}),
 {name}_typed as (
@@ -79,35 +80,42 @@ def _windows(name: str, source: str, key: str) -> str:
          list_transform(range(1, len(ws) + 1), lambda i: kinds[i] || ':' || lower(ws[i])) as held
   from {name}_series),
 {name}_starts as (
-  select c.*, size, unnest(range(1, n - size + 2)) as i from {name}_coded c, sizes where size <= n),
+  select {key}, n, codes, folded, size, unnest(range(1, n - size + 2)) as i
+  from {name}_coded, sizes where size <= n and {wanted}),
 {name} as (
-  select {key}, n, size, i - 1 as begin_at, array_to_string(codes[i:i+size-1], ' ') as k,
-         array_to_string(folded[i:i+size-1], ' ') as fk,
-         len(list_filter(folded[i:i+size-1], lambda x: x[1] = '#')) as placed,
-         list_filter(held[i:i+size-1], lambda x: x is not null) as sl,
-         list_filter(held[i:i+size-1], lambda x: x is not null and x[1] <> 'a') as fsl
-  from {name}_starts)"""
+  select {key}, n, size, i, array_to_string(codes[i:i+size-1], ' ') as k,
+         array_to_string(folded[i:i+size-1], ' ') as fk
+  from {name}_starts),
+{name}_slots as (
+  select *, list_filter(held[i:i+size-1], lambda x: x is not null) as sl,
+         list_filter(held[i:i+size-1], lambda x: x is not null and x[1] <> 'a') as fsl,
+         len(list_filter(folded[i:i+size-1], lambda x: x[1] = '#')) as placed
+  from {slotted} join {name}_coded using ({key}))"""
 
 
 _PLACES = "list_transform({t}, lambda x: list_position({t}, x))"
 
+_OWN = "(select * exclude (n) from b)"
+_MET = "(select distinct doc_id, size, i, item_id, fold, places from either join wanted using (size, k))"
+_EITHER = """
+either as (
+  select doc_id, size, i, k from d union all select doc_id, size, i, fk from d where fk <> k),
+d_slots as ("""
+
 DECONTAMINATION = f"""
 with sizes as (select unnest(range(6, 13)) as size),
-{_windows('b', '(select * from benchmark where text is not null)', 'item_id')},
+{_windows('b', '(select * from benchmark where text is not null)', 'item_id', '(size = 12 or size = n)', _OWN)},
 wanted as (
-  select distinct item_id, size, false as fold, k, {_PLACES.format(t='b.sl')} as places from b
+  select distinct item_id, size, false as fold, k, {_PLACES.format(t='sl')} as places from b_slots
   where size = 12 and size - len(sl) >= 6
   union
-  select distinct item_id, size, true, fk, {_PLACES.format(t='b.fsl')} from b
-  where (size = 12 or size = n) and size - placed >= ceil(size * 0.5)),
-used as (select distinct size from wanted),
-{_windows('d', '(select * from documents where text is not null)', 'doc_id').replace('sizes where', 'used where')},
-either as (
-  select doc_id, size, begin_at, k, sl, fsl from d
-  union all select doc_id, size, begin_at, fk, sl, fsl from d where fk <> k)
-select doc_id, item_id, count(distinct begin_at) as n_windows, cast(min(begin_at) as integer) as first_word
-from either e join wanted w on e.size = w.size and e.k = w.k
-where w.places = case when fold then {_PLACES.format(t='e.fsl')} else {_PLACES.format(t='e.sl')} end
+  select distinct item_id, size, true, fk, {_PLACES.format(t='fsl')} from b_slots
+  where size - placed >= ceil(size * 0.5)),
+{_windows('d', '(select * from documents where text is not null)', 'doc_id',
+          'size in (select size from wanted)', _MET).replace("d_slots as (", _EITHER.strip())}
+select doc_id, item_id, count(distinct i) as n_windows, cast(min(i) - 1 as integer) as first_word
+from d_slots
+where places = case when fold then {_PLACES.format(t='fsl')} else {_PLACES.format(t='sl')} end
 group by doc_id, item_id
 """
 
