@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm.scans import bound, running_max, running_sum
 from tallyline.sinks.workspace import scratch_dir
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -64,8 +65,10 @@ WORDS_FOR = {
     "phone": "phone tel telephone call fax mobile cell contact ring whatsapp telefon teléfono téléphone",
 }
 WORDS_AGAINST = "version isbn issn doi order invoice article section page serial id part model build release ticket no nr"
-#: Words of context on either side, in characters.
+#: How much of the text on either side of a span the labelers see, in characters.
 CONTEXT = 40
+#: Characters in a piece of a text that is redacted: places are looked up piece by piece.
+PIECE = 512
 
 LABELERS = ["shape", "gazetteer", "before", "against", "alone"]
 
@@ -119,31 +122,35 @@ def _cut(kind: str, base: bool) -> list[Column]:
     ]
 
 
-def _matches(kind: str, base: bool) -> Column:
+def _lengths(kind: str, base: bool) -> Column:
+    """The length of each match of a pattern together with the gap before it."""
+    name = f"{kind}_{'base' if base else 'loose'}"
+    found, gaps = F.col(f"_found_{name}"), F.col(f"_gaps_{name}")
+    return F.transform(found, lambda match, i: F.length(F.get(gaps, i)) + F.length(match))
+
+
+def _matches(kind: str, base: bool, done: Column) -> Column:
     """Array of (start, end, match, before, after) of a pattern's matches in ``text``.
 
     Places are code points.  The text between matches gives each match its place: matches
-    and gaps follow each other, so starts are running sums of their lengths.  Both are
-    columns by now: within a lambda they would be worked out for every match.
+    and gaps follow each other, so ``done``, the running sum of their lengths, is where the
+    last match ended.  All are columns by now: within a lambda they would be worked out
+    for every match.
     """
     name = f"{kind}_{'base' if base else 'loose'}"
     found, gaps = F.col(f"_found_{name}"), F.col(f"_gaps_{name}")
-    pairs = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(gaps, i).alias("gap"), F.get(gaps, i + 1).alias("next")))
-    empty = F.array().cast("array<struct<start:int,end:int,m:string,before:string,after:string>>")
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["m"])
-        row = F.struct(
+    def row(match: Column, i: Column) -> Column:
+        start = F.get(done, i) + F.length(F.get(gaps, i))
+        return F.struct(
             start.alias("start"),
-            end.alias("end"),
-            pair["m"].alias("m"),
-            F.right(pair["gap"], F.lit(CONTEXT)).alias("before"),
-            F.left(pair["next"], F.lit(CONTEXT)).alias("after"),
+            (start + F.length(match)).alias("end"),
+            match.alias("m"),
+            F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
+            F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("after"),
         )
-        return F.struct(end.alias("at"), F.concat(done["rows"], F.array(row)).alias("rows"))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("rows")), step, lambda s: s["rows"])
+    return F.transform(found, row)
 
 
 def _has_word(text: Column, words: str) -> Column:
@@ -190,26 +197,47 @@ def _proposed(kind: str, base: bool) -> Column:
     return F.transform(found, row)
 
 
+def _apart(loose: Column, base: Column) -> Column:
+    """The loose spans that overlap no base span.
+
+    In order of base starts and loose ends, a loose span overlaps a base one if the
+    furthest end of the base spans before it lies behind its start.
+    """
+    fixed = F.transform(
+        base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("base"), b["end"].alias("end"), F.lit(0).alias("start"), F.lit(0).alias("place"))
+    )
+    tried = F.transform(
+        loose, lambda s, i: F.struct(s["end"].alias("at"), F.lit(0).alias("base"), F.lit(0).alias("end"), s["start"].alias("start"), i.alias("place"))
+    )
+
+    def free(marks: Column) -> Column:
+        reach = running_max(F.transform(marks, lambda m: m["end"]))
+        places = F.zip_with(marks, reach, lambda m, r: F.when((m["base"] == 0) & (r <= m["start"]), m["place"]))
+        return F.transform(F.filter(places, lambda p: p.isNotNull()), lambda p: F.get(loose, p))
+
+    return F.when(F.size(loose) > 0, bound(F.sort_array(F.concat(fixed, tried)), free)).otherwise(loose)
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """Adds ``spans``: base matches and looser candidates that overlap none of them.
 
     A null text is empty.  Text columns of each pattern are worked out once and kept
-    apart, so that nothing is matched twice.
+    apart, so that nothing is matched twice.  Work grows with the text and its matches.
     """
     columns = docs.columns
     rows = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     both = [(k, b) for k in KINDS for b in (True, False)]
     rows = rows.select("*", *[c for k, b in both for c in _cut(k, b)])
-    rows = rows.select(*columns, *[_matches(k, b).alias(f"_{k}_{'base' if b else 'loose'}") for k, b in both])
+    rows = rows.withColumn("_done", F.transform(F.array(*[_lengths(k, b) for k, b in both]), running_sum))
+    matches = [_matches(k, b, F.get("_done", i)).alias(f"_{k}_{'base' if b else 'loose'}") for i, (k, b) in enumerate(both)]
+    rows = rows.select(*columns, *matches)
     for kind in KINDS:
         rows = rows.withColumn(f"_{kind}_base", F.filter(f"_{kind}_base", _valid_of(kind)))
     rows = rows.withColumn("_base", F.concat(*[_proposed(k, True) for k in KINDS]))
     rows = rows.withColumn("_loose", F.concat(*[_proposed(k, False) for k in KINDS]))
-    free = F.filter(
-        "_loose",
-        lambda s: ~F.exists(F.col("_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    return rows.select(*columns, F.concat("_base", free).alias("spans"))
+    # through a generator: a filter pushed below would work the matches out within its lambdas
+    spans = F.concat("_base", _apart(F.col("_loose"), F.col("_base"))).alias("spans")
+    return rows.select(*columns, F.inline(F.array(F.struct(spans))))
 
 
 class Classifier:
@@ -324,6 +352,15 @@ def personal_data(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, _listed(base).alias("base_list"), _listed(kept).alias("spans"))
 
 
+def _between(pieces: Column, first: Column, end: Column) -> Column:
+    """The text from place ``first`` to ``end``, cut from its pieces of ``PIECE`` characters."""
+    low, high = F.floor(first / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    within = F.substr(F.get(pieces, low), first % PIECE + 1, F.when(low == high, end - first).otherwise(PIECE))
+    whole = F.array_join(F.slice(pieces, low + 2, F.greatest(high - low - 1, F.lit(0))), "")
+    tail = F.when(high > low, F.substr(F.get(pieces, high), F.lit(1), end % PIECE))
+    return F.concat(F.coalesce(within, F.lit("")), whole, F.coalesce(tail, F.lit("")))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """Every document, each kept span replaced by its kind in brackets.
 
@@ -332,28 +369,28 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark, "spans")
-    with_spans(docs.select("text")).select("spans").where(F.size("spans") > 0).write.parquet(folder)
-    judge = learn(spark.read.parquet(folder))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     # the whole row in one column: no name of the documents' can clash
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = with_spans(docs.select(whole, "text"))
+    # all of them: a filter would be pushed down, and the spans worked out within its lambdas
+    rows.select("spans").write.parquet(folder)
+    judge = learn(spark.read.parquet(folder))
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     rows = rows.withColumn("spans", F.filter("spans", judge.keeps))
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     rows = rows.withColumn("spans", order)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(done: Column, s: Column) -> Column:
-        before = F.substr(F.col("text"), done["at"] + 1, s["start"] - done["at"])
-        new = s["start"] >= done["at"]
-        parts = F.when(new, F.concat(done["parts"], F.array(before, F.get(names, s["kind"])))).otherwise(done["parts"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), parts.alias("parts"))
-
-    def end(done: Column) -> Column:
-        rest = F.substr(F.col("text"), done["at"] + 1, F.length("text"))
-        return F.array_join(F.concat(done["parts"], F.array(rest)), "")
-
-    rows = rows.withColumn("_new", F.when(F.size("spans") > 0, F.aggregate("spans", start, step, end)))
+    some = F.size("spans") > 0
+    rows = rows.withColumn("_reach", running_max(F.transform("spans", lambda s: s["end"])))
+    rows = rows.withColumn("_pieces", F.when(some, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))))
+
+    def part(s: Column) -> Column:
+        return F.concat(_between(F.col("_pieces"), s["reach"], s["start"]), F.get(names, s["kind"]))
+
+    met = F.zip_with("spans", "_reach", lambda s, r: F.struct(r.alias("reach"), s["start"].alias("start"), s["kind"].alias("kind")))
+    parts = F.transform(F.filter(met, lambda s: s["start"] >= s["reach"]), part)
+    last = F.array_max(F.transform("spans", lambda s: s["end"]))
+    rest = _between(F.col("_pieces"), last, F.length("text"))
+    rows = rows.withColumn("_new", F.when(some, F.array_join(F.concat(parts, F.array(rest)), "")))
     given = F.col("_row")
     out = {c: given[c] for c in docs.columns}
     out["text"] = F.coalesce("_new", given["text"].cast("string"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from corpora import awkward_rows, frame
+from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tallyline.llm.personal_data import KINDS, LABELERS, Classifier, personal_data, redact
+from tallyline.llm.personal_data import KINDS, LABELERS, Classifier, _apart, personal_data, redact, with_spans
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -118,6 +120,59 @@ def test_redaction(spark):
     assert redact(docs.limit(0)).collect() == []
 
 
+def redacted_by_hand(text, spans):
+    """Kept spans in order of their starts; those that overlap go together."""
+    out, at = [], 0
+    for start, end, kind in sorted((int(s), int(e), KINDS.index(k)) for k, s, e in (x.split(":") for x in spans.split(",") if x)):
+        if start >= at:
+            out += [text[at:start], f"[{KINDS[kind].upper()}]"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_against_python(spark):
+    rng = random.Random(5)
+    filler = ["é" * 511, "x " * 256, "\U0001F600" * 513, "\n", "call ", "415-555-0132", "x@y (at) z (dot) com", " "]
+    made = ["".join(rng.choice([*filler, *texts()[:60]]) for _ in range(rng.randrange(1, 25))) for _ in range(150)]
+    rows = [(i, t, None, None, None) for i, t in enumerate([*made, *texts()])]
+    docs = frame(spark, rows)
+    spans = {r["doc_id"]: r["spans"] for r in personal_data(docs).collect()}
+    got = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
+    assert sum(map(bool, spans.values())) > 300
+    for doc, text, *_ in rows:
+        assert got[doc] == redacted_by_hand(text, spans[doc]), doc
+
+
+def test_overlaps_against_python(spark):
+    rng = random.Random(6)
+
+    def some(n):
+        return [(s, s + rng.randrange(1, 9)) for s in (rng.randrange(200) for _ in range(n))]
+
+    rows = [(i, some(rng.randrange(40)), some(rng.randrange(12))) for i in range(200)]
+    spans = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame(rows, f"i int, loose {spans}, base {spans}")
+    for r in df.select("i", _apart(df["loose"], df["base"]).alias("free")).collect():
+        _, loose, base = rows[r["i"]]
+        want = [s for s in loose if not any(b[0] < s[1] and s[0] < b[1] for b in base)]
+        assert sorted(map(tuple, r["free"])) == sorted(want)
+
+
+@pytest.mark.parametrize("matches", [2_000, 16_000, 64_000])
+def test_many_matches_in_one_text(spark, matches):
+    """In proportion to the matches: a quadratic form needs minutes from 8,000 on."""
+    text = "".join(f"write to p{i}@example.com or call {200 + i % 700}-555-{i % 10000:04d} é\n" for i in range(matches))
+    docs = frame(spark, [(1, text, None, None, None)])
+    spans = with_spans(docs.select("doc_id", "text")).where(F.size("spans") > 0).select("spans")
+    clean = redact(docs)
+    began = time.perf_counter()
+    [[found]] = spans.collect()
+    [row] = clean.collect()
+    assert time.perf_counter() - began < 5 + matches / 1_000
+    assert [sum(s["kind"] == k for s in found) for k in (0, 3)] == [matches, matches]
+    assert row["text"] == "write to [EMAIL] or call [PHONE] é\n" * matches
+
+
 def test_no_python_in_the_plan(spark):
     docs = frame(spark, awkward_rows())
     for df in (personal_data(docs), redact(docs)):
