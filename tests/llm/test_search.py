@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from tallyline.llm.queries import op8_exact_top_k
 from tallyline.llm.search import best_of, top_k, usable_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -67,3 +68,21 @@ def test_repeated_ids_lose_no_candidate(spark, sizes):
     assert [r for r in found if r[0] == 0] == sorted({r for r in expected(rows, 5, 5) if r[0] == 0})
     rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (1, [0.5, 0.25], 1), (2, [0.25, 0.5], 1)]
     assert result(spark, rows, **sizes) == [(5, 1, 2, 128 * 256), (5, 2, 1, 64 * 256)]
+
+
+def test_query_asks_every_row_against_every_other(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([-0.5, 0.25, 2.0]) for _ in range(4)], 1) for i in range(60)]
+    rows += [rows[0], rows[0], (50, [4.0, 0.0, 0.0, 1.0], 1), (50, [0.0, 4.0, 1.0, 0.0], 1), rows[7]]
+    rows += [(None, [9.0, 9.0, 9.0, 9.0], 1), (None, [-9.0, -9.0, -9.0, 9.0], 1), (3, None, 1), (100, [None], 1)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "embeddings.parquet"))
+    held = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows if v is not None and None not in v]
+    want = []
+    for at, (q, a) in enumerate(held):
+        if q is not None and q % 50 == 0:
+            others = [(sum(x * y for x, y in zip(a, b, strict=True)), i) for n, (i, b) in enumerate(held) if n != at]
+            best = sorted(others, key=lambda r: (-r[0], r[1] is None, r[1] or 0))[:5]
+            want += [(q, n, i, s) for n, (s, i) in enumerate(best, 1)]
+    found = [tuple(r) for r in op8_exact_top_k(spark, str(tmp_path)).collect()]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+    assert len(want) == 5 * 6
