@@ -26,8 +26,8 @@ RUN_BYTES = 32
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 2000
 SAMPLE_RUNS = 24_000
-#: Labelled documents from which on texts no language fits are told apart.
-JUDGE_DOCS = 50
+#: Share of texts in the languages that may score below a judge's interval.
+STRAY_SHARE = 1e-6
 #: Characters to which sample texts are cut to see how far short texts' scores stray.
 SHORT_CHARS = (20, 60, 200)
 #: Code points of other scripts: Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, kana, Han, Hangul.
@@ -340,12 +340,14 @@ def unlike_texts(texts: list[str], seed: int = 11) -> list[str]:
 class Judge:
     """A network with a class ``und`` for what no language fits, and the least scores of clean text.
 
-    The fewer letters a text has, the further its score strays from ``usual``.
+    The fewer letters a text has, the further its score strays from ``usual``.  Whatever
+    scores ``least`` or more is in the languages: texts the network had not seen do.
     """
 
     net: Network
     usual: float
     stray: float
+    least: float
 
     def identify(self, docs: DataFrame) -> DataFrame:
         """``identify`` with the languages' probabilities taken together as ``score``."""
@@ -358,35 +360,76 @@ class Judge:
         """
         words = F.array_join(F.array_distinct(F.split(text, r"\s+")), "")
         letters = F.regexp_replace(words, r"[^\p{L}]", "")
-        least = F.lit(self.usual) - F.lit(self.stray) / F.sqrt(F.greatest(F.length(letters), F.lit(1)))
-        return (F.col("lang_pred") != "und") & ((F.col("score") >= self.usual) | (F.col("score") >= least))
+        near = F.lit(self.usual) - F.lit(self.stray) / F.sqrt(F.greatest(F.length(letters), F.lit(1)))
+        seen = (F.col("lang_pred") != "und") & ((F.col("score") >= self.usual) | (F.col("score") >= near))
+        return seen | (text.rlike(r"\p{L}") & (F.col("score") >= self.least))
+
+
+def _scores(net: Network, texts: list[str]) -> np.ndarray:
+    """The languages' probabilities taken together, of each text."""
+    raw = [t.encode() for t in texts]
+    offsets = np.append(0, np.cumsum([len(r) for r in raw]))
+    mean = Labeler(net).documents(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    return mean[:, [i for i, v in enumerate(net.languages) if v != "und"]].sum(1)
+
+
+def _judging_network(texts: list[str], labels: list[str]) -> Network:
+    unlike = unlike_texts(texts)
+    return train_network(texts + unlike, labels + ["und"] * len(unlike))
+
+
+def unseen_scores(texts: list[str], labels: list[str]) -> np.ndarray:
+    """Each text's score by a network that learned from the other half of the texts."""
+    out = np.zeros(len(texts))
+    for half in (0, 1):
+        taught, asked = range(1 - half, len(texts), 2), range(half, len(texts), 2)
+        if taught and asked:
+            net = _judging_network([texts[i] for i in taught], [labels[i] for i in taught])
+            out[asked] = _scores(net, [texts[i] for i in asked])
+    return out
+
+
+def student_quantile(share: float, freedom: int) -> float:
+    """The value that Student's t exceeds with a probability of ``share``.
+
+    With t = sqrt(freedom) / tan(angle), the angle's density is a power of its sine.
+    """
+    angle = np.geomspace(1e-9, np.pi, 200_000)
+    density = np.abs(np.sin(angle)) ** (freedom - 1)
+    mass = np.append(0, np.cumsum((density[1:] + density[:-1]) / 2 * np.diff(angle)))
+    return float(np.sqrt(freedom) / np.tan(np.interp(share, mass / mass[-1], angle)))
+
+
+def least_score(scores: np.ndarray) -> float:
+    """Lower end of the prediction interval for one more score of the same kind.
+
+    By Student's t, so that few scores give a wide interval and one alone no bound.
+    """
+    n = len(scores)
+    spread = np.std(scores, ddof=1) * np.sqrt(1 + 1 / n) if n > 1 else np.inf
+    return float(np.median(scores) - student_quantile(STRAY_SHARE, max(n - 1, 1)) * spread)
 
 
 def learn_to_judge(docs: DataFrame, fold: str) -> Judge | None:
     """A judge from labelled documents where ``fold`` is false; none without any.
 
     ``stray`` is the widest that the sample's texts, whole and cut short, fall below
-    their median score, per root of their letters, and half as much again.  Fewer than
-    ``JUDGE_DOCS`` documents don't show that; then only texts without letters don't fit.
+    their median score, per root of their letters, and half as much again.  ``least`` is
+    what texts that weren't learned from score at least (:func:`least_score`): the less a
+    sample tells about texts unlike its own, the lower that is.
     """
     rows = [r for r in labelled_sample(docs.where(f"not ({fold})")) if any(c.isalpha() for c in r[2])]
     if not rows:
         return None
     texts, labels = [r[2] for r in rows], [r[1] for r in rows]
-    if len(rows) < JUDGE_DOCS:
-        return Judge(train_network(texts, labels), 0.0, 0.0)
-    unlike = unlike_texts(texts)
-    net = train_network(texts + unlike, labels + ["und"] * len(unlike))
-    real = [i for i, v in enumerate(net.languages) if v != "und"]
+    net = _judging_network(texts, labels)
     cut = [t[:n] for t in texts for n in SHORT_CHARS if len(t) > n]
     clean = [t for t in texts + cut if any(c.isalpha() for c in t)]
-    raw = [t.encode() for t in clean]
-    offsets = np.append(0, np.cumsum([len(r) for r in raw]))
-    mean = Labeler(net).documents(np.frombuffer(b"".join(raw), np.uint8), offsets)
-    score = mean[:, real].sum(1)
+    score = _scores(net, clean)
     letters = np.array([sum(c.isalpha() for c in "".join(set(t.split()))) for t in clean])
     usual = float(np.median(score[: len(texts)]))
-    return Judge(net, usual, 1.5 * float(((usual - score) * np.sqrt(letters)).max()))
+    stray = 1.5 * float(((usual - score) * np.sqrt(letters)).max())
+    return Judge(net, usual, stray, least_score(unseen_scores(texts, labels)))
 
 
 def predicted_languages(docs: DataFrame, fold: str) -> DataFrame:

@@ -15,8 +15,10 @@ from tallyline.llm.language_id import (
     identify,
     labelled_sample,
     learn,
+    least_score,
     lowered,
     predicted_languages,
+    student_quantile,
     train_network,
 )
 
@@ -123,3 +125,12 @@ def test_remembered_runs_change_nothing(monkeypatch):
 
 def test_lowered_latin_capitals():
     assert lowered(np.frombuffer("ÀÖ×ØÞaZ".encode(), np.uint8)).tobytes().decode() == "àö×øþaz"
+
+
+def test_student_quantiles_and_interval():
+    assert student_quantile(0.025, 1) == pytest.approx(12.706, rel=1e-3)
+    assert student_quantile(0.01, 8) == pytest.approx(2.896, rel=1e-3)
+    assert student_quantile(0.001, 200) == pytest.approx(3.131, rel=1e-3)
+    assert least_score(np.array([0.9])) == -np.inf
+    few, many = least_score(np.array([1.0, 0.99, 0.98])), least_score(np.array([1.0, 0.99, 0.98] * 50))
+    assert few < 0 < many < 0.98

@@ -53,6 +53,14 @@ def test_language_stage_drops_what_no_language_fits(spark):
     assert kept == set(range(300))
 
 
+def test_language_stage_drops_it_by_few_labels_too(spark):
+    rows = documents(40)
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    strange = "Все люди рождаются свободными и равными в своем достоинстве и правах"
+    kept = stages.known_language(spark, frame(spark, [*rows, (held[0], strange, None, "s", 1)]), SF)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(40))
+
+
 @pytest.mark.parametrize("rows", [many(100, seed=3), [r for r in awkward_rows() if r[0] != 5]], ids=["random", "awkward"])
 def test_one_of_each_group_stays(spark, rows):
     stay = {d for d, _, c in components_of(rows, 4, 85) if d == c}
