@@ -41,7 +41,8 @@ def percent_of(part: Column | str, whole: Column | str, minus: Column | str) ->
 def parse_number(c: Column | str) -> Column:
     """Text to double: thousands separators and percent signs go, unreadable is NULL."""
     text = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(text, "[,%]", "").try_cast("double")
+    plain = F.replace(F.replace(text, F.lit(","), F.lit("")), F.lit("%"), F.lit(""))
+    return plain.try_cast("double")
 
 
 def exact_parts(value: Column, scale: int | None) -> tuple[Column, Column]:

@@ -54,7 +54,8 @@ def decode_entities(c: Column) -> Column:
         rest = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
         decoded = F.concat(F.element_at(parts, 1), F.array_join(F.transform(rest, piece), ""))
         plain = F.replace(text, F.lit("&amp;"), F.lit("&"))
-        return F.when(text.rlike("&(?!amp;)"), decoded).otherwise(plain)
+        left = F.replace(text, F.lit("&amp;"), F.lit(""))
+        return F.when(left.contains("&"), decoded).otherwise(plain)
 
     usual = c
     for name in _USUAL:

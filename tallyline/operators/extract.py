@@ -42,38 +42,50 @@ def _behind_first_table(html: Column, section_id: str) -> Column:
     return F.regexp_extract(html, f"(?is){opening}{before}<table\\b{_REST}{inside}", 1)
 
 
+def _without(text: Column, *marks: str) -> Column:
+    """The text without some plain strings; where there are none, a search of its bytes."""
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
 def _marked(table: Column) -> Column:
     """Table markup to text with one mark per table, row and cell tag."""
-    text = F.translate(table, _TAG + _INNER + _INNER_END, "")
-    text = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
+    text = _without(table, _TAG, _INNER, _INNER_END)
+    hidden = F.regexp_replace(text, "(?is)<!--.*?-->|<(script|style)\\b[^>]*>.*?</\\1\\s*>", "")
+    low = F.lower(text)
+    some = low.contains("<!--") | low.contains("<script") | low.contains("<style")
+    text = F.when(some, hidden).otherwise(text)
     text = F.regexp_replace(text, f"(?i)<table(?=[\\s>/]){_REST}", _INNER)
     text = F.regexp_replace(text, f"(?i)</table(?=[\\s>/]){_REST}", _INNER_END)
     # Without a table inside, nothing behind the first end is of interest.
     text = F.when(text.contains(_INNER), text).otherwise(F.substring_index(text, _INNER_END, 1))
-    text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?=[\\s>/]){_REST}", f"{_TAG}$1")
+    text = F.regexp_replace(text, f"(?i)<(/?t[rhd])(?:>|(?=[\\s/]){_REST})", f"{_TAG}$1")
     return F.regexp_replace(text, f"</?[A-Za-z]{_REST}", "")
 
 
-def _running_sums(steps: Column) -> Column:
-    """Sums of an array's numbers up to each place.
+def _depths(tags: Column) -> Column:
+    """Tables open behind each place of a text of table marks, less those closed.
 
-    Sums of blocks come first, so that a place adds up its own block only: the work grows
-    with the length to the power 1.5.
+    Sums of blocks come first, so that a place counts the marks of its own block only, as
+    bytes: the work grows with the length to the power 1.5.
     """
 
-    def total(x: Column) -> Column:
-        return F.aggregate(x, F.lit(0), lambda a, b: a + b)
+    def opened(marks: Column) -> Column:
+        return 2 * F.length(F.replace(marks, F.lit(_INNER_END), F.lit(""))) - F.length(marks)
 
-    width = F.ceil(F.sqrt(F.size(steps))).cast("int")
+    width = F.ceil(F.sqrt(F.length(tags))).cast("int")
     blocks = F.transform(
-        F.sequence(F.lit(1), F.size(steps), width), lambda first: F.slice(steps, first, width)
+        F.sequence(F.lit(1), F.length(tags), width), lambda first: F.substr(tags, first, width)
+    )
+    sums = F.transform(blocks, opened)
+    before = F.transform(
+        sums, lambda _, i: F.aggregate(F.slice(sums, F.lit(1), i), F.lit(0), lambda a, b: a + b)
     )
-    sums = F.transform(blocks, total)
-    before = F.transform(sums, lambda _, i: total(F.slice(sums, F.lit(1), i)))
 
     def within(pair: Column) -> Column:
-        block = pair["block"]
-        return F.transform(block, lambda _, i: pair["before"] + total(F.slice(block, F.lit(1), i + 1)))
+        places = F.sequence(F.lit(1), F.length(pair["block"]))
+        return F.transform(places, lambda i: pair["before"] + opened(F.substr(pair["block"], F.lit(1), i)))
 
     return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), before.alias("before")), within))
 
@@ -81,29 +93,31 @@ def _running_sums(steps: Column) -> Column:
 def _unnested(tables: DataFrame, carry: Sequence[str]) -> DataFrame:
     """The first table alone, with the text of tables in its cells but not their rows and cells.
 
-    The depth at each table tag is a running sum, so tables may be nested to any depth; a
+    The depth at each table tag is a running sum (:func:`_depths`), so tables may be nested to any depth; a
     table that is never closed reaches to the end of the section.
     """
     nested = F.col("_t").contains(_INNER)
     parts = F.when(nested, F.split("_t", f"(?=[{_INNER}{_INNER_END}])", -1))
     tables = tables.select(*carry, "_t", parts.alias("_parts"))
-    steps = F.transform(
-        F.slice("_parts", F.lit(2), F.size("_parts")),
-        lambda p: F.when(F.startswith(p, F.lit(_INNER)), 1).otherwise(-1),
-    )
-    tables = tables.select(*carry, "_t", "_parts", steps.alias("_steps"))
-    tables = tables.select(*carry, "_t", "_parts", _running_sums(F.col("_steps")).alias("_depths"))
+    tags = F.when(nested, F.regexp_replace("_t", f"[^{_INNER}{_INNER_END}]+", ""))
+    tables = tables.select(*carry, "_t", "_parts", tags.alias("_tags"))
+    tables = tables.select(*carry, "_t", "_parts", _depths(F.col("_tags")).alias("_depths"))
 
     def piece(part: Column, i: Column) -> Column:
-        plain = F.regexp_replace(part, f"(?i){_TAG}/?t[rhd]", " ")
-        return F.when((i == 0) | (F.get("_depths", i - 1) == 0), part).otherwise(plain)
+        plain = _without(part, _INNER, _INNER_END)
+        first = (i == 0) | (F.get("_depths", i - 1) == 0)
+        return F.when(first, F.replace(plain, F.lit(_TAG), F.lit(_INNER))).otherwise(plain)
 
     # The first table ends where the sum falls below nought.
     end = F.array_position("_depths", -1).cast("int")
     kept = F.slice("_parts", F.lit(1), F.when(end > 0, end).otherwise(F.size("_parts")))
-    text = F.when(F.col("_parts").isNull(), F.col("_t")).otherwise(F.array_join(F.transform(kept, piece), ""))
+    # The first table's own marks step aside while all others become blanks.
+    text = F.regexp_replace(F.array_join(F.transform(kept, piece), ""), f"(?i){_TAG}/?t[rhd]", " ")
+    text = F.replace(text, F.lit(_INNER), F.lit(_TAG))
+    plain = _without(F.col("_t"), _INNER, _INNER_END)
+    text = F.when(F.col("_parts").isNull(), plain).otherwise(text)
     # Closes a last cell that lacks its end tag.
-    return tables.select(*carry, F.concat(F.translate(text, _INNER + _INNER_END, ""), F.lit(f"{_TAG}/tr")).alias("_t"))
+    return tables.select(*carry, F.concat(text, F.lit(f"{_TAG}/tr")).alias("_t"))
 
 
 def _all(text: Column, letter: str) -> Column:
@@ -124,10 +138,11 @@ def _tables(
     """
     if tolerant:
         return tolerant_tables(pages, section_id, carry)
-    # A page without the words skips the patterns.
-    candidates = pages.filter(F.contains(F.col("html"), F.lit(section_id)))
-    found = F.array(_behind_first_table(F.col("html"), section_id))
-    tables = candidates.select(*carry, F.explode(F.filter(found, lambda t: t != "")).alias("_t"))
+    # A page without the words skips the patterns.  A filter of its own would be pushed below
+    # whatever made the page, which would then be made twice.
+    html = F.col("html")
+    found = F.array(F.when(F.contains(html, F.lit(section_id)), _behind_first_table(html, section_id)))
+    tables = pages.select(*carry, F.explode(F.filter(found, lambda t: t != "")).alias("_t"))
     tables = _unnested(tables.select(*carry, _marked(F.col("_t")).alias("_t")), carry)
     tables = tables.select(*carry, decode_entities(F.col("_t")).alias("_t"))
     trimmed = F.regexp_replace("_t", f"(?i)[\\s\\u00a0]*({_TAG}/?t[rhd])[\\s\\u00a0]*", "$1")

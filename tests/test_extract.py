@@ -22,6 +22,7 @@ from tallyline.operators.reshape import (
     unpivot_statement,
 )
 from tallyline.plans import derived
+from tallyline.plans.queries.pages import html_deep_tables, html_statement_roundtrip, html_statement_tolerant
 from tallyline.schema import COMPANY, MEASURES, statement_schema
 from tallyline.sources import read_pages
 
@@ -276,3 +277,9 @@ def test_a_table_that_is_never_closed_reaches_to_the_end_of_the_section(spark):
         ("Sales", "7"),
         ("Interest", "8"),
     ]
+
+
+@pytest.mark.parametrize("query", [html_statement_roundtrip, html_deep_tables, html_statement_tolerant])
+def test_pages_are_made_once(spark, query):
+    # a filter on the page would be pushed below what makes it, and make it again
+    assert plan_of(query(spark, "/root/testdata/sf0.001")).count("Statement</h2>") == 1
