@@ -8,30 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.schema import CONTROL, DELETED, EVENT_ORDER
 
-#: Groups a key's events are dealt to before they meet, so that a key with much of the
-#: log is reduced in several tasks first.
-SALTS = 16
 
-
-def _deciding(rows: DataFrame, by: Sequence[str | Column], values: Sequence[str], order: Sequence[str]) -> DataFrame:
-    window = Window.partitionBy(*by)
-    at = F.struct(*order)
-    rows = rows.withColumn("_at", at).withColumn(
-        "_gone", F.max(F.when(F.col(DELETED), F.col("_at"))).over(window)
-    )
-    alive = ~F.col(DELETED) & (F.col("_gone").isNull() | (F.col("_at") > F.col("_gone")))
-    rows = rows.withColumn("_alive", alive).withColumn("_last", F.max("_at").over(window))
-    keep = (F.col("_at") == F.col("_last")) | (F.col("_at") == F.col("_gone"))
-    for v in values:
-        given = F.col("_alive") & F.col(v).isNotNull()
-        rows = rows.withColumn(f"_newest_{v}", F.max(F.when(given, F.col("_at"))).over(window))
-        keep = keep | (given & (F.col("_at") == F.col(f"_newest_{v}")))
-    return rows.filter(F.coalesce(keep, F.lit(False)))
+def _newest(value: Column, given: Column, at: Column) -> Column:
+    return F.max_by(value, F.when(given, at))
 
 
 def deciding_rows(
@@ -39,21 +23,36 @@ def deciding_rows(
 ) -> DataFrame:
     """The events that decide each key: its last, its last delete, and per measure the one
     with its newest value since that delete.  At most two more than there are measures."""
-    columns = events.columns
-    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
-    some = _deciding(events, [*keys, salt], values, order).select(*columns)
-    return _deciding(some, keys, values, order).select(*columns).dropDuplicates([*keys, *order])
+    columns, at, upsert = events.columns, F.struct(*order), ~F.col(DELETED)
+    row = F.struct(at.alias("_at"), *[c for c in columns if c not in keys])
+    newest = [_newest(row, upsert & F.col(v).isNotNull(), at).alias(f"_newest_{i}") for i, v in enumerate(values)]
+    last, gone = F.max_by(row, at).alias("_last"), _newest(row, F.col(DELETED), at).alias("_gone")
+    found = events.groupBy(*keys).agg(last, gone, *newest)
+    # a measure's newest value counts unless a delete came after it
+    since = F.col("_gone").isNull()
+    alive = [F.when(since | (F.col(f"_newest_{i}._at") > F.col("_gone._at")), F.col(f"_newest_{i}")) for i in range(len(newest))]
+    found = found.select(*keys, F.array_compact(F.array("_last", "_gone", *alive)).alias("_rows"))
+
+    def first(r: Column, i: Column) -> Column:
+        return ~F.exists(F.slice("_rows", 1, i), lambda other: other["_at"] == r["_at"])
+
+    return found.select(*keys, F.inline(F.filter("_rows", first))).select(*columns)
 
 
 def filled(
     events: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str] = EVENT_ORDER
 ) -> DataFrame:
     """One row per key: its filled measures and its last event's control columns."""
-    columns = events.columns
-    rows = _deciding(deciding_rows(events, keys, values, order), keys, values, order)
+    columns, at, upsert = events.columns, F.struct(*order), ~F.col(DELETED)
+    newest = [
+        _newest(F.struct(at.alias("_at"), F.col(v).alias("_value")), upsert & F.col(v).isNotNull(), at).alias(f"_newest_{i}")
+        for i, v in enumerate(values)
+    ]
+    last, gone = F.max_by(F.struct(*CONTROL), at).alias("_control"), F.max(F.when(F.col(DELETED), at)).alias("_gone")
+    found = events.groupBy(*keys).agg(last, gone, *newest)
     taken = [
-        F.max_by(v, F.when(F.col("_alive") & F.col(v).isNotNull(), F.col("_at"))).alias(v) for v in values
+        F.when(F.col("_gone").isNull() | (F.col(f"_newest_{i}._at") > F.col("_gone")), F.col(f"_newest_{i}._value")).alias(v)
+        for i, v in enumerate(values)
     ]
-    last = F.max_by(F.struct(*CONTROL), F.col("_at")).alias("_control")
-    merged = rows.groupBy(*keys).agg(*taken, last).select(*keys, *values, "_control.*")
+    merged = found.select(*keys, *taken, "_control.*")
     return merged.select(*[c for c in columns if c in merged.columns])

@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from tallyline.operators.compact import compact, latest_per_key
+from tallyline.operators.fill import deciding_rows, filled
 from tallyline.operators.merge import drop_keys, live_rows, merge_state, merge_versioned
 from tallyline.schema import CONTROL, DELETED, state_schema
 from tallyline.sinks import Snapshot
@@ -209,3 +210,25 @@ def test_filling_keeps_stored_values_until_a_delete(spark, tmp_path):
     assert rows_of(snap.read()) == [("a", 3.0, 5.0), ("b", None, 7.0)]
     snap.apply(events(spark, [("a", 9.0, None, 3, 0, 4, False)]), "replace")
     assert rows_of(snap.read()) == [("a", 9.0, None), ("b", None, 7.0)]
+
+
+def test_filling_takes_one_aggregation(spark):
+    """Windows over keys and salts sorted and shuffled every event twice."""
+    rows = events(spark, [("a", 1.0, None, 1, 0, 1, False)])
+    for made in (deciding_rows(rows, ["k"], ["a", "b"]), filled(rows, ["k"], ["a", "b"])):
+        plan = plan_of(made)
+        assert "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_deciding_rows_are_one_per_position(spark):
+    log = [
+        ("a", 1.0, 2.0, 1, 0, 1, False),
+        ("a", None, None, 2, 0, 2, True),
+        ("a", 5.0, None, 3, 0, 3, False),
+        ("a", 6.0, 7.0, 4, 0, 4, False),
+        ("b", None, None, 1, 0, 1, True),
+        (None, 1.0, None, 1, 0, 1, False),
+        (None, None, 2.0, 2, 0, 2, False),
+    ]
+    made = deciding_rows(events(spark, [*log, log[3]]), ["k"], ["a", "b"])
+    assert rows_of(made) == sorted((log[i] for i in (1, 3, 4, 5, 6)), key=repr)
