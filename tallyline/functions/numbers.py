@@ -45,16 +45,40 @@ def parse_number(c: Column | str) -> Column:
     return plain.try_cast("double")
 
 
-def exact_parts(value: Column, scale: int | None) -> tuple[Column, Column]:
-    """The value in decimals of ``scale`` places, and 1 if it isn't one (0 if it is).
+#: Below this many units, a double is a decimal of the scale exactly if it is the double
+#: nearest to its whole number of units; decimals of 15 digits differ as doubles.
+_SURE = 1e15
+#: Units are summed in two halves, whose sums can't leave 64 bits.
+_LOW_BITS = 25
 
-    Values with more places, or too large, give NULL and 1; without ``scale`` all do.
+
+def exact_sums(value: Column, scale: int | None, sign: Column | None = None) -> tuple[Column, Column]:
+    """Aggregates: the sum of the values that are decimals of ``scale`` places, times
+    ``sign``, in decimals, and how many are none.
+
+    Values with more places, or too large, are none; without ``scale`` all are.  The sum is
+    NULL where it has no values or doesn't fit.
     """
     if scale is None:
-        return F.lit(None).cast("decimal(28,0)"), F.when(value.isNotNull(), 1).otherwise(0)
+        return F.sum(F.lit(None).cast("decimal(28,0)")), F.sum(F.when(value.isNotNull(), 1).otherwise(0))
+    signed = (lambda c: c) if sign is None else (lambda c: c * sign)
     exact = value.try_cast(f"decimal(28,{scale})")
-    same = F.coalesce(exact.cast("double") == value, F.lit(False)) | value.isNull()
-    return F.when(same, exact), F.when(same, 0).otherwise(1)
+    same = F.coalesce(exact.cast("double") == value, F.lit(False))
+    if scale > 6:  # a sum of two decimals of 38 digits keeps six places
+        known = same | value.isNull()
+        return F.sum(signed(F.when(known, exact))), F.sum(F.when(known, 0).otherwise(1))
+    # most values are small: whole numbers of units, without a decimal per row
+    one = float(10**scale)
+    sure = F.abs(value) < F.lit(_SURE / one)
+    units = F.rint(value * F.lit(one))
+    whole = signed(F.when(sure & (units / F.lit(one) == value), units.cast("bigint")))
+    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(19,0)")
+    low = F.sum(whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(19,0)")
+    unit = F.lit(f"{10**-scale:.{scale}f}").cast(f"decimal({max(scale, 1)},{scale})")
+    small = ((high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low) * unit).cast(f"decimal(38,{scale})")
+    large = F.sum(signed(F.when(~sure & same, exact))).try_cast(f"decimal(38,{scale})")
+    known = F.when(sure, units / F.lit(one) == value).otherwise(same) | value.isNull()
+    return F.coalesce(F.try_add(small, large), small, large), F.sum(F.when(known, 0).otherwise(1))
 
 
 def decimal_mean(c: Column | str, scale: int | None = None) -> Column:
@@ -67,6 +91,6 @@ def decimal_mean(c: Column | str, scale: int | None = None) -> Column:
     value = (F.col(c) if isinstance(c, str) else c).cast("double")
     if scale is None:
         return F.avg(value)
-    exact, inexact = exact_parts(value, scale)
-    total = F.when(F.sum(inexact) == 0, F.sum(exact).cast("double")).otherwise(F.sum(value))
+    exact, inexact = exact_sums(value, scale)
+    total = F.when(inexact == 0, exact.cast("double")).otherwise(F.sum(value))
     return F.try_divide(total, F.count(value).cast("double"))

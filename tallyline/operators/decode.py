@@ -76,6 +76,12 @@ def unkeyed_records(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rest.select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
+def without_keyed_text(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parsed records with their text only where it is a dead letter."""
+    complete = reduce(and_, [_event_key(key).isNotNull() for key in keys])
+    return parsed.withColumn("value", F.when(~complete, F.col("value")))
+
+
 def decode_changes(changes: DataFrame, row: T.StructType, keys: Sequence[str]) -> DataFrame:
     """``(value, partition, offset)`` records to keyed events; unkeyed records drop out."""
     return keyed_events(parse_envelopes(changes, row, keys), row, keys)

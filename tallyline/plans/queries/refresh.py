@@ -110,11 +110,14 @@ def dead_letter_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_log(spark: SparkSession, log: DataFrame) -> tuple[str, str]:
-    """The log as files in arrival order of their offsets, and how many make a quarter."""
+    """The log as files in arrival order of their offsets, and how many make a quarter.
+
+    A file is read in few tasks, however large, so a quarter has one per core.
+    """
     path = scratch_dir(spark, "log")
-    files = max(4, spark.sparkContext.defaultParallelism)
-    log.repartition(files, F.col("offset")).write.parquet(path)
-    return path, str(-(-files // 4))
+    quarter = max(1, spark.sparkContext.defaultParallelism)
+    log.repartition(4 * quarter, F.col("offset")).write.parquet(path)
+    return path, str(quarter)
 
 
 def stream_cdc_apply(spark: SparkSession, sf: str, mode: str = "replace") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.numbers import exact_parts, round_to
+from tallyline.functions.numbers import exact_sums, round_to
 from tallyline.functions.periods import is_trailing
 from tallyline.operators.filters import exclude_prefix
 from tallyline.operators.indicators import STANDARD, Spec, changed_indicators, with_indicators
@@ -157,11 +157,11 @@ class Averages(FollowUp):
         sums = []
         for m in self.measures:
             value = F.col(m).cast("double")
-            exact, inexact = exact_parts(value, self.scale)
+            exact, inexact = exact_sums(value, self.scale)
             sums.append(F.sum(value).alias(f"sum_{m}"))
             sums.append(F.count(m).alias(f"n_{m}"))
-            sums.append(F.sum(exact).try_cast(f"decimal(38,{self.scale or 0})").alias(f"exact_{m}"))
-            sums.append(F.sum(inexact).alias(f"inexact_{m}"))
+            sums.append(exact.try_cast(f"decimal(38,{self.scale or 0})").alias(f"exact_{m}"))
+            sums.append(inexact.alias(f"inexact_{m}"))
         return rows.groupBy(snapshot.bucket().alias("bucket_no")).agg(*sums)
 
     def average(self, digits: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.functions.numbers import exact_parts, round_to
+from tallyline.functions.numbers import exact_sums, round_to
 from tallyline.functions.periods import is_trailing
 from tallyline.operators.decode import parse_envelopes
 from tallyline.schema import AVERAGE_LABEL, MEASURES, PERIOD
@@ -39,11 +39,11 @@ def moved_sums(
     sums = []
     for m in measures:
         value = F.col(m).cast("double")
-        exact, inexact = exact_parts(value, scale)
+        exact, inexact = exact_sums(value, scale, F.col("sign"))
         sums.append(F.sum(value * F.col("sign")).alias(f"sum_{m}"))
         sums.append(F.sum(F.when(value.isNotNull(), F.col("sign"))).alias(f"n_{m}"))
-        sums.append(F.sum(F.when(F.col("sign") > 0, exact).otherwise(-exact)).alias(f"exact_{m}"))
-        sums.append(F.sum(inexact).alias(f"inexact_{m}"))
+        sums.append(exact.alias(f"exact_{m}"))
+        sums.append(inexact.alias(f"inexact_{m}"))
     return images.agg(*sums)
 
 

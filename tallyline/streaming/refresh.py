@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.decode import keyed_events, parse_envelopes, unkeyed_records
+from tallyline.operators.decode import keyed_events, parse_envelopes, unkeyed_records, without_keyed_text
 from tallyline.sinks.bucketed import BucketedState
 from tallyline.sinks.snapshot import Snapshot
 from tallyline.streaming.derived import FollowUp
@@ -51,7 +51,7 @@ class Refresh:
         parsed = parse_envelopes(changes, self.row, self.keys)
         if self.dead_letter_path:
             # Two outputs read the batch: keep it parsed between them.
-            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+            parsed = without_keyed_text(parsed, self.keys).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if self.dead_letter_path:
                 # A folder per batch: a repeated batch replaces its own letters.

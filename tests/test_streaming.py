@@ -1,17 +1,29 @@
 from __future__ import annotations
 
+import decimal
 import json
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from test_decode import KEYS, ROW, envelope, image
+from tallyline.functions.numbers import exact_sums
 from tallyline.operators.compact import compact
-from tallyline.operators.decode import decode_changes, upserts
+from tallyline.operators.decode import (
+    decode_changes,
+    keyed_events,
+    parse_envelopes,
+    unkeyed_records,
+    upserts,
+    without_keyed_text,
+)
 from tallyline.operators.filters import exclude_prefix
 from tallyline.operators.indicators import Growth, Ratio, with_indicators
 from tallyline.operators.summary import average_rows
+from tallyline.plans.queries.refresh import _stored_log
 from tallyline.schema import COMPANY, CONTROL, PERIOD
 from tallyline.sinks import Snapshot
 from tallyline.sources import read_changes
@@ -199,6 +211,52 @@ def test_averages_of_large_and_small_values(spark, places, scale):
     assert got["sales"] == pytest.approx(2e25) and got["interest"] == pytest.approx(0.00004)
 
 
+@pytest.mark.parametrize("scale", [0, 2, 4, 9])
+def test_exact_sums_against_decimals(spark, scale, monkeypatch):
+    """Whole units, values with more places, too large ones and no numbers, by sign."""
+    rng = random.Random(scale)
+    values = [rng.randint(-(10**15), 10**15) / 10 ** rng.randint(0, 8) for _ in range(300)]
+    values += [float(rng.randint(-999, 999) * 10**17) for _ in range(50)]
+    values += [None, float("nan"), float("inf"), -0.0, 1e300, 0.1 + 0.2, 2.675, 999999999999999.9]
+    rows = spark.createDataFrame([(i % 40, v, 1 - 2 * (i % 2)) for i, v in enumerate(values)], "g int, v double, s int")
+    sums = [c.alias(n) for n, c in zip(("total", "others"), exact_sums(F.col("v"), scale, F.col("s")), strict=True)]
+    unit = decimal.Decimal(1).scaleb(-scale)
+    monkeypatch.setattr(decimal.getcontext(), "prec", 60)
+    for g, total, others in rows.groupBy("g").agg(*sums).collect():
+        mine = [(v, 1 - 2 * (i % 2)) for i, v in enumerate(values) if i % 40 == g and v is not None]
+        want, beyond = [], 0
+        for v, sign in mine:
+            exact = decimal.Decimal(repr(v)) if math.isfinite(v) and abs(v) < 10.0 ** (28 - scale) else None
+            held = exact is not None and float(exact.quantize(unit, decimal.ROUND_HALF_UP)) == v
+            want += [sign * exact.quantize(unit, decimal.ROUND_HALF_UP)] if held else []
+            beyond += not held
+        assert (total, others) == (sum(want) if want else None, beyond)
+
+
+def test_small_values_are_summed_without_a_decimal_each(spark):
+    """A decimal per value and measure took most of the time of an average."""
+    exact, _ = exact_sums(F.col("v"), 4)
+    summed = exact.alias("total")
+    plan = plan_of(spark.range(3).select((F.col("id") / 4).alias("v")).agg(summed))
+    assert "shiftright(" in plan
+
+
+def test_a_quarter_of_the_log_has_a_file_per_core(spark):
+    log = spark.range(2000).select(F.lit("x").alias("value"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    path, quarter = _stored_log(spark, log)
+    cores = spark.sparkContext.defaultParallelism
+    assert int(quarter) >= cores and len(spark.read.parquet(path).inputFiles()) == 4 * int(quarter)
+    assert spark.read.parquet(path).count() == 2000
+
+
+def test_keyed_records_are_kept_without_their_text(spark):
+    parsed = parse_envelopes(spark.createDataFrame(random_log(3), CHANGE_SCHEMA), ROW, KEYS)
+    held = without_keyed_text(parsed, KEYS)
+    assert rows_of(unkeyed_records(held, KEYS)) == rows_of(unkeyed_records(parsed, KEYS))
+    assert rows_of(keyed_events(held, ROW, KEYS)) == rows_of(keyed_events(parsed, ROW, KEYS))
+    assert held.filter("value is not null and event.after.date is not null").count() == 0
+
+
 def test_only_changed_periods_and_their_successors_move(spark, places):
     snap = Snapshot(spark, places["state"], ROW, KEYS, 4, bucket_by=[COMPANY])
     rows = [(f"Mar 20{10 + i % 8}", float(i + 1), 1.0, f"C{i // 8}") for i in range(40)]
