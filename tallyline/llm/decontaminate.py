@@ -43,6 +43,9 @@ UNITS = (
 
 _NUMBER, _NAME, _UNIT = 1, 2, 3
 
+_WINDOWS = {"item_id": "long", "size": "int", "hash": "long", "folded": "boolean", "slots": "array<int>"}
+_MATCHES = {"doc_id": "long", "item_id": "long", "begin": "int"}
+
 
 def words_of(text: Column) -> Column:
     """Words of a text: letters and digits, with the marks inside numbers taken out.
@@ -163,7 +166,8 @@ def benchmark_windows(
     words = words.where(F.size("words") >= least)
     # at most one row per size; only those that occur are planned
     sizes = words.select(F.least(F.size("words"), F.lit(window)).alias("size")).distinct().collect()
-    parts = [benchmark.sparkSession.createDataFrame([], "item_id long, size int, hash long, folded boolean, slots array<int>")]
+    none = [F.lit(None).cast(t).alias(c) for c, t in _WINDOWS.items()]
+    parts = [benchmark.sparkSession.range(0).select(*none)]
     for size in sorted(r["size"] for r in sizes):
         own = words.where(F.size("words") >= size if size == window else F.size("words") == size)
         own = _hashed(_hashed(_coded(own), "_codes", size, "_hashes"), "_folded", size, "_others")
@@ -217,7 +221,8 @@ def leaks(
     benchmark_windows(benchmark, window, least, literal).write.parquet(f"{folder}/windows")
     wanted = spark.read.parquet(f"{folder}/windows")
     count = {r["size"]: r["n"] for r in wanted.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    matches = spark.createDataFrame([], "doc_id long, item_id long, begin int")
+    # no rows made in Python: its workers would stay, and hold memory, next to these stages
+    matches = spark.range(0).select(*(F.lit(None).cast(t).alias(c) for c, t in _MATCHES.items()))
     texts = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long"), words_of(F.col("text").cast("string")).alias("words")
     )

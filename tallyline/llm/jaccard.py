@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import components
-from tallyline.llm.words import Words, mixed, pieces
+from tallyline.llm.words import Words, mixed, pieces, tidy
 from tallyline.sinks.workspace import scratch_dir
 
 #: A word's members meet by a join up to this number, beyond it chunk by chunk.
@@ -122,7 +122,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                     ["doc_id", "_c", "n_shingles", "s1", "s2", "sketch"],
                 )
 
-    return docs.mapInArrow(emit, "doc_id long, _c int, n_shingles long, s1 long, s2 long, sketch array<long>")
+    return docs.mapInArrow(tidy(emit), "doc_id long, _c int, n_shingles long, s1 long, s2 long, sketch array<long>")
 
 
 def _sketch_words(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -175,7 +175,7 @@ def _sketch_words(docs: DataFrame, size: int, percent: int) -> DataFrame:
                         ["key", "s1", "band", "spare"],
                     )
 
-    return docs.mapInArrow(emit, "key long, s1 long, band int, spare int")
+    return docs.mapInArrow(tidy(emit), "key long, s1 long, band int, spare int")
 
 
 def _candidate_words(words: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     side_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     side_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     return pairs.join(side_b, "b").join(side_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(
-        emit, "a long, b long"
+        tidy(emit), "a long, b long"
     )
 
 

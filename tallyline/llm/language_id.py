@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.words import _LOWER, _SPACE, pieces, run_hashes
+from tallyline.llm.words import _LOWER, _SPACE, pieces, run_hashes, tidy
 
 #: Bytes the network reads in one go; longer runs are cut, every byte is labelled.
 RUN_BYTES = 32
@@ -314,7 +314,7 @@ def identify(docs: DataFrame, net: Network, together: bool = False) -> DataFrame
                     [*names, "lang_pred", "score"],
                 )
 
-    return docs.mapInArrow(emit, f"{kept}, lang_pred string, score double")
+    return docs.mapInArrow(tidy(emit), f"{kept}, lang_pred string, score double")
 
 
 def learn(docs: DataFrame, fold: str) -> Network:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.tokens import encoder
+from tallyline.llm.words import tidy
 from tallyline.sinks.workspace import scratch_dir
 
 #: Plans that are tried: the share of a sequence up to which pieces are left out of grouping,
@@ -76,7 +77,7 @@ def token_pieces(
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(cut), PIECES)
 
 
 def linear_groups(counts: dict[int, int], groups: int) -> list[tuple[int, list[tuple[int, int]]]]:

@@ -7,7 +7,8 @@ pieces of bounded size, so memory depends on the longest single text only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -143,6 +144,27 @@ class Words:
         return np.flatnonzero(np.arange(len(self.hashes)) + size <= last)
 
 
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
+def tidy(emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``emit`` for ``mapInArrow``; when its task ends, freed memory goes back to the system.
+
+    Workers stay for later tasks, and what their allocators keep for themselves would add
+    to the executor's memory in stages that run no Python too.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from emit(batches)
+        _give_back()
+
+    return run
+
+
 def pieces(
     batch: pa.RecordBatch, text: str = "text", most: int = PIECE_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -128,3 +128,11 @@ def test_empty_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = plan_of(leaks(frame(spark, awkward_rows()), spark.createDataFrame([(1, ITEM)], ITEMS)))
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_no_rows_are_made_in_python(spark, tmp_path):
+    frame(spark, awkward_rows()).write.parquet(f"{tmp_path}/docs")
+    spark.createDataFrame([(1, ITEM)], ITEMS).write.parquet(f"{tmp_path}/items")
+    docs, items = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("docs", "items"))
+    for df in (benchmark_windows(items), leaks(docs, items)):
+        assert "ExistingRDD" not in plan_of(df)

@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallyline.llm import tokens
-from tallyline.llm.words import Words, pieces
+from tallyline.llm import tokens, words
+from tallyline.llm.words import Words, pieces, tidy
 
 TEXTS = [
     "", "  ", "a  b", "\n\n x\n", "a\x1cb !\x1c!", "x  y  ", "é ́e", "it's 's  's", "a b",
@@ -84,3 +84,14 @@ def test_mirrored_runs_differ(n):
         want = encoder.tokenizer.encode_batch([one, other], add_special_tokens=False)
         [(_, _, ids, places)] = encoder.encode_batch(batch([one, other]), None)
         assert [list(ids[: places[1]]), list(ids[places[1] :])] == [e.ids for e in want]
+
+
+def test_tidy_gives_memory_back_when_the_task_ends(monkeypatch):
+    done = []
+    monkeypatch.setattr(words, "_give_back", lambda: done.append(1))
+    assert [(x, len(done)) for x in tidy(lambda batches: (2 * b for b in batches))(iter([1, 2]))] == [(2, 0), (4, 0)]
+    assert done == [1]
+
+
+def test_give_back_runs_here():
+    words._give_back()
