@@ -1,11 +1,14 @@
 """Word phrases that stand together, from sorted streams of phrase counts.
 
 Counting.  Texts become blocks of word codes with a dictionary each; word counts give the
-vocabulary, and every block learns the numbers of its frequent words by a join.  Each
-place gives one window of up to five frequent words, from which all shorter phrases are
-read off: sorted windows hold the phrases of every length next to each other.  Blocks
-send sorted runs of windows, packed, to buckets by their first words; a bucket merges its
-runs and keeps the phrases that are frequent enough.
+vocabulary, and every block learns the numbers of its frequent words by a join.  Blocks
+also learn which of their pairs of neighbours may be frequent: they send the pairs' hashes,
+cut to a few bits, to be counted, and get a bit back for each.  Hashes that coincide only
+count too much, and a frequent phrase has no other pairs, so nothing is lost.  Each place
+gives one window of up to five frequent words, as far as its pairs go on being frequent,
+from which all shorter phrases are read off: sorted windows hold the phrases of every
+length next to each other.  Blocks send sorted runs of windows, packed, to buckets by
+their first words; a bucket merges its runs and keeps the phrases that are frequent enough.
 
 Scoring.  The stream of frequent phrases is put in prefix order, where a phrase's first
 parts and its extensions to the right are its neighbours, and then in suffix order, where
@@ -23,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.words import _LOWER, mixed, pieces, run_hashes
+from tallyline.llm.words import _LOWER, mixed, pieces, run_hashes, tidy
 from tallyline.sinks.workspace import scratch_dir
 
 #: Words of a phrase at most.
@@ -34,6 +37,9 @@ BLOCK_WORDS = 1 << 20
 BUCKET_WINDOWS = 1 << 20
 #: First words of more than this part of all places are spread over buckets.
 HOT_PART = 512
+#: Pairs are counted in buckets of so many places, by this many bits of their hashes.
+PAIR_PLACES = 1 << 22
+PAIR_BITS = 20
 #: Vocabulary numbers are dealt in this many groups.
 _GROUPS = 1024
 _ROW_WINDOWS = 1 << 15
@@ -45,7 +51,7 @@ _GAP = _BREAK.copy()
 _GAP[[0x20, 0x09]] = True
 
 _BLOCKS = (
-    "block long, lang string, n long, words array<string>, counts array<long>, hashes array<long>, "
+    "block long, lang string, n long, words array<string>, counts array<long>, hashes binary, "
     "codes binary, heavy array<struct<size:int,hash:long,n:long>>"
 )
 
@@ -97,7 +103,11 @@ def _heavy(hashes: np.ndarray, words: int) -> list[tuple]:
 
 
 def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
-    """Blocks of one language: dictionary, codes of all words (0 between pieces)."""
+    """Blocks of one language: dictionary, codes of all words (0 between pieces).
+
+    The commonest words come first, so codes compress well.  ``hashes`` has 32 bits for
+    each word, by which pairs and first words are dealt, never told apart.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 40
@@ -116,15 +126,19 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
                 keys, at, which, counts = np.unique(
                     hashes[mine], return_index=True, return_inverse=True, return_counts=True
                 )
-                at = mine[at]
+                order = np.argsort(-counts, kind="stable")
+                keys, at, counts = keys[order], mine[at[order]], counts[order]
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
                 place = np.arange(len(mine)) + np.cumsum(first[mine])
                 codes = np.zeros(int(place[-1]) + 1, np.uint32)
-                codes[place] = which + 1
-                spread = np.append(np.uint64(0), keys)[codes]
+                codes[place] = rank[which] + 1
+                short = np.maximum(keys >> np.uint64(32), np.uint64(1)).astype("<u4")
+                spread = np.append(np.uint64(0), short.astype(np.uint64))[codes]
                 words = [data[a:b].tobytes().decode("utf-8") for a, b in zip(starts[at], ends[at], strict=True)]
                 row = {
                     "block": block, "lang": name, "n": len(mine), "words": words, "counts": counts,
-                    "hashes": keys.view(np.int64), "codes": codes.tobytes(),
+                    "hashes": short.tobytes(), "codes": _packed_codes(codes),
                     "heavy": [dict(zip(("size", "hash", "n"), x, strict=True)) for x in _heavy(spread, len(mine))],
                 }
                 block += 1
@@ -134,7 +148,7 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
             [
                 ("block", pa.int64()), ("lang", pa.string()), ("n", pa.int64()),
                 ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-                ("hashes", pa.list_(pa.int64())), ("codes", pa.binary()),
+                ("hashes", pa.binary()), ("codes", pa.binary()),
                 ("heavy", pa.list_(pa.struct([("size", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())]))),
             ]
         )
@@ -156,7 +170,7 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
         if held:
             yield from emptied()
 
-    return docs.mapInArrow(emit, _BLOCKS)
+    return docs.mapInArrow(tidy(emit), _BLOCKS)
 
 
 class _Packing:
@@ -211,7 +225,96 @@ def _unpacked(data: bytes, columns: int) -> np.ndarray:
     return values
 
 
-def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], buckets: int) -> DataFrame:
+def _packed_codes(codes: np.ndarray) -> bytes:
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(codes).to_bytes(4, "little") + _ZSTD.compress(planes, asbytes=True)
+
+
+def _placed(codes: bytes, hashes: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and hashes of a block's places."""
+    n = int.from_bytes(codes[:4], "little")
+    planes = np.frombuffer(_ZSTD.decompress(codes[4:], 4 * n, asbytes=True), np.uint8)
+    codes = planes.reshape(4, n).T.copy().view("<u4").reshape(n)
+    return codes, np.append(np.uint64(0), np.frombuffer(hashes, "<u4").astype(np.uint64))[codes]
+
+
+def _pairs(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a pair of neighbours begins, and its bucket and hash bits there."""
+    at = np.flatnonzero((hashes != 0) & (_ahead(hashes, 1) != 0))
+    value = next(_prefix_hashes(hashes))[at]
+    bits = np.uint64(PAIR_BITS)
+    return at, (value >> bits) % np.uint64(buckets) << bits | value & np.uint64((1 << PAIR_BITS) - 1)
+
+
+def _pair_answers(blocks: DataFrame, buckets: int, parts: int, least: int) -> DataFrame:
+    """``block, pairs``: for each bucket a bit per distinct pair of the block, in order,
+    whether pairs of its hash occur ``least`` times in all blocks."""
+    asked = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("data", pa.binary())])
+    answer = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("bits", pa.binary())])
+    low = np.uint64((1 << PAIR_BITS) - 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, hashes = _placed(batch.column("codes")[i].as_py(), batch.column("hashes")[i].as_py())
+                keys, counts = _counted(_pairs(hashes, buckets)[1])
+                if not len(keys):
+                    continue
+                bucket = (keys >> np.uint64(PAIR_BITS)).astype(np.int64)
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                last = np.append(first[1:], len(keys))
+                data = [_packed([keys[a:b] & low, counts[a:b]]) for a, b in zip(first, last, strict=True)]
+                block = [batch.column("block")[i].as_py()] * len(first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[first]), pa.array(block, pa.int64()), pa.array(data, pa.binary())], schema=asked
+                )
+
+    def told(bucket: int, total: np.ndarray, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        enough = total >= least
+        for begin in range(0, len(held), 1000):
+            some = held[begin : begin + 1000]
+            bits = [np.packbits(enough[_unpacked(data, 2)[0].astype(np.int64)]).tobytes() for _, data in some]
+            rows = [{"block": b, "bucket": bucket, "bits": x} for (b, _), x in zip(some, bits, strict=True)]
+            yield pa.RecordBatch.from_pylist(rows, answer)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        total = np.zeros(1 << PAIR_BITS, np.int64)
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "block", "data"))
+            for bucket, block, data in zip(*columns, strict=True):
+                if bucket != now:
+                    yield from told(now, total, held)
+                    now, held = bucket, []
+                    total[:] = 0
+                slots, counts = _unpacked(data, 2)
+                total[slots.astype(np.int64)] += counts.astype(np.int64)
+                held.append((block, data))
+        yield from told(now, total, held)
+
+    rows = blocks.select("block", "codes", "hashes").mapInArrow(tidy(ask), "bucket long, block long, data binary")
+    dealt = rows.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    told_rows = dealt.mapInArrow(tidy(count), "block long, bucket long, bits binary")
+    return told_rows.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("pairs"))
+
+
+def _frequent_pairs(hashes: np.ndarray, buckets: int, pairs: list[dict]) -> np.ndarray:
+    """Whether a pair that may be frequent begins at each place."""
+    at, key = _pairs(hashes, buckets)
+    keys, which = np.unique(key, return_inverse=True)
+    enough = np.zeros(len(keys), bool)
+    for x in pairs:
+        edge = np.array([x["bucket"], x["bucket"] + 1], np.uint64) << np.uint64(PAIR_BITS)
+        a, b = np.searchsorted(keys, edge)
+        enough[a:b] = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=b - a)
+    out = np.zeros(len(hashes), bool)
+    out[at] = enough[which]
+    return out
+
+
+def _runs(
+    blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], buckets: int, pair_buckets: int
+) -> DataFrame:
     """Sorted windows of each block, packed by bucket.
 
     ``split`` is how many first words decide on the bucket: phrases of at least so many
@@ -222,19 +325,18 @@ def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], bucke
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                codes = np.frombuffer(batch.column("codes")[i].as_py(), np.uint32)
+                codes, hashes = _placed(batch.column("codes")[i].as_py(), batch.column("hashes")[i].as_py())
                 known = batch.column("known")[i].values
-                keys = np.asarray(batch.column("hashes")[i].values).view(np.uint64)
-                number = np.zeros(len(keys) + 1, np.uint64)
+                number = np.zeros(int(codes.max(initial=0)) + 1, np.uint64)
                 number[np.asarray(known.field("pos")) + 1] = np.asarray(known.field("id")).astype(np.uint64)
                 ids = number[codes]
-                hashes = np.append(np.uint64(0), keys)[codes]
-                at = np.flatnonzero((ids > 0) & (_ahead(ids, 1) > 0))
+                link = _frequent_pairs(hashes, pair_buckets, batch.column("pairs")[i].as_py())
+                link &= (ids > 0) & (_ahead(ids, 1) > 0)
+                at = np.flatnonzero(link)
                 window, inside = [ids[at]], np.ones(len(at), bool)
                 for n in range(1, LONGEST):
-                    nxt = _ahead(ids, n)[at]
-                    inside = inside & (nxt > 0)
-                    window.append(np.where(inside, nxt, np.uint64(0)))
+                    inside = inside & _ahead(link, n - 1)[at]
+                    window.append(np.where(inside, _ahead(ids, n)[at], np.uint64(0)))
                 split = np.full(len(at), 2, np.int8)
                 value = None
                 for size, prefix in zip(range(2, LONGEST + 1), _prefix_hashes(hashes), strict=True):
@@ -260,7 +362,7 @@ def _runs(blocks: DataFrame, packing: _Packing, hot: dict[int, list[int]], bucke
                         rows["data"].append(_packed([*held, counts[begin:end].astype(np.uint64)]))
                     yield pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int64()), ("data", pa.binary())]))
 
-    return blocks.select("codes", "hashes", "known").mapInArrow(emit, "bucket long, data binary")
+    return blocks.select("codes", "hashes", "known", "pairs").mapInArrow(tidy(emit), "bucket long, data binary")
 
 
 def _phrases(columns: list[np.ndarray], counts: np.ndarray, packing: _Packing, split: int, least: int):
@@ -327,7 +429,7 @@ def _bucket_phrases(runs: DataFrame, packing: _Packing, least: int, most: int) -
         if held:
             yield from worked(*together())
 
-    return runs.mapInArrow(emit, "ids array<long>, f long")
+    return runs.mapInArrow(tidy(emit), "ids array<long>, f long")
 
 
 def _streamed(rows: DataFrame, backwards: bool) -> DataFrame:
@@ -378,7 +480,7 @@ def _streamed(rows: DataFrame, backwards: bool) -> DataFrame:
         if stack:
             yield done(stack)
 
-    return dealt.select(*kept, "edge", "way").mapInArrow(emit, schema)
+    return dealt.select(*kept, "edge", "way").mapInArrow(tidy(emit), schema)
 
 
 def best_cut(a: int, n: int, lefts: list[int], rights: list[int]) -> tuple[int, int, int]:
@@ -399,7 +501,7 @@ def _scored(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, score, left, right], ["ids", "lang", "a", "n", "score", "l", "r"])
 
     left = rows.where("greatest(before, behind) < f")
-    return left.mapInArrow(emit, "ids array<long>, lang string, a long, n long, score long, l long, r long")
+    return left.mapInArrow(tidy(emit), "ids array<long>, lang string, a long, n long, score long, l long, r long")
 
 
 def _frequent(spark: SparkSession, docs: DataFrame, base: str, least: int, block_words: int, bucket_windows: int):
@@ -409,11 +511,17 @@ def _frequent(spark: SparkSession, docs: DataFrame, base: str, least: int, block
     blocks = spark.read.schema(_BLOCKS).parquet(f"{base}/blocks")
 
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    entries = blocks.select("lang", F.inline(F.arrays_zip("words", "counts")))
-    counts = entries.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")).where(F.col("f") >= least)
-    group = F.pmod(F.xxhash64("lang", "word"), F.lit(_GROUPS))
-    number = F.row_number().over(Window.partitionBy("_g").orderBy("lang", "word")).cast("long")
-    words = counts.withColumn("_g", group).withColumn("id", number * _GROUPS + F.col("_g"))
+    # one exchange deals every block's words, counts them and gives the frequent ones numbers
+    entries = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "_e"))
+    entries = entries.select("block", "lang", "pos", F.col("_e.words").alias("word"), F.col("_e.counts").alias("f"))
+    entries = entries.withColumn("_g", F.pmod(F.xxhash64("lang", "word"), F.lit(_GROUPS))).repartition("_g")
+    f = F.sum("f").over(Window.partitionBy("_g", "lang", "word"))
+    number = F.dense_rank().over(Window.partitionBy("_g").orderBy("lang", "word")).cast("long")
+    known = entries.withColumn("f", f).where(F.col("f") >= least)
+    known = known.withColumn("id", number * _GROUPS + F.col("_g")).drop("_g")
+    known.write.parquet(f"{base}/known")
+    known = spark.read.parquet(f"{base}/known")
+    words = known.select("id", "lang", "word", "f").distinct()
     words.join(totals, "lang").select("id", "lang", "word", "f", "n").write.parquet(f"{base}/words")
     words = spark.read.parquet(f"{base}/words")
     largest, places = words.agg(F.max("id")).first()[0], blocks.agg(F.sum("n")).first()[0]
@@ -426,12 +534,12 @@ def _frequent(spark: SparkSession, docs: DataFrame, base: str, least: int, block
         hot.setdefault(row["size"], []).append(row["hash"])
 
     packing, buckets = _Packing(largest), max(1, -(-places // bucket_windows))
-    listed = blocks.select("block", "lang", F.posexplode("words").alias("pos", "word"))
-    known = listed.join(words.select("lang", "word", "id"), ["lang", "word"], "left")
-    answer = F.struct("pos", F.coalesce("id", F.lit(0)).alias("id"))
-    known = known.groupBy("block").agg(F.collect_list(answer).alias("known"))
-    runs = _runs(blocks.select("block", "codes", "hashes").join(known, "block"), packing, hot, buckets)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(buckets, 20_000))
+    pair_buckets = max(1, -(-places * BUCKET_WINDOWS // (PAIR_PLACES * bucket_windows)))
+    known = known.groupBy("block").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
+    pairs = _pair_answers(blocks, pair_buckets, parts, least)
+    learnt = blocks.select("block", "codes", "hashes").join(known, "block").join(pairs, "block")
+    runs = _runs(learnt, packing, hot, buckets, pair_buckets)
     dealt = runs.repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = _bucket_phrases(dealt, packing, least, bucket_windows)
     found = found.groupBy("ids").agg(F.sum("f").alias("f")).where(F.col("f") >= least)

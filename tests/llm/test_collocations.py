@@ -9,7 +9,8 @@ from collections import Counter
 import pytest
 from corpora import awkward_rows, frame
 
-from tallyline.llm.collocations import best_cut, collocations
+import tallyline.llm.collocations as module
+from tallyline.llm.collocations import _unpacked, best_cut, collocations
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -101,3 +102,20 @@ def test_empty_table_and_extra_columns(spark):
     rows = [(1, "a b", "x", 1), (2, "A  b", "x", 2)]
     clashing = frame(spark, rows, "ids long, text string, lang string, f long")
     assert result(collocations(clashing, 2)) == [("x", 1, "a b", 2, 2, 2, 4, 2000)]
+
+
+def test_only_frequent_pairs_make_windows(spark, monkeypatch):
+    sent, runs = [], module._runs
+
+    def spied(blocks, packing, *more):
+        out = runs(blocks, packing, *more)
+        sent.extend(_unpacked(r["data"], packing.columns + 1)[-1].sum() for r in out.collect())
+        return out
+
+    monkeypatch.setattr(module, "_runs", spied)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    # every word is frequent, but no pair of them
+    rows = [(i, " ".join(rng.choices(words, k=200)) + ". new york city", "en", "s", 1) for i in range(100)]
+    assert result(collocations(frame(spark, rows), 40, 50, block_words=3000)) == expected(rows, 40, 50)
+    assert sum(sent) == 200
