@@ -9,7 +9,8 @@ the workers that score, so neither a worker's nor the driver's memory grows with
 
 Bigrams are dealt to shards by their left word, a frequent left word being spread over as
 many shards as its count needs, so no shard grows beyond its size however the words are
-distributed.  Discounts need the counts of counts only.
+distributed.  Counts of a piece of text travel packed, a row per shard, and a task stores
+one shard after the other.  Discounts need the counts of counts only.
 """
 
 from __future__ import annotations
@@ -18,14 +19,14 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.words import Words, mixed, pieces
+from tallyline.llm.words import Words, mixed, pieces, tidy
 from tallyline.sinks.workspace import scratch_dir
 
 #: Stand for the end of a text (a token) and its start (a context only).
@@ -35,6 +36,10 @@ START_ID = (1 << 32) - 1
 SHARD_ROWS = 1_000_000
 #: Text bytes counted at a time in a task; counts of one piece are combined before the shuffle.
 COUNT_BYTES = 1 << 21
+#: Bigrams packed into one row at most.
+ROW_PAIRS = 1 << 18
+#: Per-word figures: kinds of right neighbours seen once, twice and more, kinds of left neighbours.
+FIGURES = ("one", "two", "more", "before")
 
 
 def shared_path(folder: str) -> str:
@@ -182,6 +187,52 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k) for d, k in zip(raw, (1.0, 2.0, 3.0), strict=True))
 
 
+def _dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows dealt to tasks by ``shard``, those of a shard one after the other."""
+    return rows.repartition(shards, "shard").sortWithinPartitions("shard")
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """Each shard of dealt rows with all of its rows."""
+    now, held = None, []
+    for batch in batches:
+        shard = batch.column("shard").to_numpy()
+        edges = np.flatnonzero(shard[1:] != shard[:-1]) + 1
+        for begin, end in pairwise([0, *edges.tolist(), len(shard)]):
+            if begin == end:
+                continue
+            if shard[begin] != now:
+                if held:
+                    yield now, held
+                now, held = int(shard[begin]), []
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield now, held
+
+
+def _column(parts: list[pa.RecordBatch], name: str) -> np.ndarray:
+    return np.concatenate([part.column(name).to_numpy() for part in parts])
+
+
+def _packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """A row of bytes for the values between each two edges."""
+    ends = (edges * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(edges) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def _unpacked(parts: list[pa.RecordBatch], name: str, kind: type) -> np.ndarray:
+    """The values of all packed rows."""
+    out = []
+    for part in parts:
+        column = part.column(name).cast(pa.large_binary())
+        _, places, data = column.buffers()
+        ends = np.frombuffer(places, np.int64)[column.offset : column.offset + len(column) + 1]
+        out.append(np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind))
+    return np.concatenate(out)
+
+
 def _count_words(train: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +243,7 @@ def _count_words(train: DataFrame) -> DataFrame:
                     [pa.array(keys.view(np.int64)), pa.array(n)], ["h", "n"]
                 )
 
-    return train.mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return train.mapInArrow(tidy(emit), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def _store_words(counts: DataFrame, model: Model) -> DataFrame:
@@ -201,20 +252,22 @@ def _store_words(counts: DataFrame, model: Model) -> DataFrame:
             hashes = batch.column("h").to_numpy().view(np.uint64)
             yield batch.append_column("shard", pa.array(model.word_shard(hashes)))
 
-    def store(rows: pd.DataFrame) -> pd.DataFrame:
-        at = int(rows["shard"].iloc[0])
-        hashes = rows["h"].to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        n = rows["n"].to_numpy()[order]
-        _save(f"{model.folder}/words/{at}.npy", hashes[order])
-        _save(f"{model.folder}/word-counts/{at}.npy", n)
-        return pd.DataFrame({"shard": [at], "rows": [len(n)], "total": [int(n.sum())]})
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, parts in _by_shard(batches):
+            hashes = _column(parts, "h").view(np.uint64)
+            order = np.argsort(hashes)
+            n = _column(parts, "n")[order]
+            _save(f"{model.folder}/words/{at}.npy", hashes[order])
+            _save(f"{model.folder}/word-counts/{at}.npy", n)
+            yield pa.RecordBatch.from_pydict({"shard": [at], "rows": [len(n)], "total": [int(n.sum())]})
 
-    dealt = counts.mapInArrow(shard, "h long, n long, shard long")
-    return dealt.groupBy("shard").applyInPandas(store, "shard long, rows long, total long")
+    dealt = _dealt(counts.mapInArrow(tidy(shard), "h long, n long, shard long"), model.word_shards)
+    return dealt.mapInArrow(tidy(store), "shard long, rows long, total long")
 
 
 def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
+    """``shard, keys, counts``: bigrams of a piece of text, packed by shard."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored = _stored(model)
         for batch in batches:
@@ -228,46 +281,57 @@ def _count_pairs(train: DataFrame, model: Model) -> DataFrame:
                 )
                 left, right = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(START_ID)).astype(np.int64)
                 count = _left(figures["word-counts"], places, model.texts)[first]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(model.pair_shard(left, right, count).astype(np.int32)),
-                        pa.array(keys.view(np.int64)),
-                        pa.array(n.astype(np.int32)),
-                    ],
-                    ["shard", "key", "n"],
-                )
-
-    return train.mapInArrow(emit, "shard int, key long, n int")
+                shard = model.pair_shard(left, right, count)
+                order = np.argsort(shard, kind="stable")
+                shard, keys, n = shard[order], keys[order], n[order].astype(np.uint32)
+                for begin in range(0, len(keys), ROW_PAIRS):
+                    mine = shard[begin : begin + ROW_PAIRS]
+                    edges = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1], [True]]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(mine[edges[:-1]].astype(np.int32)),
+                            _packed(keys[begin : begin + ROW_PAIRS], edges),
+                            _packed(n[begin : begin + ROW_PAIRS], edges),
+                        ],
+                        ["shard", "keys", "counts"],
+                    )
+
+    return train.mapInArrow(tidy(emit), "shard int, keys binary, counts binary")
 
 
 def _store_pairs(rows: DataFrame, model: Model) -> DataFrame:
     """Stores bigram shards; returns figures of words seen in each.
 
-    ``kind`` 0: left word with kinds of its right neighbours by count; 1: right word with
-    its left neighbours; 2: counts of counts of the shard.
+    ``kind`` 0: a word's ``FIGURES``; 1: how many bigrams occur ``id`` times, as ``one``.
     """
 
-    def store(part: pd.DataFrame) -> pd.DataFrame:
-        at = int(part["shard"].iloc[0])
-        keys, n = _merged(part["key"].to_numpy().view(np.uint64), part["n"].to_numpy().astype(np.int64))
-        _save(f"{model.folder}/pairs/{at}.npy", keys)
-        _save(f"{model.folder}/pair-counts/{at}.npy", n.astype(np.uint32))
-        left, first = np.unique(keys >> np.uint64(32), return_index=True)
-        kinds = [np.add.reduceat((n == k).astype(np.int64), first) for k in (1, 2)]
-        kinds.append(np.add.reduceat((n >= 3).astype(np.int64), first))
-        right, neighbours = np.unique(keys & np.uint64(START_ID), return_counts=True)
-        frames = [
-            pd.DataFrame({"kind": 0, "id": left.astype(np.int64), "a": kinds[0], "b": kinds[1], "c": kinds[2]}),
-            pd.DataFrame({"kind": 1, "id": right.astype(np.int64), "a": neighbours, "b": 0, "c": 0}),
-            pd.DataFrame({"kind": 2, "id": range(1, 5), "a": [int((n == k).sum()) for k in range(1, 5)], "b": 0, "c": 0}),
-        ]
-        return pd.concat(frames)
-
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, parts in _by_shard(batches):
+            keys, n = _merged(_unpacked(parts, "keys", np.uint64), _unpacked(parts, "counts", np.uint32).astype(np.int64))
+            parts.clear()
+            _save(f"{model.folder}/pairs/{at}.npy", keys)
+            _save(f"{model.folder}/pair-counts/{at}.npy", n.astype(np.uint32))
+            left, first = np.unique(keys >> np.uint64(32), return_index=True)
+            right, neighbours = np.unique(keys & np.uint64(START_ID), return_counts=True)
+            ids = np.union1d(left, right)
+            lefts, rights = np.searchsorted(ids, left), np.searchsorted(ids, right)
+            figures = {name: np.zeros(len(ids) + 4, np.int32) for name in FIGURES}
+            for name, seen in (("one", n == 1), ("two", n == 2), ("more", n >= 3)):
+                figures[name][lefts] = np.add.reduceat(seen.astype(np.int32), first)
+            figures["before"][rights] = neighbours
+            figures["one"][len(ids) :] = [np.count_nonzero(n == k) for k in range(1, 5)]
+            kind = np.repeat(np.array([0, 1], np.int32), [len(ids), 4])
+            out = pa.RecordBatch.from_pydict(
+                {"kind": kind, "id": np.append(ids.astype(np.int64), range(1, 5)), **figures}
+            )
+            yield from (out.slice(begin, 1 << 16) for begin in range(0, out.num_rows, 1 << 16))
+
+    columns = ", ".join(f"{name} int" for name in FIGURES)
     return (
-        rows.groupBy("shard")
-        .applyInPandas(store, "kind int, id long, a long, b long, c long")
+        _dealt(rows, model.pair_shards)
+        .mapInArrow(tidy(store), f"kind int, id long, {columns}")
         .groupBy("kind", "id")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("c").alias("c"))
+        .agg(*[F.sum(name).alias(name) for name in FIGURES])
     )
 
 
@@ -280,17 +344,18 @@ def _store_figures(figures: DataFrame, model: Model, sizes: dict[int, int]) -> i
             shard = np.searchsorted(first, batch.column("id").to_numpy(), "right") - 1
             yield batch.append_column("shard", pa.array(shard))
 
-    def store(rows: pd.DataFrame) -> pd.DataFrame:
-        at = int(rows["shard"].iloc[0])
-        place, kind = rows["id"].to_numpy() - first[at], rows["kind"].to_numpy()
-        for name, which, column in (("one", 0, "a"), ("two", 0, "b"), ("more", 0, "c"), ("before", 1, "a")):
-            out = np.zeros(sizes[at], np.int64)
-            out[place[kind == which]] = rows[column].to_numpy()[kind == which]
-            _save(f"{model.folder}/{name}/{at}.npy", out)
-        return pd.DataFrame({"shard": [at]})
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, parts in _by_shard(batches):
+            place = _column(parts, "id") - first[at]
+            for name in FIGURES:
+                out = np.zeros(sizes[at], np.int64)
+                out[place] = _column(parts, name)
+                _save(f"{model.folder}/{name}/{at}.npy", out)
+            yield pa.RecordBatch.from_pydict({"shard": [at]})
 
-    dealt = figures.mapInArrow(deal, "kind int, id long, a long, b long, c long, shard long")
-    return dealt.groupBy("shard").applyInPandas(store, "shard long").count()
+    columns = ", ".join(f"{name} long" for name in FIGURES)
+    dealt = figures.select("id", *FIGURES).mapInArrow(tidy(deal), f"id long, {columns}, shard long")
+    return _dealt(dealt, model.word_shards).mapInArrow(tidy(store), "shard long").count()
 
 
 def train_model(train: DataFrame, shard_rows: int = SHARD_ROWS) -> Model:
@@ -316,19 +381,19 @@ def train_model(train: DataFrame, shard_rows: int = SHARD_ROWS) -> Model:
 
     _store_pairs(_count_pairs(train, model), model).write.parquet(f"{base}/figures")
     figures = spark.read.parquet(f"{base}/figures")
-    of_counts = {r["id"]: r["a"] for r in figures.where("kind = 2").collect()}
+    of_counts = {r["id"]: r["one"] for r in figures.where("kind = 1").collect()}
     model.pair_discounts = discounts([of_counts.get(k, 0) for k in range(1, 5)])
     start = figures.where(f"kind = 0 and id = {START_ID}").collect()
-    model.start = tuple(start[0][c] for c in "abc") if start else (0, 0, 0)
-    rights = figures.where("kind = 1")
-    kinds = {r["k"]: (r["n"], r["total"]) for r in rights.groupBy(F.expr("least(a, 5)").alias("k")).agg(F.count("a").alias("n"), F.sum("a").alias("total")).collect()}
+    model.start = tuple(start[0][c] for c in FIGURES[:3]) if start else (0, 0, 0)
+    rights = figures.where("kind = 0 and before > 0").groupBy(F.expr("least(before, 5)").alias("k"))
+    kinds = {r["k"]: (r["n"], r["total"]) for r in rights.agg(F.count("before").alias("n"), F.sum("before").alias("total")).collect()}
     model.word_discounts = discounts([kinds.get(k, (0, 0))[0] for k in range(1, 5)])
     model.pairs = sum(total for _, total in kinds.values())
     many = sum(n for k, (n, _) in kinds.items() if k >= 3)
     d1, d2, d3 = model.word_discounts
     if model.pairs:
         model.word_left = (d1 * kinds.get(1, (0, 0))[0] + d2 * kinds.get(2, (0, 0))[0] + d3 * many) / model.pairs
-    _store_figures(figures.where(f"kind < 2 and id < {START_ID}"), model, sizes)
+    _store_figures(figures.where(f"kind = 0 and id < {START_ID}"), model, sizes)
     return model
 
 
@@ -382,7 +447,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     columns = "n_tokens long, n_known long, base_score double, score double"
-    return docs.mapInArrow(emit, f"{schema}, {columns}" if keep else columns)
+    return docs.mapInArrow(tidy(emit), f"{schema}, {columns}" if keep else columns)
 
 
 def held_out_scores(docs: DataFrame, fold: str) -> DataFrame:

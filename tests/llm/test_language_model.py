@@ -6,9 +6,12 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from corpora import awkward_rows, frame, many
 
+from tallyline.llm import language_model
 from tallyline.llm.language_model import discounts, held_out_scores, score_texts, shared_path, train_model
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -96,6 +99,45 @@ def test_probabilities_add_up_over_shards(spark):
         assert shares == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("most", [language_model.ROW_PAIRS, 7])
+def test_bigrams_travel_packed_by_shard(spark, monkeypatch, most):
+    monkeypatch.setattr(language_model, "ROW_PAIRS", most)
+    docs = frame(spark, many(60, seed=9)).repartition(3).select("text").localCheckpoint()
+    model = train_model(docs, shard_rows=300)
+    plain = Plain([r["text"] for r in docs.collect()])
+    rows = language_model._count_pairs(docs, model).collect()
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in rows]
+    counts = [np.frombuffer(r["counts"], np.uint32) for r in rows]
+    found = Counter()
+    for row, k, n in zip(rows, keys, counts, strict=True):
+        assert 0 < len(k) == len(n) <= most
+        found.update({(row["shard"], key): count for key, count in zip(k.tolist(), n.tolist(), strict=True)})
+    assert sorted(found.values()) == sorted(plain.pairs.values())
+    assert len(found) == len({key for _, key in found}) == model.pairs
+    # a row per shard and piece of text, and one more per row that is full
+    assert len(rows) <= 3 * model.pair_shards + sum(map(len, keys)) // most
+    scored = score_texts(docs.withColumnRenamed("text", "t").selectExpr("t", "t as text"), model).collect()
+    assert all(r["score"] == pytest.approx(plain.score(r["t"]), abs=1e-9) for r in scored)
+
+
+def test_shards_are_put_together_over_batches():
+    def batch(shards, values):
+        return pa.RecordBatch.from_pydict({"shard": pa.array(shards, pa.int32()), "v": pa.array(values, pa.int64())})
+
+    batches = [batch([3, 3, 5], [1, 2, 3]), batch([], []), batch([5, 5], [4, 5]), batch([5, 6, 7], [6, 7, 8]), batch([7], [9])]
+    found = [(at, language_model._column(parts, "v").tolist()) for at, parts in language_model._by_shard(iter(batches))]
+    assert found == [(3, [1, 2]), (5, [3, 4, 5, 6]), (6, [7]), (7, [8, 9])]
+    assert list(language_model._by_shard(iter([batch([], [])]))) == []
+
+
+def test_packed_values_come_back_from_slices():
+    values = np.arange(10, dtype=np.uint64) << np.uint64(40)
+    edges = np.array([0, 3, 4, 10])
+    rows = pa.RecordBatch.from_arrays([language_model._packed(values, edges)], ["x"])
+    assert [len(x.as_py()) for x in rows.column("x")] == [24, 8, 48]
+    assert language_model._unpacked([rows.slice(2), rows.slice(0, 2)], "x", np.uint64).tolist() == [*values[4:], *values[:4]]
+
+
 def test_nothing_to_learn_from(spark):
     assert held_out_scores(frame(spark, []), FOLD).collect() == []
     rows = [(i, "a b", "en", "s", 1) for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
